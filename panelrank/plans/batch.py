@@ -1,9 +1,38 @@
-"""End-to-end batch plans."""
+"""End-to-end batch plans over the fixture views.
+
+``features`` -> ``rule_queue`` -> models -> ``final_queue``: one Spark DAG;
+only the feature vector and the scored frame are worth persisting.
+"""
 
 from __future__ import annotations
 
-from panelrank.plans import q_windows
+from panelrank.operators import clean as C
+from panelrank.operators import score as S
+from panelrank.operators import windows as W
+from panelrank.sources import fixtures as fx
+
+FX_WINDOW, FX_SPLIT = 730, 365
+
+
+def snapshot(spark, sf_dir):
+    """Raw page snapshot (A21) from the fixture daily fact and content dimension."""
+    return W.build_snapshot(fx.fx_daily(spark, sf_dir), fx.fx_content(spark, sf_dir),
+                            window=FX_WINDOW, split=FX_SPLIT)
+
+
+def cleaned(spark, sf_dir):
+    return C.clean_snapshot(snapshot(spark, sf_dir))
+
+
+def features(spark, sf_dir):
+    return C.prepare_features(cleaned(spark, sf_dir))
+
+
+def rule_queue(spark, sf_dir, feats=None, **kw):
+    f = feats if feats is not None else features(spark, sf_dir)
+    return S.baseline_queue(f, **kw)
 
 
 def flagship(spark, sf_dir):
-    return q_windows.decline_table(spark, sf_dir)
+    from panelrank.plans import q_models
+    return q_models.final_queue_query(spark, sf_dir)

@@ -1 +1,50 @@
-"""Registered queries."""
+"""Registered queries: snapshot, cleaning, features."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelrank import constants as K
+from panelrank.plans import batch
+from panelrank.plans import sql_common as Q
+from panelrank.plans.registry import register
+
+SNAP_COLS = Q.SNAPSHOT_COLUMNS
+
+
+@register("snapshot", Q.chain("snap_out AS (SELECT * FROM fx_snapshot)", upto="snapshot")
+          + "SELECT * FROM snap_out")
+def snapshot(spark, sf_dir):
+    """A20-A21 + C13-C20: page snapshot with rates, trend and tiers."""
+    return batch.snapshot(spark, sf_dir).select(*SNAP_COLS)
+
+
+@register("clean_snapshot", Q.chain(upto="clean") + "SELECT * FROM fx_clean")
+def clean_snapshot(spark, sf_dir):
+    """Coerce, fill, normalize categories; absent columns created."""
+    return batch.cleaned(spark, sf_dir)
+
+
+LOGS = ["log_impressions_90d", "log_clicks_90d", "log_sessions_90d", "log_ai_sessions_90d"]
+
+
+@register("feature_vector", Q.chain(upto="features") + "SELECT * REPLACE ("
+          + ", ".join(f"round({c}, 9) AS {c}" for c in LOGS) + ") FROM fx_features")
+def feature_vector(spark, sf_dir):
+    """Scope filter, label, log features, flags (logs shown at 1e-9: libm ulps differ)."""
+    f = batch.features(spark, sf_dir)
+    return f.select(*[F.round(c, 9).alias(c) if c in LOGS else F.col(c) for c in f.columns])
+
+
+@register("trend_counts", Q.chain(upto="snapshot") +
+          "SELECT trend_direction, COUNT(*) AS pages FROM fx_snapshot GROUP BY trend_direction")
+def trend_counts(spark, sf_dir):
+    """C15 anchor: pages per trend direction."""
+    return batch.snapshot(spark, sf_dir).groupBy("trend_direction").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@register("position_tier_counts", Q.chain(upto="snapshot") +
+          "SELECT position_tier, COUNT(*) AS pages FROM fx_snapshot GROUP BY position_tier")
+def position_tier_counts(spark, sf_dir):
+    """C20 anchor: pages per position tier."""
+    return batch.snapshot(spark, sf_dir).groupBy("position_tier").agg(F.count(F.lit(1)).alias("pages"))

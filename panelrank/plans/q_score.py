@@ -1 +1,21 @@
-"""Registered queries."""
+"""Registered queries: rule score and queue."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelrank.operators import score as S
+from panelrank.plans import batch
+from panelrank.plans import sql_common as Q
+from panelrank.plans.registry import register
+
+
+def _queue_out(df):
+    return df.select(*[F.array_join(F.col(c), "|").alias(c) if c == "reason_codes" else F.col(c)
+                       for c in S.BASELINE_QUEUE_COLUMNS])
+
+
+@register("baseline_queue", Q.chain() + "SELECT " + ", ".join(S.BASELINE_QUEUE_COLUMNS) + " FROM fx_baseline")
+def baseline_queue(spark, sf_dir):
+    """Q01-Q05 with W01 percentile ranks and W02 ordinal rank: the rule queue."""
+    return _queue_out(batch.rule_queue(spark, sf_dir))
