@@ -199,7 +199,7 @@ def majority_and_lift(spark, sf_dir):
 , r AS (SELECT label, row_number() OVER (ORDER BY score DESC, content_id ASC) AS i FROM fx_scored),
 top AS (SELECT i, label, SUM(label) OVER (ORDER BY i) AS hits FROM r WHERE i <= 100),
 P AS (SELECT SUM(label) AS P FROM fx_scored),
-ideal AS (SELECT SUM(1 / log2(g + 1)) AS idcg FROM range(1, 1 + (SELECT least(100, P) FROM P)) t(g))
+ideal AS (SELECT SUM(1 / log2(g + 1)) AS idcg FROM range(1, 101) t(g), P WHERE g <= least(100, P.P))
 SELECT 100 AS k, COALESCE(CAST(SUM(label) AS DOUBLE) / NULLIF(CAST(MAX(P.P) AS DOUBLE), 0), 0.0) AS recall_at_k,
   round(CASE WHEN MAX(P.P) > 0 THEN SUM(label / log2(i + 1)) / MAX(idcg) ELSE 0.0 END, {R9}) AS ndcg_at_k,
   round(COALESCE(SUM(CASE WHEN label = 1 THEN hits / i END) / least(100, MAX(P.P)), 0.0), {R9}) AS ap_at_k
