@@ -182,7 +182,7 @@ def attach_scores(queue: DataFrame, preds: DataFrame, context: DataFrame, key: s
 
 def final_queue(queue: DataFrame, preds: DataFrame, context: DataFrame, **kw) -> DataFrame:
     """Final queue (Q06-Q10): blend, merged codes, action, confidence, rank."""
-    x = attach_scores(queue, preds, context)
+    x = attach_scores(queue.select(*BASELINE_QUEUE_COLUMNS), preds, context)
     x = final_score(x)
     x = final_action(merge_reasons(x))
     x = confidence(x)

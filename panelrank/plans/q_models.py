@@ -1 +1,270 @@
-"""Registered queries."""
+"""Registered queries: learned scores, final queue, capstone playbook.
+
+Model outputs have no SQL equivalent, so these are rows-only checks; the
+blend / codes / action / confidence logic is also registered with an oracle
+on a deterministic stand-in probability (``final_queue_blend``).
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelrank import constants as K
+from panelrank.operators import metrics as M
+from panelrank.operators import models as E
+from panelrank.operators import ordered as O
+from panelrank.operators import score as S
+from panelrank.operators import split as L
+from panelrank.plans import batch
+from panelrank.plans import sql_common as Q
+from panelrank.plans.registry import register
+
+LABEL = "is_declining_label"
+NUM, CAT = K.MODEL_NUMERIC_FEATURES, K.MODEL_CATEGORICAL_FEATURES
+
+
+def train_and_score(spark, sf_dir, forest_trees: int = 200):
+    """Split, holdout metrics (rule and three models), choice, refit on all rows, scores.
+
+    Returns (predictions, metrics, best name, fitted best model, features).
+    Holdout metrics are on the test side; the published probabilities are
+    in-sample (models refit on all rows), flagged ``scored_in_sample``.
+    """
+    feats = batch.features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    split, strategy = L.client_holdout(feats, "client_id", LABEL)
+    split = split.persist(StorageLevel.MEMORY_AND_DISK)
+    train = split.filter(F.col("split") == "train")
+    test = split.filter(F.col("split") == "test")
+    n_train = train.count()
+    queue = batch.rule_queue(spark, sf_dir, feats)
+    # Rule score looked up on test ids, missing -> 0
+    rule = test.select("content_id", LABEL).join(queue.select("content_id", "baseline_refresh_score"), "content_id",
+                                                 "left").na.fill(0.0, ["baseline_refresh_score"])
+    rows = [M.metric_row(rule, LABEL, "baseline_refresh_score", "content_id", "baseline")]
+    for name, stages in E.build_models(n_train, LABEL, forest_trees).items():
+        m = E.fit(train, NUM, CAT, stages, LABEL)
+        s = E.score(m, test, NUM, CAT, "_p")
+        rows.append(M.metric_row(s, LABEL, "_p", "content_id", name))
+    metrics = reduce(DataFrame.unionByName, rows).withColumn("split_strategy", F.lit(strategy))
+    metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
+    best = M.best_model(metrics.filter(F.col("model") != "baseline")).first()["model"]
+    n_all = feats.count()
+    preds = split.select("content_id", "client_id", LABEL, "split", *NUM, *CAT)
+    fitted = {}
+    for name, stages in E.build_models(n_all, LABEL, forest_trees).items():
+        fitted[name] = E.fit(feats, NUM, CAT, stages, LABEL)
+        preds = E.score(fitted[name], preds, NUM, CAT, f"prob_{name}")
+    preds = preds.select("content_id", "client_id", LABEL, "split", *[f"prob_{n}" for n in E.MODEL_NAMES],
+                         F.lit(best).alias("best_model_name"), F.col(f"prob_{best}").alias("best_model_probability"),
+                         F.lit(True).alias("scored_in_sample"))
+    return preds, metrics, best, fitted[best], feats
+
+
+@register("model_comparison")
+def model_comparison(spark, sf_dir):
+    """M09 + E08: rule and three models on the same client holdout."""
+    _, metrics, _, _, _ = train_and_score(spark, sf_dir)
+    return metrics
+
+
+@register("predictions")
+def predictions(spark, sf_dir):
+    """E07 + E09: in-sample probabilities of every model, split tag and best model."""
+    preds, _, _, _, _ = train_and_score(spark, sf_dir)
+    return preds
+
+
+def final_queue_query(spark, sf_dir, forest_trees: int = 200):
+    preds, _, _, _, feats = train_and_score(spark, sf_dir, forest_trees)
+    queue = batch.rule_queue(spark, sf_dir, feats)
+    fq = S.final_queue(queue, preds, feats)
+    return fq.withColumn("final_reason_codes", F.array_join("final_reason_codes", "|"))
+
+
+@register("final_queue")
+def final_queue(spark, sf_dir):
+    """Q06-Q10: the final review queue (28 columns) from rule + best model."""
+    return final_queue_query(spark, sf_dir)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Top 25 |coef| or impurity importances of the chosen model."""
+    _, _, best, model, feats = train_and_score(spark, sf_dir)
+    names = E.feature_names(model, feats, NUM, CAT)
+    top = E.importance(model, names)
+    return spark.createDataFrame([(best, n, float(v)) for n, v in top], "model string, feature string, importance double")
+
+
+@register("readable_tree_leaves")
+def readable_tree_leaves(spark, sf_dir):
+    """Depth-2 tree on six readable inputs, one row per leaf."""
+    feats = batch.features(spark, sf_dir)
+    m = E.fit(feats, K.SMALL_TREE_FEATURES, [], E.tree(LABEL, depth=2, leaf=1), LABEL)
+    return E.leaf_table(m, feats, K.SMALL_TREE_FEATURES, [], LABEL)
+
+
+@register("boosted_metrics")
+def boosted_metrics(spark, sf_dir):
+    """Gradient-boosted trees on the same client holdout."""
+    feats = batch.features(spark, sf_dir)
+    split, _ = L.client_holdout(feats, "client_id", LABEL)
+    m = E.fit(split.filter("split = 'train'"), NUM, CAT, E.boosted(LABEL, depth=4, iters=30), LABEL)
+    s = E.score(m, split.filter("split = 'test'"), NUM, CAT, "_p")
+    return M.metric_row(s, LABEL, "_p", "content_id", "gbt")
+
+
+@register("leak_probe")
+def leak_probe(spark, sf_dir):
+    """Planted leak (trend_pct, the label source) must lift the score."""
+    feats = batch.features(spark, sf_dir)
+    split, _ = L.client_holdout(feats, "client_id", LABEL)
+    base = ["content_age_days", "days_since_last_update", "avg_position", "ctr", "word_count"]
+    return E.leak_probe(split.filter("split = 'train'"), split.filter("split = 'test'"), base, "trend_pct", LABEL,
+                        "content_id")
+
+
+@register("split_gap")
+def split_gap(spark, sf_dir):
+    """Same model on a random row split and on the client split; the gap is the leak of grouping."""
+    feats = batch.features(spark, sf_dir)
+    out = []
+    for name, df in (("stratified_row", L.stratified_holdout(feats, LABEL, 0.2)),
+                     ("client_group", L.client_holdout(feats, "client_id", LABEL)[0])):
+        m = E.fit(df.filter("split = 'train'"), NUM, CAT, E.tree(LABEL), LABEL)
+        s = E.score(m, df.filter("split = 'test'"), NUM, CAT, "_p")
+        out.append(M.roc_auc(s, LABEL, "_p").select(F.lit(name).alias("split"), "roc_auc"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    """AUC drop when one input is shuffled (shuffle by join on ordered positions)."""
+    feats = batch.features(spark, sf_dir)
+    cols = ["avg_position", "ctr", "days_since_last_update", "log_impressions_90d"]
+    m = E.fit(feats, NUM, CAT, E.tree(LABEL), LABEL)
+    return E.permutation_importance(m, feats, NUM, CAT, LABEL, cols, "content_id")
+
+
+# ---------------------------------------------------------------- capstone (window model)
+def capstone(spark, sf_dir):
+    """Decline table -> group shuffle split (25 % of clients) -> forest 100 x depth 7 -> scores."""
+    from panelrank.plans.q_windows import decline_frame
+    data = decline_frame(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    split = L.group_shuffle(data, "client_id", 0.25)
+    feats = K.WINDOW_MODEL_FEATURES
+    m = E.fit(split.filter("split = 'train'"), feats, [], E.forest("is_declining", trees=100, depth=7, leaf=1,
+                                                                   balanced=False), "is_declining")
+    scored = E.score(m, split, feats, [], "decline_probability")
+    return scored
+
+
+@register("capstone_playbook")
+def capstone_playbook(spark, sf_dir):
+    """Q14: at-risk pages (prev > 500, p > 0.6), reason by position, ordered by probability."""
+    s = capstone(spark, sf_dir)
+    pb = S.playbook(s)
+    return pb.select("content_id", "client_id", "imp_prev", "decline_probability", "action", "reason") \
+        .orderBy(F.col("decline_probability").desc(), F.col("content_id"))
+
+
+@register("capstone_report")
+def capstone_report(spark, sf_dir):
+    """M06 + M02 on the capstone test side."""
+    s = capstone(spark, sf_dir).filter("split = 'test'").withColumn("pred", (F.col("decline_probability") >= 0.5)
+                                                                   .cast("int"))
+    rep = M.class_report(s, "is_declining", "pred")
+    auc = M.roc_auc(s, "is_declining", "decline_probability")
+    return rep.crossJoin(auc)
+
+
+# ---------------------------------------------------------------- blend with an oracle
+def blend_frame(spark, sf_dir):
+    feats = batch.features(spark, sf_dir)
+    q = batch.rule_queue(spark, sf_dir, feats)
+    p = O.pct_rank(feats.select("content_id", "impressions_prev_30d"), "impressions_prev_30d", "best_model_probability")
+    preds = p.select("content_id", F.lit("momentum_stand_in").alias("best_model_name"), "best_model_probability")
+    return S.final_queue(q, preds, feats)
+
+
+BLEND_SQL = Q.chain(f"""
+    fb_0 AS (SELECT *, {Q.pct_rank_sql('impressions_prev_30d', 'best_model_probability')} FROM fx_baseline),
+    fb_1 AS (SELECT *, CASE WHEN max(baseline_refresh_score) OVER () > min(baseline_refresh_score) OVER ()
+                 THEN (baseline_refresh_score - min(baseline_refresh_score) OVER ())
+                      / (max(baseline_refresh_score) OVER () - min(baseline_refresh_score) OVER ()) ELSE 0.0 END AS bnorm
+             FROM fb_0),
+    fb_2 AS (SELECT *, least(greatest(100.0 * (0.7 * best_model_probability + 0.3 * bnorm), 0.0), 100.0) AS final_refresh_score,
+                 concat_ws('|', reason_codes,
+                   CASE WHEN best_model_probability >= 0.65 THEN 'model_decline_risk' END,
+                   CASE WHEN best_model_probability >= 0.5 AND impressions_90d >= 500 THEN 'visible_model_opportunity' END,
+                   CASE WHEN impressions_90d >= 500 AND avg_position > 0 AND avg_position <= 20 AND ctr < 0.5
+                        THEN 'ctr_review_candidate' END,
+                   CASE WHEN sessions_90d >= 30 AND ((engagement_rate > 0 AND engagement_rate < 30)
+                                                     OR (scroll_rate > 0 AND scroll_rate < 30))
+                        THEN 'engagement_review_candidate' END) AS final_reason_codes
+             FROM fb_1),
+    fb_3 AS (SELECT *, string_split(final_reason_codes, '|') AS codes FROM fb_2),
+    fb_q AS (SELECT quantile_cont(final_refresh_score, 0.8) AS hi, quantile_cont(final_refresh_score, 0.5) AS mid FROM fb_3),
+    fb_4 AS (SELECT fb_3.*,
+        CASE WHEN list_contains(codes, 'thin_visible_page') THEN 'expand_and_refresh'
+             WHEN list_contains(codes, 'ctr_review_candidate') AND (list_contains(codes, 'model_decline_risk')
+                  OR list_contains(codes, 'declining_with_demand')) THEN 'refresh_and_review_ctr'
+             WHEN list_contains(codes, 'engagement_review_candidate') AND (list_contains(codes, 'model_decline_risk')
+                  OR list_contains(codes, 'declining_with_demand')) THEN 'refresh_and_review_engagement'
+             WHEN list_contains(codes, 'model_decline_risk') OR list_contains(codes, 'declining_with_demand')
+                  OR list_contains(codes, 'stale_visible_page') OR list_contains(codes, 'visible_model_opportunity')
+                  THEN 'refresh' ELSE 'monitor' END AS suggested_action,
+        CASE WHEN final_refresh_score >= hi AND impressions_90d >= 500 AND sessions_90d >= 10
+                  AND best_model_probability >= 0.5 THEN 'high'
+             WHEN final_refresh_score >= mid THEN 'medium' ELSE 'low' END AS confidence,
+        row_number() OVER (ORDER BY final_refresh_score DESC, impressions_90d DESC, sessions_90d DESC, content_id ASC)
+          AS final_rank
+      FROM fb_3, fb_q)""")
+
+BLEND_COLS = [c for c in S.FINAL_QUEUE_COLUMNS if c != "best_model_name"]
+
+
+@register("final_queue_blend", BLEND_SQL + "SELECT " + ", ".join(
+    f"round({c}, 9) AS {c}" if c in ("final_refresh_score", "best_model_probability") else c for c in BLEND_COLS)
+    + " FROM fb_4")
+def final_queue_blend(spark, sf_dir):
+    """Q06-Q10 + J02 under the oracle: blend, merged codes, action, confidence, final rank."""
+    fq = blend_frame(spark, sf_dir)
+    return fq.select(*[F.array_join(c, "|").alias(c) if c == "final_reason_codes"
+                       else F.round(c, 9).alias(c) if c in ("final_refresh_score", "best_model_probability")
+                       else F.col(c) for c in BLEND_COLS])
+
+
+@register("report_tables", BLEND_SQL + """
+SELECT 'action' AS table_name, suggested_action AS value, COUNT(*) AS count FROM fb_4 GROUP BY 2
+UNION ALL SELECT 'confidence', confidence, COUNT(*) FROM fb_4 GROUP BY 2
+UNION ALL SELECT 'trend', trend_direction, COUNT(*) FROM fb_4 GROUP BY 2
+UNION ALL SELECT 'reason', code, COUNT(*) FROM (SELECT unnest(codes) AS code FROM fb_4) GROUP BY 2""")
+def report_tables(spark, sf_dir):
+    """Q11 + A06/A08: action, confidence, trend and reason mixes of the final queue (long format)."""
+    from panelrank.operators.aggregates import reason_counts
+    fq = blend_frame(spark, sf_dir)
+    mix = [fq.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+           .select(F.lit(t).alias("table_name"), "value", "count")
+           for t, c in (("action", "suggested_action"), ("confidence", "confidence"), ("trend", "trend_direction"))]
+    r = reason_counts(fq, "final_reason_codes").select(F.lit("reason").alias("table_name"),
+                                                      F.col("reason_code").alias("value"), "count")
+    return reduce(DataFrame.unionByName, mix + [r])
+
+
+@register("queue_preview", BLEND_SQL + """
+SELECT final_rank, content_id, replace(final_reason_codes, '|', ', ') AS reasons, suggested_action,
+  CASE suggested_action WHEN 'expand_and_refresh' THEN 'Expand + refresh' WHEN 'refresh_and_review_ctr' THEN 'Refresh + CTR'
+    WHEN 'refresh_and_review_engagement' THEN 'Refresh + engagement' WHEN 'refresh' THEN 'Refresh'
+    WHEN 'monitor' THEN 'Monitor' ELSE suggested_action END AS action_label
+FROM fb_4 WHERE final_rank <= 10""")
+def queue_preview(spark, sf_dir):
+    """Q11 preview + Q15 short labels: top 10 rows with ``|`` shown as ``, ``."""
+    from panelrank.functions.exprs import short_action
+    fq = blend_frame(spark, sf_dir).filter(F.col("final_rank") <= 10)
+    return fq.select("final_rank", "content_id", F.array_join("final_reason_codes", ", ").alias("reasons"),
+                     "suggested_action", short_action("suggested_action").alias("action_label"))
