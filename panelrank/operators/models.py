@@ -59,7 +59,7 @@ def with_balanced_weight(df: DataFrame, label: str, out: str = "_w") -> DataFram
 def logistic(n_rows: int, label: str = "label") -> list:
     """Standardize, then balanced L2 logistic regression (E02, D-07: regParam = 1 / n)."""
     return [StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True),
-            LogisticRegression(featuresCol="_scaled", labelCol=label, weightCol="_w", maxIter=1000,
+            LogisticRegression(featuresCol="_scaled", labelCol=label, weightCol="_w", maxIter=1000, tol=1e-4,
                                regParam=1.0 / max(1, n_rows), elasticNetParam=0.0, standardization=False)]
 
 
@@ -72,8 +72,10 @@ def tree(label: str = "label", depth: int = 5, leaf: int = 50) -> list:
 def forest(label: str = "label", trees: int = 200, depth: int = 10, leaf: int = 25, balanced: bool = True) -> list:
     """Random forest (E04); MLlib caps depth at 30."""
     kw = {"weightCol": "_w"} if balanced else {}
+    # maxMemoryInMB bounds the per-pass node statistics: larger = fewer passes over the data
     return [RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=min(depth, 30),
-                                   minInstancesPerNode=leaf, seed=SEED, **kw)]
+                                   minInstancesPerNode=leaf, seed=SEED, maxMemoryInMB=1024, cacheNodeIds=True,
+                                   **kw)]
 
 
 def boosted(label: str = "label", depth: int = 5, iters: int = 50) -> list:

@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,6 +92,8 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     order = _norm_order(order)
     measures = list(measures)
     keys = [c for c, _ in order]
+    # the input feeds up to four jobs (count, sample, bucket totals, result)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     m = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     cuts = []

@@ -244,7 +244,7 @@ def label_panel(daily: DataFrame, cuts: list[_dt.date], key: str = "content_id",
     d = F.col("report_date")
     arr = F.array(*[F.lit(c) for c in cuts])
     hits = F.filter(arr, lambda t: (d > F.date_sub(t, feature_days)) & (d <= F.date_add(t, label_days)))
-    x = scoped.select(key, d.alias("report_date"), F.col(measure).alias("_m"), F.explode(hits).alias("cut_date"))
+    x = scoped.select(key, "report_date", F.col(measure).alias("_m")).withColumn("cut_date", F.explode(hits))
     feat = x.report_date <= x.cut_date
     g = x.groupBy("cut_date", key).agg(
         F.sum(F.when(feat, F.col("_m")).otherwise(0)).cast("long").alias("feature_total"),

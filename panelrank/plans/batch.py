@@ -9,6 +9,7 @@ from __future__ import annotations
 from panelrank.operators import clean as C
 from panelrank.operators import score as S
 from panelrank.operators import windows as W
+from panelrank.session import ensure_checkpoint_dir
 from panelrank.sources import fixtures as fx
 
 FX_WINDOW, FX_SPLIT = 730, 365
@@ -24,8 +25,17 @@ def cleaned(spark, sf_dir):
     return C.clean_snapshot(snapshot(spark, sf_dir))
 
 
-def features(spark, sf_dir):
-    return C.prepare_features(cleaned(spark, sf_dir))
+def features(spark, sf_dir, materialize: bool = True):
+    """Feature vector (C06-C10), checkpointed once into the shared checkpoint folder.
+
+    Everything downstream (ranks, splits, three models, the queues) reads
+    the written table instead of recomputing the daily aggregation.
+    """
+    f = C.prepare_features(cleaned(spark, sf_dir))
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        f = f.checkpoint(eager=True)
+    return f
 
 
 def rule_queue(spark, sf_dir, feats=None, **kw):
