@@ -139,9 +139,8 @@ def sealed_guard(df: DataFrame, date_col: str, sealed_start: _dt.date) -> DataFr
 
 
 def cross_side_duplicates(df: DataFrame, cols: list[str], side: str = "split") -> DataFrame:
-    """Identical feature rows present on both split sides (V10): hash of the features, grouped."""
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    g = df.groupBy(h.alias("feature_hash")).agg(F.countDistinct(side).alias("_sides"), F.count(F.lit(1)).alias("rows"))
+    """Identical feature rows present on both split sides (V10): grouped on the feature values."""
+    g = df.groupBy(*cols).agg(F.countDistinct(side).alias("_sides"), F.count(F.lit(1)).alias("rows"))
     dup = g.filter(F.col("_sides") > 1)
     return dup.agg(F.count(F.lit(1)).alias("duplicate_groups"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
 
