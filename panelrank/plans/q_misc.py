@@ -479,3 +479,16 @@ SELECT content_id, dropped_weeks, CAST(last_week - COALESCE(last_ok, 0) AS INTEG
 def persistence(spark, sf_dir):
     """W07 (rule ours): week-over-week drops and the trailing run length per page (events panel)."""
     return W.persistence(fx.fx_events_daily(spark, sf_dir), weeks=4)
+
+
+# ---------------------------------------------------------------- X01 streaming
+@register("stream_daily_rollup", """
+SELECT CAST(ts AS DATE) AS report_date, user_id, COUNT(*) AS events, SUM(value) AS value_sum
+FROM events GROUP BY 1, 2""".replace("SUM(value) AS value_sum", "round(SUM(value), 9) AS value_sum"))
+def stream_daily_rollup(spark, sf_dir):
+    """Events rolled up per (day, user) by Structured Streaming with a 3-day watermark."""
+    from panelrank.streaming.rollup import stream_daily_rollup as run
+    r = run(spark, sf_dir, "events.parquet",
+            "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+            "ts", ["user_id"], {"value_sum": "value"})
+    return r.select("report_date", "user_id", "events", F.round("value_sum", 9).alias("value_sum"))
