@@ -144,6 +144,13 @@ def position_tier(c="avg_position") -> Column:
                   K.POSITION_TOP)
 
 
+def position_tier_exact(num, den) -> Column:
+    """Position tier of the ratio num / den without dividing: ``num <= edge * den``."""
+    n, d = col(num), col(den)
+    return _chain([(d.isNull() | (d <= 0) | n.isNull() | (n <= 0), "no_data")]
+                  + [(n <= d * hi, lab) for lab, hi in K.POSITION_TIERS], K.POSITION_TOP)
+
+
 def competition_level(c="competition") -> Column:
     x = col(c)
     return _chain([(x.isNull(), None)] + [(x < hi, lab) for lab, hi in K.COMPETITION_LEVELS], K.COMPETITION_TOP)

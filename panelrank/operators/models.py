@@ -32,7 +32,7 @@ def feature_stages(numeric: list[str], categorical: list[str], out: str = "featu
         oh_cols.append(f"_{c}_i")
     if categorical:
         stages.append(OneHotEncoder(inputCols=oh_cols, outputCols=[f"{c}_oh" for c in categorical], dropLast=False,
-                                    handleInvalid="keep"))
+                                    handleInvalid="error"))  # the indexer already maps unseen to its own slot
     stages.append(VectorAssembler(inputCols=[f"_{c}_n" for c in numeric] + [f"{c}_oh" for c in categorical],
                                   outputCol=out, handleInvalid="keep"))
     return stages

@@ -172,8 +172,11 @@ def build_snapshot(daily: DataFrame, content: DataFrame, end: _dt.date | None =
         X.round_ratio("ai_sessions_90d", "sessions_90d", 2, 100).alias("ai_traffic_pct"),
         X.trend_pct("impressions_last_30d", "impressions_prev_30d").alias("trend_pct"),
         X.trend_direction("impressions_last_30d", "impressions_prev_30d").alias("trend_direction"),
+        # tier from the exact ratio (integer comparisons), not from the 1-dp display value
+        X.position_tier_exact("_pos_milli", F.col("sessions_90d") * 1000).alias("position_tier"),
     ).drop("_pos_milli")
     snap = content.join(g, key, "left")
+    snap = snap.withColumn("position_tier", F.coalesce(F.col("position_tier"), F.lit("no_data")))
     return snap.select(
         "*",
         X.age_tier().alias("age_tier"),
@@ -182,7 +185,6 @@ def build_snapshot(daily: DataFrame, content: DataFrame, end: _dt.date | None =
         X.word_count_tier().alias("word_count_tier"),
         X.char_count_tier().alias("char_count_tier"),
         X.impression_tier().alias("impression_tier"),
-        X.position_tier().alias("position_tier"),
     )
 
 

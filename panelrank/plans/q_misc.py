@@ -408,7 +408,20 @@ def slipping_visible(spark, sf_dir):
 SWEEP = [0.0, 2.0, 4.0, 6.0, 8.0, 10.0, 12.0]
 
 
-@register("threshold_sweep", None)
+def _sweep_sql():
+    from panelrank.plans.q_metrics import SCORED_SQL
+    vals = ", ".join(f"({c})" for c in SWEEP)
+    return SCORED_SQL + f"""
+, cuts AS (SELECT CAST(c AS DOUBLE) AS cutoff FROM (VALUES {vals}) t(c)),
+g AS (SELECT cutoff, COUNT(*) AS captured, CAST(SUM(label) AS BIGINT) AS tp FROM fx_scored JOIN cuts ON score >= cutoff GROUP BY 1),
+p AS (SELECT SUM(label) AS P FROM fx_scored)
+SELECT cuts.cutoff, COALESCE(captured, 0) AS captured, COALESCE(tp, 0) AS tp,
+  COALESCE(CAST(tp AS DOUBLE) / NULLIF(CAST(captured AS DOUBLE), 0), 0.0) AS precision,
+  COALESCE(CAST(COALESCE(tp, 0) AS DOUBLE) / NULLIF(CAST(P AS DOUBLE), 0), 0.0) AS recall
+FROM cuts LEFT JOIN g ON cuts.cutoff = g.cutoff, p"""
+
+
+@register("threshold_sweep", _sweep_sql())
 def threshold_sweep(spark, sf_dir):
     """Q16: captured rows, precision and recall per cutoff."""
     from panelrank.plans.q_metrics import scored

@@ -38,10 +38,7 @@ def tiers_sql() -> str:
            WHEN char_count < 25000 THEN '15000-25000' ELSE '25000+' END AS char_count_tier,
       CASE WHEN impressions_90d IS NULL THEN 'no_data' WHEN impressions_90d <= 0 THEN 'none'
            WHEN impressions_90d >= 30000 THEN 'excellent' WHEN impressions_90d >= 3000 THEN 'good'
-           WHEN impressions_90d >= 300 THEN 'moderate' ELSE 'low' END AS impression_tier,
-      CASE WHEN avg_position IS NULL OR avg_position <= 0 THEN 'no_data' WHEN avg_position <= 3 THEN 'top_3'
-           WHEN avg_position <= 10 THEN 'page_1' WHEN avg_position <= 20 THEN 'striking'
-           WHEN avg_position <= 50 THEN 'page_3_5' ELSE 'deep' END AS position_tier"""
+           WHEN impressions_90d >= 300 THEN 'moderate' ELSE 'low' END AS impression_tier"""
 
 
 def snapshot_cte(window: int = FX_WINDOW, split: int = FX_SPLIT) -> str:
@@ -82,10 +79,14 @@ def snapshot_cte(window: int = FX_WINDOW, split: int = FX_SPLIT) -> str:
              WHEN impressions_prev_30d = 0 AND impressions_last_30d = 0 THEN 'flat'
              WHEN impressions_last_30d > 1.2 * impressions_prev_30d THEN 'up'
              WHEN impressions_last_30d < 0.8 * impressions_prev_30d THEN 'down'
-             ELSE 'stable' END AS trend_direction
+             ELSE 'stable' END AS trend_direction,
+        CASE WHEN sessions_90d IS NULL OR sessions_90d <= 0 OR pos_milli IS NULL OR pos_milli <= 0 THEN 'no_data'
+             WHEN pos_milli <= 3 * sessions_90d * 1000 THEN 'top_3' WHEN pos_milli <= 10 * sessions_90d * 1000 THEN 'page_1'
+             WHEN pos_milli <= 20 * sessions_90d * 1000 THEN 'striking' WHEN pos_milli <= 50 * sessions_90d * 1000 THEN 'page_3_5'
+             ELSE 'deep' END AS position_tier
       FROM snap_g),
     fx_snapshot AS (
-      SELECT *, {tiers_sql()}
+      SELECT * REPLACE (COALESCE(position_tier, 'no_data') AS position_tier), {tiers_sql()}
       FROM (SELECT c.*, r.* EXCLUDE (content_id) FROM fx_content c LEFT JOIN snap_r r ON c.content_id = r.content_id))"""
 
 
