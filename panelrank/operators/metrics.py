@@ -180,7 +180,14 @@ def lift(metric_df: DataFrame, df: DataFrame, label: str, metric_cols: list[str]
 
 
 def metric_row(df: DataFrame, label: str, score: str, id_col: str, name: str, **kw) -> DataFrame:
-    """One row of all headline metrics for one score column (used by M09, E08)."""
+    """One row of all headline metrics for one score column (used by M09, E08).
+
+    The scored rows feed several jobs (confusion counts, two ordered
+    prefixes, top-k), so the three needed columns are persisted once: a
+    model's transform is not re-run per metric.
+    """
+    from pyspark import StorageLevel
+    df = df.select(label, score, id_col).persist(StorageLevel.MEMORY_AND_DISK)
     t = threshold_metrics(df, label, score)
     a = roc_auc(df, label, score, **kw)
     ap = average_precision(df, label, score, **kw)

@@ -174,3 +174,30 @@ def leak_probe(train: DataFrame, test: DataFrame, base_cols: list[str], suspect:
         r = M.metric_row(s, label, "_p", id_col, name)
         out.append(r.select("model", "roc_auc", "precision_at_50"))
     return reduce(DataFrame.unionByName, out)
+
+
+# ---------------------------------------------------------------- shared feature matrix
+def fit_matrix(df: DataFrame, numeric, categorical, label: str, keep: list[str]):
+    """Fit the encoding once (on all rows, as the one-hot matrix is built before the split)
+    and return (encoder model, persisted matrix with ``features`` + ``keep`` columns)."""
+    from pyspark import StorageLevel
+    x = prepare_matrix(df, numeric, categorical).withColumn(label, F.col(label).cast("double"))
+    enc = Pipeline(stages=feature_stages(numeric, categorical)).fit(x)
+    mat = enc.transform(x).select(*keep, label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    return enc, mat
+
+
+def fit_on_matrix(mat: DataFrame, model_stages: list, label: str) -> PipelineModel:
+    """Fit model stages on an encoded matrix with balanced weights of that subset."""
+    return Pipeline(stages=model_stages).fit(with_balanced_weight(mat, label))
+
+
+def score_matrix(model: PipelineModel, mat: DataFrame, out: str) -> DataFrame:
+    keep = [c for c in mat.columns if c != "features"]
+    return model.transform(mat).select(*keep, vector_to_array(F.col("probability"))[1].alias(out))
+
+
+def add_score(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
+    """Append P(positive) as ``out``; the model's own output columns are dropped, inputs kept."""
+    t = model.transform(df).withColumn(out, vector_to_array(F.col("probability"))[1])
+    return t.select(*df.columns, out)

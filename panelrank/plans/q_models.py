@@ -27,18 +27,20 @@ LABEL = "is_declining_label"
 NUM, CAT = K.MODEL_NUMERIC_FEATURES, K.MODEL_CATEGORICAL_FEATURES
 
 
-def train_and_score(spark, sf_dir, forest_trees: int = 200):
+def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     """Split, holdout metrics (rule and three models), choice, refit on all rows, scores.
 
-    Returns (predictions, metrics, best name, fitted best model, features).
-    Holdout metrics are on the test side; the published probabilities are
-    in-sample (models refit on all rows), flagged ``scored_in_sample``.
+    The one-hot encoding is fitted once and the encoded matrix persisted;
+    every model fits on a subset of it. Holdout metrics are on the test
+    side; the published probabilities are in-sample (models refit on all
+    rows), flagged ``scored_in_sample``.
+    Returns (predictions, metrics, best name, fitted best model, features, encoder).
     """
-    feats = batch.features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    feats = batch.features(spark, sf_dir)
     split, strategy = L.client_holdout(feats, "client_id", LABEL)
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.filter(F.col("split") == "train")
-    test = split.filter(F.col("split") == "test")
+    enc, mat = E.fit_matrix(split, NUM, CAT, LABEL, ["content_id", "client_id", "split"])
+    train = mat.filter(F.col("split") == "train")
+    test = mat.filter(F.col("split") == "test")
     n_train = train.count()
     queue = batch.rule_queue(spark, sf_dir, feats)
     # Rule score looked up on test ids, missing -> 0
@@ -46,40 +48,42 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200):
                                                  "left").na.fill(0.0, ["baseline_refresh_score"])
     rows = [M.metric_row(rule, LABEL, "baseline_refresh_score", "content_id", "baseline")]
     for name, stages in E.build_models(n_train, LABEL, forest_trees).items():
-        m = E.fit(train, NUM, CAT, stages, LABEL)
-        s = E.score(m, test, NUM, CAT, "_p")
-        rows.append(M.metric_row(s, LABEL, "_p", "content_id", name))
+        m = E.fit_on_matrix(train, stages, LABEL)
+        rows.append(M.metric_row(E.score_matrix(m, test, "_p"), LABEL, "_p", "content_id", name))
     metrics = reduce(DataFrame.unionByName, rows).withColumn("split_strategy", F.lit(strategy))
     metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
     best = M.best_model(metrics.filter(F.col("model") != "baseline")).first()["model"]
-    n_all = feats.count()
-    preds = split.select("content_id", "client_id", LABEL, "split", *NUM, *CAT)
+    if not refit:
+        return None, metrics, best, None, feats, enc
+    n_all = mat.count()
+    preds = mat
     fitted = {}
     for name, stages in E.build_models(n_all, LABEL, forest_trees).items():
-        fitted[name] = E.fit(feats, NUM, CAT, stages, LABEL)
-        preds = E.score(fitted[name], preds, NUM, CAT, f"prob_{name}")
-    preds = preds.select("content_id", "client_id", LABEL, "split", *[f"prob_{n}" for n in E.MODEL_NAMES],
+        fitted[name] = E.fit_on_matrix(mat, stages, LABEL)
+        preds = E.add_score(fitted[name], preds, f"prob_{name}")
+    preds = preds.select("content_id", "client_id", F.col(LABEL).cast("int").alias(LABEL), "split",
+                         *[f"prob_{n}" for n in E.MODEL_NAMES],
                          F.lit(best).alias("best_model_name"), F.col(f"prob_{best}").alias("best_model_probability"),
                          F.lit(True).alias("scored_in_sample"))
-    return preds, metrics, best, fitted[best], feats
+    return preds, metrics, best, fitted[best], feats, enc
 
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
     """M09 + E08: rule and three models on the same client holdout."""
-    _, metrics, _, _, _ = train_and_score(spark, sf_dir)
+    _, metrics, _, _, _, _ = train_and_score(spark, sf_dir, refit=False)
     return metrics
 
 
 @register("predictions")
 def predictions(spark, sf_dir):
     """E07 + E09: in-sample probabilities of every model, split tag and best model."""
-    preds, _, _, _, _ = train_and_score(spark, sf_dir)
+    preds, _, _, _, _, _ = train_and_score(spark, sf_dir)
     return preds
 
 
 def final_queue_query(spark, sf_dir, forest_trees: int = 200):
-    preds, _, _, _, feats = train_and_score(spark, sf_dir, forest_trees)
+    preds, _, _, _, feats, _ = train_and_score(spark, sf_dir, forest_trees)
     queue = batch.rule_queue(spark, sf_dir, feats)
     fq = S.final_queue(queue, preds, feats)
     return fq.withColumn("final_reason_codes", F.array_join("final_reason_codes", "|"))
@@ -94,8 +98,8 @@ def final_queue(spark, sf_dir):
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """Top 25 |coef| or impurity importances of the chosen model."""
-    _, _, best, model, feats = train_and_score(spark, sf_dir)
-    names = E.feature_names(model, feats, NUM, CAT)
+    _, _, best, model, feats, enc = train_and_score(spark, sf_dir)
+    names = E.feature_names(enc, feats, NUM, CAT)
     top = E.importance(model, names)
     return spark.createDataFrame([(best, n, float(v)) for n, v in top], "model string, feature string, importance double")
 
