@@ -7,6 +7,8 @@ No Python runs per row.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -284,7 +286,7 @@ def lookalike(win: DataFrame, sibling: DataFrame, client_trend: DataFrame, min_p
     lab = (F.when(_c("imp_prev") < min_prev, "noise")
            .when((loss > 0) & (F.coalesce(_c("sibling_gain"), F.lit(0)) >= loss), "consolidation")
            .when((page_ratio < 0.8) & (_c("client_ratio") < 0.8), "seasonality")
-           .when((page_ratio >= 0.8) & (_c("clk_last") < F.lit(0.8) * _c("clk_prev")), "click_loss")
+           .when((page_ratio >= 0.8) & (_c("clk_last") < F.lit(Decimal("0.8")) * _c("clk_prev")), "click_loss")
            .when(page_ratio < 0.8, "real_decline")
            .otherwise("no_decline"))
     return x.withColumn("decline_type", lab)

@@ -505,3 +505,32 @@ def stream_daily_rollup(spark, sf_dir):
             "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
             "ts", ["user_id"], {"value_sum": "value"})
     return r.select("report_date", "user_id", "events", F.round("value_sum", 9).alias("value_sum"))
+
+
+# ---------------------------------------------------------------- Q17
+@register("decline_lookalike", fx.with_sql("fx_daily", "fx_content") + """
+, b AS (SELECT MAX(report_date) AS end_d FROM fx_daily),
+tw AS (SELECT client_id, content_id,
+    CAST(SUM(CASE WHEN report_date > b.end_d - 365 THEN impressions ELSE 0 END) AS BIGINT) AS imp_last,
+    CAST(SUM(CASE WHEN report_date <= b.end_d - 365 THEN impressions ELSE 0 END) AS BIGINT) AS imp_prev,
+    CAST(SUM(CASE WHEN report_date > b.end_d - 365 THEN clicks ELSE 0 END) AS BIGINT) AS clk_last,
+    CAST(SUM(CASE WHEN report_date <= b.end_d - 365 THEN clicks ELSE 0 END) AS BIGINT) AS clk_prev
+  FROM fx_daily, b WHERE report_date > b.end_d - 730 GROUP BY 1, 2),
+w AS (SELECT tw.*, c.keyword_group FROM tw JOIN fx_content c ON tw.content_id = c.content_id),
+s AS (SELECT *, SUM(imp_last - imp_prev) OVER (PARTITION BY client_id, keyword_group) - (imp_last - imp_prev) AS sibling_gain FROM w),
+ct AS (SELECT client_id, CAST(SUM(imp_last) AS DOUBLE) / NULLIF(CAST(SUM(imp_prev) AS DOUBLE), 0) AS client_ratio FROM tw GROUP BY 1)
+SELECT content_id, CASE WHEN imp_prev < 100 THEN 'noise'
+  WHEN imp_prev - imp_last > 0 AND COALESCE(sibling_gain, 0) >= imp_prev - imp_last THEN 'consolidation'
+  WHEN CAST(imp_last AS DOUBLE) / NULLIF(CAST(imp_prev AS DOUBLE), 0) < 0.8 AND client_ratio < 0.8 THEN 'seasonality'
+  WHEN CAST(imp_last AS DOUBLE) / NULLIF(CAST(imp_prev AS DOUBLE), 0) >= 0.8 AND clk_last < 0.8 * clk_prev THEN 'click_loss'
+  WHEN CAST(imp_last AS DOUBLE) / NULLIF(CAST(imp_prev AS DOUBLE), 0) < 0.8 THEN 'real_decline'
+  ELSE 'no_decline' END AS decline_type
+FROM s JOIN ct USING (client_id)""")
+def decline_lookalike(spark, sf_dir):
+    """Q17 (rule ours): noise / consolidation / seasonality / click_loss / real_decline per page."""
+    d = fx.fx_daily(spark, sf_dir)
+    tw = W.two_window(d, ["client_id", "content_id"], window=730, split=365, avgs={}, min_prev=None)
+    w = tw.join(fx.fx_content(spark, sf_dir).select("content_id", "keyword_group"), "content_id")
+    sib = J.sibling_shift(w)
+    ct = tw.groupBy("client_id").agg(X.ratio(F.sum("imp_last"), F.sum("imp_prev")).alias("client_ratio"))
+    return S.lookalike(tw, sib, ct).select("content_id", "decline_type")

@@ -272,3 +272,38 @@ def queue_preview(spark, sf_dir):
     fq = blend_frame(spark, sf_dir).filter(F.col("final_rank") <= 10)
     return fq.select("final_rank", "content_id", F.array_join("final_reason_codes", ", ").alias("reasons"),
                      "suggested_action", short_action("suggested_action").alias("action_label"))
+
+
+@register("queue_summary", BLEND_SQL + """
+, t AS (SELECT COALESCE(AVG(CASE WHEN final_rank <= 50 THEN CAST(is_declining_label AS DOUBLE) END), 0.0) AS rate_top_50 FROM fb_4)
+SELECT COUNT(*) AS rows, CAST(SUM(is_declining_label) AS BIGINT) AS positive_rows,
+  AVG(CAST(is_declining_label AS DOUBLE)) AS positive_rate, round(MAX(final_refresh_score), 9) AS top_score,
+  round(quantile_cont(final_refresh_score, 0.5), 9) AS median_score, MAX(t.rate_top_50) AS rate_top_50
+FROM fb_4, t""")
+def queue_summary(spark, sf_dir):
+    """A10: rows, positives, rate, max and median score, top-50 positive rate of the queue."""
+    from panelrank.operators.aggregates import summary
+    fq = blend_frame(spark, sf_dir)
+    s = summary(fq, LABEL, "final_refresh_score", 50, "content_id")
+    return s.select("rows", "positive_rows", "positive_rate", F.round("top_score", 9).alias("top_score"),
+                    F.round("median_score", 9).alias("median_score"), "rate_top_50")
+
+
+@register("calibration", BLEND_SQL + """
+SELECT CAST(least(floor(best_model_probability * 10), 9) AS INTEGER) AS bin, COUNT(*) AS n,
+  round(AVG(best_model_probability), 9) AS mean_score, AVG(CAST(is_declining_label AS DOUBLE)) AS positive_rate
+FROM fb_4 GROUP BY 1""")
+def calibration(spark, sf_dir):
+    """Calibration bins of the blended probability against the label."""
+    c = M.calibration(blend_frame(spark, sf_dir), LABEL, "best_model_probability")
+    return c.select("bin", "n", F.round("mean_score", 9).alias("mean_score"), "positive_rate")
+
+
+@register("bootstrap_diff")
+def bootstrap_diff(spark, sf_dir):
+    """Bootstrap interval (Poisson weights, 200 replicates) of an accuracy difference:
+    blended probability vs the normalized rule score, cut 0.5."""
+    fq = blend_frame(spark, sf_dir)
+    from panelrank.operators.clean import minmax
+    fq = minmax(fq, "baseline_refresh_score", "_rule_p")
+    return M.bootstrap_diff(fq, LABEL, "best_model_probability", "_rule_p", "content_id", reps=200)
