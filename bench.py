@@ -38,6 +38,11 @@ def main():
     from panelrank.session import get_spark
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus))
     qs = registry.queries()
+    # warm-up (JVM JIT, Python workers) on the smallest fixture, not timed
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm):
+        for name in ("decline_table", "baseline_queue"):
+            qs[name](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
     for name in (only or HEADLINE):
         runs = []

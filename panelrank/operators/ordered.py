@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
+MIN_ROWS_PER_BUCKET = 1000
 BROADCAST_ROWS = 2_000_000  # distinct-value tables up to this size are broadcast
 
 
@@ -95,7 +96,11 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     # the input feeds up to four jobs (count, sample, bucket totals, result)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    m = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
+    # at least the shuffle parallelism (once buckets keep >= MIN_ROWS rows), so the window
+    # is always hash-partitioned on the bucket and no plan has a single-partition window
+    par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    lo = max(1, min(par, n // MIN_ROWS_PER_BUCKET))
+    m = max(lo, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     cuts = []
     if m > 1:
         frac = min(1.0, 40.0 * m / n)

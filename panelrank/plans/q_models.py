@@ -27,6 +27,13 @@ LABEL = "is_declining_label"
 NUM, CAT = K.MODEL_NUMERIC_FEATURES, K.MODEL_CATEGORICAL_FEATURES
 
 
+def _concurrent(fn, items):
+    """Run independent Spark jobs from a small thread pool; results in input order."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     """Split, holdout metrics (rule and three models), choice, refit on all rows, scores.
 
@@ -47,19 +54,27 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     rule = test.select("content_id", LABEL).join(queue.select("content_id", "baseline_refresh_score"), "content_id",
                                                  "left").na.fill(0.0, ["baseline_refresh_score"])
     rows = [M.metric_row(rule, LABEL, "baseline_refresh_score", "content_id", "baseline")]
-    for name, stages in E.build_models(n_train, LABEL, forest_trees).items():
+
+    def holdout(item):
+        name, stages = item
         m = E.fit_on_matrix(train, stages, LABEL)
-        rows.append(M.metric_row(E.score_matrix(m, test, "_p"), LABEL, "_p", "content_id", name))
+        r = M.metric_row(E.score_matrix(m, test, "_p"), LABEL, "_p", "content_id", name)
+        r = r.persist(StorageLevel.MEMORY_AND_DISK)
+        r.count()  # evaluate inside the worker thread
+        return r
+
+    # the three fits are independent Spark jobs: submit them concurrently
+    rows += _concurrent(holdout, list(E.build_models(n_train, LABEL, forest_trees).items()))
     metrics = reduce(DataFrame.unionByName, rows).withColumn("split_strategy", F.lit(strategy))
     metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
     best = M.best_model(metrics.filter(F.col("model") != "baseline")).first()["model"]
     if not refit:
         return None, metrics, best, None, feats, enc
     n_all = mat.count()
+    items = list(E.build_models(n_all, LABEL, forest_trees).items())
+    fitted = dict(zip([n for n, _ in items], _concurrent(lambda it: E.fit_on_matrix(mat, it[1], LABEL), items)))
     preds = mat
-    fitted = {}
-    for name, stages in E.build_models(n_all, LABEL, forest_trees).items():
-        fitted[name] = E.fit_on_matrix(mat, stages, LABEL)
+    for name, _ in items:
         preds = E.add_score(fitted[name], preds, f"prob_{name}")
     preds = preds.select("content_id", "client_id", F.col(LABEL).cast("int").alias(LABEL), "split",
                          *[f"prob_{n}" for n in E.MODEL_NAMES],
