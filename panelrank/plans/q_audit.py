@@ -169,7 +169,7 @@ gr AS (SELECT g, row_number() OVER (ORDER BY md5(g || '|42'), g) - 1 AS pos, COU
 sp AS (SELECT f.*, CASE WHEN gr.pos < greatest(1, CAST(round(gr.n * 0.2) AS BIGINT)) THEN 'test' ELSE 'train' END AS split
        FROM fx_features f JOIN gr ON COALESCE(CAST(f.client_id AS VARCHAR), 'unknown') = gr.g),
 d AS (SELECT {", ".join(DUP_COLS)}, COUNT(DISTINCT split) AS sides, COUNT(*) AS rows FROM sp GROUP BY ALL)
-SELECT COUNT(*) AS duplicate_groups, COALESCE(SUM(rows), 0) AS rows FROM d WHERE sides > 1""")
+SELECT COUNT(*) AS duplicate_groups, CAST(COALESCE(SUM(rows), 0) AS BIGINT) AS rows FROM d WHERE sides > 1""")
 def cross_side_duplicates(spark, sf_dir):
     """Identical feature profiles present on both sides of the client split."""
     f = batch.features(spark, sf_dir)

@@ -335,7 +335,7 @@ tw AS (SELECT client_id, content_id,
   FROM fx_daily, b WHERE report_date > b.end_d - 730 GROUP BY 1, 2),
 w AS (SELECT tw.*, c.keyword_group FROM tw JOIN fx_content c ON tw.content_id = c.content_id)
 SELECT client_id, content_id, keyword_group, imp_last, imp_prev,
-  SUM(imp_last - imp_prev) OVER (PARTITION BY client_id, keyword_group) - (imp_last - imp_prev) AS sibling_gain,
+  CAST(SUM(imp_last - imp_prev) OVER (PARTITION BY client_id, keyword_group) - (imp_last - imp_prev) AS BIGINT) AS sibling_gain,
   COUNT(*) OVER (PARTITION BY client_id, keyword_group) - 1 AS siblings FROM w""")
 def sibling_shift(spark, sf_dir):
     """J07 (rule ours): what the other pages of the same (client, keyword group) gained."""

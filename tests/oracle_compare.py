@@ -26,6 +26,11 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -62,7 +67,10 @@ def compare(spark, con, name: str, builder, sql: str, sf_dir: str) -> dict:
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = [tuple(r) for r in res.fetchall()]
-    out = {"name": name, "spark_rows": len(srows), "duck_rows": len(drows),
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    type_diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
+    out = {"name": name, "spark_rows": len(srows), "duck_rows": len(drows), "type_diff": type_diff,
            "cols_match": sorted(scols) == sorted(dcols), "spark_sec": round(t1 - t0, 2)}
     if not out["cols_match"]:
         out["cols"] = (sorted(scols), sorted(dcols))
@@ -106,7 +114,7 @@ def main(argv):
         ok = r["hash_match"] and r["spark_rows"] == r["duck_rows"]
         bad += not ok
         print(f"{name:38s} {'OK ' if ok else 'BAD'} rows {r['spark_rows']}/{r['duck_rows']} "
-              f"{r['spark_sec']}s" + ("" if ok else f" {r}"))
+              f"{r['spark_sec']}s" + ("" if ok else f" {r}") + (f" TYPES {r['type_diff']}" if r["type_diff"] else ""))
     print("mismatches:", bad)
     return bad
 

@@ -16,6 +16,7 @@ def test_oracle(spark, duck001, name):
     assert r["cols_match"], r
     assert r["spark_rows"] == r["duck_rows"], r
     assert r["hash_match"], r
+    assert not r["type_diff"], r
 
 
 def test_every_query_is_registered_once():
