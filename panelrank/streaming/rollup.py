@@ -23,11 +23,18 @@ from panelrank.session import ensure_checkpoint_dir
 def rollup_stream(stream: DataFrame, ts: str, keys: list[str], measures: dict[str, str],
                   watermark: str = "3 days", window: str = "1 day") -> DataFrame:
     """Windowed aggregate of a streaming frame: count plus sums of ``measures`` (out -> column)."""
-    # event time must be TIMESTAMP (LTZ); wall-clock NTZ values are read in the session time zone
-    w = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    # Event time must be TIMESTAMP (an instant). Wall-clock (NTZ) values are mapped to the instant whose
+    # UTC rendering is that wall clock, so the UTC-aligned day windows are the wall-clock dates whatever
+    # the session time zone is.
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    et = F.col(ts).cast("timestamp")
+    if dict(stream.dtypes)[ts] == "timestamp_ntz":
+        et = F.from_utc_timestamp(et, tz)
+    w = stream.withColumn(ts, et).withWatermark(ts, watermark)
     aggs = [F.count(F.lit(1)).alias("events")] + [F.sum(c).alias(o) for o, c in measures.items()]
     g = w.groupBy(F.window(ts, window).alias("_w"), *keys).agg(*aggs)
-    return g.select(F.col("_w.start").cast("date").alias("report_date"), *keys, "events", *measures.keys())
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("_w.start")) / 86400).cast("int"))
+    return g.select(day.alias("report_date"), *keys, "events", *measures.keys())
 
 
 def run_to_table(agg: DataFrame, out_dir: str, checkpoint: str) -> None:
