@@ -5,8 +5,8 @@ task. ``ordered_prefix`` instead:
 
 1. counts the rows and picks ``m`` buckets so each holds about
    ``rows_per_bucket`` rows;
-2. takes cut points from a bounded sample (at most ``40 * m`` keys reach the
-   driver) and assigns each row its bucket by comparison with those
+2. takes cut points from a bounded sample (at most 40 keys per bucket and
+   200,000 in all reach the driver) and assigns each row its bucket by comparison with those
    literals (a balanced binary-search ``CASE`` tree), so the bucket of a row
    is deterministic on recompute;
 3. numbers rows and accumulates measures *within* each bucket with a
@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 16384
 MIN_ROWS_PER_BUCKET = 1000
+SAMPLE_KEYS_MAX = 200_000
 BROADCAST_ROWS = 2_000_000  # distinct-value tables up to this size are broadcast
 
 
@@ -72,6 +73,39 @@ def _bucket_expr(order, cuts):
     return node(0, len(cuts))
 
 
+CASE_TREE_MAX_CUTS = 255  # beyond this the CASE tree outgrows generated-code limits
+
+
+def _numeric_desc_ok(df, order) -> bool:
+    num = ("int", "bigint", "double", "float", "smallint", "tinyint", "date")
+    types = dict(df.dtypes)
+    return all((not d) or types[c] in num[:-1] for c, d in order)
+
+
+def _bucket_search(order, cuts):
+    """Upper bound of the row key in a sorted literal array of cut keys (binary search,
+    O(log m) per row, one constant array instead of an O(m) expression tree).
+
+    Keys compare as structs; descending numeric fields are negated so one
+    ascending struct order holds."""
+    def key_of(vals):
+        return F.struct(*[(F.lit(-v) if d else F.lit(v)).alias(f"k{i}")
+                          for i, ((c, d), v) in enumerate(zip(order, vals))])
+    row = F.struct(*[(-F.col(c) if d else F.col(c)).alias(f"k{i}") for i, (c, d) in enumerate(order)])
+    arr = F.array(*[key_of(v) for v in cuts])
+    steps = max(1, math.ceil(math.log2(len(cuts) + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go_right = F.element_at(arr, mid + 1) <= row
+        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))) \
+            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(acc["lo"] < acc["hi"], moved).otherwise(acc)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def _norm_order(order):
     out = []
     for o in order:
@@ -103,15 +137,21 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     m = max(lo, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
     cuts = []
     if m > 1:
-        frac = min(1.0, 40.0 * m / n)
-        sample = df.select(*keys).sample(False, frac, seed).limit(40 * m).collect()
+        per = max(10, min(40, SAMPLE_KEYS_MAX // m))  # sampled keys per bucket; at most SAMPLE_KEYS_MAX reach the driver
+        frac = min(1.0, per * m / n)
+        sample = df.select(*keys).sample(False, frac, seed).limit(per * m).collect()
         pts = sorted((tuple(r) for r in sample), key=lambda t: _Key(t, [d for _, d in order]))
         step = len(pts) / m
         for i in range(1, m):
             p = pts[min(len(pts) - 1, int(i * step))]
             if not cuts or _Key(cuts[-1], [d for _, d in order]) < _Key(p, [d for _, d in order]):
                 cuts.append(p)
-    bucket = _bucket_expr(order, cuts) if cuts else F.lit(0)
+    if not cuts:
+        bucket = F.lit(0)
+    elif len(cuts) <= CASE_TREE_MAX_CUTS or not _numeric_desc_ok(df, order):
+        bucket = _bucket_expr(order, cuts)
+    else:
+        bucket = _bucket_search(order, cuts)
     b = df.withColumn("_bucket", bucket.cast("int"))
     tot = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"),
                                    *[F.sum(F.col(x)).alias(f"_s{i}") for i, x in enumerate(measures)]).collect()
@@ -126,9 +166,11 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
             run_m[i] += r[f"_s{i}"] or 0
 
     def as_map(d):
+        # bucket offsets as a literal array indexed by bucket (O(1) per row; a literal map is a linear scan)
         if not d:
             return F.lit(0)
-        return F.element_at(F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))]), F.col("_bucket"))
+        arr = [d.get(b, 0) for b in range(max(d) + 1)]
+        return F.element_at(F.array(*[F.lit(v) for v in arr]), F.col("_bucket") + 1)
 
     w = Window.partitionBy("_bucket").orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order])
     wprev = w.rowsBetween(Window.unboundedPreceding, -1)

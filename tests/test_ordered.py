@@ -21,7 +21,7 @@ def _frame(spark, n=3000, distinct=15, seed=1):
     return spark.createDataFrame(rows, "id long, score double, label int, maybe double").repartition(7), rows
 
 
-@pytest.mark.parametrize("rpb", [10 ** 9, 97, 401])
+@pytest.mark.parametrize("rpb", [10 ** 9, 97, 401, 2])
 def test_pct_rank_equals_pandas(spark, rpb):
     df, rows = _frame(spark)
     got = {r.id: r.p for r in O.pct_rank(df, "maybe", "p", rows_per_bucket=rpb).collect()}
@@ -31,7 +31,7 @@ def test_pct_rank_equals_pandas(spark, rpb):
         assert got[i] == pytest.approx(e, abs=1e-12)
 
 
-@pytest.mark.parametrize("rpb", [10 ** 9, 50, 333])
+@pytest.mark.parametrize("rpb", [10 ** 9, 50, 333, 5])
 def test_row_rank_equals_sort(spark, rpb):
     df, rows = _frame(spark)
     got = {r.id: r.rk for r in O.row_rank(df, [("score", True)], "id", "rk", rows_per_bucket=rpb).collect()}
