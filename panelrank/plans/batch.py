@@ -46,3 +46,46 @@ def rule_queue(spark, sf_dir, feats=None, **kw):
 def flagship(spark, sf_dir):
     from panelrank.plans import q_models
     return q_models.final_queue_query(spark, sf_dir)
+
+
+def run_pipeline(spark, sf_dir: str, out_dir: str, forest_trees: int = 200) -> dict:
+    """The whole job as one Spark program (the reference's five steps).
+
+    features (Parquet, S10) -> rule queue (CSV, S08/S11) -> models, holdout metrics (JSON, S09) ->
+    predictions (CSV) -> final queue (CSV) -> report tables (JSON). Returns the output paths.
+    Queues are written in rank order by a range-partitioned sort; no result passes through the driver.
+    """
+    import os
+    from pyspark.sql import functions as F
+    from panelrank.operators import score as S
+    from panelrank.plans import q_models
+    from panelrank.sources import tables as T
+    paths = {k: os.path.join(out_dir, k) for k in
+             ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report")}
+    feats = features(spark, sf_dir)
+    T.write_table(feats, paths["features"], "parquet", max_rows=None)
+    queue = rule_queue(spark, sf_dir, feats)
+    T.write_table(T.to_sink_text(queue.select(*S.BASELINE_QUEUE_COLUMNS), ["reason_codes"]),
+                  paths["baseline_queue"], "csv", order_by=["baseline_rank"])
+    preds, metrics, best, _, _, _ = q_models.train_and_score(spark, sf_dir, forest_trees)
+    T.write_metrics(metrics, paths["metrics"])
+    T.write_table(preds, paths["predictions"], "csv")
+    fq = S.final_queue(queue, preds, feats)
+    T.write_table(T.to_sink_text(fq, ["final_reason_codes"]), paths["final_queue"], "csv", order_by=["final_rank"])
+    mix = [fq.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+           .select(F.lit(t).alias("table_name"), "value", "count")
+           for t, c in (("action", "suggested_action"), ("confidence", "confidence"), ("trend", "trend_direction"))]
+    rep = mix[0].unionByName(mix[1]).unionByName(mix[2])
+    T.write_metrics(rep, paths["report"])
+    return paths
+
+
+if __name__ == "__main__":
+    import argparse
+    from panelrank.session import get_spark
+    ap = argparse.ArgumentParser(description="Build the review queues from a panel.")
+    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--master", default=None)
+    a = ap.parse_args()
+    print(run_pipeline(get_spark(a.master), a.sf_dir, a.out))

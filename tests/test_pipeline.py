@@ -64,3 +64,15 @@ def test_importance_names_align(spark):
               "is_declining_label")
     names = E.feature_names(m, f, K.MODEL_NUMERIC_FEATURES, K.MODEL_CATEGORICAL_FEATURES)
     assert len(names) == m.stages[-1].numFeatures
+
+
+def test_run_pipeline_writes_all_outputs(spark):
+    out = tempfile.mkdtemp(prefix="pr-run-", dir="/tmp")
+    paths = batch.run_pipeline(spark, SF001, out, forest_trees=10)
+    n = batch.features(spark, SF001).count()
+    fq = spark.read.option("header", True).csv(paths["final_queue"])
+    assert fq.count() == n
+    assert spark.read.json(paths["metrics"]).count() == 4
+    assert spark.read.parquet(paths["features"]).count() == n
+    first = spark.read.option("header", True).csv(paths["baseline_queue"]).orderBy(F.col("baseline_rank").cast("int")).first()
+    assert first.baseline_rank == "1"
