@@ -64,10 +64,9 @@ def run_pipeline(spark, sf_dir: str, out_dir: str, forest_trees: int = 200) -> d
              ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report")}
     feats = features(spark, sf_dir)
     T.write_table(feats, paths["features"], "parquet", max_rows=None)
-    queue = rule_queue(spark, sf_dir, feats)
+    preds, metrics, best, _, _, _, queue = q_models.train_and_score(spark, sf_dir, forest_trees)
     T.write_table(T.to_sink_text(queue.select(*S.BASELINE_QUEUE_COLUMNS), ["reason_codes"]),
                   paths["baseline_queue"], "csv", order_by=["baseline_rank"])
-    preds, metrics, best, _, _, _ = q_models.train_and_score(spark, sf_dir, forest_trees)
     T.write_metrics(metrics, paths["metrics"])
     T.write_table(preds, paths["predictions"], "csv")
     fq = S.final_queue(queue, preds, feats)

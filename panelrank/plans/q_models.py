@@ -41,7 +41,7 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     every model fits on a subset of it. Holdout metrics are on the test
     side; the published probabilities are in-sample (models refit on all
     rows), flagged ``scored_in_sample``.
-    Returns (predictions, metrics, best name, fitted best model, features, encoder).
+    Returns (predictions, metrics, best name, fitted best model, features, encoder, rule queue).
     """
     feats = batch.features(spark, sf_dir)
     split, strategy = L.client_holdout(feats, "client_id", LABEL)
@@ -49,7 +49,7 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     train = mat.filter(F.col("split") == "train")
     test = mat.filter(F.col("split") == "test")
     n_train = train.count()
-    queue = batch.rule_queue(spark, sf_dir, feats)
+    queue = batch.rule_queue(spark, sf_dir, feats).persist(StorageLevel.MEMORY_AND_DISK)
     # Rule score looked up on test ids, missing -> 0
     rule = test.select("content_id", LABEL).join(queue.select("content_id", "baseline_refresh_score"), "content_id",
                                                  "left").na.fill(0.0, ["baseline_refresh_score"])
@@ -69,7 +69,7 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
     best = M.best_model(metrics.filter(F.col("model") != "baseline")).first()["model"]
     if not refit:
-        return None, metrics, best, None, feats, enc
+        return None, metrics, best, None, feats, enc, queue
     n_all = mat.count()
     items = list(E.build_models(n_all, LABEL, forest_trees).items())
     fitted = dict(zip([n for n, _ in items], _concurrent(lambda it: E.fit_on_matrix(mat, it[1], LABEL), items)))
@@ -80,26 +80,25 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
                          *[f"prob_{n}" for n in E.MODEL_NAMES],
                          F.lit(best).alias("best_model_name"), F.col(f"prob_{best}").alias("best_model_probability"),
                          F.lit(True).alias("scored_in_sample"))
-    return preds, metrics, best, fitted[best], feats, enc
+    return preds, metrics, best, fitted[best], feats, enc, queue
 
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
     """M09 + E08: rule and three models on the same client holdout."""
-    _, metrics, _, _, _, _ = train_and_score(spark, sf_dir, refit=False)
+    _, metrics, _, _, _, _, _ = train_and_score(spark, sf_dir, refit=False)
     return metrics
 
 
 @register("predictions")
 def predictions(spark, sf_dir):
     """E07 + E09: in-sample probabilities of every model, split tag and best model."""
-    preds, _, _, _, _, _ = train_and_score(spark, sf_dir)
+    preds, _, _, _, _, _, _ = train_and_score(spark, sf_dir)
     return preds
 
 
 def final_queue_query(spark, sf_dir, forest_trees: int = 200):
-    preds, _, _, _, feats, _ = train_and_score(spark, sf_dir, forest_trees)
-    queue = batch.rule_queue(spark, sf_dir, feats)
+    preds, _, _, _, feats, _, queue = train_and_score(spark, sf_dir, forest_trees)
     fq = S.final_queue(queue, preds, feats)
     return fq.withColumn("final_reason_codes", F.array_join("final_reason_codes", "|"))
 
@@ -113,7 +112,7 @@ def final_queue(spark, sf_dir):
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """Top 25 |coef| or impurity importances of the chosen model."""
-    _, _, best, model, feats, enc = train_and_score(spark, sf_dir)
+    _, _, best, model, feats, enc, _ = train_and_score(spark, sf_dir)
     names = E.feature_names(enc, feats, NUM, CAT)
     top = E.importance(model, names)
     return spark.createDataFrame([(best, n, float(v)) for n, v in top], "model string, feature string, importance double")
@@ -322,3 +321,19 @@ def bootstrap_diff(spark, sf_dir):
     from panelrank.operators.clean import minmax
     fq = minmax(fq, "baseline_refresh_score", "_rule_p")
     return M.bootstrap_diff(fq, LABEL, "best_model_probability", "_rule_p", "content_id", reps=200)
+
+
+@register("notebook_model_report")
+def notebook_model_report(spark, sf_dir):
+    """Warehouse-notebook variant: prev-window + query-mix inputs, C23 drop blanks, stratified 25 % row
+    split (L02), forest 200 trees with MLlib's deepest trees (30), class report, AUC and majority rate (E12)."""
+    from panelrank.operators.windows import drop_blank
+    from panelrank.plans.q_windows import decline_frame
+    cols = ["imp_prev", "visible_queries", "rare_share", "anon_share", "top_query_share"]
+    data = drop_blank(decline_frame(spark, sf_dir), cols)
+    sp = L.stratified_holdout(data, "is_declining", 0.25)
+    m = E.fit(sp.filter("split = 'train'"), cols, [], E.forest("is_declining", trees=200, depth=30, leaf=1,
+                                                               balanced=False), "is_declining")
+    s = E.score(m, sp.filter("split = 'test'"), cols, [], "_p").withColumn("pred", (F.col("_p") >= 0.5).cast("int"))
+    rep = M.class_report(s, "is_declining", "pred")
+    return rep.crossJoin(M.roc_auc(s, "is_declining", "_p")).crossJoin(M.majority_rate(s, "is_declining"))
