@@ -76,10 +76,6 @@ def log1p0(c) -> Column:
     return F.log1p(col(c).cast("double"))
 
 
-def half_up(c, scale: int) -> Column:
-    return F.round(col(c), scale)
-
-
 # ---------------------------------------------------------------- coercion
 def numeric_coerce(c, dtype: str = "double") -> Column:
     """Bad text -> NULL (C01). ``try_cast`` because ANSI mode raises on cast."""

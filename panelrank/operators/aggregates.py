@@ -6,7 +6,6 @@ over distinct values, never by holding a group's values in one task.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -173,7 +172,3 @@ def rate_vs_mean(df: DataFrame, by: list[str], num: str, den: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         X.ratio(F.sum(num), F.sum(den)).alias("weighted_rate"),
         F.avg(X.ratio(num, den)).alias("mean_of_rates"))
-
-
-def ceil_int(x: float) -> int:
-    return int(math.ceil(x))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelrank import constants as K
 from panelrank.operators import clean as C
 from panelrank.plans import batch
 from panelrank.plans import sql_common as Q
