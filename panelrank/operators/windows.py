@@ -141,10 +141,22 @@ def build_snapshot(daily: DataFrame, content: DataFrame, end: _dt.date | None =
     last = d > F.lit(cut)
     prev = (d > F.lit(cut2)) & (d <= F.lit(cut))
 
+    cols = set(daily.columns)
+
     def s(c, cond=None):
+        if c not in cols:  # a measure the source does not carry stays NULL (filled by clean_snapshot)
+            return F.lit(None).cast("long")
         return F.sum(F.col(c) if cond is None else F.when(cond, F.col(c)).otherwise(0)).cast("long")
 
+    # position: the exact milli-sum over sessions when the source has it (fixtures), else the
+    # impression-weighted mean of the daily average position (how a search console aggregates it)
+    exact_pos = "pos_milli_sum" in cols
+    if not exact_pos:
+        daily = daily.withColumn("_wpos", F.col("position") * F.col("impressions")) \
+            .withColumn("_wimp", F.when(F.col("position") > 0, F.col("impressions")).otherwise(0))
     scoped = scope_filter(daily, "report_date", lo, end)
+    pos_aggs = [s("pos_milli_sum").alias("_pos_milli")] if exact_pos else \
+        [F.sum(F.when(F.col("position") > 0, F.col("_wpos"))).alias("_wpos"), F.sum("_wimp").alias("_wimp")]
     g = scoped.groupBy(key).agg(
         s("impressions").alias("impressions_90d"),
         s("clicks").alias("clicks_90d"),
@@ -153,7 +165,7 @@ def build_snapshot(daily: DataFrame, content: DataFrame, end: _dt.date | None =
         s("engaged_sessions").alias("engaged_sessions_90d"),
         s("ai_sessions").alias("ai_sessions_90d"),
         s("scroll_events").alias("scroll_events_90d"),
-        s("pos_milli_sum").alias("_pos_milli"),
+        *pos_aggs,
         F.count_if(F.col("impressions") >= 1).alias("days_with_impressions"),
         F.count_if(F.col("sessions") >= 1).alias("days_with_sessions"),
         s("impressions", last).alias("impressions_last_30d"),
@@ -163,18 +175,25 @@ def build_snapshot(daily: DataFrame, content: DataFrame, end: _dt.date | None =
         s("clicks", prev).alias("clicks_prev_30d"),
         s("sessions", prev).alias("sessions_prev_30d"),
     )
+    if exact_pos:
+        avg_pos = F.coalesce(X.round_ratio("_pos_milli", F.col("sessions_90d") * 1000, 1), F.lit(0.0))
+        pos_tier = X.position_tier_exact("_pos_milli", F.col("sessions_90d") * 1000)
+    else:
+        raw = F.try_divide(F.col("_wpos"), F.col("_wimp").cast("double"))
+        avg_pos = F.coalesce(F.round(raw, 1), F.lit(0.0))
+        pos_tier = X.position_tier(raw)
     g = g.select(
         "*",
         X.round_ratio("clicks_90d", "impressions_90d", 2, 100).alias("ctr"),
-        F.coalesce(X.round_ratio("_pos_milli", F.col("sessions_90d") * 1000, 1), F.lit(0.0)).alias("avg_position"),
+        avg_pos.alias("avg_position"),
         X.round_ratio("engaged_sessions_90d", "sessions_90d", 2, 100).alias("engagement_rate"),
         X.round_ratio("scroll_events_90d", "pageviews_90d", 2, 100).alias("scroll_rate"),
         X.round_ratio("ai_sessions_90d", "sessions_90d", 2, 100).alias("ai_traffic_pct"),
         X.trend_pct("impressions_last_30d", "impressions_prev_30d").alias("trend_pct"),
         X.trend_direction("impressions_last_30d", "impressions_prev_30d").alias("trend_direction"),
-        # tier from the exact ratio (integer comparisons), not from the 1-dp display value
-        X.position_tier_exact("_pos_milli", F.col("sessions_90d") * 1000).alias("position_tier"),
-    ).drop("_pos_milli")
+        # tier from the unrounded position, not from the 1-dp display value
+        pos_tier.alias("position_tier"),
+    ).drop("_pos_milli", "_wpos", "_wimp")
     snap = content.join(g, key, "left")
     snap = snap.withColumn("position_tier", F.coalesce(F.col("position_tier"), F.lit("no_data")))
     return snap.select(
