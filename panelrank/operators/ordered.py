@@ -103,7 +103,11 @@ def _bucket_search(order, cuts):
             .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
         return F.when(acc["lo"] < acc["hi"], moved).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+    any_null = None
+    for c, _ in order:
+        any_null = F.col(c).isNull() if any_null is None else (any_null | F.col(c).isNull())
+    return F.when(any_null, F.lit(len(cuts))).otherwise(found)  # NULL keys last, as in the window
 
 
 def _norm_order(order):
@@ -120,8 +124,8 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
                    max_buckets: int = MAX_BUCKETS, seed: int = 17, pos_col: str = "_pos"):
     """Add ``_pos`` (rows strictly before, 0-based) and ``_before_<m>`` prefix sums.
 
-    ``order`` is a list of column names or ``(name, descending)`` pairs; key
-    columns must be non-null and the key unique. Returns ``(frame, totals)``
+    ``order`` is a list of column names or ``(name, descending)`` pairs; the
+    key must be unique. NULL key values sort last in either direction. Returns ``(frame, totals)``
     where ``totals`` holds the row count ``n`` and the total of each measure.
     """
     order = _norm_order(order)
@@ -139,7 +143,7 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     if m > 1:
         per = max(10, min(40, SAMPLE_KEYS_MAX // m))  # sampled keys per bucket; at most SAMPLE_KEYS_MAX reach the driver
         frac = min(1.0, per * m / n)
-        sample = df.select(*keys).sample(False, frac, seed).limit(per * m).collect()
+        sample = df.select(*keys).dropna().sample(False, frac, seed).limit(per * m).collect()
         pts = sorted((tuple(r) for r in sample), key=lambda t: _Key(t, [d for _, d in order]))
         step = len(pts) / m
         for i in range(1, m):
@@ -172,7 +176,10 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
         arr = [d.get(b, 0) for b in range(max(d) + 1)]
         return F.element_at(F.array(*[F.lit(v) for v in arr]), F.col("_bucket") + 1)
 
-    w = Window.partitionBy("_bucket").orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order])
+    # NULL keys sort last in either direction (they fail every comparison, so they land in the
+    # last bucket; the window puts them last inside it)
+    w = Window.partitionBy("_bucket").orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last()
+                                                for c, d in order])
     wprev = w.rowsBetween(Window.unboundedPreceding, -1)
     cols = [(as_map(offs_n) + F.row_number().over(w) - 1).cast("long").alias(pos_col)]
     for i, x in enumerate(measures):

@@ -97,3 +97,14 @@ def test_precision_at_k_ties(spark):
     tie = [t for t in rows if t[1] == sk]
     exp = (sum(t[2] for t in above) + (50 - len(above)) * sum(t[2] for t in tie) / len(tie)) / 50
     assert r.expected_precision_at_k == pytest.approx(exp)
+
+
+@pytest.mark.parametrize("rpb", [10 ** 9, 40, 3, 1])
+def test_row_rank_nulls_last(spark, rpb):
+    rows = [(i, None if i % 7 == 0 else float(i % 13)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, s double").repartition(5)
+    for desc in (True, False):
+        got = {r.id: r.rk for r in O.row_rank(df, [("s", desc)], "id", "rk", rows_per_bucket=rpb).collect()}
+        key = (lambda t: (t[1] is None, -(t[1] or 0), t[0])) if desc else (lambda t: (t[1] is None, t[1] or 0, t[0]))
+        exp = sorted(rows, key=key)
+        assert [got[t[0]] for t in exp] == list(range(1, 401))
