@@ -534,3 +534,14 @@ def decline_lookalike(spark, sf_dir):
     sib = J.sibling_shift(w)
     ct = tw.groupBy("client_id").agg(X.ratio(F.sum("imp_last"), F.sum("imp_prev")).alias("client_ratio"))
     return S.lookalike(tw, sib, ct).select("content_id", "decline_type")
+
+
+@register("clients_by_start", fx.with_sql("fx_clients") + """
+SELECT client_id, start_date, row_number() OVER (ORDER BY start_date ASC NULLS LAST, client_id) AS start_order
+FROM fx_clients""")
+def clients_by_start(spark, sf_dir):
+    """Clients ordered by start date with unknown starts last (position as a column)."""
+    from panelrank.operators import ordered as O
+    c = fx.fx_clients(spark, sf_dir)
+    return O.row_rank(c, [("start_date", False)], "client_id", "start_order").select("client_id", "start_date",
+                                                                                      "start_order")
