@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of collected DataFrames are removed, so the shared folder does not grow per run
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
