@@ -1,68 +1,98 @@
 """Daily rollup as Structured Streaming.
 
-``readStream`` over Parquet files -> ``withWatermark(ts, '3 days')`` ->
-``groupBy(window(ts, '1 day'), keys)`` -> update-mode micro-batches appended
-to a Parquet table with their batch id. The final value of a key is its
-last update (``max_by`` on read), so the table equals the batch rollup once
-the input is drained, while state for windows older than the watermark is
-dropped. Late rows beyond the watermark are ignored, the streaming form of
-the export lag (S13).
+``readStream`` over Parquet files -> ``foreachBatch``: each micro-batch drops
+rows older than the watermark carried from the previous batches (max event
+time seen minus the delay, e.g. 3 days: the streaming form of the export
+lag, S13), aggregates the rest to additive per-(day, key) partials and writes
+them to its own folder ``_batch=<id>`` (overwrite, so a retried batch does not
+double count). The table is then the grouped sum of the partials, equal to
+the batch rollup over the rows that were on time.
+
+Spark's own stateful aggregation was tried first: in update and append mode
+it kept rows far behind the watermark (numRowsDroppedByWatermark = 0) and a
+late row re-opened an evicted window with a partial count, so "last update
+wins" was not exact. Explicit partials keep closed days final and the
+result exact; no state store grows with the number of keys.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
+import re
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelrank.session import ensure_checkpoint_dir
 
 
-def rollup_stream(stream: DataFrame, ts: str, keys: list[str], measures: dict[str, str],
-                  watermark: str = "3 days", window: str = "1 day") -> DataFrame:
-    """Windowed aggregate of a streaming frame: count plus sums of ``measures`` (out -> column)."""
-    # Event time must be TIMESTAMP (an instant). Wall-clock (NTZ) values are mapped to the instant whose
-    # UTC rendering is that wall clock, so the UTC-aligned day windows are the wall-clock dates whatever
-    # the session time zone is.
-    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
-    et = F.col(ts).cast("timestamp")
-    if dict(stream.dtypes)[ts] == "timestamp_ntz":
-        et = F.from_utc_timestamp(et, tz)
-    w = stream.withColumn(ts, et).withWatermark(ts, watermark)
+def _delay(watermark: str) -> _dt.timedelta:
+    n, unit = re.fullmatch(r"\s*(\d+)\s*(day|days|hour|hours|minute|minutes)\s*", watermark).groups()
+    return {"day": _dt.timedelta(days=1), "hour": _dt.timedelta(hours=1),
+            "minute": _dt.timedelta(minutes=1)}[unit.rstrip("s")] * int(n)
+
+
+def partials(batch: DataFrame, ts: str, keys: list[str], measures: dict[str, str]) -> DataFrame:
+    """Per (wall-clock day, keys): event count and sums of ``measures`` (out -> column)."""
     aggs = [F.count(F.lit(1)).alias("events")] + [F.sum(c).alias(o) for o, c in measures.items()]
-    g = w.groupBy(F.window(ts, window).alias("_w"), *keys).agg(*aggs)
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("_w.start")) / 86400).cast("int"))
-    return g.select(day.alias("report_date"), *keys, "events", *measures.keys())
+    return batch.groupBy(F.col(ts).cast("date").alias("report_date"), *keys).agg(*aggs)
 
 
-def run_to_table(agg: DataFrame, out_dir: str, checkpoint: str) -> None:
-    """Drain the source (availableNow) in update mode into an append-only Parquet table."""
+class WatermarkSink:
+    """``foreachBatch`` sink: watermark filter, partial aggregate, idempotent write per batch."""
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+    def __init__(self, spark: SparkSession, out_dir: str, ts: str, keys: list[str], measures: dict[str, str],
+                 watermark: str):
+        self.out_dir, self.ts, self.keys, self.measures = out_dir, ts, keys, measures
+        self.delay = _delay(watermark)
+        self.marks = os.path.join(out_dir, "_watermark")  # hidden from the table read (leading '_')
+        self.max_seen: _dt.datetime | None = None   # max event time of the previous batches
+        self.late_rows = 0
+        try:  # restart: recover the watermark from the batches already written (any file system)
+            self.max_seen = spark.read.parquet(self.marks).agg(F.max("max_ts")).first()[0]
+        except Exception:  # nothing written yet
+            self.max_seen = None
 
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(sink).trigger(availableNow=True).start())
-    q.awaitTermination()
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        ts_type = dict(b.dtypes)[self.ts]
+        wm = None if self.max_seen is None else \
+            F.lit((self.max_seen - self.delay).isoformat(sep=" ")).cast(ts_type)
+        on_time = b if wm is None else b.filter(F.col(self.ts) >= wm)
+        late = F.count_if(F.col(self.ts) < wm) if wm is not None else F.lit(0)
+        stats = b.agg(F.max(self.ts).alias("max_ts"), late.alias("late"))
+        partials(on_time, self.ts, self.keys, self.measures).write.mode("overwrite") \
+            .parquet(os.path.join(self.out_dir, f"_batch={batch_id}"))
+        stats.write.mode("overwrite").parquet(os.path.join(self.marks, f"batch={batch_id}"))
+        r = b.sparkSession.read.parquet(os.path.join(self.marks, f"batch={batch_id}")).first()
+        if r["max_ts"] is not None:
+            self.max_seen = r["max_ts"] if self.max_seen is None else max(self.max_seen, r["max_ts"])
+        self.late_rows += int(r["late"] or 0)
+        b.unpersist()
 
 
 def final_values(spark: SparkSession, out_dir: str, keys: list[str], cols: list[str]) -> DataFrame:
-    """Last update per key (``max_by`` over batch id): a grouped read, no driver collect."""
+    """Grouped sum of the per-batch partials (additive measures), no driver collect."""
     t = spark.read.parquet(out_dir)
-    k = ["report_date", *keys]
-    last = F.max_by(F.struct(*cols), F.col("_batch")).alias("_v")
-    return t.groupBy(*k).agg(last).select(*k, *[F.col(f"_v.{c}").alias(c) for c in cols])
+    return t.groupBy("report_date", *keys).agg(*[F.sum(c).alias(c) for c in cols])
 
 
 def stream_daily_rollup(spark: SparkSession, source_dir: str, file_glob: str, schema: str, ts: str,
                         keys: list[str], measures: dict[str, str], watermark: str = "3 days",
-                        max_files: int = 1) -> DataFrame:
-    """End to end: file stream -> windowed rollup -> table -> final values."""
+                        max_files: int = 1, recursive: bool = False) -> DataFrame:
+    """End to end: file stream (files in arrival order, ``max_files`` per micro-batch) drained with
+    ``availableNow`` -> per-batch partials -> final table."""
     base = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"stream-{uuid.uuid4().hex}")
-    src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-           .option("maxFilesPerTrigger", max_files).parquet(source_dir))
-    agg = rollup_stream(src, ts, keys, measures, watermark)
-    run_to_table(agg, os.path.join(base, "table"), os.path.join(base, "checkpoint"))
-    return final_values(spark, os.path.join(base, "table"), keys, ["events", *measures.keys()])
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", max_files)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    src = reader.parquet(source_dir)
+    out = os.path.join(base, "table")
+    sink = WatermarkSink(spark, out, ts, keys, measures, watermark)
+    q = (src.writeStream.option("checkpointLocation", os.path.join(base, "checkpoint"))
+         .foreachBatch(sink).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return final_values(spark, out, keys, ["events", *measures.keys()])
