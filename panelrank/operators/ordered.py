@@ -231,3 +231,30 @@ def sort_nulls_last(df: DataFrame, order) -> DataFrame:
     """Sort with NULLs last in either direction."""
     return df.orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last()
                         for c, d in _norm_order(order)])
+
+
+def pct_ranks(df: DataFrame, outs: dict[str, str], **kw) -> DataFrame:
+    """Several percentile ranks (W01) in one pass: ``outs`` maps output name -> input column.
+
+    The inputs are unpivoted to (column, value), aggregated to distinct
+    pairs once, ranked by one grouped ordered prefix, and each column's
+    per-value table is joined back (broadcast under the checked bound).
+    Same values as calling ``pct_rank`` per column.
+    """
+    from pyspark import StorageLevel
+    names = list(outs)
+    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.coalesce(F.col(outs[o]).cast("double"), F.lit(0.0)).alias("_v"))
+                      for i, o in enumerate(names)])
+    vals = df.select(F.explode(pairs).alias("_p")).select("_p._c", "_p._v") \
+        .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    pre, tot = ordered_prefix(vals, ["_c", "_v"], ["_cnt"], **kw)
+    starts = pre.groupBy("_c").agg(F.min("_before__cnt").alias("_g0"), F.sum("_cnt").alias("_n"))
+    ranks = pre.join(F.broadcast(starts), "_c").select(
+        "_c", "_v", ((F.col("_before__cnt") - F.col("_g0") + (F.col("_cnt") + 1) / 2.0) / F.col("_n").cast("double"))
+        .alias("_pct")).persist(StorageLevel.MEMORY_AND_DISK)
+    out = df
+    for i, o in enumerate(names):
+        r = ranks.filter(F.col("_c") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_pct").alias(o))
+        out = _join_small(out.withColumn(f"_v{i}", F.coalesce(F.col(outs[o]).cast("double"), F.lit(0.0))), r,
+                          f"_v{i}", tot["n"]).drop(f"_v{i}")
+    return out

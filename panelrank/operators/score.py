@@ -54,9 +54,10 @@ def low_engagement_visible():
 # ---------------------------------------------------------------- Q01-Q05
 def baseline_components(df: DataFrame, **kw) -> DataFrame:
     """Four components (Q01): visibility, freshness risk, position opportunity, depth gap."""
-    x = O.pct_rank(df.withColumn("_logimp", X.log1p0("impressions_90d")), "_logimp", "visibility_score", **kw)
-    x = O.pct_rank(x, "days_since_last_update", "freshness_risk_score", **kw)
-    x = O.pct_rank(x, "word_count", "_word_pct", **kw)
+    # three percentile ranks from one grouped pass over distinct (column, value) pairs
+    x = O.pct_ranks(df.withColumn("_logimp", X.log1p0("impressions_90d")),
+                    {"visibility_score": "_logimp", "freshness_risk_score": "days_since_last_update",
+                     "_word_pct": "word_count"}, **kw)
     x = minmax(x.withColumn("_pos_clip", X.clip("avg_position", *K.POSITION_CLIP)), "_pos_clip", "_pos_norm")
     vis = _c("visibility_score")
     x = x.withColumn("position_opportunity_score",

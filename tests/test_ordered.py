@@ -108,3 +108,10 @@ def test_row_rank_nulls_last(spark, rpb):
         key = (lambda t: (t[1] is None, -(t[1] or 0), t[0])) if desc else (lambda t: (t[1] is None, t[1] or 0, t[0]))
         exp = sorted(rows, key=key)
         assert [got[t[0]] for t in exp] == list(range(1, 401))
+
+
+def test_pct_ranks_equals_single_column_ranks(spark):
+    df, _ = _frame(spark)
+    many = O.pct_ranks(df, {"p1": "score", "p2": "maybe"}, rows_per_bucket=7).select("id", "p1", "p2")
+    one = O.pct_rank(O.pct_rank(df, "score", "p1"), "maybe", "p2").select("id", "p1", "p2")
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, one.collect()))
