@@ -112,7 +112,8 @@ def window_overlap(fields: DataFrame) -> DataFrame:
     lab = fields.filter(F.col("role") == "label").select(F.col("field").alias("label_field"),
                                                          F.col("win_start").alias("label_start"),
                                                          F.col("win_end").alias("label_end"))
-    j = f.crossJoin(F.broadcast(lab))
+    from panelrank.operators.ordered import bounded_broadcast
+    j = f.crossJoin(bounded_broadcast(lab))
     overlap = (F.col("win_start") <= F.col("label_end")) & (F.col("label_start") <= F.col("win_end"))
     days = F.when(overlap, F.datediff(F.least("win_end", "label_end"), F.greatest("win_start", "label_start")) + 1) \
         .otherwise(0)

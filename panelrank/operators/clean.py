@@ -5,8 +5,6 @@ One ``select`` per step; every rule is a native expression.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,10 +108,11 @@ def after_start(fact: DataFrame, dim: DataFrame, key: str = "client_id", start:
                 date_col: str = "report_date") -> DataFrame:
     """Keep days on/after the client's start (F05); unknown start keeps nothing.
 
-    The client dimension is one row per client (a bounded, small table), so
-    it is broadcast; the range test is a filter after the equi join.
+    The client dimension is one row per client; it is broadcast after a
+    count proves it small. The range test is a filter after the equi join.
     """
-    d = F.broadcast(dim.select(key, start))
+    from panelrank.operators.ordered import bounded_broadcast
+    d = bounded_broadcast(dim.select(key, start))
     return fact.join(d, key, "inner").filter(F.col(date_col) >= F.col(start)).drop(start)
 
 
@@ -130,7 +129,3 @@ def in_set(df: DataFrame, ids: DataFrame, key: str, anti: bool = False) -> DataF
     """Membership filter as a left semi / anti join."""
     return df.join(ids.select(key).distinct(), key, "left_anti" if anti else "left_semi")
 
-
-def freshness_lag(df: DataFrame, date_col: str, export_date: _dt.date, lag: int = K.EXPORT_LAG_DAYS) -> DataFrame:
-    from panelrank.sources.tables import freshness_cut
-    return freshness_cut(df, date_col, export_date, lag)

@@ -28,9 +28,10 @@ def with_bounds(df: DataFrame, date_col: str, end: _dt.date, window: int) -> Dat
 def star(fact: DataFrame, content: DataFrame, clients: DataFrame, content_key: str = "content_id",
          client_key: str = "client_id") -> DataFrame:
     """Star joins (J05): fact -> content (shuffle join, content grows with data) and
-    fact -> clients (broadcast: one row per client, a small bounded list)."""
+    fact -> clients (broadcast once a count proves the client list small)."""
+    from panelrank.operators.ordered import bounded_broadcast
     c = content.drop(client_key) if client_key in content.columns else content
-    return fact.join(c, content_key, "left").join(F.broadcast(clients), client_key, "left")
+    return fact.join(c, content_key, "left").join(bounded_broadcast(clients), client_key, "left")
 
 
 def join_on_url(search: DataFrame, analytics: DataFrame, url: str = "url") -> DataFrame:

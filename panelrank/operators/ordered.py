@@ -192,6 +192,11 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     return out, totals
 
 
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` only when a count proves it small; otherwise the plain frame (shuffle join)."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def _join_small(big: DataFrame, small: DataFrame, on, small_rows: int) -> DataFrame:
     """Join a per-value table back; broadcast only under a checked row bound."""
     if small_rows <= BROADCAST_ROWS:

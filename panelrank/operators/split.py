@@ -72,7 +72,7 @@ def stratified_holdout(df: DataFrame, label: str, frac: float = K.ROW_HOLDOUT_FR
     x = df.withColumn("_lab", F.col(label).cast("long")).withColumn("_h", h)
     r, _ = O.ordered_prefix(x, ["_lab", "_h", id_col], [])
     starts = r.groupBy("_lab").agg(F.min("_pos").alias("_p0"), F.count(F.lit(1)).alias("_nc"))
-    r = r.join(F.broadcast(starts), "_lab")  # one row per class
+    r = r.join(O.bounded_broadcast(starts), "_lab")  # one row per class
     k = F.round(F.col("_nc") * F.lit(frac))
     r = r.withColumn("split", F.when(F.col("_pos") - F.col("_p0") < k, "test").otherwise("train"))
     return r.drop("_lab", "_h", "_pos", "_p0", "_nc")
