@@ -17,15 +17,20 @@ from panelrank.operators import ordered as O
 
 # ---------------------------------------------------------------- quantiles
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float], prefix: str = "q",
-                      **kw) -> DataFrame:
+                      approx: int | None = None, **kw) -> DataFrame:
     """Exact quantiles with linear interpolation per group (pandas / ``percentile``).
 
     NULL values are skipped. Per group: n, then for each q the values at
     positions floor(h) and ceil(h), h = (n - 1) q, from a prefix count over
-    distinct (group, value) pairs.
+    distinct (group, value) pairs. ``approx=<accuracy>`` opts into
+    ``percentile_approx`` (a bounded sketch per group, one pass, not exact).
     """
     by = list(by)
     v = F.col(col).cast("double")
+    if approx:
+        a = F.percentile_approx(v, [float(q) for q in qs], approx).alias("_qa")
+        g = df.groupBy(*by).agg(a) if by else df.agg(a)
+        return g.select(*by, *[F.col("_qa")[i].alias(f"{prefix}{i}") for i in range(len(qs))])
     vals = df.filter(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
     if by:
         # ordered prefix over (group..., value); group starts subtracted below
@@ -102,8 +107,16 @@ def span(df: DataFrame, date_col: str = "report_date", by: list[str] | None = No
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def distinct_and_orphans(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Distinct keys in the fact, in the dimension, and orphans on each side."""
+def distinct_and_orphans(df: DataFrame, dim: DataFrame, key: str, approx: bool = False) -> DataFrame:
+    """Distinct keys in the fact, in the dimension, and orphans on each side.
+
+    ``approx=True`` opts into HyperLogLog counts (``approx_count_distinct``, one
+    pass per side, no shuffle of keys) and leaves the orphan counts out.
+    """
+    if approx:
+        a = df.agg(F.approx_count_distinct(key).alias("fact_keys"))
+        b = dim.agg(F.approx_count_distinct(key).alias("dim_keys"))
+        return a.crossJoin(b)
     f = df.select(key).distinct().withColumn("_in_fact", F.lit(1))
     d = dim.select(key).distinct().withColumn("_in_dim", F.lit(1))
     j = f.join(d, key, "full")

@@ -115,3 +115,13 @@ def test_pct_ranks_equals_single_column_ranks(spark):
     many = O.pct_ranks(df, {"p1": "score", "p2": "maybe"}, rows_per_bucket=7).select("id", "p1", "p2")
     one = O.pct_rank(O.pct_rank(df, "score", "p1"), "maybe", "p2").select("id", "p1", "p2")
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_approx_options_are_close(spark):
+    df, rows = _frame(spark)
+    exact = A.quantiles(df, "maybe", [0.5, 0.8]).first()
+    appr = A.quantiles(df, "maybe", [0.5, 0.8], approx=10000).first()
+    assert abs(appr.q0 - exact.q0) <= 2 and abs(appr.q1 - exact.q1) <= 2
+    dims = df.select("id").filter("id % 2 = 0")
+    r = A.distinct_and_orphans(df, dims, "id", approx=True).first()
+    assert abs(r.fact_keys - len(rows)) <= 0.05 * len(rows)
