@@ -107,15 +107,16 @@ def span(df: DataFrame, date_col: str = "report_date", by: list[str] | None = No
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def distinct_and_orphans(df: DataFrame, dim: DataFrame, key: str, approx: bool = False) -> DataFrame:
+def distinct_and_orphans(df: DataFrame, dim: DataFrame, key: str, approx: bool = False,
+                         rsd: float = 0.01) -> DataFrame:
     """Distinct keys in the fact, in the dimension, and orphans on each side.
 
     ``approx=True`` opts into HyperLogLog counts (``approx_count_distinct``, one
     pass per side, no shuffle of keys) and leaves the orphan counts out.
     """
     if approx:
-        a = df.agg(F.approx_count_distinct(key).alias("fact_keys"))
-        b = dim.agg(F.approx_count_distinct(key).alias("dim_keys"))
+        a = df.agg(F.approx_count_distinct(key, rsd).alias("fact_keys"))
+        b = dim.agg(F.approx_count_distinct(key, rsd).alias("dim_keys"))
         return a.crossJoin(b)
     f = df.select(key).distinct().withColumn("_in_fact", F.lit(1))
     d = dim.select(key).distinct().withColumn("_in_dim", F.lit(1))
