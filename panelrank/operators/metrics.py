@@ -95,22 +95,23 @@ def average_precision(df: DataFrame, label: str, score: str, by: list[str] | Non
     return r.select(*by, ap.alias("average_precision"))
 
 
-def precision_at_k(df: DataFrame, label: str, score: str, id_col: str, ks=K.PRECISION_KS) -> DataFrame:
-    """P@K for several K; k capped at n, empty -> 0; ties by id.
+def _top_array(df: DataFrame, label: str, score: str, id_col: str, k: int):
+    """The top ``k`` rows (TakeOrderedAndProject: each task keeps its own top k) as one sorted array of
+    (-score, id, y) structs: at most k elements, so every rank metric is one aggregate, no window."""
+    top = O.top_k(df.select(score, label, id_col), [(score, True)], k, id_col)
+    item = F.struct((-F.col(score).cast("double")).alias("s"), F.col(id_col).alias("i"), _y(label).alias("y"))
+    return top.agg(F.sort_array(F.collect_list(item)).alias("_a"))
 
-    Only the top max(K) rows are taken (TakeOrderedAndProject: each task
-    keeps its own top rows), then a window over that bounded set.
-    """
-    kmax = max(ks)
-    top = O.top_k(df.select(score, label, id_col), [(score, True)], kmax, id_col)
-    from pyspark.sql import Window
-    w = Window.orderBy(F.col(score).desc(), F.col(id_col).asc())  # over <= kmax rows only
-    r = top.select(F.row_number().over(w).alias("_r"), _y(label).alias("_y"))
-    aggs = []
+
+def precision_at_k(df: DataFrame, label: str, score: str, id_col: str, ks=K.PRECISION_KS) -> DataFrame:
+    """P@K for several K; k capped at n, empty -> 0; ties by id."""
+    a = _top_array(df, label, score, id_col, max(ks))
+    cols = []
     for k in ks:
-        aggs.append(F.coalesce(F.avg(F.when(F.col("_r") <= k, F.col("_y").cast("double"))), F.lit(0.0))
-                    .alias(f"precision_at_{k}"))
-    return r.agg(*aggs)
+        head = F.slice(F.col("_a"), 1, k)
+        hits = F.aggregate(head, F.lit(0).cast("long"), lambda acc, x: acc + x["y"])
+        cols.append(F.when(F.size(head) > 0, hits / F.size(head)).otherwise(F.lit(0.0)).alias(f"precision_at_{k}"))
+    return a.select(*cols)
 
 
 def precision_at_k_ties(df: DataFrame, label: str, score: str, k: int, id_col: str) -> DataFrame:
@@ -214,22 +215,22 @@ def majority_rate(df: DataFrame, label: str) -> DataFrame:
 
 def rank_metrics(df: DataFrame, label: str, score: str, id_col: str, k: int) -> DataFrame:
     """Recall@K, NDCG@K (binary gain, log2 discount) and AP@K over one ranked list."""
-    from pyspark.sql import Window
-    top = O.top_k(df.select(score, label, id_col), [(score, True)], k, id_col)
-    w = Window.orderBy(F.col(score).desc(), F.col(id_col).asc())  # over <= k rows only
-    r = top.select(F.row_number().over(w).alias("_i"), _y(label).alias("_y"))
-    wi = Window.orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)  # <= k rows
-    r = r.withColumn("_hits", F.sum("_y").over(wi))
+    a = _top_array(df, label, score, id_col, k)
     P = df.agg(F.sum(_y(label)).alias("_P"))
-    agg = r.agg(F.sum("_y").alias("_tp"),
-                F.sum(F.col("_y") / F.log2(F.col("_i") + 1)).alias("_dcg"),
-                F.sum(F.when(F.col("_y") == 1, F.col("_hits") / F.col("_i"))).alias("_ap")).crossJoin(P)
+    ys = F.transform(F.col("_a"), lambda x: x["y"])
+    tp = F.aggregate(ys, F.lit(0).cast("long"), lambda acc, y: acc + y)
+    dcg = F.aggregate(F.transform(ys, lambda y, i: y / F.log2(i + 2)), F.lit(0.0), lambda acc, v: acc + v)
+    # AP@K: sum over hit positions i (1-based) of hits-so-far / i
+    ap = F.aggregate(F.transform(ys, lambda y, i: F.when(y == 1, F.aggregate(F.slice(ys, 1, i + 1), F.lit(0).cast("long"),
+                                                                       lambda acc, v: acc + v) / (i + 1))
+                                 .otherwise(F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v)
+    j = a.select(tp.alias("_tp"), dcg.alias("_dcg"), ap.alias("_ap")).crossJoin(P)
     ideal = F.aggregate(F.sequence(F.lit(1), F.least(F.lit(k), F.col("_P")).cast("int")), F.lit(0.0),
                         lambda acc, i: acc + 1 / F.log2(i + 1))
-    return agg.select(F.lit(k).alias("k"),
-                      F.coalesce(X.ratio("_tp", "_P"), F.lit(0.0)).alias("recall_at_k"),
-                      F.when(F.col("_P") > 0, F.col("_dcg") / ideal).otherwise(0.0).alias("ndcg_at_k"),
-                      F.coalesce(F.col("_ap") / F.least(F.lit(k), F.col("_P")), F.lit(0.0)).alias("ap_at_k"))
+    return j.select(F.lit(k).alias("k"),
+                    F.coalesce(X.ratio("_tp", "_P"), F.lit(0.0)).alias("recall_at_k"),
+                    F.when(F.col("_P") > 0, F.col("_dcg") / ideal).otherwise(0.0).alias("ndcg_at_k"),
+                    F.coalesce(F.col("_ap") / F.least(F.lit(k), F.col("_P")), F.lit(0.0)).alias("ap_at_k"))
 
 
 def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
