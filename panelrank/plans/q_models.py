@@ -50,21 +50,26 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     test = mat.filter(F.col("split") == "test")
     n_train = train.count()
     queue = batch.rule_queue(spark, sf_dir, feats).persist(StorageLevel.MEMORY_AND_DISK)
-    # Rule score looked up on test ids, missing -> 0
-    rule = test.select("content_id", LABEL).join(queue.select("content_id", "baseline_refresh_score"), "content_id",
-                                                 "left").na.fill(0.0, ["baseline_refresh_score"])
-    rows = [M.metric_row(rule, LABEL, "baseline_refresh_score", "content_id", "baseline")]
+
+    def rule_metrics():
+        # Rule score looked up on test ids, missing -> 0
+        rule = test.select("content_id", LABEL).join(queue.select("content_id", "baseline_refresh_score"),
+                                                     "content_id", "left").na.fill(0.0, ["baseline_refresh_score"])
+        return M.metric_row(rule, LABEL, "baseline_refresh_score", "content_id", "baseline")
 
     def holdout(item):
-        name, stages = item
-        m = E.fit_on_matrix(train, stages, LABEL)
-        r = M.metric_row(E.score_matrix(m, test, "_p"), LABEL, "_p", "content_id", name)
+        if item is None:
+            r = rule_metrics()
+        else:
+            name, stages = item
+            m = E.fit_on_matrix(train, stages, LABEL)
+            r = M.metric_row(E.score_matrix(m, test, "_p"), LABEL, "_p", "content_id", name)
         r = r.persist(StorageLevel.MEMORY_AND_DISK)
         r.count()  # evaluate inside the worker thread
         return r
 
-    # the three fits are independent Spark jobs: submit them concurrently
-    rows += _concurrent(holdout, list(E.build_models(n_train, LABEL, forest_trees).items()))
+    # the rule metrics (with its ranks) and the three fits are independent Spark jobs: run them concurrently
+    rows = _concurrent(holdout, [None] + list(E.build_models(n_train, LABEL, forest_trees).items()))
     metrics = reduce(DataFrame.unionByName, rows).withColumn("split_strategy", F.lit(strategy))
     metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
     best = M.best_model(metrics.filter(F.col("model") != "baseline")).first()["model"]
@@ -76,10 +81,11 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     preds = mat
     for name, _ in items:
         preds = E.add_score(fitted[name], preds, f"prob_{name}")
+    # the scored frame feeds the blend, quantiles and ranks: persist it so no model is re-applied per job
     preds = preds.select("content_id", "client_id", F.col(LABEL).cast("int").alias(LABEL), "split",
                          *[f"prob_{n}" for n in E.MODEL_NAMES],
                          F.lit(best).alias("best_model_name"), F.col(f"prob_{best}").alias("best_model_probability"),
-                         F.lit(True).alias("scored_in_sample"))
+                         F.lit(True).alias("scored_in_sample")).persist(StorageLevel.MEMORY_AND_DISK)
     return preds, metrics, best, fitted[best], feats, enc, queue
 
 
