@@ -134,8 +134,8 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     # the input feeds up to four jobs (count, sample, bucket totals, result)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    # at least the shuffle parallelism (once buckets keep >= MIN_ROWS rows), so the window
-    # is always hash-partitioned on the bucket and no plan has a single-partition window
+    # at least the shuffle parallelism once buckets keep >= MIN_ROWS_PER_BUCKET rows; a table
+    # smaller than that (counted above) is ranked in a single task
     par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     lo = max(1, min(par, n // MIN_ROWS_PER_BUCKET))
     m = max(lo, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
@@ -146,7 +146,7 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
         sample = df.select(*keys).dropna().sample(False, frac, seed).limit(per * m).collect()
         pts = sorted((tuple(r) for r in sample), key=lambda t: _Key(t, [d for _, d in order]))
         step = len(pts) / m
-        for i in range(1, m):
+        for i in range(1, m if pts else 1):  # no non-NULL keys sampled: one bucket
             p = pts[min(len(pts) - 1, int(i * step))]
             if not cuts or _Key(cuts[-1], [d for _, d in order]) < _Key(p, [d for _, d in order]):
                 cuts.append(p)

@@ -125,3 +125,9 @@ def test_approx_options_are_close(spark):
     dims = df.select("id").filter("id % 2 = 0")
     r = A.distinct_and_orphans(df, dims, "id", approx=True).first()
     assert abs(r.fact_keys - len(rows)) <= 0.05 * len(rows)
+
+
+def test_all_null_keys(spark):
+    df = spark.createDataFrame([(i, None) for i in range(50)], "id long, s double")
+    got = sorted(r.rk for r in O.row_rank(df, [("s", True)], "id", "rk", rows_per_bucket=5).collect())
+    assert got == list(range(1, 51))
