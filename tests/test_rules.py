@@ -77,3 +77,13 @@ def test_merge_keeps_order_and_general(spark):
     df = S.baseline_reasons(df)
     got = S.merge_reasons(df).first()["final_reason_codes"]
     assert got == ["low_ctr_visible_page", "model_decline_risk", "visible_model_opportunity", "ctr_review_candidate"]
+
+
+def test_coercions(spark):
+    rows = [("1.5", "TRUE", "x"), ("", "yes", ""), ("nan", "Y", "nan"), ("abc", "0", None), ("inf", None, "NaN"),
+            ("-2", "false", " x ")]
+    df = spark.createDataFrame(rows, "n string, b string, c string")
+    got = [tuple(r) for r in df.select(X.numeric_coerce("n").alias("n"), X.bool_coerce("b").alias("b"),
+                                       X.category_normalize("c").alias("c")).collect()]
+    assert got == [(1.5, True, "x"), (None, True, "unknown"), (None, True, "unknown"), (None, False, "unknown"),
+                   (None, False, "NaN"), (-2.0, False, " x ")]
