@@ -545,3 +545,13 @@ def clients_by_start(spark, sf_dir):
     c = fx.fx_clients(spark, sf_dir)
     return O.row_rank(c, [("start_date", False)], "client_id", "start_order").select("client_id", "start_date",
                                                                                       "start_order")
+
+
+@register("tier_signal_table", Q.chain(upto="features") + """
+SELECT freshness_tier, round_even(AVG(CAST(is_declining_label AS DOUBLE)), 3) AS decline_rate, COUNT(*) AS pages
+FROM fx_features GROUP BY 1""")
+def tier_signal_table(spark, sf_dir):
+    """A05 first-look table: decline rate per freshness tier rounded half-even (bround) with counts."""
+    f = batch.features(spark, sf_dir)
+    return f.groupBy("freshness_tier").agg(F.bround(F.avg(F.col("is_declining_label").cast("double")), 3)
+                                           .alias("decline_rate"), F.count(F.lit(1)).alias("pages"))

@@ -343,3 +343,18 @@ def notebook_model_report(spark, sf_dir):
     s = E.score(m, sp.filter("split = 'test'"), cols, [], "_p").withColumn("pred", (F.col("_p") >= 0.5).cast("int"))
     rep = M.class_report(s, "is_declining", "pred")
     return rep.crossJoin(M.roc_auc(s, "is_declining", "_p")).crossJoin(M.majority_rate(s, "is_declining"))
+
+
+@register("readable_tree_text")
+def readable_tree_text(spark, sf_dir):
+    """Depth-2 and depth-4 trees printed (one row per line, feature slots named)."""
+    feats = batch.features(spark, sf_dir)
+    cols = K.SMALL_TREE_FEATURES
+    rows = []
+    for depth in (2, 4):
+        m = E.fit(feats, cols, [], E.tree(LABEL, depth=depth, leaf=1), LABEL)
+        text = m.stages[-1].toDebugString
+        for i, c in enumerate(cols):
+            text = text.replace(f"feature {i} ", f"{c} ")
+        rows += [(depth, n, line) for n, line in enumerate(text.splitlines())]
+    return spark.createDataFrame(rows, "depth int, line_no int, line string")
