@@ -55,3 +55,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="panelrank-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, to pass to ``spark-submit --conf`` (sizes, not code paths).
+
+    Shuffle partitions start at ~input / 256 MB (at least 2x the cores) and AQE
+    coalesces them down per stage; scans split files into 256 MB partitions;
+    a shuffle partition over 5x the median and 1 GB is split by AQE's skew join.
+    """
+    shuffle = max(2 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
