@@ -60,11 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large run, to pass to ``spark-submit --conf`` (sizes, not code paths).
 
-    Shuffle partitions start at ~input / 256 MB (at least 2x the cores) and AQE
-    coalesces them down per stage; scans split files into 256 MB partitions;
-    a shuffle partition over 5x the median and 1 GB is split by AQE's skew join.
+    Shuffle partitions start at ~input / 1 GB, between 2x the cores and 100,000
+    (map-output tracking grows with maps x reducers), and AQE coalesces them per
+    stage toward 256 MB; scans split files into 256 MB partitions; a shuffle
+    partition over 5x the median and 1 GB is split by AQE's skew join.
     """
-    shuffle = max(2 * total_cores, input_bytes // target_partition_bytes)
+    shuffle = min(100_000, max(2 * total_cores, input_bytes // (1 << 30)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
