@@ -87,3 +87,18 @@ def test_coercions(spark):
                                        X.category_normalize("c").alias("c")).collect()]
     assert got == [(1.5, True, "x"), (None, True, "unknown"), (None, True, "unknown"), (None, False, "unknown"),
                    (None, False, "NaN"), (-2.0, False, " x ")]
+
+
+def test_playbook_rule(spark):
+    rows = [(1, 600, 0.7, 12.0), (2, 600, 0.7, 5.0), (3, 500, 0.9, 12.0), (4, 900, 0.6, 30.0)]
+    df = spark.createDataFrame(rows, "content_id long, imp_prev long, decline_probability double, pos_prev double")
+    got = {r.content_id: r.reason for r in S.playbook(df).collect()}
+    assert got == {1: "Falling ranks", 2: "Losing CTR/Visibility"}  # prev must exceed 500, p must exceed 0.6
+
+
+def test_slipping_visible_rule(spark):
+    rows = [(1, 10.5, 500.0), (2, 10.0, 900.0), (3, 25.0, 499.0), (4, 11.0, 1200.0)]
+    df = spark.createDataFrame(rows, "content_id long, avg_position double, impressions_prev_30d double")
+    got = {r.content_id: (r.score, r.action_label, r.reason_code) for r in S.slipping_visible(df).collect()}
+    assert got == {1: (500.0, "Refresh Content", "slipping_but_visible"),
+                   4: (1200.0, "Refresh Content", "slipping_but_visible")}
