@@ -57,3 +57,9 @@ def test_content_blanks(spark):
     r = c.agg(F.count_if(F.col("content_age_days") >= 90).alias("a"), F.count_if(F.col("word_count").isNull()).alias("w"),
               F.count_if(F.col("search_volume").isNull()).alias("s"), F.count_if(F.col("main_intent").isNull()).alias("m")).first()
     assert (r.a, r.w, r.s, r.m) == (1844, 500, 331, 223)
+
+
+def test_events_two_window(spark):
+    d = q_windows.events_decline(spark, SF01)
+    r = d.agg(F.count(F.lit(1)).alias("n"), F.sum("is_declining").alias("dn")).first()
+    assert (r.n, r.dn) == (150, 25)
