@@ -124,14 +124,20 @@ def decline_table(daily: DataFrame, qfact: DataFrame, window: int, split: int, m
 
 # ---------------------------------------------------------------- snapshot
 def build_snapshot(daily: DataFrame, content: DataFrame, end: _dt.date | None = None,
-                   window: int = 90, split: int = 30, key: str = "content_id") -> DataFrame:
+                   window: int = 90, split: int = 30, key: str = "content_id",
+                   clients: DataFrame | None = None) -> DataFrame:
     """Page snapshot from the daily fact: totals, activity days, last/prev, rates, tiers.
 
     One grouped pass over ``(end - window, end]``; rates are exact
     half-up roundings of integer ratios (C13, C14), trend from integer
     comparisons (C15). ``content`` is left-joined so pages without traffic
-    stay (with NULL activity, filled by ``clean_snapshot``).
+    stay (with NULL activity, filled by ``clean_snapshot``). With ``clients``
+    (client_id, start_date) only days on/after each client's start count.
     """
+    if clients is not None:
+        # per-client history guard (F05): days before a client's start are not zero activity
+        from panelrank.operators.clean import after_start
+        daily = after_start(daily, clients)
     if end is None:
         end = max_date(daily)
     lo = end - _dt.timedelta(days=window)

@@ -63,3 +63,17 @@ def test_events_two_window(spark):
     d = q_windows.events_decline(spark, SF01)
     r = d.agg(F.count(F.lit(1)).alias("n"), F.sum("is_declining").alias("dn")).first()
     assert (r.n, r.dn) == (150, 25)
+
+
+def test_snapshot_respects_client_starts(spark):
+    from panelrank.operators import clean as C
+    from panelrank.operators import windows as W
+    d = fx.fx_daily(spark, SF01)
+    cl = fx.fx_clients(spark, SF01, d)
+    with_start = W.build_snapshot(d, fx.fx_content(spark, SF01), window=730, split=365, clients=cl)
+    manual = W.build_snapshot(C.after_start(d, cl), fx.fx_content(spark, SF01), window=730, split=365)
+    cols = ["content_id", "impressions_90d", "trend_direction", "position_tier"]
+    assert sorted(map(tuple, with_start.select(*cols).collect())) == sorted(map(tuple, manual.select(*cols).collect()))
+    # clients with unknown start contribute no activity at all
+    unknown = [r.client_id for r in cl.filter(F.col("start_date").isNull()).collect()]
+    assert with_start.filter(F.col("client_id").isin(unknown) & F.col("impressions_90d").isNotNull()).count() == 0
