@@ -43,3 +43,12 @@ def test_two_window_bounds_reach_the_scan(spark):
     end = W.max_date(d)
     exp = d.filter((F.col("report_date") > F.date_sub(F.lit(end), 60))).groupBy("client_id", "content_id").count().count()
     assert tw.count() == exp
+
+
+def test_cluster_conf_bounds():
+    from panelrank.session import cluster_conf
+    big = cluster_conf(100 * 10 ** 12, 8000)
+    small = cluster_conf(10 ** 9, 64)
+    assert int(big["spark.sql.shuffle.partitions"]) <= 100_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 128  # at least 2x the cores
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
