@@ -82,10 +82,13 @@ def final_values(spark: SparkSession, out_dir: str, keys: list[str], cols: list[
 
 def stream_daily_rollup(spark: SparkSession, source_dir: str, file_glob: str, schema: str, ts: str,
                         keys: list[str], measures: dict[str, str], watermark: str = "3 days",
-                        max_files: int = 1, recursive: bool = False) -> DataFrame:
+                        max_files: int = 1, recursive: bool = False, base_dir: str | None = None) -> DataFrame:
     """End to end: file stream (files in arrival order, ``max_files`` per micro-batch) drained with
-    ``availableNow`` -> per-batch partials -> final table."""
-    base = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"stream-{uuid.uuid4().hex}")
+    ``availableNow`` -> per-batch partials -> final table.
+
+    ``base_dir`` keeps the stream checkpoint and the table between runs: a later run reads only new
+    files and recovers the watermark from the batches already written."""
+    base = base_dir or os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"stream-{uuid.uuid4().hex}")
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", max_files)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")

@@ -41,3 +41,17 @@ def test_late_row_does_not_reopen_a_closed_day(spark):
                               recursive=True)
     got = {(str(r.report_date), r.events) for r in out.collect()}
     assert got == {("2024-01-01", 5), ("2024-01-09", 1)}
+
+
+def test_restart_reads_new_files_and_keeps_the_watermark(spark):
+    base = tempfile.mkdtemp(prefix="pr-stream-", dir="/tmp")
+    src, state = os.path.join(base, "src"), os.path.join(base, "state")
+    _write(spark, src, "a", [(1, dt.datetime(2024, 1, 10, 8, 0), 7, "view", 1.0, "{}")])
+    args = (spark, src, "*.parquet", SCHEMA, "ts", ["user_id"], {"value_sum": "value"})
+    first = {(str(r.report_date), r.events) for r in stream_daily_rollup(*args, recursive=True, base_dir=state).collect()}
+    assert first == {("2024-01-10", 1)}
+    time.sleep(1.1)
+    _write(spark, src, "b", [(2, dt.datetime(2024, 1, 1, 8, 0), 7, "view", 1.0, "{}"),    # behind the recovered watermark
+                             (3, dt.datetime(2024, 1, 10, 9, 0), 7, "view", 1.0, "{}")])
+    second = {(str(r.report_date), r.events) for r in stream_daily_rollup(*args, recursive=True, base_dir=state).collect()}
+    assert second == {("2024-01-10", 2)}
