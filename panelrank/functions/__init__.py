@@ -1,0 +1 @@
+"""Column expressions shared by the operators (JVM-side, no Python per row)."""

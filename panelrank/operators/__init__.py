@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: windows, ranks, cleaning, scores, metrics, splits, models, audits."""

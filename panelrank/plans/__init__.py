@@ -1,0 +1 @@
+"""End-to-end plans, the query registry and the DuckDB oracle text."""

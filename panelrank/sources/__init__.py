@@ -1,0 +1 @@
+"""Scans, sinks, table registry and the fixture views over the test tables."""

@@ -1,0 +1 @@
+"""Structured Streaming micro-batch rollup."""
