@@ -91,12 +91,15 @@ def grain_violations(spark, sf_dir):
 
 
 @register("missing_by_type", fx.with_sql("fx_content") + f"""
-SELECT content_type, COUNT(*) AS rows, column_name, round(missing_rate, {R9}) AS missing_rate FROM (
-  SELECT content_type, 'word_count' AS column_name, AVG(CASE WHEN word_count IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM fx_content GROUP BY 1
-  UNION ALL SELECT content_type, 'search_volume', AVG(CASE WHEN search_volume IS NULL THEN 1.0 ELSE 0.0 END) FROM fx_content GROUP BY 1
-  UNION ALL SELECT content_type, 'main_intent', AVG(CASE WHEN main_intent IS NULL THEN 1.0 ELSE 0.0 END) FROM fx_content GROUP BY 1) m
-JOIN (SELECT content_type AS ct, COUNT(*) AS rows_ FROM fx_content GROUP BY 1) n ON n.ct = m.content_type
-GROUP BY content_type, column_name, missing_rate""".replace("COUNT(*) AS rows,", "MAX(rows_) AS rows,"))
+, m AS (
+  SELECT content_type, COUNT(*) AS rows,
+         AVG(CASE WHEN word_count IS NULL THEN 1.0 ELSE 0.0 END) AS m0,
+         AVG(CASE WHEN search_volume IS NULL THEN 1.0 ELSE 0.0 END) AS m1,
+         AVG(CASE WHEN main_intent IS NULL THEN 1.0 ELSE 0.0 END) AS m2
+  FROM fx_content GROUP BY content_type)
+SELECT content_type, rows, 'word_count' AS column_name, round(m0, {R9}) AS missing_rate FROM m
+UNION ALL SELECT content_type, rows, 'search_volume', round(m1, {R9}) FROM m
+UNION ALL SELECT content_type, rows, 'main_intent', round(m2, {R9}) FROM m""")
 def missing_by_type(spark, sf_dir):
     """Missing rate per column per content type (missing by category on purpose)."""
     m = A.missing_rates(fx.fx_content(spark, sf_dir), ["word_count", "search_volume", "main_intent"], by="content_type")
