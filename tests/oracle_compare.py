@@ -98,11 +98,12 @@ def main(argv):
     spark = get_spark("local[8]")
     con = duck(sf_dir)
     qs, sqls = registry.queries(), registry.oracle_sql()
-    bad = 0
+    bad = ok = rows_only = 0
     for name in (names or list(qs)):
         if name not in sqls:
             df = qs[name](spark, sf_dir)
             n = df.count()
+            rows_only += 1
             print(f"{name:38s} rows-only {n}")
             continue
         try:
@@ -111,10 +112,12 @@ def main(argv):
             bad += 1
             print(f"{name:38s} ERROR {type(e).__name__}: {str(e)[:400]}")
             continue
-        ok = r["hash_match"] and r["spark_rows"] == r["duck_rows"]
-        bad += not ok
-        print(f"{name:38s} {'OK ' if ok else 'BAD'} rows {r['spark_rows']}/{r['duck_rows']} "
-              f"{r['spark_sec']}s" + ("" if ok else f" {r}") + (f" TYPES {r['type_diff']}" if r["type_diff"] else ""))
+        good = r["hash_match"] and r["spark_rows"] == r["duck_rows"]
+        bad += not good
+        ok += good
+        print(f"{name:38s} {'OK ' if good else 'BAD'} rows {r['spark_rows']}/{r['duck_rows']} "
+              f"{r['spark_sec']}s" + ("" if good else f" {r}") + (f" TYPES {r['type_diff']}" if r["type_diff"] else ""))
+    print(f"equal: {ok}  rows-only: {rows_only}")
     print("mismatches:", bad)
     return bad
 
