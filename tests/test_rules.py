@@ -102,3 +102,17 @@ def test_slipping_visible_rule(spark):
     got = {r.content_id: (r.score, r.action_label, r.reason_code) for r in S.slipping_visible(df).collect()}
     assert got == {1: (500.0, "Refresh Content", "slipping_but_visible"),
                    4: (1200.0, "Refresh Content", "slipping_but_visible")}
+
+
+def test_label_source_never_enters_the_rule_score(spark):
+    """T4: the label-derived code may appear in the reasons, but flipping the label source leaves the score unchanged."""
+    from pyspark.sql import functions as F
+    from conftest import SF001
+    from panelrank.plans import batch
+    f = batch.features(spark, SF001)
+    flipped = f.withColumn("trend_direction", F.when(F.col("trend_direction") == "down", "up").otherwise("down"))
+    a = {r.content_id: r.baseline_refresh_score for r in S.baseline_queue(f).collect()}
+    b = {r.content_id: r.baseline_refresh_score for r in S.baseline_queue(flipped).collect()}
+    assert a == b
+    codes = {r.content_id: r.reason_codes for r in S.baseline_queue(flipped).collect()}
+    assert any("declining_with_demand" in c for c in codes.values())
