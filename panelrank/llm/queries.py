@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from panelrank.llm.decontaminate import op1_decontaminate
 from panelrank.llm.jaccard import op5_ngram_jaccard
+from panelrank.llm.packing import op2_packing
+from panelrank.llm.secrets import op4_secrets
+from panelrank.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_packing": op2_packing,
+    "op4_secrets": op4_secrets,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
