@@ -7,12 +7,15 @@ Texts are sets of 5-word shingles (64-bit hashes); the hash order is the global
 2. Each task packs the shingles of its texts, sorted and cut by fragment, into one compressed blob per fragment;
    a fragment's reducer merges them, counts the classes of each shingle and keeps the shingles of two classes or more.
    Fragments grow in number with the corpus, so each holds about ``FRAGMENT_ROWS`` postings, copies included.
-3. A class whose shared shingles are fewer than the threshold times its set can't link and leaves. The others keep
-   their rarest shared shingles (document frequency, then hash) as prefix: two linked sets have a common prefix shingle.
-4. Star round: each class is paired with one centre per prefix shingle (the member with the largest shared part), so
-   a group of near copies costs a row per member and not per pair. Pairs are counted fragment by fragment and summed.
+3. The kept shingles go, packed, to buckets of classes. A class whose shared shingles are fewer than the threshold
+   times its set can't link and leaves. The others keep their rarest shared shingles (class count, then hash) as
+   prefix: two linked sets have a common prefix shingle.
+4. Star rounds: each class is paired with one other, the member of its prefix lists with the largest shared part, so
+   a group of near copies costs a row per member and not per pair. A pair's overlap is counted in each part of the
+   n-gram order by itself and summed.
 5. Exact rest: prefix lists that still span several components give their remaining cross-component pairs, after the
-   length bound and the shared-count bound; these are counted likewise. Pairs inside one component change nothing.
+   length bound, the shared-count bound and the bitmap bound (a bit that one side lacks is a shingle that it lacks);
+   these are counted likewise. Pairs inside one component change nothing.
 
 Counts, thresholds and candidates cover all rows. Defined results: null, empty and wordless texts have an empty set and
 link with nothing; fewer words than the shingle length make one shingle; repeated rows are one class; a null id belongs to no
@@ -33,16 +36,19 @@ from panelrank.llm.store import Store
 
 SHINGLE = 5
 NUM, DEN = 80, 100               # link: DEN * intersection >= NUM * union
-FRAGMENT_ROWS = 1_500_000        # postings a fragment's reducer holds
-SLICE = 4 << 20                  # bytes of text sorted at once
-PARTS = 8                        # ranges of the n-gram order in which a pair's overlap is counted
+FRAGMENT_ROWS = 4_000_000        # postings of a fragment, and at most of a class bucket
+SUB_BITS = 2                     # a fragment is merged in 2**SUB_BITS sub-ranges, one after another
+SLICE = 8 << 20                  # bytes of text sorted at once
+STAR_ROUNDS = 2                  # rounds with one pair per class before the exact rest
+WORDS_OF_BITS = 16               # 64-bit words of a class's bitmap of shared shingles
+PARTS = 8                        # ranges of the n-gram order in which a pair's overlap is counted (a power of two)
 
-SETS = T.StructType([T.StructField("n", T.LongType()), T.StructField("sig", T.BinaryType())])
-_SETS = pa.struct([("n", pa.int64()), ("sig", pa.binary())])
+SETS = T.StructType([T.StructField(c, T.LongType()) for c in ("n", "sig", "sig2")])
+_SETS = pa.struct([(c, pa.int64()) for c in ("n", "sig", "sig2")])
 
 
-def _sets(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Of some rows: distinct (hash, row) sorted by hash, set sizes and signatures."""
+def _sets(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of some rows: distinct (hash, row) sorted by hash, set sizes and signatures (two words each)."""
     w = Words(buf, off, SPACE_WORD)
     at, h = w.shingles(k)
     row = w.row[at]
@@ -63,98 +69,165 @@ def _sets(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
     np.add.at(sig[:, 0], row, mix(h + np.uint64(0x51ED27)))
     np.add.at(sig[:, 1], row, mix(h * np.uint64(0x2545F4914F6CDD1D) + np.uint64(7)))
     sig[:, 0] ^= n.astype(np.uint64)
-    raw = sig.tobytes()
-    return h, row, n, [raw[i:i + 16] for i in range(0, len(raw), 16)]
+    return h, row, n, sig
 
 
 def text_sets(docs: DataFrame, text_col: str = "text", into: str = "set", k: int = SHINGLE) -> DataFrame:
-    """``docs`` plus the struct ``into`` (n: set size, sig: 128-bit signature of the shingle set)."""
+    """``docs`` plus the struct ``into`` (n: set size, sig and sig2: 128-bit signature of the shingle set)."""
     at = docs.columns.index(text_col)
 
     def make():
         def fn(b):
             buf, off = text_buffer(b.column(at))
-            n, sig = [], []
-            for lo, hi in row_slices(off, SLICE):
-                _, _, c, s = _sets(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k)
-                n += c.tolist()
-                sig += s
-            return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(sig, pa.binary())], fields=list(_SETS))
+            got = [_sets(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k)[2:] for lo, hi in row_slices(off, SLICE)]
+            n = np.concatenate([g[0] for g in got] or [np.zeros(0, np.int64)])
+            sig = np.concatenate([g[1] for g in got] or [np.zeros((0, 2), np.uint64)]).view(np.int64)
+            return pa.StructArray.from_arrays([pa.array(n.astype(np.int64)), pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy())], fields=list(_SETS))
         return fn
     return append_column(docs, into, SETS, make)
 
 
-def _pack(h: np.ndarray, who: np.ndarray, sigs: list[bytes]) -> bytes:
-    used, who = np.unique(who, return_inverse=True)
-    table = b"".join(sigs[i] for i in used)
-    planes = np.ascontiguousarray(h.view(np.uint8).reshape(-1, 8).T).tobytes()
-    body = np.array([len(used), len(h)], np.int64).tobytes() + table + np.ascontiguousarray(who.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes() + planes
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of the numbers, most alike together: all first bytes, then all second bytes, and so on."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _squeeze(*columns: np.ndarray) -> bytes:
+    body = b"".join([np.int64(len(columns[0])).tobytes(), *map(_planes, columns)])
     return np.int64(len(body)).tobytes() + pa.Codec("zstd", compression_level=1).compress(body, asbytes=True)
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, index into the signatures, signatures as two words)."""
-    size = int(np.frombuffer(blob, np.int64, 1)[0])
-    body = pa.Codec("zstd").decompress(blob[8:], size, asbytes=True)
-    m, n = np.frombuffer(body, np.int64, 2)
-    sig = np.frombuffer(body, np.uint64, 2 * m, 16).reshape(m, 2)
-    at = 16 + 16 * m
-    who = np.ascontiguousarray(np.frombuffer(body, np.uint8, 4 * n, at).reshape(4, n).T).view(np.uint32).ravel()
-    h = np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * n, at + 4 * n).reshape(8, n).T).view(np.uint64).ravel()
-    return h, who, sig
+def _expand(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    body = pa.Codec("zstd").decompress(blob[8:], int(np.frombuffer(blob, np.int64, 1)[0]), asbytes=True)
+    n, at, out = int(np.frombuffer(body, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        w = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(body, np.uint8, w * n, at).reshape(w, n).T).view(kind).ravel())
+        at += w * n
+    return out
 
 
-def _postings(docs: DataFrame, text_col: str, bits: int, k: int) -> DataFrame:
-    """(fragment, blob): the shingles of a slice of texts that fall into one range of the n-gram order."""
+def _join_blobs(parts: list[bytes]) -> bytes:
+    return np.array([len(parts), *map(len, parts)], np.int64).tobytes() + b"".join(parts)
+
+
+def _split_blobs(blob: bytes) -> list[bytes]:
+    size = np.frombuffer(blob, np.int64, 1 + int(np.frombuffer(blob, np.int64, 1)[0]))[1:]
+    end = 8 * (len(size) + 1) + np.cumsum(size)
+    return [blob[e - z:e] for e, z in zip(end, size, strict=True)]
+
+
+def _edges(h: np.ndarray, bits: int) -> np.ndarray:
+    """Where the sorted hashes pass from one of the 2**bits equal ranges to the next."""
     cuts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    return np.concatenate([[0], np.searchsorted(h, cuts), [len(h)]])
+
+
+def _postings(docs: DataFrame, text_col: str, bits: int, k: int) -> DataFrame:
+    """(fragment, blob): the shingles of a slice of texts that fall into one range of the n-gram order.
 
+    A blob holds the texts' (signature, set size) once, then the (text, hash) columns of each sub-range.
+    """
     def run(batches):
         for b in batches:
             buf, off = text_buffer(b.column(0))
             for lo, hi in row_slices(off, SLICE):
-                h, row, _, sigs = _sets(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k)
-                edge = np.concatenate([[0], np.searchsorted(h, cuts), [len(h)]])
-                full = np.flatnonzero(edge[1:] > edge[:-1])
-                for part in np.array_split(full, max(1, len(full) // 256)):
-                    blobs = [_pack(h[edge[f]:edge[f + 1]], row[edge[f]:edge[f + 1]], sigs) for f in part]
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blobs, pa.binary())], names=["fragment", "blob"])
+                h, row, n, sig = _sets(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k)
+                edge = _edges(h, bits + SUB_BITS)
+                at, blobs = [], []
+                for f in range(1 << bits):
+                    e = edge[f << SUB_BITS:((f + 1) << SUB_BITS) + 1]
+                    if e[-1] > e[0]:
+                        used, who = np.unique(row[e[0]:e[-1]], return_inverse=True)
+                        who = who.astype(np.uint32)
+                        at.append(f)
+                        blobs.append(_join_blobs([_squeeze(sig[used, 0], n[used].astype(np.uint32)), *(_squeeze(who[p - e[0]:q - e[0]], h[p:q]) for p, q in zip(e[:-1], e[1:], strict=True))]))
+                    if at and (len(at) >= 256 or f + 1 == 1 << bits):
+                        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["fragment", "blob"])
+                        at, blobs = [], []
+                if at:
+                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["fragment", "blob"])
     return docs.select(text_col).mapInArrow(run, "fragment long, blob binary")
 
 
-def _shared(table: pa.Table, shift: int) -> pa.Table:
-    """One fragment: for each class its shingles that another class has too, with their class counts."""
-    hs, who, sigs, base = [], [], [], 0
-    for blob in table.column("blob").to_pylist():
-        h, w, s = _unpack(blob)
-        hs.append(h)
-        who.append(w.astype(np.int64) + base)
-        sigs.append(s)
-        base += len(s)
-    h, who, sig = np.concatenate(hs), np.concatenate(who), np.concatenate(sigs)
-    del hs, sigs
-    order = np.lexsort((sig[:, 1], sig[:, 0]))
-    new = np.append(True, (sig[order][1:] != sig[order][:-1]).any(axis=1))
-    dense = np.empty(len(order), np.int64)
+def _classes_of(tables: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct (signature, size) of several tables, sorted, and each table's entries as positions among them."""
+    sig, n = (np.concatenate([t[i] for t in tables]) for i in (0, 1))
+    order = np.lexsort((n, sig))
+    new = np.append(True, (sig[order][1:] != sig[order][:-1]) | (n[order][1:] != n[order][:-1]))
+    dense = np.empty(len(order), np.uint32)
     dense[order] = np.cumsum(new) - 1
-    sig, who = sig[order][new], dense[who]
-    order = np.lexsort((who, h))
-    h, who = h[order], who[order]
-    new = np.append(True, (h[1:] != h[:-1]) | (who[1:] != who[:-1]))
-    h, who = h[new], who[new]
-    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-    df = np.diff(np.append(first, len(h)))
-    df = np.repeat(df, df)
-    keep = df > 1
-    h, who, df = h[keep], who[keep], df[keep]
+    return sig[order][new], n[order][new], np.split(dense, np.cumsum([len(t[0]) for t in tables])[:-1])
+
+
+def _shared(table: pa.Table, bits: int) -> pa.Table:
+    """One fragment: the shingles that two classes or more have, with their class counts, packed by class bucket."""
+    blobs = [_split_blobs(x.as_py()) for x in table.column("blob")]
+    sig, n, place = _classes_of([_expand(x[0], np.uint64, np.uint32) for x in blobs])
+    found = []
+    for sub in range(1, 1 + (1 << SUB_BITS)):
+        part = [_expand(x[sub], np.uint32, np.uint64) for x in blobs]
+        who, h = np.concatenate([p[w] for (w, _), p in zip(part, place, strict=True)]), np.concatenate([h for _, h in part])
+        del part
+        order = np.lexsort((who, h))
+        h, who = h[order], who[order]
+        if len(h):
+            new = np.append(True, (h[1:] != h[:-1]) | (who[1:] != who[:-1]))
+            h, who = h[new], who[new]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+        df = np.diff(np.append(first, len(h)))
+        df = np.repeat(df, df)
+        found.append((who[df > 1], h[df > 1], df[df > 1].astype(np.uint32)))
+    who, h, df = (np.concatenate([f[i] for f in found]) for i in range(3))
     order = np.argsort(who, kind="stable")
-    h, who, df = h[order], who[order], df[order]
-    first = np.flatnonzero(np.append(True, who[1:] != who[:-1])) if len(h) else np.zeros(0, np.int64)
-    off = pa.array(np.append(first, len(h)), pa.int32())
-    raw = sig[who[first]].tobytes()
-    part = (int(table.column("fragment")[0].as_py()) >> shift) if shift >= 0 else int(table.column("fragment")[0].as_py())
+    who, h, df = who[order], h[order], df[order]
+    edge = _edges(sig, bits)                       # classes are sorted by signature: a bucket is a range of them
+    cut = np.searchsorted(who, edge)
+    at = np.flatnonzero(cut[1:] > cut[:-1])
+    packed = []
+    for b in at:
+        w = who[cut[b]:cut[b + 1]]
+        used, local = np.unique(w, return_inverse=True)
+        packed.append(_join_blobs([_squeeze(sig[used], n[used]), _squeeze(local.astype(np.uint32), h[cut[b]:cut[b + 1]], df[cut[b]:cut[b + 1]])]))
+    return pa.table({"bucket": pa.array(at, pa.int64()), "blob": pa.array(packed, pa.binary())})
+
+
+def _candidates(table: pa.Table) -> pa.Table:
+    """One bucket of classes: those whose shared shingles suffice to link, cut into parts, with their prefix shingles."""
+    blobs = [_split_blobs(x.as_py()) for x in table.column("blob")]
+    sig, n, place = _classes_of([_expand(x[0], np.uint64, np.uint32) for x in blobs])
+    part = [_expand(x[1], np.uint32, np.uint64, np.uint32) for x in blobs]
+    who = np.concatenate([p[w[0]] for w, p in zip(part, place, strict=True)])
+    h, df = (np.concatenate([w[i] for w in part]) for i in (1, 2))
+    del part, blobs
+    n = n.astype(np.int64)
+    s = np.bincount(who, minlength=len(n))
+    able = DEN * s >= NUM * n
+    keep = able[who]
+    who, h, df = who[keep], h[keep], df[keep]
+    # prefix: the rarest shared shingles; those of one class only come first in the order and are passed over
+    order = np.lexsort((h, df, who))
+    first = np.searchsorted(who[order], np.arange(len(n) + 1))
+    length = np.maximum(1, n + (-(NUM * n) // DEN) + 1 - (n - s))
+    rank = np.arange(len(who)) - first[who[order]]
+    pre = order[rank < length[who[order]]]
+    prefix_of = np.searchsorted(who[pre], np.arange(len(n) + 1))
+    order = np.lexsort((h, who))
+    who, h, prefix = who[order], h[order], h[pre]
+    key = who.astype(np.int64) * PARTS + (h >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64)
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    c = who[start].astype(np.int64)
+    lead = np.append(True, c[1:] != c[:-1]) if len(c) else np.zeros(0, bool)
+    size = np.where(lead, prefix_of[c + 1] - prefix_of[c], 0)  # the class's first row carries its prefix
+    bits = np.zeros((len(n), WORDS_OF_BITS), np.uint64)
+    bit = mix(h) & np.uint64(64 * WORDS_OF_BITS - 1)
+    np.bitwise_or.at(bits, (who, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    off = lambda x: pa.array(x, pa.int32())
     return pa.table({
-        "sig": pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), "part": pa.array(np.full(len(first), part), pa.int64()),
-        "grams": pa.ListArray.from_arrays(off, pa.array(h.view(np.int64))), "df": pa.ListArray.from_arrays(off, pa.array(df.astype(np.int32))),
+        "sig": pa.array(sig[c].view(np.int64)), "n": pa.array(n[c]), "s": pa.array(s[c]), "part": pa.array(key[start] % PARTS),
+        "grams": pa.ListArray.from_arrays(off(np.append(start, len(h))), pa.array(h.view(np.int64))),
+        "prefix": pa.ListArray.from_arrays(off(np.concatenate([[0], np.cumsum(size)])), pa.array(prefix.view(np.int64))),
+        "bits": pa.ListArray.from_arrays(off(np.append(0, np.cumsum(lead * WORDS_OF_BITS))), pa.array(bits[c[lead]].ravel().view(np.int64))),
     })
 
 
@@ -163,6 +236,11 @@ def _may_link(nx: str, sx: str, ny: str, sy: str):
     return F.expr(f"{DEN} * least({nx}, {ny}) >= {NUM} * greatest({nx}, {ny}) and {NUM + DEN} * least({sx}, {sy}) >= {NUM} * ({nx} + {ny})")
 
 
+def _only(x: str, y: str) -> str:
+    """SQL for the bits that only ``x`` has: each stands for at least one shingle that ``y`` lacks."""
+    return "(" + " + ".join(f"bit_count({x}[{i}] & ~{y}[{i}])" for i in range(WORDS_OF_BITS)) + ")"
+
+
 def _linked(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     """Pairs (a, na, b, nb) that link: partial overlaps per range of the n-gram order, summed per pair."""
     left = pairs.join(grams.select(F.col("id").alias("a"), "part", F.col("grams").alias("ga")), "a")
@@ -171,50 +249,75 @@ def _linked(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     return total.where(f"{NUM + DEN} * o >= {NUM} * (na + nb)").select("a", "b")
 
 
+def _spread(prefix: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Members (gram, id, n, s, c: component) of the prefix lists that span components and can still link there.
+
+    A member stays only if the smallest set of its list that the length bound allows could overlap enough.
+    """
+    if label is None:
+        member = prefix.withColumn("c", F.col("id"))
+    else:
+        member = prefix.join(label, F.col("id") == F.col("node"), "left").select("gram", "id", "n", "s", F.coalesce("component", "id").alias("c"))
+    spans = lambda m: m.groupBy("gram").agg(F.min("n").alias("least"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("gram", "least")
+    able = member.join(spans(member), "gram").where(f"{NUM + DEN} * s >= {NUM} * (n + greatest(least, cast(ceil({NUM} * n / {DEN}) as long)))").drop("least")
+    return able.join(spans(able).select("gram"), "gram")
+
+
+def _star(member: DataFrame) -> DataFrame:
+    """One pair (a, na, b, nb) per class at most: the best member of another component over all of its lists.
+
+    A list offers its best member, and the best one outside that member's component; best: the largest shared part.
+    """
+    rank = F.struct((F.col("s") / F.col("n")).alias("r"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("id").alias("b"), F.col("c").alias("cb"))
+    of_c = member.groupBy("gram", "c").agg(F.max(rank).alias("best"))
+    one = of_c.groupBy("gram").agg(F.max("best").alias("one"))
+    two = of_c.join(one, "gram").where("c <> one.cb").groupBy("gram").agg(F.max("best").alias("two"), F.first("one").alias("one"))
+    offer = member.join(two, "gram").withColumn("o", F.when(F.col("c") == F.col("one.cb"), F.col("two")).otherwise(F.col("one")))
+    offer = offer.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), "o").where(_may_link("na", "sa", "o.nb", "o.sb"))
+    best = offer.groupBy("a", "na").agg(F.max("o").alias("o")).select("a", "na", F.col("o.b").alias("b"), F.col("o.nb").alias("nb"))
+    return best.select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
+
+
+def _as_edges(label: DataFrame) -> DataFrame:
+    return label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
-    """Per row: id, set size ``n``, set signature ``sig`` and ``component`` (smallest id reachable over links)."""
+    """Per row: id, set size ``n``, set signature (``sig``, ``sig2``) and ``component`` (smallest id reachable over links)."""
     spark = docs.sparkSession
     store = Store(spark, "jaccard")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    sets = store.write(text_sets(rows, "t", "s", k).select("id", "s.n", "s.sig"), "sets")
-    classes = store.write(sets.where("n > 0 and id is not null").groupBy("sig", "n").agg(F.min("id").alias("cid")), "classes")
+    sets = store.write(text_sets(rows, "t", "s", k).select("id", "s.n", "s.sig", "s.sig2"), "sets")
+    classes = store.write(sets.where("n > 0 and id is not null").groupBy("sig", "sig2", "n").agg(F.min("id").alias("cid")), "classes")
     total = sets.agg(F.sum("n")).first()[0] or 0
-    bits = min(40, int(np.ceil(np.log2(max(1, total / fragment_rows)))))
-    shift = bits - int(np.log2(PARTS))
-    shared = _postings(rows, "t", bits, k).groupBy("fragment").applyInArrow(lambda t: _shared(t, shift), "sig binary, part long, grams array<long>, df array<int>")
-    shared = store.write(shared, "shared")
-    count = shared.groupBy("sig").agg(F.sum(F.size("grams")).alias("s")).join(classes, "sig").where(f"{DEN} * s >= {NUM} * n")
-    able = store.write(count.select("sig", F.col("cid").alias("id"), "n", "s"), "able")
-    grams = shared.join(able, "sig").groupBy("id", "n", "s", "part").agg(F.flatten(F.collect_list(F.arrays_zip("grams", "df"))).alias("g"))
-    grams = store.write(grams.select("id", "n", "s", "part", F.col("g.grams").alias("grams"), F.col("g.df").alias("df")), "grams")
-    store.drop("shared")
-    # prefix: the rarest shared shingles; those of one class only come first in the order and are passed over
-    length = F.expr(f"int(n - ceil({NUM} * n / {DEN}) + 1 - (n - s))")
-    rare = grams.select("id", "n", "s", "part", F.slice(F.array_sort(F.arrays_zip("df", "grams")), 1, F.greatest(F.lit(1), length)).alias("g"))
-    rare = rare.groupBy("id", "n", "s").agg(F.slice(F.array_sort(F.flatten(F.collect_list("g"))), 1, F.greatest(F.lit(1), F.first(length))).alias("g"))
-    prefix = store.write(rare.select("id", "n", "s", F.explode("g.grams").alias("gram")), "prefix")
-    # star round
-    centre = prefix.groupBy("gram").agg(F.max(F.struct((F.col("s") / F.col("n")).alias("r"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("id").alias("b"))).alias("c"))
-    star = prefix.join(centre, "gram").select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), "c.b", "c.nb", "c.sb")
-    star = star.where("a <> b").where(_may_link("na", "sa", "nb", "sb")).select("a", "na", "b", "nb").distinct()
-    links = store.write(_linked(star, grams), "links")
-    label = store.write(components(links, store, "first"), "label")
-    # exact rest: lists that span components, members that can still link inside their list
-    member = prefix.join(label, F.col("id") == F.col("node"), "left").select("gram", "id", "n", "s", F.coalesce("component", "id").alias("c"))
-    spread = member.groupBy("gram").agg(F.min("n").alias("least"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("gram", "least")
-    able_now = member.join(spread, "gram").where(f"{NUM + DEN} * s >= {NUM} * (n + greatest(least, cast(ceil({NUM} * n / {DEN}) as long)))").drop("least")
-    spread = able_now.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("gram")
-    able_now = store.write(able_now.join(spread, "gram"), "able_now")
-    side = lambda x: able_now.select("gram", *(F.col(c).alias(f"{c}{x}") for c in ("id", "n", "s", "c")))
+    bits = int(np.ceil(np.log2(max(1, total / fragment_rows))))
+    shared = _postings(rows, "t", bits, k).groupBy("fragment").applyInArrow(lambda t: _shared(t, bits), "bucket long, blob binary")
+    able = shared.groupBy("bucket").applyInArrow(_candidates, "sig long, n long, s long, part long, grams array<long>, prefix array<long>, bits array<long>")
+    grams = store.write(able.join(classes, ["sig", "n"]).withColumnRenamed("cid", "id").drop("sig", "sig2"), "grams")
+    prefix = store.write(grams.select("id", "n", "s", F.explode("prefix").alias("gram")), "prefix")
+    label, tested = None, None
+    for i in range(STAR_ROUNDS):
+        pairs = _star(_spread(prefix, label))
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = store.write(pairs, f"pairs-{i}")
+        found = store.write(_linked(pairs, grams), f"links-{i}")
+        both = pairs.select("a", "b")
+        tested = both if tested is None else tested.unionByName(both)
+        label = store.write(components(found if label is None else _as_edges(label).unionByName(found), store, f"cc-{i}"), f"label-{i}")
+    # exact rest: the pairs of lists that still span components
+    member = store.write(_spread(prefix, label), "member")
+    marked = member.join(grams.where(F.size("bits") > 0).select("id", "bits"), "id")
+    side = lambda x: marked.select("gram", *(F.col(c).alias(f"{c}{x}") for c in ("id", "n", "s", "c", "bits")))
     rest = side("a").join(side("b"), "gram").where("ca <> cb and ida < idb").where(_may_link("na", "sa", "nb", "sb"))
-    rest = rest.select(F.col("ida").alias("a"), "na", F.col("idb").alias("b"), "nb").distinct()
-    more = store.write(_linked(rest, grams), "more")
-    every = label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    final = store.write(components(every, store, "last"), "final")
-    store.drop("grams", "prefix", "links", "able", "able_now", "more", "label")
-    of_class = classes.join(final, F.col("cid") == F.col("node"), "left").select("sig", F.col("n").alias("_n"), F.coalesce("component", "cid").alias("component"))
-    out = sets.join(of_class, (sets.sig == of_class.sig) & (sets.n == F.col("_n")), "left")
-    return out.select("id", "n", sets.sig, F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
+    rest = rest.where(f"{NUM + DEN} * least(sa - {_only('bitsa', 'bitsb')}, sb - {_only('bitsb', 'bitsa')}) >= {NUM} * (na + nb)")
+    rest = rest.select(F.col("ida").alias("a"), "na", F.col("idb").alias("b"), "nb").distinct().join(tested, ["a", "b"], "left_anti")
+    more = store.write(_linked(rest, grams), "links-rest")
+    final = store.write(components(_as_edges(label).unionByName(more), store, "cc-rest"), "final")
+    store.drop("grams", "prefix", "member", "links-rest", *(f"{x}-{i}" for x in ("pairs", "links", "label") for i in range(STAR_ROUNDS)))
+    of_class = classes.join(final, F.col("cid") == F.col("node"), "left").select("sig", "sig2", "n", F.coalesce("component", "cid").alias("component"))
+    out = sets.join(of_class, ["sig", "sig2", "n"], "left")
+    return out.select("id", "n", "sig", "sig2", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
