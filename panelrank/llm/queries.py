@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from panelrank.llm.chat import op9_chat
 from panelrank.llm.decontaminate import op1_decontaminate
+from panelrank.llm.html_text import op3_html_text
 from panelrank.llm.jaccard import op5_ngram_jaccard
+from panelrank.llm.kneser_ney import op8_language_model
 from panelrank.llm.packing import op2_packing
+from panelrank.llm.quality import op6_quality
 from panelrank.llm.secrets import op4_secrets
+from panelrank.llm.syncmers import op7_syncmers
 from panelrank.llm.toxicity import op10_toxicity
 
-QUERIES = {
-    "op1_decontaminate": op1_decontaminate,
-    "op2_packing": op2_packing,
-    "op4_secrets": op4_secrets,
-    "op5_ngram_jaccard": op5_ngram_jaccard,
-    "op10_toxicity": op10_toxicity,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_packing, op3_html_text, op4_secrets, op5_ngram_jaccard, op6_quality, op7_syncmers, op8_language_model, op9_chat, op10_toxicity,
+)}
 ORACLE_SQL: dict[str, str] = {}
