@@ -18,8 +18,10 @@ Defined results: null and empty texts are the end id alone; repeated rows are pa
 from __future__ import annotations
 
 import heapq
+import os
+import re
+import struct
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,35 +30,74 @@ from pyspark.sql import types as T
 LENGTH = 4096
 GROUP = 2 << 20          # tokens packed together
 LINEAR = 12 * 768        # linear cost of a token relative to attention over one earlier token (twelve widths of 768)
-MEMO = 400_000           # chunks whose ids a task remembers
+MEMO = 500_000           # chunks in one of the two generations of ids that a worker remembers
 END_ID = 2
 
 PIECE = [("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
 
 
+# chunks of lower-case Latin letters followed by plain signs: the tokenizer's splitter parts them there and nowhere else
+_PLAIN = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff]*)([.,!?;:#$%&*|()-]*)")
+# byte-level models write bytes as characters; those of two-byte Latin letters that aren't printable are shifted
+_SHIFTED = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+_BYTE_CHAR = {b: chr(0x100 + _SHIFTED.index(b)) if b in _SHIFTED else chr(b) for b in range(256)}
+
+
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes; special-token strings count as the tokenizer file says."""
+    """Token ids of texts as little-endian 32-bit bytes; special-token strings count as the tokenizer file says.
 
-    def __init__(self, path: str):
-        import os
+    Ids are remembered by chunk in two generations: a full one becomes the old one, and chunks still in use move up.
+    """
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        probe = ["caf\u00e9###", "\u00e0\u00ff", "ab.", "(", "u!!"]
+        self.direct = all(self._direct(p) == self._whole(p) for p in probe)  # only for tokenizers that split this way
+
+    def _whole(self, chunk: str) -> bytes:
+        ids = self.tok.encode(chunk, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _direct(self, chunk: str) -> bytes | None:
+        m = _PLAIN.fullmatch(chunk)
+        if m is None:
+            return None
+        letters = m[1] if m[1].isascii() else "".join([_BYTE_CHAR[b] for b in m[1].encode()])
+        ids = [t.id for part in (letters, m[2]) if part for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _new(self, chunk: bytes) -> bytes:
+        got = self.old.get(chunk)
+        if got is None:
+            text = chunk.decode()
+            got = (self._direct(text.lower()) if self.direct else None) or self._whole(text)
+        if len(self.memo) >= MEMO:
+            self.old, self.memo = self.memo, {}
+        self.memo[chunk] = got
+        return got
 
     def __call__(self, text: str) -> bytes:
         parts = text.encode().split()  # of bytes: at ASCII white space only, which the tokenizer drops
-        memo = self.memo
-        new = [p for p in dict.fromkeys(parts) if p not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(dict.fromkeys(parts))
-            for p, e in zip(new, self.tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-                memo[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([memo[p] for p in parts])
+        got = list(map(self.memo.get, parts))
+        if None in got:
+            got = [g if g is not None else self.memo.get(p) or self._new(p) for g, p in zip(got, parts, strict=True)]
+        return b"".join(got)
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of this file: kept on the tokenizers module, so later tasks of the same worker find its memo."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_panelrank_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def piece_cost(n: int) -> float:
@@ -88,7 +129,7 @@ def assign(sizes: list[int], length: int = LENGTH) -> tuple[list[tuple[int, int,
         n = -n
         # cheapest sequence with room for all of it, among the cheapest few; else the cheapest open one takes a part
         tried = []
-        while open_ and len(tried) < 64:
+        while open_ and len(tried) < 16:
             c, q = heapq.heappop(open_)
             if room[q] >= n:
                 break
@@ -122,12 +163,12 @@ def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length
     added = {n for n, _ in PIECE}
     kept = [(i, T.StructField(f.name + "_" * (f.name.lower() in added), f.dataType)) for i, f in enumerate(docs.schema.fields) if i != at]
     schema = T.StructType([*(f for _, f in kept), *(T.StructField(n, t) for n, t in PIECE)])
-    end = np.array([end_id], "<u4").tobytes()
+    end = struct.pack("<I", end_id)
 
     def run(batches):
         from pyspark import TaskContext
 
-        encode, serial = Encoder(tokenizer_path), TaskContext.get().partitionId() << 33
+        encode, serial = encoder(tokenizer_path), TaskContext.get().partitionId() << 33
         rows: list = []      # of the open documents: (columns, ids not yet packed, start of those, all its tokens)
         held = 0
 
