@@ -275,7 +275,14 @@ def _star(member: DataFrame) -> DataFrame:
     offer = member.join(two, "gram").withColumn("o", F.when(F.col("c") == F.col("one.cb"), F.col("two")).otherwise(F.col("one")))
     offer = offer.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), "o").where(_may_link("na", "sa", "o.nb", "o.sb"))
     best = offer.groupBy("a", "na").agg(F.max("o").alias("o")).select("a", "na", F.col("o.b").alias("b"), F.col("o.nb").alias("nb"))
-    return best.select(F.least("a", "b").alias("a"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
+    return best.select(*_ordered("a", "na", "b", "nb")).distinct()
+
+
+def _ordered(a: str, na: str, b: str, nb: str) -> list:
+    """The pair's columns a, na, b, nb with the smaller id first."""
+    up = F.col(a) < F.col(b)
+    pick = lambda x, y, name: F.when(up, F.col(x)).otherwise(F.col(y)).alias(name)
+    return [pick(a, b, "a"), pick(na, nb, "na"), pick(b, a, "b"), pick(nb, na, "nb")]
 
 
 def _as_edges(label: DataFrame) -> DataFrame:
@@ -308,10 +315,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # exact rest: the pairs of lists that still span components
     member = store.write(_spread(prefix, label), "member")
     marked = member.join(grams.where(F.size("bits") > 0).select("id", "bits"), "id")
-    side = lambda x: marked.select("gram", *(F.col(c).alias(f"{c}{x}") for c in ("id", "n", "s", "c", "bits")))
-    rest = side("a").join(side("b"), "gram").where("ca <> cb and ida < idb").where(_may_link("na", "sa", "nb", "sb"))
+    # a list's largest component needs no pairs of its own: only members outside it look for partners
+    largest = member.groupBy("gram", "c").count().groupBy("gram").agg(F.max_by("c", F.struct("count", "c")).alias("main"))
+    marked = marked.join(largest, "gram")
+    side = lambda x: marked.select("gram", "main", *(F.col(c).alias(f"{c}{x}") for c in ("id", "n", "s", "c", "bits")))
+    rest = side("a").where("ca <> main").join(side("b").drop("main"), "gram").where("ca <> cb and (cb = main or ida < idb)").where(_may_link("na", "sa", "nb", "sb"))
     rest = rest.where(f"{NUM + DEN} * least(sa - {_only('bitsa', 'bitsb')}, sb - {_only('bitsb', 'bitsa')}) >= {NUM} * (na + nb)")
-    rest = rest.select(F.col("ida").alias("a"), "na", F.col("idb").alias("b"), "nb").distinct().join(tested, ["a", "b"], "left_anti")
+    rest = rest.select(*_ordered("ida", "na", "idb", "nb")).distinct().join(tested, ["a", "b"], "left_anti")
     more = store.write(_linked(rest, grams), "links-rest")
     final = store.write(components(_as_edges(label).unionByName(more), store, "cc-rest"), "final")
     store.drop("grams", "prefix", "member", "links-rest", *(f"{x}-{i}" for x in ("pairs", "links", "label") for i in range(STAR_ROUNDS)))
