@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 LENGTH = 4096
 GROUP = 2 << 20          # tokens packed together
 LINEAR = 12 * 768        # linear cost of a token relative to attention over one earlier token (twelve widths of 768)
-MEMO = 500_000           # chunks in one of the two generations of ids that a worker remembers
+MEMO = 120_000           # chunks in one of the two generations of ids that a worker remembers
 END_ID = 2
 
 PIECE = [("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
