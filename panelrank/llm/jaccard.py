@@ -89,7 +89,7 @@ def text_sets(docs: DataFrame, text_col: str = "text", into: str = "set", k: int
 
 def _planes(x: np.ndarray) -> bytes:
     """Bytes of the numbers, most alike together: all first bytes, then all second bytes, and so on."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
 
 
 def _squeeze(*columns: np.ndarray) -> bytes:
