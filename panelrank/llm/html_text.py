@@ -95,13 +95,12 @@ def lines(page: str) -> list[tuple[str, int]]:
         if name in BLOCK or name in DROPPED:
             close_block()
         if m[1]:
-            if any(s[0] == name for s in stack):
-                close_block()
-                while stack:
-                    last = stack.pop()
-                    dropped -= last[1]
-                    if last[0] == name:
-                        break
+            at_name = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if at_name is not None:
+                if any(s[1] or s[0] in BLOCK for s in stack[at_name:]):
+                    close_block()
+                dropped -= sum(s[1] for s in stack[at_name:])
+                del stack[at_name:]
                 region = max((s[2] for s in stack), default=0)
             continue
         if name in RAW:
