@@ -104,9 +104,10 @@ def piece_cost(n: int) -> float:
     return LINEAR * n + 0.5 * n * n
 
 
-def assign(sizes: list[int], length: int = LENGTH) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
-    """Pack documents of the given sizes into ``sum // length`` full sequences.
+def assign(sizes: list[int], length: int = LENGTH, largest: int = LENGTH // 2) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
+    """Pack documents of the given sizes into ``sum // length`` full sequences, in pieces of ``largest`` tokens at most.
 
+    A piece that fills a sequence by itself costs the most a sequence can cost, so halves balance far better.
     Returns (document, start, n, sequence, offset) of every piece, and (document, start, n) of the rest that fills no sequence
     (under ``length`` tokens in all, from the last documents).
     """
@@ -118,8 +119,8 @@ def assign(sizes: list[int], length: int = LENGTH) -> tuple[list[tuple[int, int,
         if keep:
             left.append((d, sizes[d] - keep, keep))
             rest -= keep
-        for s in range(0, sizes[d] - keep, length):
-            todo.append((-min(length, sizes[d] - keep - s), d, s))
+        for s in range(0, sizes[d] - keep, largest):
+            todo.append((-min(largest, sizes[d] - keep - s), d, s))
     heapq.heapify(todo)
     open_ = [(0.0, q) for q in range(seqs)]  # by cost
     room, fill = [length] * seqs, [0] * seqs
@@ -154,7 +155,7 @@ def _powers(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length: int = LENGTH, end_id: int = END_ID, group: int = GROUP) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length: int = LENGTH, end_id: int = END_ID, group: int = GROUP, largest: int | None = None) -> DataFrame:
     """The pieces of all documents: ``docs`` without the text, plus start, length, ids, doc_tokens, sequence_id and offset.
 
     Columns of ``docs`` that clash with the added ones are renamed with a trailing underscore.
@@ -174,7 +175,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length
 
         def pieces(last: bool):
             nonlocal rows, held, serial
-            done, left = assign([len(r[1]) // 4 for r in rows], length)
+            done, left = assign([len(r[1]) // 4 for r in rows], length, largest or length // 2)
             got = [(d, s, n, serial + q, o) for d, s, n, q, o in done]
             serial += held // length
             if last:
