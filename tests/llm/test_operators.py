@@ -1,0 +1,464 @@
+"""Operators against brute force, exact round trips and held-out accuracy, on small tables."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from shared_tables import SF, odd, table  # noqa: F401
+
+from panelrank.llm import arrays, chat, components, decontaminate, html_text, jaccard, kneser_ney, packing, quality, secrets, syncmers, toxicity
+from panelrank.llm.queries import QUERIES
+from panelrank.llm.store import Store
+
+
+def low(s):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), s or "")
+
+
+def space_words(s):
+    return re.findall("[^\x20\x09-\x0D]+", low(s))
+
+
+def item_words(s):
+    return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(s))
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def rows(df, key="doc_id"):
+    return {r[key]: r for r in df.collect()}
+
+
+def empty(odd):
+    return odd.where("false")
+
+
+# 1 ------------------------------------------------------------------------------------------------
+
+def contamination(docs, items, window=13):
+    wins = collections.defaultdict(set)
+    for i, t in items:
+        w = item_words(t)
+        for a in range(max(1, len(w) - window + 1) if w else 0):
+            wins[tuple(w[a:a + window])].add(i)
+    out = {}
+    for d, t in docs:
+        w = item_words(t)
+        hit, found = set(), set()
+        for n in {len(k) for k in wins}:
+            for a in range(len(w) - n + 1):
+                if (k := tuple(w[a:a + n])) in wins:
+                    found |= wins[k]
+                    hit |= set(range(a, a + n))
+        out[d] = (len(w), len(hit), len(found), sha(",".join(sorted(map(str, found)))), bool(hit) and 20 * len(hit) >= len(w))
+    return out
+
+
+def test_op1_equals_brute_force(spark, table):
+    want = contamination([(r["doc_id"], r["text"]) for r in table("documents")], [(r["item_id"], r["text"]) for r in table("benchmark")])
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op1_decontaminate"](spark, SF).collect()}
+    assert got == want and any(w[4] for w in want.values())
+
+
+def test_op1_blocks_short_items_and_odd_rows(spark, odd):
+    items = spark.createDataFrame([(1, "two three FOUR"), (1, "seven"), (2, None), (3, ""), (4, "..."), (5, "alpha beta gamma delta " * 4), (None, "one")], "item_id long, text string")
+    want = contamination([(0, "one two three four five six seven"), (1, "alpha beta gamma delta " * 20_000)], [(1, "two three FOUR"), (1, "seven"), (5, "alpha beta gamma delta " * 4)])
+    for size in (1 << 20, 10):
+        out = decontaminate.decontaminate(odd, items, block_bytes=size).collect()
+        assert len(out) == 9 and out[0].length == "kept"
+        short = [r.hits for r in out if r.doc_id == 1]
+        assert short[0] == short[1] and (short[0].n_words, short[0].n_hit, len(short[0]["items"])) == want[0][:3] and [(s.start, s.end) for s in short[0].spans] == [(1, 4), (6, 7)]
+        assert next(r.hits for r in out if r.doc_id == 5).n_hit == want[1][1]
+        assert {r.hits.n_words for r in out if r.text is None} == {0}
+    assert decontaminate.decontaminate(empty(odd), items).count() == 0
+    assert {r.hits.n_hit for r in decontaminate.decontaminate(odd, items.where("false")).collect()} == {0}
+
+
+# 2 ------------------------------------------------------------------------------------------------
+
+def check_pieces(pieces, texts, path):
+    tok = packing.Encoder(path).tok
+    by = collections.defaultdict(list)
+    for p in pieces:
+        by[p["doc_id"]].append(p)
+    for d, t in texts.items():
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
+        at = 0
+        for p in sorted(by[d], key=lambda p: p["start"]):
+            assert (p["start"], p["doc_tokens"]) == (at, len(ids))
+            assert p["ids_crc32"] == zlib.crc32(struct.pack(f"<{p['length']}I", *ids[at:at + p["length"]]))
+            at += p["length"]
+        assert at == len(ids)
+    seqs = collections.defaultdict(list)
+    for p in pieces:
+        seqs[p["sequence_id"]].append((p["offset"], p["length"]))
+    for s in seqs.values():
+        at = 0
+        for o, n in sorted(s):
+            assert o == at and n > 0
+            at += n
+        assert at <= 4096 and packing.padding(at) == 0
+
+
+def test_op2_pieces_are_exact_and_unpadded(spark, table):
+    check_pieces([r.asDict() for r in QUERIES["op2_packing"](spark, SF).collect()], {r["doc_id"]: r["text"] for r in table("documents")}, str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def test_op2_odd_rows_and_groups(spark, odd):
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    out = packing.pack(odd.where("doc_id is not null").dropDuplicates(["doc_id"]), path, group=5000).selectExpr("doc_id", "start", "length", "crc32(ids) ids_crc32", "doc_tokens", "sequence_id", "offset", "length_").collect()
+    check_pieces([r.asDict() for r in out], {r.doc_id: r.text for r in odd.where("doc_id is not null").collect()}, path)
+    assert packing.pack(odd, path).where("start = 0").count() == 9
+    assert packing.pack(empty(odd), path).count() == 0
+
+
+def test_op2_encoder_equals_whole_text():
+    e = packing.Encoder(str(public_tokenizers.path("word_bpe_49k.json")))
+    rng, letters = random.Random(3), "aAéÉßÿŸİıΣσς .,!?'s|<>endoftext\x1c\x85\xa0 ́ñ日本０9²½_-@#\U0001F600 \t\n't"
+    for t in ["a <|endoftext|> b", *("".join(rng.choice(letters) for _ in range(rng.randrange(14))) for _ in range(3000))]:
+        ids = e.tok.encode(t, add_special_tokens=False).ids
+        assert e(t) == struct.pack(f"<{len(ids)}I", *ids), t
+
+
+def test_op2_costs_are_balanced():
+    rng = random.Random(1)
+    sizes = [int(rng.paretovariate(1.1) * 60) % 9000 + 1 for _ in range(4000)]
+    done, left = packing.assign(sizes)
+    assert sum(n for *_, n, _, _ in done) + sum(n for *_, n in left) == sum(sizes)
+    cost = collections.Counter()
+    for _, _, n, q, _ in done:
+        cost[q] += packing.piece_cost(n)
+    naive, fill, q = collections.Counter(), 0, 0          # in the order given
+    for n in sizes:
+        while n:
+            t = min(n, 4096 - fill)
+            naive[q] += packing.piece_cost(t)
+            n, fill = n - t, fill + t
+            if fill == 4096:
+                fill, q = 0, q + 1
+    assert np.std(list(cost.values())) < 0.3 * np.std([c for k, c in naive.items() if k < q])
+
+
+# 3 ------------------------------------------------------------------------------------------------
+
+def test_op3_articles_of_all_pages(spark, table):
+    import html
+    got = rows(QUERIES["op3_html_text"](spark, SF), "page_id")
+    for p in table("pages"):
+        body = re.search("<article>(.*?)</article>", p["html"], re.S)[1]
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub("</?b>", "", re.sub("<br>", " ", b)))).strip() for b in re.split("</?(?:p|h1)>", body)]
+        text = "\n".join(b for b in blocks if b)
+        assert got[p["page_id"]].text == text and got[p["page_id"]].n_chars == len(text)
+
+
+def test_op3_markup():
+    page = """<html><head><title>t</title><style>p{}</style></head><body><header>Top</header><div class="cookie-notice">We use cookies</div><aside>Side</aside>
+    <article><header><h1>Head &amp; line</h1></header><p>One <i>two</i>\n three&nbsp;x<br>four<p>five<table><tr><td>a<td>b</tr></table><form>Mail <input></form><div id="comments"><p>Nice!</p></div>
+    <script>var a = "</p><b>";</script><!-- no --></article><footer>End</footer></body></html>"""
+    assert [t for t, k in html_text.lines(page) if k == html_text.ARTICLE] == ["Head & line", "One two three x four", "five", "a b"]
+    assert html_text.lines("") == [] and html_text.lines("plain &lt;text") == [("plain <text", html_text.OPEN)]
+    assert [t for t, k in html_text.lines("<div class=ad>x<p>y</div>z") if k] == ["z"]
+
+
+def test_op3_differencing_deletes_template_lines(spark):
+    page = "<body><div>Site</div><div>Welcome</div><div>{}</div><div>{}</div><p>bottom"
+    data = [(i, f"http://h.x/a/{i:02d}", page.format(f"own {i}", f"more {i * 7}")) for i in range(40)]
+    data += [(90, None, None), (91, "u", ""), (92, "http://alone.x/", page.format("q", "r")), (93, "http://h.x/a/03", page.format("own 3", "more 21"))]
+    got = rows(html_text.extract(spark.createDataFrame([(*d, "old") for d in data], "page_id long, url string, html string, text string")), "page_id")
+    assert all(got[i].text == f"own {i}\nmore {i * 7}" for i in range(40)) and got[93].text == "own 3\nmore 21"
+    assert got[90].text == "" and got[91].text == "" and got[92].text == "Site\nWelcome\nq\nr\nbottom" and len(got) == 44
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1 << 28, 8])
+def test_op3_alignment_is_longest(bits, monkeypatch):
+    monkeypatch.setattr(html_text, "TABLE_BITS", bits)
+    rng = random.Random(5)
+    for _ in range(400):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(14))] for _ in range(2))
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+        got, rest = html_text.shared(a, b), iter(b)
+        assert len(got) == t[-1][-1] and got == sorted(set(got)) and all(a[i] in rest for i in got)
+
+
+# 4 ------------------------------------------------------------------------------------------------
+
+def base_spans(x):
+    found = [(m.start(), 0, "assign", m.end()) for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", x) if len(m[2]) >= 12]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", x) if len(m[0]) >= 18]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", x) if len(m[0]) >= 16]
+    return [f"{k}:{a}:{e}" for a, _, k, e in sorted(found)]
+
+
+def test_op4_base_spans_equal_brute_force(spark, table):
+    docs = {r["doc_id"]: r["text"] for r in table("documents")}
+    for r in QUERIES["op4_secrets"](spark, SF).collect():
+        want = base_spans(docs[r.doc_id])
+        assert r.base_sha256 == sha(",".join(want)) and set(want) <= set(r.spans.split(","))
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s.startswith(k) for s in want) for k in ("assign", "access", "hex"))
+
+
+def test_op4_fuzz_entropy_and_redaction(spark, odd):
+    rng = random.Random(2)
+    parts = ["token", "secret=", ": ", "'", "é", " ", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "deadbeef", "password:", "API_KEY = ", "x.y-z_1", "\U0001F600", "a"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(300)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.find_secrets(df).select("text", secrets.span_list("secrets.base").alias("b")).collect():
+        assert r.b == ",".join(base_spans(r.text or "")), r.text
+    own = [(1, "key ghp_aB3dE5fG7hI9jK1lM3nO5pQ7rS9tU1vW3xY5 end"), (2, "id 123e4567-e89b-12d3-a456-42661417400z averylongwordwithoutanydigitinit 2026-12-02/2027-01-03")]
+    got = rows(secrets.redact(spark.createDataFrame(own, "doc_id long, text string")))
+    assert got[1].text == "key [SECRET] end" and got[2].text == own[1][1]
+    out = secrets.redact(odd, n_chars="n_chars").collect()
+    assert sorted(map(str, out)) == sorted(map(str, odd.collect()))
+
+
+def test_op4_window_entropy_by_increments(spark):
+    rng = random.Random(4)
+    runs = ["".join(rng.choice("0123456789abcdef"[: rng.randrange(2, 17)]) for _ in range(rng.randrange(16, 60))) for _ in range(60)]
+    name, chars, w, bits = secrets.CLASSES[0]
+    from pyspark.sql import functions as F
+    for r in spark.createDataFrame([(x,) for x in runs], "x string").select("x", F.expr(secrets._windows("x", chars, w, bits, True)).alias("o")).collect():
+        want = []
+        for i in range(len(r.x) - w + 1):
+            c = collections.Counter(r.x[i:i + w])
+            if -sum(n / w * math.log2(n / w) for n in c.values()) >= bits - 1e-9:
+                if want and want[-1][1] >= i:
+                    want[-1][1] = i + w
+                else:
+                    want.append([i, i + w])
+        assert [[s.start, s.end] for s in r.o] == want
+
+
+# 5 ------------------------------------------------------------------------------------------------
+
+def jaccard_components(docs):
+    sets = {}
+    for d, t in docs:
+        w = space_words(t)
+        sets[d] = frozenset(tuple(w[a:a + 5]) for a in range(max(1, len(w) - 4))) if w else frozenset()
+    lists = collections.defaultdict(list)
+    for d, s in sets.items():
+        for g in s:
+            lists[g].append(d)
+    both = collections.Counter(p for x in lists.values() for i, b in enumerate(x) for p in ((a, b) for a in x[:i]))
+    up = {d: d for d in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for (a, b), o in both.items():
+        if 100 * o >= 80 * (len(sets[a]) + len(sets[b]) - o):
+            a, b = sorted((find(a), find(b)))
+            up[b] = a
+    return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def test_op5_equals_brute_force(spark, table):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op5_ngram_jaccard"](spark, SF).collect()}
+    assert got == jaccard_components([(r["doc_id"], r["text"]) for r in table("documents")])
+
+
+def test_op5_near_copies_around_the_threshold(spark):
+    rng = random.Random(9)
+    docs = []
+    for g in range(6):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(30, 160))]
+        for _ in range(40):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(2, len(w) // 22))):
+                w[rng.randrange(len(w))] = f"w{rng.randrange(400)}"
+            docs.append((len(docs), " ".join(w[: len(w) - rng.randrange(0, 12)])))
+    want = jaccard_components(docs)
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), fragment_rows=700)
+    assert {r.id: (r.n, r.component) for r in got.collect()} == want
+    assert 6 < len({c for _, c in want.values()}) < 240
+
+
+def test_op5_odd_rows(spark, odd):
+    got = collections.defaultdict(list)
+    for r in jaccard.near_duplicates(odd).collect():
+        got[r.id].append((r.n, r.component))
+    assert got[1] == [(3, 1)] * 2 and got[6] == [(3, 1)] and got[2] == [(0, 2)] and got[3] == [(0, 3)] and got[4] == [(0, 4)] and sorted(got[None]) == [(0, None), (1, None)]
+    kept = jaccard.keep_one(odd).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id) == [1, 2, 3, 4, 5] and len(kept) == 7 and kept[0].length == "kept"
+    assert jaccard.near_duplicates(empty(odd)).count() == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(200, 400)] + [(7, 7)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), Store(spark, "test")).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, 5: 5, **{i: 5 for i in range(200, 400)}}
+
+
+# 6, 10 --------------------------------------------------------------------------------------------
+
+def marked(spark, n=1500):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9))) for _ in range(500)]
+    docs, labels = [], []
+    for i in range(n):
+        sents = [[rng.choice(words) for _ in range(rng.randrange(4, 12))] for _ in range(rng.randrange(2, 12))]
+        bad, junk = rng.random() < 0.2, rng.random() < 0.2
+        if bad:
+            sents[rng.randrange(len(sents))].insert(2, rng.choice(["vilex", "scumo", "nastyq"]))
+        text = ". ".join(" ".join(s) for s in sents) + "."
+        docs.append((i, text.replace(" ", " ## ") if junk else text))
+        labels.append((i, int(not junk), int(bad)))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {d: (t, q, x) for (d, t), (_, q, x) in zip(docs, labels, strict=True)}
+
+
+def test_op10_held_out_accuracy_and_offending_sentences(spark, odd):
+    docs, labels, truth = marked(spark)
+    model = toxicity.train(docs, labels)
+    wrong = 0
+    for r in toxicity.score(docs, model).collect():
+        text, _, bad = truth[r.doc_id]
+        if zlib.crc32(str(r.doc_id).encode()) % 5 == 0:
+            wrong += (r.toxicity.score >= 0.5) != bool(bad)
+        if bad and r.toxicity.score >= 0.5:
+            said = [text[s.start:s.end] for s in r.toxicity.sentences]
+            assert all("." not in s for s in said) and any(w in " ".join(said) for w in ("vilex", "scumo", "nastyq"))
+    assert wrong <= 6
+    out = rows(toxicity.score(odd, model))
+    assert out[2].toxicity.score == 0 and out[3].toxicity.score == 0 and toxicity.score(empty(odd), model).count() == 0
+    assert toxicity.score(odd, toxicity.train(odd, labels.where("false"))).where("toxicity.score = 0").count() == 9
+    assert toxicity.drop_toxic(odd, labels.withColumn("doc_id", labels.doc_id + 100)).columns == odd.columns
+
+
+def test_op6_held_out_accuracy_and_rules(spark, odd):
+    docs, labels, truth = marked(spark, 700)
+    model = quality.train(docs, labels)
+    got = quality.score(docs, model).collect()
+    assert sum((r.quality >= 0.3) != bool(truth[r.doc_id][1]) for r in got if zlib.crc32(str(r.doc_id).encode()) % 5 == 0) <= 2
+    assert 0 < len(model["rules"]) < 200 and quality.describe(model)
+    assert "Python" not in quality.score(docs, model)._jdf.queryExecution().toString().split("Physical Plan")[1]
+    out = quality.score(odd, model)
+    assert out.where("quality between 0 and 1").count() == 9 and quality.score(empty(odd), model).count() == 0
+    assert {r.quality for r in quality.score(odd, quality.train(odd, labels.where("false"))).collect()} == {0.0}
+
+
+def test_op6_simplified_rules():
+    assert quality.simplify((("a", True, 3.0), ("a", True, 2.0), ("b", False, 1.0), ("b", False, 4.0))) == (("a", True, 2.0), ("b", False, 4.0))
+
+
+@pytest.mark.parametrize("name", ["op6_quality", "op10_toxicity"])
+def test_op6_op10_queries(spark, name):
+    got = rows(QUERIES[name](spark, SF))
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) and 0 <= r.score <= 1 for d, r in got.items()) and len(got) == 200
+
+
+# 7 ------------------------------------------------------------------------------------------------
+
+def test_op7_edited_texts_and_fingerprints(spark, table):
+    docs = sorted((r["doc_id"], r["text"]) for r in table("documents"))
+    got = rows(QUERIES["op7_syncmers"](spark, SF))
+    for (d, t), (_, n) in zip(docs, docs[1:] + docs[:1], strict=True):
+        e = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
+        a, b, c = syncmers.fingerprints([t])[0], syncmers.fingerprints([e])[0], syncmers.fingerprints([n])[0]
+        r = got[d]
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), sha(e), syncmers.show(a), syncmers.show(b))
+        assert (r.near_edited, r.near_next) == (syncmers.likeness(a, b), syncmers.likeness(a, c)) and syncmers.likeness(a, a) == 1
+    assert np.mean([r.near_edited for r in got.values()]) > 0.4 > 0.1 > np.mean([r.near_next for r in got.values()])
+
+
+def test_op7_syncmers_are_closed_and_spans_join(monkeypatch):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcde é😀") for _ in range(3000))
+    codes = syncmers._codes([text])
+    at, h = syncmers.syncmers(codes)
+    p, inv = arrays.POWERS.up_to(len(codes) + 1)
+    acc = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * p[:-1])])
+    inner, k, s = syncmers._hashes(acc, inv, syncmers.S), syncmers.K, syncmers.S
+    assert at.tolist() == [i for i in range(len(text) - k + 1) if min(inner[i:i + k - s + 1]) in (inner[i], inner[i + k - s])]
+    monkeypatch.setattr(syncmers, "SPAN", 100)
+    cut = syncmers.syncmers(codes)
+    assert cut[0].tolist() == at.tolist() and (cut[1] == h).all()
+    assert all(len(f[1]) <= syncmers.ANCHORS for f in syncmers.fingerprints([text, text[:50], "ab", "", "xyz" * 500]))
+
+
+def test_op7_odd_rows(spark, odd):
+    out = syncmers.compare_with_next(odd).collect()
+    assert len(out) == 9 and len({r.fingerprint for r in out if r.doc_id == 1}) == 1
+    assert next(r for r in out if r.doc_id == 6).edited_sha256 == sha("One TWO three fou")  # the first is a null text
+    assert syncmers.compare_with_next(empty(odd)).count() == 0
+    assert syncmers.compare_with_next(odd.where("doc_id = 6")).first().near_next == 1
+
+
+# 8 ------------------------------------------------------------------------------------------------
+
+def test_op8_equals_direct_model(spark, table, monkeypatch):
+    monkeypatch.setattr(kneser_ney.train, "__defaults__", ("text", 5000))   # many fragments, hot contexts
+    got = rows(QUERIES["op8_language_model"](spark, SF))
+    tok = {r["doc_id"]: [*space_words(r["text"]), "</s>"] for r in table("documents")}
+    seen = [d for d in tok if zlib.crc32(str(d).encode()) % 5 != 1]
+    c = collections.Counter(w for d in seen for w in tok[d])
+    pairs = collections.Counter(p for d in seen for p in zip(["<s>", *tok[d]], tok[d], strict=False))
+    coc = collections.Counter(pairs.values())
+    d2, after = kneser_ney.discounts([coc[k] for k in (1, 2, 3, 4)]), collections.Counter(w for _, w in pairs)
+    coc = collections.Counter(after.values())
+    d1, n, v = kneser_ney.discounts([coc[k] for k in (1, 2, 3, 4)]), sum(c.values()), len(c)
+    of = collections.defaultdict(lambda: [0, 0.0])
+    for (a, _), k in pairs.items():
+        of[a][0] += k
+        of[a][1] += d2[min(k, 3)]
+    total, left = len(pairs), sum(d1[min(k, 3)] for k in after.values()) / len(pairs)
+
+    def p(a, w):
+        q = max(after[w] - d1[min(after[w], 3)], 0) / total + left / (v + 1)
+        k = pairs.get((a, w), 0)
+        return max(k - d2[min(k, 3)], 0) / of[a][0] + of[a][1] / of[a][0] * q if a in of else q
+    for d, w in tok.items():
+        r = got[d]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w))
+        assert r.score == pytest.approx(sum(math.log10(p(a, x)) for a, x in zip(["<s>", *w], w, strict=False)))
+    assert sum(p("the", w) for w in c) + p("the", "never seen") == pytest.approx(1)
+
+
+def test_op8_odd_rows(spark, odd):
+    model = kneser_ney.train(odd)
+    out = kneser_ney.score(odd, model).collect()
+    assert len(out) == 9 and {r.lm.n_tokens for r in out if not (r.text or "").strip()} == {1} and all(r.lm.score <= 0 for r in out)
+    none = kneser_ney.score(odd, kneser_ney.train(empty(odd))).collect()
+    assert {r.lm.n_known for r in none} == {0} and all(r.lm.score == 0 for r in none)
+
+
+# 9 ------------------------------------------------------------------------------------------------
+
+def test_op9_round_trip(spark, table):
+    turns = collections.defaultdict(list)
+    for r in sorted(table("conversations"), key=lambda r: (r["conv_id"], r["turn"])):
+        turns[r["conv_id"]].append((r["role"], r["text"] or ""))
+    turns[-7] = [(x, r"\### Assistant: </turn> ok") for x in ("user", "assistant")]
+    got = rows(QUERIES["op9_chat"](spark, SF), "conv_id")
+    assert set(got) == set(turns)
+    for c, t in turns.items():
+        loss = "".join(x for r, x in t if r == "assistant")
+        assert tuple(got[c])[1:5] == (len(t), sha("".join(f"{r}\n{x}\n" for r, x in t)), len(loss), sha(loss))
+
+
+def test_op9_control_strings_and_examples(spark):
+    said = [r"\h a \s \\ ### #### </turn></turn> : ", "###", "</turn>\n", "\\", "#", "</turn", ""]
+    data = [(1, i, ("us: er", "assistant")[i % 2], x) for i, x in enumerate(said)] + [(1, 1, "assistant", None), (2, None, None, "n"), (2, 0, "assistant", "r"), (None, 0, "user", "z")]
+    f = chat.format_conversations(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"))
+    back = {r.conv_id: [tuple(t) for t in r.t] for r in f.select("conv_id", chat.read_back("formatted").alias("t")).collect()}
+    want = sorted((i, r, x or "") for c, i, r, x in data if c == 1)
+    assert back[1] == [(r, x) for _, r, x in want] and back[2] == [("", "n"), ("assistant", "r")] and back[None] == [("user", "z")]
+    examples = [r for r in chat.prefix_targets(f, with_text=True).orderBy("conv_id", "example").collect() if r.conv_id == 1]
+    full = f.where("conv_id = 1").first().formatted
+    assert len(examples) == 4 and all(full.startswith(e.text) and e.text[e.context_end:e.loss_end] == e.target for e in examples)
+    assert [e.context_turns for e in examples] == [i for i, (_, r, _) in enumerate(want) if r == "assistant"]
+    assert chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
