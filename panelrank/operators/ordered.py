@@ -6,8 +6,8 @@ task. ``ordered_prefix`` instead:
 1. counts the rows and picks ``m`` buckets so each holds about
    ``rows_per_bucket`` rows;
 2. takes cut points from a bounded sample (at most 40 keys per bucket and
-   200,000 in all reach the driver) and assigns each row its bucket by comparison with those
-   literals (a balanced binary-search ``CASE`` tree), so the bucket of a row
+   about 200,000 in all reach the driver) and assigns each row its bucket by comparison with those
+   literals, under the window's own order of NULL and NaN, so the bucket of a row
    is deterministic on recompute;
 3. numbers rows and accumulates measures *within* each bucket with a
    partitioned window;
@@ -36,12 +36,13 @@ BROADCAST_ROWS = 2_000_000  # distinct-value tables up to this size are broadcas
 
 @functools.total_ordering
 class _Key:
-    """Sort key for the driver-side sort of sampled cut points."""
+    """Driver-side order of sampled keys, equal to the window's: NULL last either way, NaN the greatest number."""
 
     __slots__ = ("vals", "desc")
 
     def __init__(self, vals, desc):
-        self.vals, self.desc = vals, desc
+        self.vals = tuple(None if v is None else (1, 0) if v != v else (0, v) for v in vals)
+        self.desc = desc
 
     def __eq__(self, other):
         return self.vals == other.vals
@@ -50,64 +51,57 @@ class _Key:
         for a, b, d in zip(self.vals, other.vals, self.desc):
             if a == b:
                 continue
+            if a is None or b is None:
+                return b is None
             return (a > b) if d else (a < b)
         return False
 
 
 def _before(order, cut) -> "F.Column":
-    """Row strictly precedes ``cut`` in the (lexicographic) order."""
-    expr = None
+    """Row strictly precedes ``cut`` (columns or literals) in the window's order; never NULL.
+
+    Spark compares NaN as equal to itself and greater than any number, as the window does; a NULL cut
+    comes after every value and equals a NULL.
+    """
+    expr = F.lit(False)
     for (c, desc), v in reversed(list(zip(order, cut))):
-        lit = F.lit(v)
-        strict = (F.col(c) > lit) if desc else (F.col(c) < lit)
-        expr = strict if expr is None else (strict | ((F.col(c) == lit) & expr))
+        row = F.col(c)
+        ahead = F.coalesce((row > v) if desc else (row < v), v.isNull() & row.isNotNull())
+        expr = ahead | (row.eqNullSafe(v) & expr)
     return expr
 
 
-def _bucket_expr(order, cuts):
+def _literals(df, order, cut):
+    return [F.lit(v).cast(df.schema[c].dataType) for (c, _), v in zip(order, cut)]
+
+
+def _bucket_expr(df, order, cuts):
+    """Balanced CASE tree over the cuts: fast for few of them."""
     def node(lo, hi):
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(_before(order, cuts[mid - 1]), node(lo, mid - 1)).otherwise(node(mid, hi))
+        return F.when(_before(order, _literals(df, order, cuts[mid - 1])), node(lo, mid - 1)).otherwise(node(mid, hi))
     return node(0, len(cuts))
 
 
-CASE_TREE_MAX_CUTS = 255  # beyond this the CASE tree outgrows generated-code limits
-
-
-def _numeric_desc_ok(df, order) -> bool:
-    num = ("int", "bigint", "double", "float", "smallint", "tinyint", "date")
-    types = dict(df.dtypes)
-    return all((not d) or types[c] in num[:-1] for c, d in order)
-
+CASE_TREE_MAX_CUTS = 255  # beyond this the CASE tree outgrows generated-code limits; the rule is the same
 
-def _bucket_search(order, cuts):
-    """Upper bound of the row key in a sorted literal array of cut keys (binary search,
-    O(log m) per row, one constant array instead of an O(m) expression tree).
 
-    Keys compare as structs; descending numeric fields are negated so one
-    ascending struct order holds."""
-    def key_of(vals):
-        return F.struct(*[(F.lit(-v) if d else F.lit(v)).alias(f"k{i}")
-                          for i, ((c, d), v) in enumerate(zip(order, vals))])
-    row = F.struct(*[(-F.col(c) if d else F.col(c)).alias(f"k{i}") for i, (c, d) in enumerate(order)])
-    arr = F.array(*[key_of(v) for v in cuts])
+def _bucket_search(df, order, cuts):
+    """The same bucket by binary search in one literal array of cut keys (O(log m) per row)."""
+    arr = F.array(*[F.struct(*[v.alias(f"k{i}") for i, v in enumerate(_literals(df, order, cut))]) for cut in cuts])
     steps = max(1, math.ceil(math.log2(len(cuts) + 1)))
     init = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
 
     def step(acc, _):
         mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go_right = F.element_at(arr, mid + 1) <= row
-        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))) \
-            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+        cut = F.element_at(arr, mid + 1)
+        moved = F.when(_before(order, [cut[f"k{i}"] for i in range(len(order))]), F.struct(acc["lo"].alias("lo"), mid.alias("hi"))) \
+            .otherwise(F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
         return F.when(acc["lo"] < acc["hi"], moved).otherwise(acc)
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-    any_null = None
-    for c, _ in order:
-        any_null = F.col(c).isNull() if any_null is None else (any_null | F.col(c).isNull())
-    return F.when(any_null, F.lit(len(cuts))).otherwise(found)  # NULL keys last, as in the window
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
 def _norm_order(order):
@@ -138,24 +132,24 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     # smaller than that (counted above) is ranked in a single task
     par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     lo = max(1, min(par, n // MIN_ROWS_PER_BUCKET))
-    m = max(lo, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
+    m = min(max_buckets, max(lo, math.ceil(n / max(1, rows_per_bucket))))
     cuts = []
     if m > 1:
-        per = max(10, min(40, SAMPLE_KEYS_MAX // m))  # sampled keys per bucket; at most SAMPLE_KEYS_MAX reach the driver
+        # sampled keys per bucket, from all partitions alike; about SAMPLE_KEYS_MAX reach the driver at most.
+        # NULL keys are sampled too, so a block of them is cut by the later keys
+        per = max(1, min(40, SAMPLE_KEYS_MAX // m))
         frac = min(1.0, per * m / n)
-        sample = df.select(*keys).dropna().sample(False, frac, seed).limit(per * m).collect()
+        sample = df.select(*keys).sample(False, frac, seed).collect()
         pts = sorted((tuple(r) for r in sample), key=lambda t: _Key(t, [d for _, d in order]))
         step = len(pts) / m
-        for i in range(1, m if pts else 1):  # no non-NULL keys sampled: one bucket
+        for i in range(1, m if pts else 1):
             p = pts[min(len(pts) - 1, int(i * step))]
             if not cuts or _Key(cuts[-1], [d for _, d in order]) < _Key(p, [d for _, d in order]):
                 cuts.append(p)
     if not cuts:
         bucket = F.lit(0)
-    elif len(cuts) <= CASE_TREE_MAX_CUTS or not _numeric_desc_ok(df, order):
-        bucket = _bucket_expr(order, cuts)
     else:
-        bucket = _bucket_search(order, cuts)
+        bucket = (_bucket_expr if len(cuts) <= CASE_TREE_MAX_CUTS else _bucket_search)(df, order, cuts)
     b = df.withColumn("_bucket", bucket.cast("int"))
     tot = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"),
                                    *[F.sum(F.col(x)).alias(f"_s{i}") for i, x in enumerate(measures)]).collect()
@@ -176,8 +170,7 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
         arr = [d.get(b, 0) for b in range(max(d) + 1)]
         return F.element_at(F.array(*[F.lit(v) for v in arr]), F.col("_bucket") + 1)
 
-    # NULL keys sort last in either direction (they fail every comparison, so they land in the
-    # last bucket; the window puts them last inside it)
+    # NULL keys sort last in either direction, in the buckets and in the window alike
     w = Window.partitionBy("_bucket").orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last()
                                                 for c, d in order])
     wprev = w.rowsBetween(Window.unboundedPreceding, -1)

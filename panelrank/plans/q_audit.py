@@ -59,7 +59,7 @@ def _dist_sql(c):
 @register("distributions", Q.chain(upto="features") + " UNION ALL ".join(_dist_sql(c) for c in DIST_COLS))
 def distributions(spark, sf_dir):
     """Count, nulls, zeros, mean, exact quantiles and skew per column."""
-    d = V.distributions(batch.features(spark, sf_dir), DIST_COLS, rows_per_bucket=100)
+    d = V.distributions(batch.features(spark, sf_dir), DIST_COLS)
     return d.select("column_name", "rows", "nulls", "zeros",
                     *[r9(c) for c in ("mean", "p05", "p25", "p50", "p75", "p95", "skew")])
 
@@ -142,7 +142,7 @@ a AS (SELECT feature, CASE WHEN SUM(pos) = 0 OR SUM(neg) = 0 THEN 0.0
 SELECT feature, roc_auc, abs(roc_auc - 0.5) AS auc_distance FROM a""")
 def single_feature_auc(spark, sf_dir):
     """AUC of each feature alone; the label source (trend_pct) stands out."""
-    return V.single_feature_auc(batch.features(spark, sf_dir), AUC_COLS, LABEL, rows_per_bucket=200)
+    return V.single_feature_auc(batch.features(spark, sf_dir), AUC_COLS, LABEL)
 
 
 @register("sealed_guard", fx.with_sql("fx_daily") + """
@@ -199,7 +199,7 @@ FROM p""")
 def drift_psi(spark, sf_dir):
     """PSI of per-page yearly impressions, 1999 vs 2000, decile bins from 1999."""
     a, b = _periods(spark, sf_dir)
-    d = V.drift(a, b, ["impressions"], rows_per_bucket=200)
+    d = V.drift(a, b, ["impressions"])
     return d.select("column_name", r9("psi"), "bins", "status")
 
 

@@ -96,14 +96,14 @@ FROM c {grp}"""
 @register("roc_auc", SCORED_SQL + AUC_BODY.format(by_sel="", by_grp="", part="", grp="").replace("GROUP BY  2", "GROUP BY 1"))
 def roc_auc(spark, sf_dir):
     """ROC AUC by rank-sum over distinct scores (exact integer numerator)."""
-    return M.roc_auc(scored(spark, sf_dir), "label", "score", rows_per_bucket=4)
+    return M.roc_auc(scored(spark, sf_dir), "label", "score")
 
 
 @register("roc_auc_by_client", SCORED_SQL + AUC_BODY.format(by_sel="client_id,", by_grp="1,", part="PARTITION BY client_id",
                                                              grp="GROUP BY client_id").replace("GROUP BY 1, 2", "GROUP BY 1, 2"))
 def roc_auc_by_client(spark, sf_dir):
     """M02 grouped (also the shape of V07): AUC per client."""
-    return M.roc_auc(scored(spark, sf_dir), "label", "score", by=["client_id"], rows_per_bucket=50)
+    return M.roc_auc(scored(spark, sf_dir), "label", "score", by=["client_id"])
 
 
 @register("average_precision", SCORED_SQL + f"""
@@ -114,7 +114,7 @@ SELECT round(CASE WHEN SUM(pos) = 0 OR SUM(neg) = 0 THEN 0.0
   ELSE SUM(CAST(pos AS DOUBLE) * tp / (tp + fp)) / SUM(pos) END, {R9}) AS average_precision FROM c""")
 def average_precision(spark, sf_dir):
     """Step-sum average precision over distinct thresholds."""
-    ap = M.average_precision(scored(spark, sf_dir), "label", "score", rows_per_bucket=4)
+    ap = M.average_precision(scored(spark, sf_dir), "label", "score")
     return ap.select(F.round("average_precision", R9).alias("average_precision"))
 
 
@@ -179,7 +179,7 @@ SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tp
 UNION ALL SELECT s, CAST(fp AS DOUBLE) / CAST(N AS DOUBLE), CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) FROM c, t""")
 def roc_points(spark, sf_dir):
     """ROC points per distinct threshold plus the origin."""
-    return M.roc_points(scored(spark, sf_dir), "label", "score", rows_per_bucket=3)
+    return M.roc_points(scored(spark, sf_dir), "label", "score")
 
 
 @register("majority_and_lift", SCORED_SQL + """
@@ -215,7 +215,7 @@ SELECT content_id, score, row_number() OVER (ORDER BY score DESC, content_id ASC
 def score_row_rank(spark, sf_dir):
     """W02/W03 on a heavy-tie score: ranks with small buckets so the tie blocks span buckets."""
     s = scored(spark, sf_dir).select("content_id", "score")
-    return O.row_rank(s, [("score", True)], "content_id", "score_rank", rows_per_bucket=97)
+    return O.row_rank(s, [("score", True)], "content_id", "score_rank")
 
 
 @register("score_pct_rank", SCORED_SQL + """
@@ -225,7 +225,7 @@ FROM fx_scored""")
 def score_pct_rank(spark, sf_dir):
     """Average-rank percentile with 14 distinct values and heavy ties."""
     s = scored(spark, sf_dir).select("content_id", "score")
-    return O.pct_rank(s, "score", "pct", rows_per_bucket=3).select("content_id", "pct")
+    return O.pct_rank(s, "score", "pct").select("content_id", "pct")
 
 
 @register("top_k_scored", SCORED_SQL + """
@@ -240,7 +240,7 @@ SELECT quantile_cont(CAST(score AS DOUBLE), 0.8) AS q0, quantile_cont(CAST(score
 def score_quantiles(spark, sf_dir):
     """Exact 0.8 / 0.5 quantiles, linear interpolation."""
     from panelrank.operators.aggregates import quantiles
-    return quantiles(scored(spark, sf_dir), "score", [0.8, 0.5], rows_per_bucket=3)
+    return quantiles(scored(spark, sf_dir), "score", [0.8, 0.5])
 
 
 # ---------------------------------------------------------------- splits

@@ -131,3 +131,32 @@ def test_all_null_keys(spark):
     df = spark.createDataFrame([(i, None) for i in range(50)], "id long, s double")
     got = sorted(r.rk for r in O.row_rank(df, [("s", True)], "id", "rk", rows_per_bucket=5).collect())
     assert got == list(range(1, 51))
+
+
+@pytest.mark.parametrize("desc", [True, False])
+@pytest.mark.parametrize("buckets", [2, 200, 300, 2000])
+def test_positions_equal_a_plain_window_with_null_and_nan_in_every_key(spark, desc, buckets, monkeypatch):
+    from pyspark.sql import Window
+    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)
+    rnd = random.Random(buckets)
+    rows = [(i, None if rnd.random() < 0.3 else float("nan") if rnd.random() < 0.1 else float(rnd.randint(-4, 4)),
+             None if rnd.random() < 0.1 else rnd.randint(0, 5), None if rnd.random() < 0.1 else rnd.choice("abc")) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, x double, y int, s string").repartition(5)
+    order = [("x", desc), ("y", not desc), ("s", desc), ("id", False)]
+    got, _ = O.ordered_prefix(df, order, rows_per_bucket=4000 // buckets)
+    w = Window.orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order])
+    want = df.withColumn("want", F.row_number().over(w) - 1)
+    assert got.select("id", "_pos").join(want, "id").where("_pos <> want").count() == 0
+
+
+def test_buckets_are_bounded_whatever_the_parallelism(spark, monkeypatch):
+    monkeypatch.setattr(O, "MIN_ROWS_PER_BUCKET", 1)
+    df = spark.range(500).withColumn("x", F.col("id") % 7)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        out, _ = O.ordered_prefix(df, ["x", "id"], rows_per_bucket=1, max_buckets=5)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert plan.count("CASE WHEN") <= 5
