@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -25,14 +26,26 @@ DEFAULTS = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "panelrank") -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "panelrank") -> SparkSession:
+    """The running session, or a new one: submitted settings win, then the arguments, then the defaults above."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        ensure_checkpoint_dir(running)
+        return running
+    SparkContext._ensure_initialized()
+    submitted = SparkConf()  # what the submit command set
+    wanted = dict(DEFAULTS)
+    if shuffle_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    master = submitted.get("spark.master", master)
+    if master and master.startswith("local") and not master.startswith("local-cluster"):
+        wanted["spark.driver.memory"] = os.environ.get("PANELRANK_DRIVER_MEMORY", "16g")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("PANELRANK_DRIVER_MEMORY", "16g"))
-    for k, v in DEFAULTS.items():
-        builder = builder.config(k, v)
+    for k, v in wanted.items():
+        if not submitted.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -42,8 +55,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster that setting points at shared storage and is used as is; without it this raises.
+    Only on a local master (tests) a fresh scratch folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,7 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # unset: only the case for local tests, never on a cluster
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="panelrank-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -95,7 +95,7 @@ def main(argv):
     from panelrank.session import get_spark
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_spark("local[8]")
+    spark = get_spark("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = registry.queries(), registry.oracle_sql()
     bad = ok = rows_only = 0
