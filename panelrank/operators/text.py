@@ -9,25 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ANONYMIZED = "anonymized_privacy"
 
-# our rules, in precedence order (C28 stand-in, not the reference's model)
+# our rules, in precedence order (C28 stand-in, not the reference's model); whole words only
 INTENT_RULES = [
-    ("Comparison", "( vs | versus |compare)"),
-    ("Replacement", "(replace|alternative|new )"),
-    ("Risk/safety", "(safe|risk|hot )"),
-    ("Use-case", "(for |how |use )"),
-    ("Decision-stage", "(urgent|high|buy|price)"),
+    ("Comparison", r"\b(vs|versus|compare[ds]?|comparison)\b"),
+    ("Replacement", r"\b(alternatives?|replace[ds]?|replacements?|substitutes?|instead of)\b"),
+    ("Risk/safety", r"\b(safe|safely|safety|risks?|risky|side effects?|dangers?|dangerous)\b"),
+    ("Use-case", r"\b(for|how|use[ds]?|using)\b"),
+    ("Decision-stage", r"\b(buy|buying|prices?|pricing|costs?|cheap|cheapest|discounts?|coupons?)\b"),
 ]
 INTENT_DEFAULT = "Other"
 
 
 def flatten_json(df: DataFrame, col: str, schema: str) -> DataFrame:
-    """Nested JSON payload to top-level columns (C26); one row stays one row."""
-    parsed = F.from_json(F.col(col), schema)
-    fields = [f.strip().split()[0] for f in schema.split(",")]
-    return df.select("*", *[parsed[f].alias(f) for f in fields])
+    """Nested JSON payload to top-level columns (C26); one row stays one row.
+
+    Structs are expanded to their leaves, named by the path joined with ``_``; arrays and maps stay one column.
+    """
+    kind = T.StructType.fromDDL(schema)
+
+    def leaves(c, of: T.StructType, path: tuple[str, ...]):
+        for f in of.fields:
+            here = c.getField(f.name)
+            if isinstance(f.dataType, T.StructType):
+                yield from leaves(here, f.dataType, (*path, f.name))
+            else:
+                yield here.alias("_".join((*path, f.name)))
+
+    return df.select("*", *leaves(F.from_json(F.col(col), kind), kind, ()))
 
 
 def flag_anonymized(col: str):

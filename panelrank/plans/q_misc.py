@@ -14,6 +14,7 @@ from panelrank.operators import score as S
 from panelrank.operators import windows as W
 from panelrank.plans import batch
 from panelrank.plans import sql_common as Q
+from panelrank.operators.text import INTENT_RULES
 from panelrank.plans.registry import register
 from panelrank.sources import fixtures as fx
 from panelrank.sources import tables as T
@@ -33,7 +34,7 @@ SELECT position_tier, round(AVG(ctr), {R9}) AS mean, COUNT(ctr) AS count, median
 FROM fx_features WHERE position_tier IS NOT NULL GROUP BY position_tier""")
 def tier_ctr_stats(spark, sf_dir):
     """Mean, count and exact median of ctr per position tier."""
-    g = A.group_stats(batch.features(spark, sf_dir), ["position_tier"], "ctr", rows_per_bucket=50)
+    g = A.group_stats(batch.features(spark, sf_dir), ["position_tier"], "ctr")
     return g.select("position_tier", r9("mean"), "count", "median")
 
 
@@ -133,7 +134,7 @@ def correlations(spark, sf_dir):
     f = batch.features(spark, sf_dir)
     out = None
     for how in ("pearson", "log", "spearman"):
-        c = A.correlations(f, [("impressions_90d", "clicks_90d")], how, rows_per_bucket=50)
+        c = A.correlations(f, [("impressions_90d", "clicks_90d")], how)
         out = c if out is None else out.unionByName(c)
     return out.select("col_a", "col_b", "method", r9("corr"), "n")
 
@@ -370,13 +371,8 @@ def flatten_events(spark, sf_dir):
     return flatten_json(e, "props", "k int").select("event_id", "content_id", "event_type", "k")
 
 
-INTENT_SQL = """CASE WHEN query_text IS NULL OR trim(query_text) = '' THEN 'anonymized_privacy'
-  WHEN regexp_matches(lower(query_text), '( vs | versus |compare)') THEN 'Comparison'
-  WHEN regexp_matches(lower(query_text), '(replace|alternative|new )') THEN 'Replacement'
-  WHEN regexp_matches(lower(query_text), '(safe|risk|hot )') THEN 'Risk/safety'
-  WHEN regexp_matches(lower(query_text), '(for |how |use )') THEN 'Use-case'
-  WHEN regexp_matches(lower(query_text), '(urgent|high|buy|price)') THEN 'Decision-stage'
-  ELSE 'Other' END"""
+INTENT_SQL = "CASE WHEN query_text IS NULL OR trim(query_text) = '' THEN 'anonymized_privacy' " + " ".join(
+    f"WHEN regexp_matches(lower(query_text), '{pattern}') THEN '{label}'" for label, pattern in INTENT_RULES) + " ELSE 'Other' END"
 
 
 @register("query_intents", fx.with_sql("fx_query_all") + f"""
