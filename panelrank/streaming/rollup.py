@@ -49,27 +49,30 @@ class WatermarkSink:
         self.out_dir, self.ts, self.keys, self.measures = out_dir, ts, keys, measures
         self.delay = _delay(watermark)
         self.marks = os.path.join(out_dir, "_watermark")  # hidden from the table read (leading '_')
-        self.max_seen: _dt.datetime | None = None   # max event time of the previous batches
         self.late_rows = 0
-        try:  # restart: recover the watermark from the batches already written (any file system)
-            self.max_seen = spark.read.parquet(self.marks).agg(F.max("max_ts")).first()[0]
-        except Exception:  # nothing written yet
-            self.max_seen = None
+
+    def _seen_before(self, spark: SparkSession, batch_id: int) -> _dt.datetime | None:
+        """Latest event time of the batches before this one. A repeated batch doesn't see its own mark, so it
+        drops the same rows as the first time."""
+        schema = "max_ts timestamp_ntz, late long, batch long"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.marks)
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return None
+        return spark.read.schema(schema).parquet(self.marks).where(F.col("batch") < batch_id).agg(F.max("max_ts")).first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        max_seen = self._seen_before(batch.sparkSession, batch_id)
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         ts_type = dict(b.dtypes)[self.ts]
-        wm = None if self.max_seen is None else \
-            F.lit((self.max_seen - self.delay).isoformat(sep=" ")).cast(ts_type)
+        wm = None if max_seen is None else \
+            F.lit((max_seen - self.delay).isoformat(sep=" ")).cast(ts_type)
         on_time = b if wm is None else b.filter(F.col(self.ts) >= wm)
         late = F.count_if(F.col(self.ts) < wm) if wm is not None else F.lit(0)
-        stats = b.agg(F.max(self.ts).alias("max_ts"), late.alias("late"))
+        stats = b.agg(F.max(self.ts).cast("timestamp_ntz").alias("max_ts"), late.cast("long").alias("late"))
         partials(on_time, self.ts, self.keys, self.measures).write.mode("overwrite") \
             .parquet(os.path.join(self.out_dir, f"_batch={batch_id}"))
         stats.write.mode("overwrite").parquet(os.path.join(self.marks, f"batch={batch_id}"))
         r = b.sparkSession.read.parquet(os.path.join(self.marks, f"batch={batch_id}")).first()
-        if r["max_ts"] is not None:
-            self.max_seen = r["max_ts"] if self.max_seen is None else max(self.max_seen, r["max_ts"])
         self.late_rows += int(r["late"] or 0)
         b.unpersist()
 

@@ -55,3 +55,13 @@ def test_restart_reads_new_files_and_keeps_the_watermark(spark):
                              (3, dt.datetime(2024, 1, 10, 9, 0), 7, "view", 1.0, "{}")])
     second = {(str(r.report_date), r.events) for r in stream_daily_rollup(*args, recursive=True, base_dir=state).collect()}
     assert second == {("2024-01-10", 2)}
+
+
+def test_repeated_batch_loses_nothing(spark):
+    from panelrank.streaming.rollup import WatermarkSink, final_values
+    out = os.path.join(tempfile.mkdtemp(prefix="pr-stream-", dir="/tmp"), "table")
+    rows = [(1, dt.datetime(2024, 1, 1, 8, 0), 7, "view", 1.0, "{}"), (2, dt.datetime(2024, 1, 20, 8, 0), 7, "view", 1.0, "{}")]
+    batch = spark.createDataFrame(rows, SCHEMA)
+    for _ in range(2):  # the second time as after a crash before the commit
+        WatermarkSink(spark, out, "ts", ["user_id"], {"value_sum": "value"}, "3 days")(batch, 0)
+    assert {(str(r.report_date), r.events) for r in final_values(spark, out, ["user_id"], ["events"]).collect()} == {("2024-01-01", 1), ("2024-01-20", 1)}
