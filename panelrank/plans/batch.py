@@ -18,7 +18,7 @@ FX_WINDOW, FX_SPLIT = 730, 365
 def snapshot(spark, sf_dir):
     """Raw page snapshot (A21) from the fixture daily fact and content dimension."""
     return W.build_snapshot(fx.fx_daily(spark, sf_dir), fx.fx_content(spark, sf_dir),
-                            window=FX_WINDOW, split=FX_SPLIT)
+                            end=fx.fx_last_day(spark, sf_dir), window=FX_WINDOW, split=FX_SPLIT)
 
 
 def cleaned(spark, sf_dir):
@@ -64,7 +64,7 @@ def run_pipeline(spark, sf_dir: str, out_dir: str, forest_trees: int = 200) -> d
              ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report")}
     feats = features(spark, sf_dir)
     T.write_table(feats, paths["features"], "parquet", max_rows=None)
-    preds, metrics, best, _, _, _, queue = q_models.train_and_score(spark, sf_dir, forest_trees)
+    preds, metrics, best, _, _, _, queue = q_models.train_and_score(spark, sf_dir, forest_trees, feats=feats)
     T.write_table(T.to_sink_text(queue.select(*S.BASELINE_QUEUE_COLUMNS), ["reason_codes"]),
                   paths["baseline_queue"], "csv", order_by=["baseline_rank"])
     T.write_metrics(metrics, paths["metrics"])
@@ -83,7 +83,7 @@ if __name__ == "__main__":
     import argparse
     from panelrank.session import get_spark
     ap = argparse.ArgumentParser(description="Build the review queues from a panel.")
-    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     a = ap.parse_args()

@@ -38,7 +38,7 @@ v AS (SELECT CASE WHEN COUNT(*) < 2 THEN 'insufficient'
 SELECT freshness_tier, tier_order, n, round(rate, {R9}) AS rate, n >= 50 AS judged, verdict FROM t, v""")
 def signal_test(spark, sf_dir):
     """Decline rate per ordered freshness tier, floor 50, verdict (rule ours)."""
-    s = V.signal_test(batch.features(spark, sf_dir), "freshness_tier", LABEL, FRESH)
+    s = V.signal_test(batch.features(spark, sf_dir, materialize=False), "freshness_tier", LABEL, FRESH)
     return s.select("freshness_tier", "tier_order", "n", r9("rate"), "judged", "verdict")
 
 
@@ -75,7 +75,7 @@ SELECT n_a, round(rate_a, {R9}) AS rate_a, n_b, round(rate_b, {R9}) AS rate_b, r
 FROM p""")
 def effect_size(spark, sf_dir):
     """Stale vs fresh pages: decline rates, difference, ratio, pooled std, with n."""
-    f = batch.features(spark, sf_dir).withColumn("_stale", F.col("days_since_last_update") >= 180)
+    f = batch.features(spark, sf_dir, materialize=False).withColumn("_stale", F.col("days_since_last_update") >= 180)
     e = V.effect_size(f, "_stale", LABEL)
     return e.select("n_a", r9("rate_a"), "n_b", r9("rate_b"), r9("difference"), r9("ratio"), r9("pooled_std"),
                     r9("standardized_difference"))
@@ -101,7 +101,7 @@ def label_determinism(spark, sf_dir):
 
 def _fields(spark, sf_dir):
     daily = fx.fx_daily(spark, sf_dir)
-    end = W.max_date(daily)
+    end = fx.fx_last_day(spark, sf_dir)
     prev_lo, cut = end - _dt.timedelta(days=729), end - _dt.timedelta(days=365)
     li = span(fx.fx_daily(spark, sf_dir), "report_date")  # query table spans all days of the fact
     q = li.select(F.lit("query_mix").alias("field"), F.lit("feature").alias("role"),
@@ -155,7 +155,7 @@ FROM f""")
 def sealed_guard(spark, sf_dir):
     """The prev-window feature rows stay before the sealed label window."""
     d = fx.fx_daily(spark, sf_dir)
-    end = W.max_date(d)
+    end = fx.fx_last_day(spark, sf_dir)
     f = W.scope_filter(d, "report_date", end - _dt.timedelta(days=730), end - _dt.timedelta(days=365))
     return V.sealed_guard(f, "report_date", end - _dt.timedelta(days=364))
 

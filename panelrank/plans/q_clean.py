@@ -32,7 +32,7 @@ LOGS = ["log_impressions_90d", "log_clicks_90d", "log_sessions_90d", "log_ai_ses
           + ", ".join(f"round({c}, 9) AS {c}" for c in LOGS) + ") FROM fx_features")
 def feature_vector(spark, sf_dir):
     """Scope filter, label, log features, flags (logs shown at 1e-9: libm ulps differ)."""
-    f = batch.features(spark, sf_dir)
+    f = batch.features(spark, sf_dir, materialize=False)
     return f.select(*[F.round(c, 9).alias(c) if c in LOGS else F.col(c) for c in f.columns])
 
 

@@ -35,7 +35,7 @@ SCORED_SQL = fx.with_sql("fx_daily", extra=[f"""
 
 
 def scored(spark, sf_dir):
-    tw = W.two_window(fx.fx_daily(spark, sf_dir), ["client_id", "content_id"], window=FX_WINDOW, split=FX_SPLIT,
+    tw = W.two_window(fx.fx_daily(spark, sf_dir), ["client_id", "content_id"], end=fx.fx_last_day(spark, sf_dir), window=FX_WINDOW, split=FX_SPLIT,
                       avgs={}, min_prev=None)
     tw = W.window_label(tw, out="label")
     return tw.select("content_id", "client_id", F.floor(F.col("imp_prev") / 25).cast("long").alias("score"), "label")
@@ -304,7 +304,7 @@ FROM fx_daily, b GROUP BY 1""")
 def time_split(spark, sf_dir):
     """Train <= cut - 30 d embargo < test, cut = last day - 365 d."""
     d = fx.fx_daily(spark, sf_dir)
-    end = W.max_date(d)
+    end = fx.fx_last_day(spark, sf_dir)
     t = L.time_split(d, "report_date", end - _dt.timedelta(days=365), 30)
     return t.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.min("report_date").alias("min_date"),
                                   F.max("report_date").alias("max_date"))

@@ -44,7 +44,7 @@ SELECT lv.freshness_tier, COALESCE(c.count, 0) AS count FROM lv
 LEFT JOIN (SELECT freshness_tier, COUNT(*) AS count FROM fx_features GROUP BY 1) c ON lv.freshness_tier = c.freshness_tier""")
 def freshness_counts(spark, sf_dir):
     """Value counts reindexed to the fixed tier list, 0 filled."""
-    return A.value_counts(batch.features(spark, sf_dir), "freshness_tier", levels=TIERS_FRESH)
+    return A.value_counts(batch.features(spark, sf_dir, materialize=False), "freshness_tier", levels=TIERS_FRESH)
 
 
 @register("reason_code_counts", Q.chain() + """
@@ -145,7 +145,7 @@ SELECT content_type, COUNT(*) AS n, round(SUM(clicks_90d) / SUM(impressions_90d)
 FROM fx_features GROUP BY content_type""")
 def rate_vs_mean(spark, sf_dir):
     """Denominator-weighted CTR next to the mean of per-page CTRs."""
-    r = A.rate_vs_mean(batch.features(spark, sf_dir), ["content_type"], "clicks_90d", "impressions_90d")
+    r = A.rate_vs_mean(batch.features(spark, sf_dir, materialize=False), ["content_type"], "clicks_90d", "impressions_90d")
     return r.select("content_type", "n", r9("weighted_rate"), r9("mean_of_rates"))
 
 
@@ -263,7 +263,7 @@ WHERE report_date <= (SELECT MAX(report_date) FROM fx_daily) - 3""")
 def freshness_cut(spark, sf_dir):
     """Drop the last 3 days before the export date (= last day)."""
     d = fx.fx_daily(spark, sf_dir)
-    c = T.freshness_cut(d, "report_date", W.max_date(d))
+    c = T.freshness_cut(d, "report_date", fx.fx_last_day(spark, sf_dir))
     return c.agg(F.count(F.lit(1)).alias("rows"), F.max("report_date").alias("max_date"))
 
 
@@ -343,7 +343,7 @@ SELECT client_id, content_id, keyword_group, imp_last, imp_prev,
   COUNT(*) OVER (PARTITION BY client_id, keyword_group) - 1 AS siblings FROM w""")
 def sibling_shift(spark, sf_dir):
     """J07 (rule ours): what the other pages of the same (client, keyword group) gained."""
-    tw = W.two_window(fx.fx_daily(spark, sf_dir), ["client_id", "content_id"], window=730, split=365, avgs={},
+    tw = W.two_window(fx.fx_daily(spark, sf_dir), ["client_id", "content_id"], end=fx.fx_last_day(spark, sf_dir), window=730, split=365, avgs={},
                       min_prev=None)
     w = tw.join(fx.fx_content(spark, sf_dir).select("content_id", "keyword_group"), "content_id")
     s = J.sibling_shift(w)
@@ -391,7 +391,7 @@ SELECT content_id, CAST(days_since_last_update >= 180 AS INTEGER) * CAST(impress
 FROM fx_features""")
 def stale_visible_rule(spark, sf_dir):
     """Q12: stale x visible x impressions hand rule."""
-    return S.stale_visible_rule(batch.features(spark, sf_dir)).select("content_id", "stale_score")
+    return S.stale_visible_rule(batch.features(spark, sf_dir, materialize=False)).select("content_id", "stale_score")
 
 
 @register("slipping_visible", Q.chain(upto="features") + """
@@ -400,7 +400,7 @@ SELECT content_id, client_id, score, 'Refresh Content' AS action_label, 'slippin
   FROM fx_features) WHERE score > 0""")
 def slipping_visible(spark, sf_dir):
     """Q13: slipping x visible rule, positive scores only."""
-    s = S.slipping_visible(batch.features(spark, sf_dir))
+    s = S.slipping_visible(batch.features(spark, sf_dir, materialize=False))
     return s.select("content_id", "client_id", "score", "action_label", "reason_code")
 
 
@@ -449,7 +449,7 @@ SELECT content_type, main_intent, COUNT(*) AS pages, COUNT(*) FILTER (WHERE ai_s
 FROM fx_features GROUP BY 1, 2""")
 def segment_opportunity(spark, sf_dir):
     """Q19: sparse AI-referral segments with n and a floor (EDA ranking only)."""
-    s = S.segment_opportunity(batch.features(spark, sf_dir), ["content_type", "main_intent"])
+    s = S.segment_opportunity(batch.features(spark, sf_dir, materialize=False), ["content_type", "main_intent"])
     return s.select("content_type", "main_intent", "pages", "pages_with_signal", "signal_total", r9("signal_rate"),
                     "above_floor")
 

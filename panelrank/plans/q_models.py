@@ -34,7 +34,7 @@ def _concurrent(fn, items):
         return list(pool.map(fn, items))
 
 
-def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
+def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True, feats=None):
     """Split, holdout metrics (rule and three models), choice, refit on all rows, scores.
 
     The one-hot encoding is fitted once and the encoded matrix persisted;
@@ -43,7 +43,7 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True):
     rows), flagged ``scored_in_sample``.
     Returns (predictions, metrics, best name, fitted best model, features, encoder, rule queue).
     """
-    feats = batch.features(spark, sf_dir)
+    feats = feats if feats is not None else batch.features(spark, sf_dir)
     split, strategy = L.client_holdout(feats, "client_id", LABEL)
     enc, mat = E.fit_matrix(split, NUM, CAT, LABEL, ["content_id", "client_id", "split"])
     train = mat.filter(F.col("split") == "train")

@@ -28,7 +28,7 @@ FROM fx_features""")
 def feature_metadata(spark, sf_dir):
     """S09 payload of the prepare step: raw rows, prepared rows, declining rows and rate."""
     snap = batch.snapshot(spark, sf_dir).agg(F.count(F.lit(1)).alias("initial_rows"))
-    f = batch.features(spark, sf_dir).agg(F.count(F.lit(1)).alias("prepared_rows"),
+    f = batch.features(spark, sf_dir, materialize=False).agg(F.count(F.lit(1)).alias("prepared_rows"),
                                           F.sum("is_declining_label").cast("long").alias("declining_rows"),
                                           F.avg(F.col("is_declining_label").cast("double")).alias("declining_rate"))
     return snap.crossJoin(f)

@@ -125,6 +125,11 @@ def fx_query(spark: SparkSession, sf_dir: str, all_rows: DataFrame | None = None
     return kept.join(ctx, "content_id")
 
 
+def fx_last_day(spark: SparkSession, sf_dir: str):
+    """Last day of the daily fact, from the base scan's one column: no aggregation or join runs for it."""
+    return table(spark, sf_dir, "lineitem").agg(F.max(F.col("l_shipdate").cast("date")).alias("d")).first()["d"]
+
+
 def fx_clients(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     """Client dimension: start = first day + (b % 5) * 365, NULL when b % 10 = 0."""
     d = daily if daily is not None else fx_daily(spark, sf_dir)
