@@ -7,6 +7,8 @@ Memory is bounded by slicing a batch to about ``SLICE_BYTES`` of text (one row a
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -180,6 +182,16 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def release() -> None:
+    """Gives freed memory back to the system at the end of a task: workers stay, and share the executor with others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
+
 def append_column(df: DataFrame, name: str, kind: T.DataType, make: Callable[[], Callable[[pa.RecordBatch], pa.Array]]) -> DataFrame:
     """``df`` with one more column, computed batch by batch; ``make`` runs once per task and returns the function."""
     schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
@@ -188,6 +200,9 @@ def append_column(df: DataFrame, name: str, kind: T.DataType, make: Callable[[],
         fn = make()
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, fn(b)], names=[*b.schema.names, name])
+            del b
+        del fn
+        release()
 
     return df.mapInArrow(run, schema)
 

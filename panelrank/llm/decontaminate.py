@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelrank.llm.arrays import ALNUM_WORD, Lookup, Words, append_column, fresh_name, row_slices, text_buffer
+from panelrank.llm.arrays import ALNUM_WORD, Lookup, Words, append_column, fresh_name, release, row_slices, text_buffer
 
 WINDOW = 13
 SHINGLE = 5
@@ -117,6 +117,7 @@ def _document_frequency(docs: DataFrame, text_col: str, index, n_keys: int, kind
                     pair = np.unique(w.row[at[i]].astype(np.int64) * n_keys + key)
                     total += np.bincount(pair % n_keys, minlength=n_keys)
         k = np.flatnonzero(total)
+        release()
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k], pa.int64())], names=["k", "n"])
 
     out = np.zeros(n_keys, np.int64)

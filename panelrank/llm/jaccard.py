@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelrank.llm.arrays import SPACE_WORD, Words, append_column, fresh_name, mix, row_slices, text_buffer
+from panelrank.llm.arrays import SPACE_WORD, Words, append_column, fresh_name, mix, release, row_slices, text_buffer
 from panelrank.llm.components import components
 from panelrank.llm.store import Store
 
@@ -147,6 +147,7 @@ def _postings(docs: DataFrame, text_col: str, bits: int, k: int) -> DataFrame:
                         at, blobs = [], []
                 if at:
                     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(blobs, pa.binary())], names=["fragment", "blob"])
+        release()
     return docs.select(text_col).mapInArrow(run, "fragment long, blob binary")
 
 
@@ -178,6 +179,7 @@ def _shared(table: pa.Table, bits: int) -> pa.Table:
         df = np.diff(np.append(first, len(h)))
         df = np.repeat(df, df)
         found.append((who[df > 1], h[df > 1], df[df > 1].astype(np.uint32)))
+    release()
     who, h, df = (np.concatenate([f[i] for f in found]) for i in range(3))
     order = np.argsort(who, kind="stable")
     who, h, df = who[order], h[order], df[order]

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelrank.llm.arrays import release
+
 LENGTH = 4096
 GROUP = 2 << 20          # tokens packed together
 LINEAR = 12 * 768        # linear cost of a token relative to attention over one earlier token (twelve widths of 768)
@@ -58,7 +60,9 @@ class Encoder:
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         probe = ["caf\u00e9###", "\u00e0\u00ff", "ab.", "(", "u!!"]
+        self.direct = True
         self.direct = all(self._direct(p) == self._whole(p) for p in probe)  # only for tokenizers that split this way
+        self.memo.clear()
 
     def _whole(self, chunk: str) -> bytes:
         ids = self.tok.encode(chunk, add_special_tokens=False).ids
@@ -68,10 +72,15 @@ class Encoder:
         m = _PLAIN.fullmatch(chunk)
         if m is None:
             return None
-        letters = m[1] if m[1].isascii() else "".join([_BYTE_CHAR[b] for b in m[1].encode()])
-        ids = [t.id for part in (letters, m[2]) if part for t in self.model.tokenize(part)]
+        if m[1] and m[2]:  # the letters alone may be known already
+            return self._known(m[1].encode()) + self._known(m[2].encode())
+        part = chunk if chunk.isascii() else "".join([_BYTE_CHAR[b] for b in chunk.encode()])
+        ids = [t.id for t in self.model.tokenize(part)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _known(self, chunk: bytes) -> bytes:
+        return self.memo.get(chunk) or self._new(chunk)
+
     def _new(self, chunk: bytes) -> bytes:
         got = self.old.get(chunk)
         if got is None:
@@ -83,10 +92,13 @@ class Encoder:
         return got
 
     def __call__(self, text: str) -> bytes:
-        parts = text.encode().split()  # of bytes: at ASCII white space only, which the tokenizer drops
+        raw = text.encode()
+        if self.direct and b"<|" not in raw:  # special-token strings heed case, the rest doesn't
+            raw = raw.lower()
+        parts = raw.split()  # of bytes: at ASCII white space only, which the tokenizer drops
         got = list(map(self.memo.get, parts))
         if None in got:
-            got = [g if g is not None else self.memo.get(p) or self._new(p) for g, p in zip(got, parts, strict=True)]
+            got = [g if g is not None else self._known(p) for g, p in zip(got, parts, strict=True)]
         return b"".join(got)
 
 
@@ -189,8 +201,9 @@ def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length
                         got.append((d, s, take, serial, used))
                         s, n, used = s + take, n - take, used + take
                 serial += full > 0
-            columns = [pa.concat_arrays([rows[d][0][i] for d, *_ in got]) for i in range(len(kept))] if got else None
             if got:
+                of = pa.array([d for d, *_ in got])
+                columns = [pa.concat_arrays([r[0][i] for r in rows]).take(of) for i in range(len(kept))]
                 more = [pa.array([rows[d][2] + s for d, s, *_ in got], pa.int64()), pa.array([n for _, _, n, _, _ in got], pa.int64()),
                         pa.array([rows[d][1][4 * s:4 * (s + n)] for d, s, n, _, _ in got], pa.binary()), pa.array([rows[d][3] for d, *_ in got], pa.int64()),
                         pa.array([q for *_, q, _ in got], pa.int64()), pa.array([o for *_, o in got], pa.int64())]
@@ -208,6 +221,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length
                     yield from pieces(False)
         if rows:
             yield from pieces(True)
+        release()
 
     return docs.mapInArrow(run, schema)
 

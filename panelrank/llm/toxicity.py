@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelrank.llm.arrays import ALNUM_WORD, Lookup, Words, append_column, fresh_name, group_sums, id_bucket, row_slices, text_buffer
+from panelrank.llm.arrays import ALNUM_WORD, Lookup, Words, append_column, fresh_name, group_sums, id_bucket, release, row_slices, text_buffer
 
 MAX_ROWS = 12_000        # labelled rows that train, at most (about)
 N_FEATURES = 3_000
@@ -94,7 +94,9 @@ def _choose(rows: DataFrame, n_features: int) -> np.ndarray:
             x = np.concatenate(kept, axis=1)
             u, at = np.unique(x[0], return_inverse=True)
             pos, neg = (np.bincount(at, x[i], len(u)).astype(np.int64) for i in (1, 2))
+            del kept, x, at
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(pos), pa.array(neg)], names=["h", "pos", "neg"])
+        release()
 
     n1, n0 = (F.lit(float(v)) for v in rows.agg(F.sum((F.col("_label") == 1).cast("int")) + 1, F.sum((F.col("_label") == 0).cast("int")) + 1).first())
     c = rows.mapInArrow(count, "h long, pos long, neg long").groupBy("h").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).where("p + q >= 4")
