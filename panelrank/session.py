@@ -32,14 +32,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if running is not None:
         ensure_checkpoint_dir(running)
         return running
-    SparkContext._ensure_initialized()
+    heap = {}
+    if master and master.startswith("local") and not master.startswith("local-cluster"):
+        # a local driver's heap is fixed when its JVM starts; a submitted size still wins
+        heap = {"spark.driver.memory": os.environ.get("PANELRANK_DRIVER_MEMORY", "16g")}
+    SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(list(heap.items())))
     submitted = SparkConf()  # what the submit command set
     wanted = dict(DEFAULTS)
     if shuffle_partitions is not None:
         wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    master = submitted.get("spark.master", master)
-    if master and master.startswith("local") and not master.startswith("local-cluster"):
-        wanted["spark.driver.memory"] = os.environ.get("PANELRANK_DRIVER_MEMORY", "16g")
+    given = submitted.get("spark.master", None)
+    master = given if given and given != "local[*]" else master or given  # local[*] is what submit assumes without one
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
