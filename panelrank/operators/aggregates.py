@@ -180,6 +180,27 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]], how: str = "pearso
     return reduce(DataFrame.unionByName, rows)
 
 
+def correlation_matrix(df: DataFrame, cols: list[str], how: str = "pearson", **kw) -> DataFrame:
+    """Every pair of ``cols`` once, in their order (A18): long format, all pairs in one aggregate.
+
+    ``spearman`` ranks all columns in one grouped pass first; a NULL ranks as 0, as in W01, and its pairs are left
+    out. A column without variance has no correlation (NULL).
+    """
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    val = {c: F.col(c) for c in cols}
+    if how == "spearman":
+        x = O.pct_ranks(x, {f"_r_{c}": c for c in cols}, **kw)
+        val = {c: F.when(F.col(c).isNotNull(), F.col(f"_r_{c}")) for c in cols}
+    elif how == "log":
+        val = {c: F.log1p(c) for c in cols}
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    one = x.agg(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.lit(how).alias("method"),
+                                   F.nanvl(F.corr(val[a], val[b]), F.lit(None).cast("double")).alias("corr"),
+                                   F.count_if(val[a].isNotNull() & val[b].isNotNull()).alias("n")) for a, b in pairs])
+                .alias("_m"))
+    return one.select(F.inline("_m"))
+
+
 def rate_vs_mean(df: DataFrame, by: list[str], num: str, den: str) -> DataFrame:
     """Denominator-weighted rate next to the mean of per-row rates, with n."""
     return df.groupBy(*by).agg(

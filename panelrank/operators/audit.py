@@ -9,8 +9,9 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelrank import constants as K
 from panelrank.functions import exprs as X
@@ -147,37 +148,46 @@ def cross_side_duplicates(df: DataFrame, cols: list[str], side: str = "split") -
 
 
 # ---------------------------------------------------------------- drift
-def drift(a: DataFrame, b: DataFrame, cols: list[str], bins: int = 10, eps: float = 1e-4, **kw) -> DataFrame:
-    """Population stability index per column.
-
-    Bin edges are period A's exact deciles (a handful of numbers, made
-    literals); both periods are counted per bin in one pass each; PSI =
-    sum (pa - pb) ln(pa / pb) with shares floored at ``eps``.
+def drift(a: DataFrame, b: DataFrame, cols: list[str], by: list[str] | None = None, bins: int = 10, eps: float = 1e-4,
+          **kw) -> DataFrame:
+    """Population stability index per column, and per segment with ``by``.
+
+    Bin edges are period A's exact quantiles of the segment and column, joined to both periods' rows; one grouped
+    pass counts bins for all columns and segments. PSI = sum (pa - pb) ln(pa / pb) with shares floored at
+    ``eps``. A segment without rows in one of the periods has no index (NULL, status ``no_rows``); a NULL segment is
+    one of its own, NULL values are left out.
     """
-    from panelrank.operators.aggregates import quantiles
-    out = []
+    from panelrank.operators.aggregates import grouped_quantiles
+    by = list(by or [])
+
+    def long(df):
+        # a segment is one struct, so that a NULL segment joins like any other
+        vals = df.select(F.struct(*[F.col(c) for c in by], F.lit(0).alias("_")).alias("_seg"),
+                         *[F.col(c).cast("double").alias(c) for c in cols])
+        return vals.unpivot("_seg", cols, "column_name", "_x").filter(F.col("_x").isNotNull()) \
+            .withColumn("_seg", F.to_json("_seg", {"ignoreNullFields": "false"}))
+
+    la, lb = long(a), long(b)
     qs = [i / bins for i in range(1, bins)]
-    for c in cols:
-        edges = quantiles(a, c, qs, **kw).first()
-        cuts = sorted({float(edges[f"q{i}"]) for i in range(len(qs)) if edges[f"q{i}"] is not None})
-        x = F.col(c).cast("double")
-        binx = F.lit(0)
-        for e in cuts:
-            binx = binx + (x > F.lit(e)).cast("int")
-
-        def counts(df, name):
-            t = df.filter(x.isNotNull()).groupBy(binx.alias("bin")).agg(F.count(F.lit(1)).alias(name))
-            n = df.filter(x.isNotNull()).agg(F.count(F.lit(1)).alias(f"{name}_total"))
-            return t.crossJoin(F.broadcast(n))
-
-        ca, cb = counts(a, "n_a"), counts(b, "n_b")
-        j = ca.join(cb, "bin", "full").na.fill(0, ["n_a", "n_b"])
-        tot = j.agg(F.max("n_a_total").alias("_ta"), F.max("n_b_total").alias("_tb"))
-        j = j.drop("n_a_total", "n_b_total").crossJoin(F.broadcast(tot))
-        pa = F.greatest(F.col("n_a") / F.col("_ta"), F.lit(eps))
-        pb = F.greatest(F.col("n_b") / F.col("_tb"), F.lit(eps))
-        out.append(j.agg(F.lit(c).alias("column_name"), F.sum((pa - pb) * F.log(pa / pb)).alias("psi"),
-                         F.count(F.lit(1)).alias("bins")))
-    r = reduce(DataFrame.unionByName, out)
-    return r.withColumn("status", F.when(F.col("psi") >= 0.25, "shift").when(F.col("psi") >= 0.1, "watch")
-                        .otherwise("stable"))
+    keys = ["_seg", "column_name"]
+    edges = grouped_quantiles(la, keys, "_x", qs, **kw) \
+        .select(*keys, F.array_distinct(F.array(*[f"q{i}" for i in range(len(qs))])).alias("_edges"))
+    both = la.withColumn("_a", F.lit(1)).unionByName(lb.withColumn("_a", F.lit(0)))
+    # rows fall to few values per segment and column: counted before the edges are joined, hot segments collapse here
+    vals = both.groupBy(*keys, "_x").agg(F.sum("_a").alias("n_a"), F.sum(1 - F.col("_a")).alias("n_b"))
+    cut = F.size(F.filter("_edges", lambda e: F.col("_x") > e))
+    counts = vals.join(edges, keys, "left").groupBy(*keys, cut.alias("bin")) \
+        .agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
+    # at most ``bins`` rows per segment and column
+    total = Window.partitionBy(*keys)
+    counts = counts.withColumns({"_ta": F.sum("n_a").over(total), "_tb": F.sum("n_b").over(total)})
+    pa = F.greatest(F.col("n_a") / F.when(F.col("_ta") > 0, F.col("_ta")), F.lit(eps))
+    pb = F.greatest(F.col("n_b") / F.when(F.col("_tb") > 0, F.col("_tb")), F.lit(eps))
+    known = (F.col("_ta") > 0) & (F.col("_tb") > 0)
+    r = counts.groupBy(*keys).agg(F.sum(F.when(known, (pa - pb) * F.log(pa / pb))).alias("psi"),
+                                  F.count(F.lit(1)).alias("bins"))
+    seg = F.from_json("_seg", T.StructType([a.schema[c] for c in by] + [T.StructField("_", T.IntegerType())]))
+    r = r.withColumn("_seg", seg)
+    return r.select(*[F.col(f"_seg.{c}").alias(c) for c in by], "column_name", "psi", "bins",
+                    F.when(F.col("psi").isNull(), "no_rows").when(F.col("psi") >= 0.25, "shift")
+                    .when(F.col("psi") >= 0.1, "watch").otherwise("stable").alias("status"))

@@ -15,23 +15,23 @@ from panelrank.sources import fixtures as fx
 FX_WINDOW, FX_SPLIT = 730, 365
 
 
-def snapshot(spark, sf_dir):
-    """Raw page snapshot (A21) from the fixture daily fact and content dimension."""
-    return W.build_snapshot(fx.fx_daily(spark, sf_dir), fx.fx_content(spark, sf_dir),
+def snapshot(spark, sf_dir, daily=fx.fx_daily):
+    """Raw page snapshot (A21) from a fixture daily fact and the content dimension."""
+    return W.build_snapshot(daily(spark, sf_dir), fx.fx_content(spark, sf_dir),
                             end=fx.fx_last_day(spark, sf_dir), window=FX_WINDOW, split=FX_SPLIT)
 
 
-def cleaned(spark, sf_dir):
-    return C.clean_snapshot(snapshot(spark, sf_dir))
+def cleaned(spark, sf_dir, daily=fx.fx_daily):
+    return C.clean_snapshot(snapshot(spark, sf_dir, daily))
 
 
-def features(spark, sf_dir, materialize: bool = True):
+def features(spark, sf_dir, materialize: bool = True, daily=fx.fx_daily):
     """Feature vector (C06-C10), checkpointed once into the shared checkpoint folder.
 
     Everything downstream (ranks, splits, three models, the queues) reads
     the written table instead of recomputing the daily aggregation.
     """
-    f = C.prepare_features(cleaned(spark, sf_dir))
+    f = C.prepare_features(cleaned(spark, sf_dir, daily))
     if materialize:
         ensure_checkpoint_dir(spark)
         f = f.checkpoint(eager=True)

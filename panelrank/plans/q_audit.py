@@ -6,6 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from panelrank import constants as K
 from panelrank.operators import audit as V
 from panelrank.operators import cluster as KM
 from panelrank.operators import split as L
@@ -81,7 +82,8 @@ def effect_size(spark, sf_dir):
                     r9("standardized_difference"))
 
 
-DET_COLS = ["trend_direction", "trend_pct", "position_tier", "content_type"]
+# every model input, and the label's own source
+DET_COLS = ["trend_direction", "trend_pct", *K.MODEL_NUMERIC_FEATURES, *K.MODEL_CATEGORICAL_FEATURES]
 
 
 @register("label_determinism", Q.chain(upto="features") + f"""
@@ -93,8 +95,6 @@ FROM g GROUP BY feature""")
 def label_determinism(spark, sf_dir):
     """Share of rows whose value maps to one label, plus the name guard (trend, last_30d)."""
     f = batch.features(spark, sf_dir)
-    # trend_pct arrives as double; compare as text the way the oracle does
-    f = f.withColumn("trend_pct", F.col("trend_pct").cast("string"))
     d = V.label_determinism(f, DET_COLS, LABEL)
     return d.select("feature", r9("deterministic_share"), "distinct_values", "name_flag", "role")
 
@@ -128,7 +128,7 @@ def window_overlap(spark, sf_dir):
     return V.window_overlap(_fields(spark, sf_dir))
 
 
-AUC_COLS = ["ctr", "avg_position", "days_since_last_update", "trend_pct"]
+AUC_COLS = [*K.MODEL_NUMERIC_FEATURES, "trend_pct"]
 
 
 @register("single_feature_auc", Q.chain(upto="features") + f"""
@@ -203,6 +203,26 @@ def drift_psi(spark, sf_dir):
     return d.select("column_name", r9("psi"), "bins", "status")
 
 
+@register("drift_by_client", fx.with_sql("fx_daily") + f"""
+, a AS (SELECT client_id, content_id, CAST(SUM(impressions) AS DOUBLE) AS x FROM fx_daily WHERE year(report_date) = 1999 GROUP BY 1, 2),
+b AS (SELECT client_id, content_id, CAST(SUM(impressions) AS DOUBLE) AS x FROM fx_daily WHERE year(report_date) = 2000 GROUP BY 1, 2),
+e AS (SELECT client_id, list_distinct(quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges FROM a GROUP BY 1),
+r AS (SELECT client_id, x, 1 AS in_a FROM a UNION ALL SELECT client_id, x, 0 FROM b),
+n AS (SELECT r.client_id, len([q FOR q IN edges IF x > q]) AS bin, SUM(in_a) AS na, SUM(1 - in_a) AS nb
+      FROM r JOIN e USING (client_id) GROUP BY ALL),
+p AS (SELECT client_id, greatest(na / SUM(na) OVER (PARTITION BY client_id), 0.0001) AS pa,
+             greatest(nb / SUM(nb) OVER (PARTITION BY client_id), 0.0001) AS pb FROM n)
+SELECT client_id, 'impressions' AS column_name, round(SUM((pa - pb) * ln(pa / pb)), {R9}) AS psi, COUNT(*) AS bins,
+  CASE WHEN SUM((pa - pb) * ln(pa / pb)) >= 0.25 THEN 'shift' WHEN SUM((pa - pb) * ln(pa / pb)) >= 0.1 THEN 'watch' ELSE 'stable' END AS status
+FROM p GROUP BY client_id""")
+def drift_by_client(spark, sf_dir):
+    """K05 by segment: PSI of per-page yearly impressions within each client, decile bins of the client's 1999."""
+    d = fx.fx_daily(spark, sf_dir)
+    a, b = (d.filter(F.year("report_date") == y).groupBy("client_id", "content_id").agg(F.sum("impressions").alias("impressions"))
+            for y in (1999, 2000))
+    return V.drift(a, b, ["impressions"], by=["client_id"]).select("client_id", "column_name", r9("psi"), "bins", "status")
+
+
 CLUSTER_COLS = ["impressions_90d", "clicks_90d", "sessions_90d", "days_since_last_update", "word_count"]
 
 

@@ -7,6 +7,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
+from panelrank import constants as K
 from panelrank.operators import aggregates as A
 from panelrank.operators import clean as C
 from panelrank.operators import joins as J
@@ -139,6 +140,31 @@ def correlations(spark, sf_dir):
     return out.select("col_a", "col_b", "method", r9("corr"), "n")
 
 
+MATRIX_COLS = K.MODEL_NUMERIC_FEATURES
+
+
+def _matrix_sql():
+    pairs = [(a, b) for i, a in enumerate(MATRIX_COLS) for b in MATRIX_COLS[i + 1:]]
+    ranks = ", ".join(f"(rank() OVER (ORDER BY {c}) - 1 + (count(*) OVER (PARTITION BY {c}) + 1) / 2) AS {c}" for c in MATRIX_COLS)
+
+    def one(how, src):
+        flat = lambda c: f"stddev_pop({c}) = 0"
+        vals = ", ".join(f"CASE WHEN {flat(a)} OR {flat(b)} THEN NULL ELSE round(corr({a}, {b}), 6) END" for a, b in pairs)
+        lists = f"[{', '.join(repr(a) for a, _ in pairs)}] AS col_a, [{', '.join(repr(b) for _, b in pairs)}] AS col_b"
+        return (f"SELECT unnest(col_a) AS col_a, unnest(col_b) AS col_b, '{how}' AS method, unnest(corr) AS corr, n "
+                f"FROM (SELECT {lists}, [{vals}] AS corr, COUNT(*) AS n FROM {src})")
+    return (Q.chain(upto="features") + f", ranked AS (SELECT {ranks} FROM fx_features)\n"
+            + one("pearson", "fx_features") + " UNION ALL " + one("spearman", "ranked"))
+
+
+@register("correlation_matrix", _matrix_sql())
+def correlation_matrix(spark, sf_dir):
+    """Pearson and Spearman matrices over all numeric model inputs."""
+    f = batch.features(spark, sf_dir)
+    m = A.correlation_matrix(f, MATRIX_COLS).unionByName(A.correlation_matrix(f, MATRIX_COLS, "spearman"))
+    return m.select("col_a", "col_b", "method", F.round("corr", 6).alias("corr"), "n")
+
+
 @register("rate_vs_mean", Q.chain(upto="features") + f"""
 SELECT content_type, COUNT(*) AS n, round(SUM(clicks_90d) / SUM(impressions_90d), {R9}) AS weighted_rate,
        round(AVG(clicks_90d / NULLIF(impressions_90d, 0)), {R9}) AS mean_of_rates

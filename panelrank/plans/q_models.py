@@ -207,15 +207,15 @@ def capstone_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- blend with an oracle
-def blend_frame(spark, sf_dir):
-    feats = batch.features(spark, sf_dir)
+def blend_frame(spark, sf_dir, feats=None):
+    feats = feats if feats is not None else batch.features(spark, sf_dir)
     q = batch.rule_queue(spark, sf_dir, feats)
     p = O.pct_rank(feats.select("content_id", "impressions_prev_30d"), "impressions_prev_30d", "best_model_probability")
     preds = p.select("content_id", F.lit("momentum_stand_in").alias("best_model_name"), "best_model_probability")
     return S.final_queue(q, preds, feats)
 
 
-BLEND_SQL = Q.chain(f"""
+BLEND_CTE = f"""
     fb_0 AS (SELECT *, {Q.pct_rank_sql('impressions_prev_30d', 'best_model_probability')} FROM fx_baseline),
     fb_1 AS (SELECT *, CASE WHEN max(baseline_refresh_score) OVER () > min(baseline_refresh_score) OVER ()
                  THEN (baseline_refresh_score - min(baseline_refresh_score) OVER ())
@@ -247,17 +247,21 @@ BLEND_SQL = Q.chain(f"""
              WHEN final_refresh_score >= mid THEN 'medium' ELSE 'low' END AS confidence,
         row_number() OVER (ORDER BY final_refresh_score DESC, impressions_90d DESC, sessions_90d DESC, content_id ASC)
           AS final_rank
-      FROM fb_3, fb_q)""")
+      FROM fb_3, fb_q)"""
+BLEND_SQL = Q.chain(BLEND_CTE)
 
 BLEND_COLS = [c for c in S.FINAL_QUEUE_COLUMNS if c != "best_model_name"]
+BLEND_SELECT = "SELECT " + ", ".join(
+    f"round({c}, 9) AS {c}" if c in ("final_refresh_score", "best_model_probability") else c for c in BLEND_COLS) + " FROM fb_4"
 
 
-@register("final_queue_blend", BLEND_SQL + "SELECT " + ", ".join(
-    f"round({c}, 9) AS {c}" if c in ("final_refresh_score", "best_model_probability") else c for c in BLEND_COLS)
-    + " FROM fb_4")
+@register("final_queue_blend", BLEND_SQL + BLEND_SELECT)
 def final_queue_blend(spark, sf_dir):
     """Q06-Q10 + J02 under the oracle: blend, merged codes, action, confidence, final rank."""
-    fq = blend_frame(spark, sf_dir)
+    return blend_out(blend_frame(spark, sf_dir))
+
+
+def blend_out(fq):
     return fq.select(*[F.array_join(c, "|").alias(c) if c == "final_reason_codes"
                        else F.round(c, 9).alias(c) if c in ("final_refresh_score", "best_model_probability")
                        else F.col(c) for c in BLEND_COLS])

@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the query modules fills REGISTRY
     from panelrank.plans import (  # noqa: F401
-        q_windows, q_clean, q_score, q_metrics, q_audit, q_misc, q_models,
+        q_windows, q_clean, q_score, q_metrics, q_audit, q_misc, q_models, q_busy,
     )
 
 

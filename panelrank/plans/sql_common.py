@@ -41,7 +41,7 @@ def tiers_sql() -> str:
            WHEN impressions_90d >= 300 THEN 'moderate' ELSE 'low' END AS impression_tier"""
 
 
-def snapshot_cte(window: int = FX_WINDOW, split: int = FX_SPLIT) -> str:
+def snapshot_cte(window: int = FX_WINDOW, split: int = FX_SPLIT, daily: str = "fx_daily") -> str:
     """``fx_snapshot``: content left join the grouped daily pass, with rates and tiers."""
     last = f"report_date > b.end_d - {split}"
     prev = f"report_date > b.end_d - {2 * split} AND report_date <= b.end_d - {split}"
@@ -51,7 +51,7 @@ def snapshot_cte(window: int = FX_WINDOW, split: int = FX_SPLIT) -> str:
         return f"CAST(SUM({inner}) AS BIGINT)"
 
     return f"""
-    snap_bounds AS (SELECT MAX(report_date) AS end_d FROM fx_daily),
+    snap_bounds AS (SELECT MAX(report_date) AS end_d FROM {daily}),
     snap_g AS (
       SELECT content_id,
         {s('impressions')} AS impressions_90d, {s('clicks')} AS clicks_90d, {s('pageviews')} AS pageviews_90d,
@@ -64,7 +64,7 @@ def snapshot_cte(window: int = FX_WINDOW, split: int = FX_SPLIT) -> str:
         {s('sessions', last)} AS sessions_last_30d,
         {s('impressions', prev)} AS impressions_prev_30d, {s('clicks', prev)} AS clicks_prev_30d,
         {s('sessions', prev)} AS sessions_prev_30d
-      FROM fx_daily, snap_bounds b
+      FROM {daily}, snap_bounds b
       WHERE report_date > b.end_d - {window} AND report_date <= b.end_d
       GROUP BY content_id),
     snap_r AS (
@@ -192,13 +192,13 @@ BASELINE_CTE = f"""
       FROM bl_4)"""
 
 
-def chain(*extra: str, upto: str = "baseline") -> str:
+def chain(*extra: str, upto: str = "baseline", daily: str = "fx_daily") -> str:
     """WITH prefix up to snapshot / clean / features / baseline, plus extra CTEs."""
-    parts = [snapshot_cte()]
+    parts = [snapshot_cte(daily=daily)]
     if upto in ("clean", "features", "baseline"):
         parts.append(clean_cte())
     if upto in ("features", "baseline"):
         parts.append(FEATURES_CTE)
     if upto == "baseline":
         parts.append(BASELINE_CTE)
-    return fx.with_sql("fx_daily", "fx_content", extra=parts + list(extra))
+    return fx.with_sql(daily, "fx_content", extra=parts + list(extra))

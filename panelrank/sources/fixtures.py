@@ -84,6 +84,19 @@ def fx_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily fact with many more impressions and sessions on some items, so that every volume rule is reached.
+
+    Clicks, engaged sessions and scrolls stay, so the rates of the busy items are low; positions stay as they are.
+    """
+    k = F.col("content_id")
+    return fx_daily(spark, sf_dir).withColumns({
+        "impressions": F.col("impressions") * (1 + k % 60),
+        "sessions": F.col("sessions") * (1 + k % 7),
+        "pos_milli_sum": F.col("pos_milli_sum") * (1 + k % 7),
+    })
+
+
 def fx_query_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query grain (client, content, query) with kind kept / rare / anonymized."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
@@ -197,6 +210,12 @@ SQL = {
              p.p_size * d.pos_line_sum / 1000 / d.sessions AS position,
              strftime(d.report_date, '%Y-%m') AS month
       FROM fx_day d JOIN part p ON p.p_partkey = d.content_id)""",
+    "fx_busy": """
+    fx_busy AS (
+      SELECT * REPLACE (CAST(impressions * (1 + content_id % 60) AS BIGINT) AS impressions,
+                        CAST(sessions * (1 + content_id % 7) AS BIGINT) AS sessions,
+                        CAST(pos_milli_sum * (1 + content_id % 7) AS BIGINT) AS pos_milli_sum)
+      FROM fx_daily)""",
     "fx_query_all": """
     fx_query_g AS (
       SELECT p.p_brand AS client_id, l.l_partkey AS content_id, o.o_custkey AS query_id,
@@ -246,6 +265,7 @@ SQL = {
 DEPENDS = {
     "fx_daily": [],
     "fx_content": [],
+    "fx_busy": ["fx_daily"],
     "fx_query_all": [],
     "fx_query": ["fx_query_all"],
     "fx_clients": ["fx_daily"],
