@@ -50,6 +50,13 @@ def dedupe_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return build_dim_content(df, key, order)
 
 
+def assert_unique(df: DataFrame, key: str) -> None:
+    """Raise when a key occurs twice: joins on it would multiply rows."""
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key).first()
+    if twice is not None:
+        raise ValueError(f"{key} is not unique: {twice[0]!r} occurs more than once")
+
+
 def prepare_features(df: DataFrame, min_age: int = 90, order: list[str] | None = None,
                      key: str = "content_id") -> DataFrame:
     """Scope filter, dedupe, label, log features and flags.

@@ -6,11 +6,19 @@ only the feature vector and the scored frame are worth persisting.
 
 from __future__ import annotations
 
+import os
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelrank import constants as K
 from panelrank.operators import clean as C
 from panelrank.operators import score as S
 from panelrank.operators import windows as W
 from panelrank.session import ensure_checkpoint_dir
 from panelrank.sources import fixtures as fx
+from panelrank.sources import tables as T
 
 FX_WINDOW, FX_SPLIT = 730, 365
 
@@ -48,43 +56,76 @@ def flagship(spark, sf_dir):
     return q_models.final_queue_query(spark, sf_dir)
 
 
-def run_pipeline(spark, sf_dir: str, out_dir: str, forest_trees: int = 200) -> dict:
+def snapshot_features(spark, snap, order: list[str]):
+    """Feature vector of a user's page snapshot, such as ``read_csv`` gives it.
+
+    Required columns are checked, text is coerced, and of rows with the same content id the first by ``order``
+    stays (compared after coercion; ties fall to the smallest row, so the result doesn't depend on file order).
+    """
+    T.require_columns(snap, K.REQUIRED_COLUMNS + list(order))
+    f = C.prepare_features(C.clean_snapshot(snap), order=list(order))
+    ensure_checkpoint_dir(spark)
+    return f.checkpoint(eager=True)
+
+
+def report_tables(fq):
+    """Action, confidence, trend and reason mixes of a final queue (Q11), long format."""
+    from panelrank.operators.aggregates import reason_counts
+    mix = [fq.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+           .select(F.lit(t).alias("table_name"), "value", "count")
+           for t, c in (("action", "suggested_action"), ("confidence", "confidence"), ("trend", "trend_direction"))]
+    mix.append(reason_counts(fq, "final_reason_codes").select(F.lit("reason").alias("table_name"),
+                                                              F.col("reason_code").alias("value"), "count"))
+    return reduce(DataFrame.unionByName, mix)
+
+
+def run_pipeline(spark, sf_dir: str | None, out_dir: str, forest_trees: int = 200, feats=None) -> dict:
     """The whole job as one Spark program (the reference's five steps).
 
     features (Parquet, S10) -> rule queue (CSV, S08/S11) -> models, holdout metrics (JSON, S09) ->
-    predictions (CSV) -> final queue (CSV) -> report tables (JSON). Returns the output paths.
-    Queues are written in rank order by a range-partitioned sort; no result passes through the driver.
+    predictions (CSV) -> final queue (CSV) -> report tables, run results (JSON). Returns the output paths.
+    ``feats`` are features built elsewhere (``snapshot_features``); without them the fixture views of ``sf_dir`` are
+    used. Queues are written in rank order by a range-partitioned sort; no result passes through the driver.
     """
-    import os
-    from pyspark.sql import functions as F
-    from panelrank.operators import score as S
+    from panelrank.operators import models as E
     from panelrank.plans import q_models
-    from panelrank.sources import tables as T
     paths = {k: os.path.join(out_dir, k) for k in
-             ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report")}
-    feats = features(spark, sf_dir)
+             ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report", "results")}
+    feats = feats if feats is not None else features(spark, sf_dir)
+    C.assert_unique(feats, "content_id")
     T.write_table(feats, paths["features"], "parquet", max_rows=None)
-    preds, metrics, best, _, _, _, queue = q_models.train_and_score(spark, sf_dir, forest_trees, feats=feats)
+    preds, metrics, best, model, _, enc, queue = q_models.train_and_score(spark, sf_dir, forest_trees, feats=feats)
     T.write_table(T.to_sink_text(queue.select(*S.BASELINE_QUEUE_COLUMNS), ["reason_codes"]),
                   paths["baseline_queue"], "csv", order_by=["baseline_rank"])
     T.write_metrics(metrics, paths["metrics"])
     T.write_table(preds, paths["predictions"], "csv")
     fq = S.final_queue(queue, preds, feats)
     T.write_table(T.to_sink_text(fq, ["final_reason_codes"]), paths["final_queue"], "csv", order_by=["final_rank"])
-    mix = [fq.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-           .select(F.lit(t).alias("table_name"), "value", "count")
-           for t, c in (("action", "suggested_action"), ("confidence", "confidence"), ("trend", "trend_direction"))]
-    rep = mix[0].unionByName(mix[1]).unionByName(mix[2])
-    T.write_metrics(rep, paths["report"])
+    T.write_metrics(report_tables(fq), paths["report"])
+    # importances: at most 25 names with a number each
+    top = E.importance(model, E.feature_names(enc, feats, q_models.NUM, q_models.CAT))
+    y = F.col(q_models.LABEL)
+    results = preds.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("split") == "train").alias("train_rows"),
+                        F.count_if(F.col("split") == "test").alias("test_rows"),
+                        F.avg(y.cast("double")).alias("positive_rate")) \
+        .withColumns({"best_model": F.lit(best), "features": F.array(*[F.lit(c) for c in q_models.NUM + q_models.CAT]),
+                      "importances": F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(float(v)).alias("importance"))
+                                               for n, v in top])})
+    T.write_metrics(results, paths["results"])
     return paths
 
 
 if __name__ == "__main__":
     import argparse
     from panelrank.session import get_spark
-    ap = argparse.ArgumentParser(description="Build the review queues from a panel.")
-    ap.add_argument("--sf-dir", required=True)
+    ap = argparse.ArgumentParser(description="Build the review queues from a panel or a page snapshot.")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sf-dir", help="tables that the fixture views are derived from")
+    src.add_argument("--snapshot-csv", help="page snapshot with a header, one row per content item")
+    ap.add_argument("--first-by", nargs="+", default=["client_id"], help="columns that decide which duplicate is first")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     a = ap.parse_args()
-    print(run_pipeline(get_spark(a.master), a.sf_dir, a.out))
+    spark = get_spark(a.master)
+    own = snapshot_features(spark, T.read_csv(spark, a.snapshot_csv), a.first_by) if a.snapshot_csv else None
+    print(run_pipeline(spark, a.sf_dir, a.out, feats=own))

@@ -274,14 +274,7 @@ UNION ALL SELECT 'trend', trend_direction, COUNT(*) FROM fb_4 GROUP BY 2
 UNION ALL SELECT 'reason', code, COUNT(*) FROM (SELECT unnest(codes) AS code FROM fb_4) GROUP BY 2""")
 def report_tables(spark, sf_dir):
     """Q11 + A06/A08: action, confidence, trend and reason mixes of the final queue (long format)."""
-    from panelrank.operators.aggregates import reason_counts
-    fq = blend_frame(spark, sf_dir)
-    mix = [fq.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-           .select(F.lit(t).alias("table_name"), "value", "count")
-           for t, c in (("action", "suggested_action"), ("confidence", "confidence"), ("trend", "trend_direction"))]
-    r = reason_counts(fq, "final_reason_codes").select(F.lit("reason").alias("table_name"),
-                                                      F.col("reason_code").alias("value"), "count")
-    return reduce(DataFrame.unionByName, mix + [r])
+    return batch.report_tables(blend_frame(spark, sf_dir))
 
 
 @register("queue_preview", BLEND_SQL + """

@@ -66,6 +66,13 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def require_columns(df: DataFrame, required: list[str]) -> None:
+    """Raise when a required column is absent."""
+    absent = sorted(set(required) - set(df.columns))
+    if absent:
+        raise ValueError(f"the input lacks required columns: {absent}")
+
+
 def input_profile(df: DataFrame, required: list[str], numeric: list[str] = ()) -> DataFrame:
     """Required-column check re-aimed as an input profile.
 
@@ -73,9 +80,7 @@ def input_profile(df: DataFrame, required: list[str], numeric: list[str] = ()) -
     returns one row per required/numeric column: present, nulls and values
     that fail a numeric cast. One aggregate pass, then ``unpivot``.
     """
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    require_columns(df, required)
     cols = list(dict.fromkeys(list(required) + [c for c in numeric if c in df.columns]))
     aggs = []
     for i, c in enumerate(cols):

@@ -76,3 +76,25 @@ def test_run_pipeline_writes_all_outputs(spark):
     assert spark.read.parquet(paths["features"]).count() == n
     first = spark.read.option("header", True).csv(paths["baseline_queue"]).orderBy(F.col("baseline_rank").cast("int")).first()
     assert first.baseline_rank == "1"
+
+
+def test_snapshot_csv_pipeline(spark):
+    """A snapshot written as CSV, with repeated rows, gives the features of the tables and every output once."""
+    out = tempfile.mkdtemp(prefix="pr-csv-", dir="/tmp")
+    snap = batch.snapshot(spark, SF001)
+    later = snap.filter("content_id % 3 = 0").withColumns({"client_id": F.lit("zz"), "impressions_90d": F.lit(7)})
+    snap.unionByName(later).unionByName(snap.filter("content_id % 5 = 0")).write.option("header", True).csv(os.path.join(out, "in"))
+    feats = batch.snapshot_features(spark, T.read_csv(spark, os.path.join(out, "in")), ["client_id"])
+    want = batch.features(spark, SF001, materialize=False)
+    cols = ["content_id", "client_id", "impressions_90d", "ctr", "trend_direction", "freshness_tier", "is_declining_label"]
+    got = {tuple(r) for r in feats.select(F.col("content_id").cast("long"), *cols[1:]).collect()}
+    assert got == {tuple(r) for r in want.select(*cols).collect()}
+    paths = batch.run_pipeline(spark, None, os.path.join(out, "out"), forest_trees=5, feats=feats)
+    n = len(got)
+    ids = spark.read.option("header", True).csv(paths["final_queue"]).select("content_id")
+    assert ids.count() == ids.distinct().count() == n
+    res = spark.read.json(paths["results"]).first()
+    assert (res.rows, res.train_rows + res.test_rows) == (n, n) and res.best_model and len(res.importances) > 0
+    assert {r[0] for r in spark.read.json(paths["report"]).select("table_name").distinct().collect()} == {"action", "confidence", "trend", "reason"}
+    with pytest.raises(ValueError):
+        batch.run_pipeline(spark, None, os.path.join(out, "twice"), feats=feats.unionByName(feats))
