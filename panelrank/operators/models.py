@@ -70,10 +70,12 @@ def tree(label: str = "label", depth: int = 5, leaf: int = 50) -> list:
 
 
 def forest(label: str = "label", trees: int = 200, depth: int = 10, leaf: int = 25, balanced: bool = True) -> list:
-    """Random forest (E04); MLlib caps depth at 30."""
+    """Random forest (E04); MLlib has no trees deeper than 30, so a greater depth is refused."""
+    if depth > 30:
+        raise ValueError(f"depth {depth}: trees are at most 30 deep")
     kw = {"weightCol": "_w"} if balanced else {}
     # maxMemoryInMB bounds the per-pass node statistics: larger = fewer passes over the data
-    return [RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=min(depth, 30),
+    return [RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth,
                                    minInstancesPerNode=leaf, seed=SEED, maxMemoryInMB=1024, cacheNodeIds=True,
                                    **kw)]
 

@@ -72,7 +72,7 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True,
     rows = _concurrent(holdout, [None] + list(E.build_models(n_train, LABEL, forest_trees).items()))
     metrics = reduce(DataFrame.unionByName, rows).withColumn("split_strategy", F.lit(strategy))
     metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
-    best = M.best_model(metrics.filter(F.col("model") != "baseline")).first()["model"]
+    best = M.best_model(metrics.filter(F.col("model") != "baseline"), E.MODEL_NAMES).first()["model"]
     if not refit:
         return None, metrics, best, None, feats, enc, queue
     n_all = mat.count()
@@ -316,14 +316,23 @@ def calibration(spark, sf_dir):
     return c.select("bin", "n", F.round("mean_score", 9).alias("mean_score"), "positive_rate")
 
 
-@register("bootstrap_diff")
+@register("bootstrap_diff", BLEND_SQL + f"""
+, d AS (SELECT content_id, CAST(CAST(best_model_probability >= 0.5 AS INTEGER) = is_declining_label AS INTEGER)
+               - CAST(CAST(bnorm >= 0.5 AS INTEGER) = is_declining_label AS INTEGER) AS d FROM fb_4),
+u AS (SELECT rep, d, CAST('0x' || substr(md5(concat_ws('|', content_id, rep, 42)), 1, 13) AS BIGINT) / 4503599627370496 AS u
+      FROM d, range(1, 201) t(rep)),
+w AS (SELECT rep, d, len([e FOR e IN {M.poisson_edges()} IF u >= e]) AS w FROM u),
+s AS (SELECT rep, SUM(w * d) / SUM(w) AS diff FROM w GROUP BY rep)
+SELECT round(AVG(diff), 9) AS mean_diff, round(quantile_cont(diff, 0.025), 9) AS lo, round(quantile_cont(diff, 0.975), 9) AS hi, COUNT(*) AS reps
+FROM s""")
 def bootstrap_diff(spark, sf_dir):
     """Bootstrap interval (Poisson weights, 200 replicates) of an accuracy difference:
     blended probability vs the normalized rule score, cut 0.5."""
     fq = blend_frame(spark, sf_dir)
     from panelrank.operators.clean import minmax
     fq = minmax(fq, "baseline_refresh_score", "_rule_p")
-    return M.bootstrap_diff(fq, LABEL, "best_model_probability", "_rule_p", "content_id", reps=200)
+    r = M.bootstrap_diff(fq, LABEL, "best_model_probability", "_rule_p", "content_id", reps=200)
+    return r.select(*[F.round(c, 9).alias(c) for c in ("mean_diff", "lo", "hi")], "reps")
 
 
 @register("notebook_model_report")

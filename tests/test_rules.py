@@ -1,5 +1,6 @@
 """Rule-boundary rows (fx_edges): each side of every tier cut and reason threshold."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelrank.functions import exprs as X
@@ -116,3 +117,15 @@ def test_label_source_never_enters_the_rule_score(spark):
     assert a == b
     codes = {r.content_id: r.reason_codes for r in S.baseline_queue(flipped).collect()}
     assert any("declining_with_demand" in c for c in codes.values())
+
+
+def test_best_model_ties_go_to_the_first_fit(spark):
+    from panelrank.operators import metrics as M
+    from panelrank.operators import models as E
+    cols = "model string, precision_at_50 double, average_precision double, roc_auc double"
+    rows = [(m, 0.5, 0.5, 0.5) for m in reversed(E.MODEL_NAMES)] + [("other", 0.5, 0.5, 0.5)]
+    m = spark.createDataFrame(rows, cols)
+    assert M.best_model(m, E.MODEL_NAMES).first().model == E.MODEL_NAMES[0]
+    assert M.best_model(m).first().model == "decision_tree"
+    with pytest.raises(ValueError):
+        E.forest(depth=31)
