@@ -2,9 +2,8 @@
 
 A k-mer (``k`` code points) is chosen if, of the hashes of its inner substrings of ``s`` code points, the smallest stands at its
 first or last place. The choice depends on the k-mer alone, so equal stretches give equal anchors wherever they stand and
-whatever surrounds them. A fingerprint is the list of anchors (hash and position) in text order; of a text with many anchors it
-keeps those whose hash is small, at the lowest level of halving with at most ``anchors`` of them. Levels are nested, so two
-fingerprints are compared at the higher of their levels over their whole texts.
+whatever surrounds them. A fingerprint is the list of all anchors (32-bit hash and position) in text order, so it grows with the
+text (about 2 anchors in 11 places) and a short passage shared by two long texts is seen anchor by anchor.
 
 Likeness matches anchors by hash and keeps the longest chain that ascends in both texts: ``2 * chain / (anchors of both)``.
 
@@ -15,6 +14,7 @@ syncmer is its own single anchor; a repeated k-mer counts at its first place; eq
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 
 import numpy as np
@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from panelrank.llm.arrays import POWERS, fresh_name, mix
 
-K, S, ANCHORS = 16, 6, 64
+K, S = 16, 6
+ANCHORS = math.inf       # most anchors of a fingerprint: every syncmer is one
 SPAN = 1 << 18           # code points hashed at once
 
 
@@ -59,10 +60,10 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
-Fingerprint = tuple[int, dict[int, int]]  # level, and 32-bit hash -> position in ascending order of position
+Fingerprint = tuple[np.ndarray, np.ndarray]  # 32-bit hashes, each once, and their ascending positions
 
 
-def fingerprints(texts: list[str], k: int = K, s: int = S, anchors: int = ANCHORS) -> list[Fingerprint]:
+def fingerprints(texts: list[str], k: int = K, s: int = S) -> list[Fingerprint]:
     codes = _codes(texts)
     off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     at, h = syncmers(codes, k, s)
@@ -72,46 +73,33 @@ def fingerprints(texts: list[str], k: int = K, s: int = S, anchors: int = ANCHOR
     edge = np.searchsorted(doc, np.arange(len(texts) + 1))
     out = []
     for i, t in enumerate(texts):
-        x, first = np.unique(h[edge[i]:edge[i + 1]], return_index=True)   # by hash; the first place of each
-        if not len(x):
-            out.append((0, {int.from_bytes(hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest()[:4]): 0} if t else {}))
+        own = h[edge[i]:edge[i + 1]]
+        if not len(own):
+            sole = [int.from_bytes(hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest()[:4])] if t else []
+            out.append((np.array(sole, np.int64), np.zeros(len(sole), np.int64)))
             continue
-        level = 0
-        if len(x) > anchors:                       # x is sorted: the level that leaves at most ``anchors``
-            level = 32 - int(x[anchors]).bit_length()
-            n = int(np.searchsorted(x, 1 << (32 - level))) if level else len(x)
-            while n > anchors:
-                level += 1
-                n = int(np.searchsorted(x, 1 << (32 - level)))
-            if not n:
-                n, level = 1, 32 - int(x[0]).bit_length()
-            x, first = x[:n], first[:n]
-        order = np.argsort(first)
-        pos = at[edge[i]:edge[i + 1]][first[order]] - off[i]
-        out.append((level, dict(zip(x[order].tolist(), pos.tolist(), strict=True))))
+        first = np.sort(np.unique(own, return_index=True)[1])             # the first place of each
+        out.append((own[first], at[edge[i]:edge[i + 1]][first] - off[i]))
     return out
 
 
 def show(f: Fingerprint) -> str:
-    level, anchors = f
-    return f"{level}:" + ",".join(f"{h:08x}@{p:x}" for h, p in anchors.items()) if anchors else ""
+    return ("%08x@%x," * len(f[0]) % tuple(np.stack(f, 1).ravel().tolist()))[:-1]
 
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
-    if not a[1] or not b[1]:
-        return float(not a[1] and not b[1])
-    top = 1 << (32 - max(a[0], b[0]))
-    x = [h for h in a[1] if h < top]
-    y = {h: p for h, p in b[1].items() if h < top}
-    if not x or not y:
-        return float(a == b)
-    tails: list[int] = []                          # longest chain: positions in b ascend along a
-    for h in x:
-        p = y.get(h)
-        if p is not None:
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    _, x, y = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    there = y[np.argsort(x)]                       # places in b along a
+    chain = len(there)
+    if (np.diff(there) < 0).any():                 # longest chain: places in b ascend along a
+        tails: list[int] = []
+        for p in there.tolist():
             i = bisect_left(tails, p)
             tails[i:i + 1] = [p]
-    return 2 * len(tails) / (len(x) + len(y))
+        chain = len(tails)
+    return 2 * chain / (len(a[0]) + len(b[0]))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

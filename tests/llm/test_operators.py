@@ -389,6 +389,22 @@ def test_op7_syncmers_are_closed_and_spans_join(monkeypatch):
     assert all(len(f[1]) <= syncmers.ANCHORS for f in syncmers.fingerprints([text, text[:50], "ab", "", "xyz" * 500]))
 
 
+def test_op7_every_syncmer_is_an_anchor():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    passage = " ".join(word() for _ in range(50))
+    one, two = (" ".join(word() for _ in range(8000)) for _ in range(2))
+    a, b, short = syncmers.fingerprints([f"{one} {passage} {one[:9000]}x", f"{two} {passage}", passage])
+    n = len(short[1])
+    assert n > 30 and len(a[1]) > 0.15 * len(one) and len(b[1]) > 0.15 * len(two)
+    assert n <= round(syncmers.likeness(a, b) * (len(a[1]) + len(b[1])) / 2) <= n + 4
+    assert syncmers.likeness(short, b) == 2 * n / (n + len(b[1])) and syncmers.show(short).count("@") == n
+    swapped = syncmers.fingerprints([two[20000:] + two[:20000]])[0]
+    whole = syncmers.fingerprints([two])[0]
+    longest = max(len(syncmers.fingerprints([t])[0][1]) for t in (two[20000:], two[:20000]))
+    assert abs(syncmers.likeness(whole, swapped) * (len(whole[1]) + len(swapped[1])) / 2 - longest) < 5
+
+
 def test_op7_odd_rows(spark, odd):
     out = syncmers.compare_with_next(odd).collect()
     assert len(out) == 9 and len({r.fingerprint for r in out if r.doc_id == 1}) == 1
