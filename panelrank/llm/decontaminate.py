@@ -65,7 +65,10 @@ class WindowIndex:
             table[pos] = h
             at_kind[k] = table
         self.shingle_of = at_kind
-        used = [at_kind[k][np.unique(np.concatenate([self.start[self.k == k] + j for j in range(int((self.length - self.k)[self.k == k].max()) + 1)]))] for k in self.kinds]
+        # a window has length - k + 1 shingles; the longest of its kind may have more
+        spare = self.length - self.k
+        places = {k: [self.start[(self.k == k) & (spare >= j)] + j for j in range(int(spare[self.k == k].max()) + 1)] for k in self.kinds}
+        used = [at_kind[k][np.unique(np.concatenate(places[k]))] for k in self.kinds]
         self.keys = np.unique(np.concatenate(used)) if used else np.zeros(0, np.uint64)
 
     def choose(self, df: np.ndarray) -> None:

@@ -83,6 +83,18 @@ def test_op1_blocks_short_items_and_odd_rows(spark, odd):
     assert {r.hits.n_hit for r in decontaminate.decontaminate(odd, items.where("false")).collect()} == {0}
 
 
+def test_op1_items_of_few_words_in_last_place(spark):
+    words = [f"w{i}" for i in range(60)]
+    long = [("a", " ".join(words[:20])), ("b", " ".join(words[20:33]))]
+    docs = [(1, " ".join(words)), (2, " ".join(words[38:50])), (3, " ".join(words[:12])), (4, " ".join(words[40:46] + ["no"] + words[46:]))]
+    for n in (5, 6, 7, 8, 12):
+        items = [*long, ("z", " ".join(words[40:40 + n]))]
+        got = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")).collect()
+        want = contamination(docs, items)
+        assert {r.doc_id: (r.hits.n_words, r.hits.n_hit, len(r.hits["items"]), sha(",".join(r.hits["items"]))) for r in got} == {d: w[:4] for d, w in want.items()}
+        assert want[2][1] == (n if n <= 10 else 0)
+
+
 # 2 ------------------------------------------------------------------------------------------------
 
 def check_pieces(pieces, texts, path):
