@@ -1,8 +1,8 @@
 """Main text of web pages by markup and nearest-URL page differencing.
 
 ``lines`` turns a page into text lines (blocks), each marked by the markup around it: MARKUP lines stand in menus, headers,
-footers, forms, adverts and the like and go; ARTICLE lines stand in the page's article and stay; lines of pages without an
-article element are OPEN. Pages are sorted by host and URL path and each is paired with the nearer of its two neighbours
+footers, forms, adverts and the like and go; ARTICLE lines are plain prose (headings, paragraphs, list items, cells) of the
+page's article and stay; all other lines are OPEN, inside an article as on pages without one. Pages are sorted by host and URL path and each is paired with the nearer of its two neighbours
 of the same host; the pair's lines are aligned by longest common subsequence, and the page's OPEN lines that both share are
 template and go. A neighbour that shares nearly all lines is a copy and no template, so the other neighbour counts.
 Article lines are never deleted for being shared: passages recur in real articles.
@@ -36,6 +36,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 RAW = {"script", "style", "textarea", "title", "xmp", "noframes", "iframe", "noembed"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4",
          "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "tfoot", "thead", "tr", "ul"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+PROSE = HEADINGS | {"article", "main", "blockquote", "caption", "dd", "dt", "figcaption", "li", "p", "pre", "table", "tbody", "td", "tfoot", "th", "thead", "tr"}
 DROPPED = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "noscript", "template", "button", "select", "svg", "canvas", "object", "audio", "video", "fieldset"} | RAW
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "form", "menu", "menubar", "toolbar"}
 # words of class and id names that mark what is not the article
@@ -65,9 +67,9 @@ def _dropped(attrs: str) -> bool:
 
 def lines(page: str) -> list[tuple[str, int]]:
     """(text, MARKUP, ARTICLE or OPEN) of the page's blocks in order. Without an article element, main is the article."""
-    stack: list[tuple[str, bool, int]] = []    # name, dropped, region (2: article, 1: main)
+    stack: list[tuple[str, bool, int, bool]] = []    # name, dropped, region (2: article, 1: main), plain prose
     dropped = 0
-    out: list[tuple[str, bool, int]] = []
+    out: list[tuple[str, bool, int, bool]] = []
     parts: list[str] = []
     region = 0
 
@@ -75,7 +77,7 @@ def lines(page: str) -> list[tuple[str, int]]:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append((text, dropped > 0, region))
+                out.append((text, dropped > 0, region, next((s[3] for s in reversed(stack) if s[0] in BLOCK or s[0] in PROSE), False)))
             parts.clear()
 
     at, n = 0, len(page)
@@ -115,12 +117,13 @@ def lines(page: str) -> list[tuple[str, int]]:
         if gone:
             close_block()
         kind = 0 if dropped or gone else 2 if name == "article" else 1 if name == "main" or (m[3] and re.search(r"role\s*=\s*[\"']?main\b", m[3], re.I)) else 0
-        stack.append((name, gone, max(kind, region)))
+        plain = name in PROSE and (name in HEADINGS or name in ("article", "main") or not (m[3] and _ATTR.search(m[3])))
+        stack.append((name, gone, max(kind, region), plain))
         dropped += gone
         region = max(kind, region)
     close_block()
-    best = max((r for _, gone, r in out if not gone), default=0)
-    return [(t, MARKUP if gone or (best and r < best) else ARTICLE if best else OPEN) for t, gone, r in out]
+    best = max((r for _, gone, r, _ in out if not gone), default=0)
+    return [(t, MARKUP if gone or (best and r < best) else ARTICLE if best and plain else OPEN) for t, gone, r, plain in out]
 
 
 def shared(a: list[int], b: list[int]) -> list[int]:

@@ -191,6 +191,14 @@ def test_op3_differencing_deletes_template_lines(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_op3_differencing_inside_articles(spark):
+    page = """<body><nav>Menu</nav><article><h1>Title</h1><div class="entry"><p>own {0}</p><p>said again</p><p>more {0}</p></div><div>Read our new terms</div><div>note {0}</div>
+    <p class="bar">Tell a friend</p></article>"""
+    data = [(i, f"http://h.x/a/{i:02d}", page.format(i)) for i in range(30)]
+    got = rows(html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")), "page_id")
+    assert all(got[i].text == f"Title\nown {i}\nsaid again\nmore {i}\nnote {i}" for i in range(30))
+
+
 @pytest.mark.parametrize("bits", [1 << 28, 8])
 def test_op3_alignment_is_longest(bits, monkeypatch):
     monkeypatch.setattr(html_text, "TABLE_BITS", bits)
