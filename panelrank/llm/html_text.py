@@ -2,13 +2,17 @@
 
 ``lines`` turns a page into text lines (blocks), each marked by the markup around it: MARKUP lines stand in menus, headers,
 footers, forms, adverts and the like and go; ARTICLE lines are plain prose (headings, paragraphs, list items, cells) of the
-page's article and stay; all other lines are OPEN, inside an article as on pages without one. Pages are sorted by host and URL path and each is paired with the nearer of its two neighbours
-of the same host; the pair's lines are aligned by longest common subsequence, and the page's OPEN lines that both share are
-template and go. A neighbour that shares nearly all lines is a copy and no template, so the other neighbour counts.
-Article lines are never deleted for being shared: passages recur in real articles.
+page's article and stay, for passages recur in real articles; all other lines are OPEN, inside an article (shares, notices,
+boxes) as on pages without one. The distinct pages of a host are sorted by URL path, and every page is aligned by longest common
+subsequence with its nearest distinct page on either side; the OPEN lines that it shares with the nearer one are template and go.
 
-The sort is a range partitioning over (host, path), so a host with a third of all pages is spread over many tasks; the rows at
-partition edges are aligned in a second, tiny step. Only line hashes are sorted and aligned; the html moves once at most.
+A page with as good as the same own lines is a copy and no template, so the walk goes on to the last page that is none. Own lines
+are the ARTICLE lines; without any, the OPEN ones, of which a page that shares most but not all may be a copy or have a large
+template: it counts only if no clearly distinct page is found. Equal html on a host is one page with one decision.
+
+The sort is a range partitioning over (host, path), walked in both directions, so a host with a third of all pages is spread over
+many tasks; the pages before the first distinct one of a partition are aligned with the last ones of the partitions before it in
+a second step. Only line hashes are sorted and aligned; the html moves once at most.
 
 Defined results: null and empty html give the empty text; a page alone on its host loses no OPEN line; null urls are the host
 without a name; repeated rows give equal texts.
@@ -18,18 +22,19 @@ from __future__ import annotations
 
 import html
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelrank.llm.store import Store
 
 MARKUP, ARTICLE, OPEN = 0, 1, 2
-COPY = 0.8               # a neighbour that shares this part of all lines is a copy
+COPY = 0.8               # a neighbour that shares this part of a page's own lines is, or may be, a copy
 TABLE_BITS = 1 << 28     # bits of an alignment table held at once; beyond, the alignment is split
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -190,67 +195,114 @@ def _near(x: str, y: str) -> int:
     return next((i for i in range(n) if x[i] != y[i]), n)
 
 
-_KEYED = "host string, path string, page long, digest binary, hashes array<long>, kinds array<int>"
+DISTINCT, PERHAPS, SAME = 2, 1, 0      # whether a neighbour is another page, a copy or a page with a large template, or a copy
 
 
 def _compare(me: dict, other: dict, side: int) -> dict | None:
-    """Which OPEN lines of ``me`` its neighbour shares, how near the neighbour is and whether it is a copy."""
-    if me["host"] != other["host"] or OPEN not in me["kinds"]:
+    """Which OPEN lines of ``me`` a page of its host shares, how near that page is and whether it is a copy."""
+    if me["host"] != other["host"]:
         return None
-    both = shared(me["hashes"], other["hashes"])
-    mine = set(both)
-    copy = len(both) >= COPY * len(me["hashes"])
-    drop = [i for i, k in enumerate(me["kinds"]) if k == OPEN and i in mine]
-    return {"digest": me["digest"], "path": me["path"], "host": me["host"], "rank": (0 if copy else 1 << 40) + 2 * _near(me["path"], other["path"]) + side, "drop": [] if copy else drop}
+    mine = set(shared(me["hashes"], other["hashes"]))
+    kinds = me["kinds"]
+    prose = ARTICLE in kinds
+    own = [i for i, k in enumerate(kinds) if k == (ARTICLE if prose else OPEN)]
+    both = sum(i in mine for i in own)
+    grade = DISTINCT if both < COPY * len(own) else SAME if prose or both == len(own) else PERHAPS
+    drop = [i for i, k in enumerate(kinds) if k == OPEN and i in mine] if grade else []
+    return {"host": me["host"], "digest": me["digest"], "rank": (grade << 40) + 2 * _near(me["path"], other["path"]) + side, "drop": drop}
 
 
-_FOUND = pa.schema([("part", pa.int32()), ("edge", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("page", pa.int64()), ("digest", pa.binary()),
-                    ("hashes", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int32())), ("rank", pa.int64()), ("drop", pa.list_(pa.int32()))])
-_FOUND_DDL = "part int, edge int, host string, path string, page long, digest binary, hashes array<long>, kinds array<int>, rank long, drop array<int>"
+def _grade(found: dict | None) -> int | None:
+    return found and found["rank"] >> 40
 
 
-def template_lines(pages: DataFrame, store: Store, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    """(host, path, digest, drop): places of the OPEN lines that each page shares with its nearest neighbour; pages without any are left out."""
-    url = F.coalesce(F.col(url_col), F.lit(""))
-    rows = pages.select(
-        F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"), F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"),
-        F.col(id_col).cast("long").alias("page"), F.unhex(F.sha2(F.coalesce(F.col(html_col), F.lit("")).cast("binary"), 256)).alias("digest"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+_PAGE = [("host", pa.string()), ("path", pa.string()), ("digest", pa.binary()), ("hashes", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int32()))]
+_KEYED = "host string, path string, page long, digest binary, hashes array<long>, kinds array<int>"
+LEAD, LAST, BASE = 0, 1, 2             # a partition's pages before its first distinct one, its last page, the last one distinct from that
+_FOUND = pa.schema([("part", pa.int32()), ("edge", pa.int32()), *_PAGE, ("rank", pa.int64()), ("drop", pa.list_(pa.int32()))])
+_FOUND_DDL = "part int, edge int, host string, path string, digest binary, hashes array<long>, kinds array<int>, rank long, drop array<int>"
+_EDGE = pa.schema([("part", pa.int32()), *_PAGE])
+_EDGE_DDL = "part int, host string, path string, digest binary, hashes array<long>, kinds array<int>"
+_DROP = pa.schema([("host", pa.string()), ("digest", pa.binary()), ("rank", pa.int64()), ("drop", pa.list_(pa.int32()))])
+_DROP_DDL = "host string, digest binary, rank long, drop array<int>"
 
-    def hashed(batches):
-        for b in batches:
-            got = [lines(x) for x in b.column("html").to_pylist()]
-            hashes = [[xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in g] for g in got]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array([[k for _, k in g] for g in got], pa.list_(pa.int32()))], names=["host", "path", "page", "digest", "hashes", "kinds"])
 
+def _walk(side: int):
+    """Task function over a sorted partition: each page against the page before it and, past copies, the last distinct one."""
     def walk(batches):
         from pyspark import TaskContext
 
-        part, before, count = TaskContext.get().partitionId(), None, 0
+        part = TaskContext.get().partitionId()
+        before, base, lead = None, None, True
         for b in batches:
             out = []
             for me in b.to_pylist():
-                if before is None:
-                    out.append({"part": part, "edge": 0, **me})
-                else:
-                    out += [{"part": part, **x} for x in (_compare(me, before, 1), _compare(before, me, 0)) if x]
-                before, count = me, count + 1
+                found = before and _compare(me, before, side)
+                if before and not found:                       # another host
+                    base, lead = None, False
+                elif _grade(found) == DISTINCT:
+                    base, lead = before, False
+                tried = [found, base and base is not before and _compare(me, base, side)]
+                out += [{"part": part, **x} for x in tried if x and _grade(x) and OPEN in me["kinds"]]
+                if lead:
+                    out.append({"part": part, "edge": LEAD, **me})
+                before = me
             yield pa.RecordBatch.from_pylist(out, schema=_FOUND)
-        if before is not None:
-            yield pa.RecordBatch.from_pylist([{"part": part, "edge": 1, **before}], schema=_FOUND)
+        ends = [{"part": part, "edge": e, **x} for e, x in ((LAST, before), (BASE, base)) if x]
+        yield pa.RecordBatch.from_pylist(ends, schema=_FOUND)
+    return walk
+
+
+def _ends(side: int):
+    """The pages that each partition's first ones follow: the last page of the partition before and the last one distinct from it."""
+    def ends(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: (r["part"], r["edge"]))     # two a partition at most, whatever the input
+        out, before = [], []
+        for p in sorted({r["part"] for r in rows}):
+            out += [{**x, "part": p} for x in before]
+            here = [r for r in rows if r["part"] == p]
+            before = here if len(here) == 2 else here + [x for x in before if _grade(_compare(here[0], x, side)) == DISTINCT][:1]
+        return pa.Table.from_pylist([{c: x[c] for c in _EDGE.names} for x in out], schema=_EDGE)
+    return ends
+
 
-    def edges(table: pa.Table) -> pa.Table:
-        # the first and last row of every partition: as many as partitions, whatever the input
-        e = sorted(table.to_pylist(), key=lambda r: (r["part"], r["edge"]))
-        out = [x for a, b in zip(e, e[1:], strict=False) if a["edge"] == 1 and b["edge"] == 0 for x in (_compare(a, b, 0), _compare(b, a, 1)) if x]
-        return pa.Table.from_pylist([{k: x[k] for k in ("host", "path", "digest", "rank", "drop")} for x in out], schema=pa.schema([_FOUND.field(c) for c in ("host", "path", "digest", "rank", "drop")]))
+def _across(side: int):
+    def across(leads: pa.Table, before: pa.Table) -> pa.Table:
+        follow = before.to_pylist()
+        found = [_compare(me, x, side) for me in leads.to_pylist() if OPEN in me["kinds"] for x in follow]
+        return pa.Table.from_pylist([x for x in found if x and _grade(x)], schema=_DROP)
+    return across
+
+
+def _host(url) -> Column:
+    return F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
+
+
+def template_lines(pages: DataFrame, store: Store, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
+    """(host, digest, drop): places of the OPEN lines that each page shares with its nearest distinct page; pages without any are left out."""
+    url = F.coalesce(F.col(url_col), F.lit(""))
+    rows = pages.select(
+        _host(url).alias("host"), F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"),
+        F.col(id_col).cast("long").alias("page"), F.unhex(F.sha2(F.coalesce(F.col(html_col), F.lit("")).cast("binary"), 256)).alias("digest"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+
+    def hashed(batches):
+        for b in batches:
+            got = [lines(x) for x in b.column("html").to_pylist()]
+            hashes = [[xxhash.xxh64_intdigest(f"{k}{t}") - (1 << 63) for t, k in g] for g in got]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array([[k for _, k in g] for g in got], pa.list_(pa.int32()))], names=["host", "path", "page", "digest", "hashes", "kinds"])
 
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "path", "page", "digest"]
-    keyed = store.write(rows.mapInArrow(hashed, _KEYED), "hashed")
-    found = store.write(keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(walk, _FOUND_DDL), "found")
-    across = found.where("edge is not null").withColumn("together", F.lit(0)).groupBy("together").applyInArrow(edges, "host string, path string, digest binary, rank long, drop array<int>")
-    inside = found.where("edge is null").select("host", "path", "digest", "rank", "drop")
-    best = inside.unionByName(across).groupBy("host", "path", "digest").agg(F.max_by("drop", "rank").alias("drop"))
+    one = rows.mapInArrow(hashed, _KEYED).groupBy("host", "digest").agg(F.min(F.struct("path", "page")).alias("at"), F.first("hashes").alias("hashes"), F.first("kinds").alias("kinds"))
+    keyed = store.write(one.select("host", "at.path", "at.page", "digest", "hashes", "kinds"), "hashed")
+    order, parts = ["host", "path", "page", "digest"], []
+    for side, way in ((1, F.asc_nulls_first), (0, F.desc_nulls_last)):
+        by = [way(c) for c in order]
+        walked = keyed.repartitionByRange(n, *by).sortWithinPartitions(*by).drop("page").mapInArrow(_walk(side), _FOUND_DDL)
+        found = store.write(walked, f"found{side}")
+        before = found.where(F.col("edge") > LEAD).withColumn("together", F.lit(0)).groupBy("together").applyInArrow(_ends(side), _EDGE_DDL)
+        leads = found.where(F.col("edge") == LEAD).select(*_EDGE.names)
+        parts += [found.where("edge is null").select(*_DROP.names), leads.groupBy("part").cogroup(before.groupBy("part")).applyInArrow(_across(side), _DROP_DDL)]
+    best = reduce(DataFrame.unionByName, parts).groupBy("host", "digest").agg(F.max_by("drop", F.struct("rank", "drop")).alias("drop"))
     return store.write(best.where(F.size("drop") > 0), "drop")
 
 
@@ -258,15 +310,13 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_c
     """``pages`` without the html, plus the column ``into`` with the main text (clashing columns are replaced)."""
     store = Store(pages.sparkSession, "html")
     drop = template_lines(pages, store, url_col, html_col, id_col)
-    store.drop("hashed", "found")
+    store.drop("hashed", "found0", "found1")
     url = F.coalesce(F.col(url_col), F.lit(""))
     kept = [c for c in pages.columns if c not in (html_col, into)]
     rows = pages.select(*kept, F.coalesce(F.col(html_col), F.lit("")).alias("_html"))
-    keyed = rows.withColumns({
-        "_host": F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), "_path": F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1),
-        "_digest": F.unhex(F.sha2(F.col("_html").cast("binary"), 256))})
-    d = drop.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("digest").alias("_digest"), F.col("drop").alias("_drop"))
-    joined = keyed.join(d, ["_host", "_path", "_digest"], "left").select(*kept, "_html", "_drop")
+    keyed = rows.withColumns({"_host": _host(url), "_digest": F.unhex(F.sha2(F.col("_html").cast("binary"), 256))})
+    d = drop.select(F.col("host").alias("_host"), F.col("digest").alias("_digest"), F.col("drop").alias("_drop"))
+    joined = keyed.join(d, ["_host", "_digest"], "left").select(*kept, "_html", "_drop")
 
     def run(batches):
         for b in batches:

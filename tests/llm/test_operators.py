@@ -199,6 +199,26 @@ def test_op3_differencing_inside_articles(spark):
     assert all(got[i].text == f"Title\nown {i}\nsaid again\nmore {i}\nnote {i}" for i in range(30))
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 40])
+def test_op3_copies_and_large_templates(spark, partitions):
+    menu = "".join(f"<li>item {i}</li>" for i in range(40))
+    large = f"<body><nav>{menu}</nav>" + "".join(f"<div>site {i}</div>" for i in range(5)) + "<div>{0} a</div><div>{0} b</div><div>{0} c</div>"
+    heavy = "<body>" + "".join(f"<div>top {i}</div>" for i in range(20)) + "<div>text {0}</div>"
+    run = "<body><div>Site</div><div>Sub</div>" + "".join(f"<div>{{0}} line {i}</div>" for i in range(10)) + "<div>{1}</div>"
+    data = [(i, f"http://large.x/{i:02d}", large.format(i)) for i in range(8)] + [(100 + i, f"http://heavy.x/{i:02d}", heavy.format(i)) for i in range(8)]
+    data += [(200 + i, f"http://run.x/{i:02d}", run.format("m" if 3 <= i < 15 else i, "equal")) for i in range(18)]
+    data += [(300 + i, f"http://near.x/{i:02d}", run.format("m" if 3 <= i < 15 else i, f"end {i}")) for i in range(18)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    got = rows(html_text.extract(spark.createDataFrame(data, "page_id long, url string, html string")), "page_id")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    body = lambda x: "\n".join(f"{x} line {k}" for k in range(10))
+    for i in range(18):
+        x = "m" if 3 <= i < 15 else i
+        assert got[200 + i].text == body(x) and got[300 + i].text == f"{body(x)}\nend {i}", i
+    assert all(got[i].text == f"{i} a\n{i} b\n{i} c" and got[100 + i].text == f"text {i}" for i in range(8))
+
+
 @pytest.mark.parametrize("bits", [1 << 28, 8])
 def test_op3_alignment_is_longest(bits, monkeypatch):
     monkeypatch.setattr(html_text, "TABLE_BITS", bits)
