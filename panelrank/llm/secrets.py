@@ -3,11 +3,12 @@
 Base kinds (``assign``, ``access``, ``hex``) are leftmost non-overlapping matches of a pattern, kept if long enough.
 Positions come from the text between the matches (``split``) and the matches themselves, as code points.
 
-The method adds ``entropy`` spans: candidates are long runs of token characters; each belongs to a character class
+The method adds ``entropy`` spans: candidates are long runs of token characters outside the base spans; each belongs to a character class
 (hex, alphanumeric, base64) with its own window and threshold. The Shannon entropy of the window is kept by incremental
 counts: with ``S = sum c*log2(c)`` over the window's character counts, a step adds ``f(c+1)-f(c)`` for the character that
 enters and ``f(c-1)-f(c)`` for the one that leaves, and ``H = log2(w) - S/w``. Windows at or over the threshold are merged.
-Allow-list: runs of letters only or digits only, UUIDs, placeholders and runs that overlap a base span are suppressed.
+Allow-list: candidates of letters only or digits only and UUIDs are suppressed. Placeholder words suppress the windows that
+overlap them: a candidate is cut at them, and what is left on either side is a candidate of its own.
 
 Defined results: null and empty texts have no span; repeated rows give equal spans; an empty table gives an empty result.
 """
@@ -32,13 +33,16 @@ CLASSES = [
     ("alnum", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 20, 3.6),
     ("base64", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 20, 3.7),
 ]
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 ALLOWED = [
     r"^[A-Za-z+/_=-]+$",                                                                        # words, rules, paths
     r"^[0-9+/_=-]+$",                                                                           # numbers, dates
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",           # UUID
-    r"(?i)(example|placeholder|changeme|your[_-]?(api|key|token|secret)|xxxx|1234567890|abcdefghij)",
 ]
+# words of placeholders, at full length
+PLACEHOLDER = r"(?i)(example|placeholder|changeme|your[_-]?(api|key|token|secret)|xxxx+|0?1234567890?|abcdefghijk?l?m?n?o?p?q?r?s?t?u?v?w?x?y?z?)"
+PLACE = "array<struct<start:bigint,`end`:bigint,part:string>>"
 SPAN = "array<struct<start:bigint,`end`:bigint,kind_no:int,kind:string>>"
 
 
@@ -50,7 +54,7 @@ def _places(text: str, pattern: str, group: int) -> str:
     """SQL: array of (start, end, group's text) of the matches, in code points: text before, match and group are zipped."""
     p = _lit(pattern)
     return f"""aggregate(arrays_zip(slice(split({text}, {p}, -1), 1, size(regexp_extract_all({text}, {p}, 0))), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group})),
-        named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,`end`:bigint,part:string>>)),
+        named_struct('at', 0L, 'out', cast(array() as {PLACE})),
         (a, m) -> named_struct('at', a.at + length(m.`0`) + length(m.`1`), 'out', concat(a.out, array(named_struct('start', a.at + length(m.`0`), 'end', a.at + length(m.`0`) + length(m.`1`), 'part', m.`2`)))),
         a -> a.out)"""
 
@@ -85,14 +89,24 @@ def _windows(run: str, chars: str, window: int, bits: float, lower: bool) -> str
         z -> z.out)), 1)"""
 
 
+def _outside(run: str, spans: str, at: str = "0L") -> str:
+    """SQL: (start, end, text) of the candidates in a run (start, end, part) outside the spans, which are by start and counted from ``at``."""
+    piece = lambda lo, hi: f"array(named_struct('start', {lo}, 'end', {hi}, 'part', substring({run}.part, int({lo} - {run}.start) + 1, int({hi} - {lo}))))"
+    return f"""aggregate({spans}, named_struct('at', {run}.start, 'out', cast(array() as {PLACE})),
+        (z, o) -> named_struct('at', greatest(z.at, {at} + o.`end`), 'out', case when {at} + o.start - z.at >= {LEAST} then concat(z.out, {piece('z.at', f'({at} + o.start)')}) else z.out end),
+        z -> case when {run}.`end` - z.at >= {LEAST} then concat(z.out, {piece('z.at', f'{run}.`end`')}) else z.out end)"""
+
+
 def entropy_spans(text: str, base: str) -> str:
     """SQL: spans of high entropy outside the base spans."""
-    allowed = " or ".join(f"m.part rlike {_lit(p)}" for p in ALLOWED)
-    free = f"not exists({base}, b -> b.start < m.`end` and b.`end` > m.start)"
+    allowed = lambda m: "(" + " or ".join(f"{m}.part rlike {_lit(p)}" for p in ALLOWED) + ")"
+    free = _outside("r", f"filter({base}, b -> b.start < r.`end` and b.`end` > r.start)")
+    named = f"case when p.part rlike {_lit(PLACEHOLDER)} then {_outside('p', _places('p.part', PLACEHOLDER, 0), 'p.start')} else array(p) end"
     per = [f"when m.part rlike {_lit(rule)} then {_windows('m.part', chars, w, bits, name == 'hex')}" for (name, chars, w, bits), rule in zip(CLASSES, [r"^[0-9a-fA-F]+$", r"^[0-9A-Za-z]+$", r""], strict=True)]
     found = f"transform(case {' '.join(per)} end, s -> named_struct('start', m.start + s.start, 'end', m.start + s.`end`, 'kind_no', {len(KINDS)}, 'kind', 'entropy'))"
-    runs = f"filter({_places(text, CANDIDATE, 0)}, m -> not ({allowed}) and {free})"
-    return f"case when {text} rlike {_lit(CANDIDATE)} then flatten(transform({runs}, m -> {found})) else cast(array() as {SPAN}) end"
+    runs = f"filter(flatten(transform({_places(text, CANDIDATE, 0)}, r -> {free})), p -> not {allowed('p')})"
+    parts = f"filter(flatten(transform({runs}, p -> {named})), m -> not {allowed('m')})"
+    return f"case when {text} rlike {_lit(CANDIDATE)} then flatten(transform({parts}, m -> {found})) else cast(array() as {SPAN}) end"
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", into: str = "secrets") -> DataFrame:
