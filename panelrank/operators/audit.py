@@ -7,7 +7,6 @@ that the reference only names (V01, V05) are ours and documented here.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,23 +43,37 @@ def signal_test(df: DataFrame, tier: str, label: str, order: list[str], floor: i
 
 
 def distributions(df: DataFrame, cols: list[str], **kw) -> DataFrame:
-    """Count, nulls, zeros, quantiles (exact) and population skew per column (V02); long format."""
-    from panelrank.operators.aggregates import quantiles
-    out = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        base = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(x.isNull()).alias("nulls"),
-                      F.count_if(x == 0).alias("zeros"), F.avg(x).alias("_m1"))
-        mom = df.select(x.alias("_x")).filter("_x IS NOT NULL").crossJoin(F.broadcast(base.select("_m1"))) \
-            .agg(F.avg(F.pow(F.col("_x") - F.col("_m1"), 2)).alias("_m2"),
-                 F.avg(F.pow(F.col("_x") - F.col("_m1"), 3)).alias("_m3"))
-        q = quantiles(df, c, [0.05, 0.25, 0.5, 0.75, 0.95], **kw)
-        out.append(base.crossJoin(mom).crossJoin(q).select(
-            F.lit(c).alias("column_name"), "rows", "nulls", "zeros", F.col("_m1").alias("mean"),
-            F.col("q0").alias("p05"), F.col("q1").alias("p25"), F.col("q2").alias("p50"),
-            F.col("q3").alias("p75"), F.col("q4").alias("p95"),
-            F.when(F.col("_m2") > 0, F.col("_m3") / F.pow(F.col("_m2"), 1.5)).alias("skew")))
-    return reduce(DataFrame.unionByName, out)
+    """Count, nulls, zeros, mean, exact quantiles and population skew per column (V02); long format.
+
+    The columns are unpivoted once: one grouped aggregate for counts and moments, one ordered prefix for the quantiles
+    of all of them. A column without variance has no skew.
+    """
+    from panelrank.operators.aggregates import grouped_quantiles
+    x = F.col("_x")
+    long = df.select(*[X.nan_to_null(c).alias(c) for c in cols]).unpivot([], cols, "column_name", "_x")
+    base = long.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(x.isNull()).alias("nulls"), F.count_if(x == 0).alias("zeros"), F.avg(x).alias("mean"),
+        F.when(F.var_pop(x) > 0, F.skewness(x)).alias("skew"))
+    q = grouped_quantiles(long, ["column_name"], "_x", [0.05, 0.25, 0.5, 0.75, 0.95], **kw)
+    return base.join(q, "column_name", "left").select("column_name", "rows", "nulls", "zeros", "mean", F.col("q0").alias("p05"), F.col("q1").alias("p25"),
+                                                      F.col("q2").alias("p50"), F.col("q3").alias("p75"), F.col("q4").alias("p95"), "skew")
+
+
+def category_distributions(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows, nulls, levels, most frequent level with its share and the entropy (nats) per categorical column.
+
+    Unpivoted to (column, level) and counted once; a level that holds most rows is one partial count per task. NULL is no level;
+    equally frequent levels go to the first by name.
+    """
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column_name", "_v")
+    lv = long.groupBy("column_name", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    known, n = F.col("_v").isNotNull(), F.when(F.col("_v").isNotNull(), F.col("_n"))
+    # entropy = ln N - sum n ln n / N over the levels
+    g = lv.groupBy("column_name").agg(F.sum("_n").alias("rows"), F.coalesce(F.sum(F.when(~known, F.col("_n"))), F.lit(0)).alias("nulls"), F.count_if(known).alias("levels"),
+                                      F.min(F.when(known, F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))).alias("_top"),
+                                      F.sum(n).alias("_N"), F.sum(n * F.log(n)).alias("_l"))
+    return g.select("column_name", "rows", "nulls", "levels", F.col("_top.v").alias("top_level"), (-F.col("_top.n") / F.col("_N")).alias("top_share"),
+                    (F.log("_N") - F.col("_l") / F.col("_N")).alias("entropy"))
 
 
 def effect_size(df: DataFrame, group: str, label: str) -> DataFrame:
@@ -113,8 +126,7 @@ def window_overlap(fields: DataFrame) -> DataFrame:
     lab = fields.filter(F.col("role") == "label").select(F.col("field").alias("label_field"),
                                                          F.col("win_start").alias("label_start"),
                                                          F.col("win_end").alias("label_end"))
-    from panelrank.operators.ordered import bounded_broadcast
-    j = f.crossJoin(bounded_broadcast(lab))
+    j = f.crossJoin(lab)  # fields and label windows of one job, a handful of rows each
     overlap = (F.col("win_start") <= F.col("label_end")) & (F.col("label_start") <= F.col("win_end"))
     days = F.when(overlap, F.datediff(F.least("win_end", "label_end"), F.greatest("win_start", "label_start")) + 1) \
         .otherwise(0)
@@ -181,13 +193,34 @@ def drift(a: DataFrame, b: DataFrame, cols: list[str], by: list[str] | None = No
     # at most ``bins`` rows per segment and column
     total = Window.partitionBy(*keys)
     counts = counts.withColumns({"_ta": F.sum("n_a").over(total), "_tb": F.sum("n_b").over(total)})
+    r = _psi(counts, keys, eps, "bins")
+    seg = F.from_json("_seg", T.StructType([a.schema[c] for c in by] + [T.StructField("_", T.IntegerType())]))
+    r = r.withColumn("_seg", seg)
+    return r.select(*[F.col(f"_seg.{c}").alias(c) for c in by], "column_name", "psi", "bins", "status")
+
+
+def category_drift(a: DataFrame, b: DataFrame, cols: list[str], by: list[str] | None = None, eps: float = 1e-4) -> DataFrame:
+    """Population stability index of categorical columns, over the shares of their levels (K05), per segment with ``by``.
+
+    NULL is a level of its own; a level of one period only has the share ``eps`` in the other. The rest as in ``drift``.
+    """
+    by = list(by or [])
+    keys = [*[f"_k{i}" for i in range(len(by))], "column_name"]
+
+    def long(df, mark):
+        seg = [F.col(c).alias(k) for c, k in zip(by, keys)]
+        return df.select(*seg, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(keys[:-1], cols, "column_name", "_v").withColumn("_a", F.lit(mark))
+
+    counts = long(a, 1).unionByName(long(b, 0)).groupBy(*keys, "_v").agg(F.sum("_a").alias("n_a"), F.sum(1 - F.col("_a")).alias("n_b"))
+    total = Window.partitionBy(*keys)  # one row per level
+    return _psi(counts.withColumns({"_ta": F.sum("n_a").over(total), "_tb": F.sum("n_b").over(total)}), keys, eps, "levels") \
+        .select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "column_name", "psi", "levels", "status")
+
+
+def _psi(counts: DataFrame, keys: list[str], eps: float, parts: str) -> DataFrame:
+    """Index and verdict from counts n_a, n_b per bin or level with their totals _ta, _tb."""
     pa = F.greatest(F.col("n_a") / F.when(F.col("_ta") > 0, F.col("_ta")), F.lit(eps))
     pb = F.greatest(F.col("n_b") / F.when(F.col("_tb") > 0, F.col("_tb")), F.lit(eps))
     known = (F.col("_ta") > 0) & (F.col("_tb") > 0)
-    r = counts.groupBy(*keys).agg(F.sum(F.when(known, (pa - pb) * F.log(pa / pb))).alias("psi"),
-                                  F.count(F.lit(1)).alias("bins"))
-    seg = F.from_json("_seg", T.StructType([a.schema[c] for c in by] + [T.StructField("_", T.IntegerType())]))
-    r = r.withColumn("_seg", seg)
-    return r.select(*[F.col(f"_seg.{c}").alias(c) for c in by], "column_name", "psi", "bins",
-                    F.when(F.col("psi").isNull(), "no_rows").when(F.col("psi") >= 0.25, "shift")
-                    .when(F.col("psi") >= 0.1, "watch").otherwise("stable").alias("status"))
+    r = counts.groupBy(*keys).agg(F.sum(F.when(known, (pa - pb) * F.log(pa / pb))).alias("psi"), F.count(F.lit(1)).alias(parts))
+    return r.withColumn("status", F.when(F.col("psi").isNull(), "no_rows").when(F.col("psi") >= 0.25, "shift").when(F.col("psi") >= 0.1, "watch").otherwise("stable"))

@@ -115,12 +115,10 @@ def after_start(fact: DataFrame, dim: DataFrame, key: str = "client_id", start:
                 date_col: str = "report_date") -> DataFrame:
     """Keep days on/after the client's start (F05); unknown start keeps nothing.
 
-    The client dimension is one row per client; it is broadcast after a
-    count proves it small. The range test is a filter after the equi join.
+    The client dimension is one row per client; Spark broadcasts it where its size allows. The range test is a
+    filter after the equi join.
     """
-    from panelrank.operators.ordered import bounded_broadcast
-    d = bounded_broadcast(dim.select(key, start))
-    return fact.join(d, key, "inner").filter(F.col(date_col) >= F.col(start)).drop(start)
+    return fact.join(dim.select(key, start), key, "inner").filter(F.col(date_col) >= F.col(start)).drop(start)
 
 
 def history_depth(dim: DataFrame, start: str = "start_date", days: int = K.HISTORY_DAYS) -> DataFrame:

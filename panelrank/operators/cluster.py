@@ -14,6 +14,8 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelrank.operators.ordered import materialized
+
 
 def _matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     x = df.select("*", *[F.log1p(F.greatest(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)))
@@ -30,7 +32,7 @@ def archetypes(df: DataFrame, cols: list[str], ks=(3, 4, 5), seed: int = 42):
     """Fit K-Means for each k, keep the best silhouette (K01). Returns (assigned frame, scores)."""
     x = _matrix(df, cols)
     prep = Pipeline(stages=_stages(cols)).fit(x)
-    m = prep.transform(x).persist()
+    m = materialized(prep.transform(x))
     ev = ClusteringEvaluator(featuresCol="_kfeat", predictionCol="cluster")
     scores, best = [], None
     for k in ks:
@@ -56,10 +58,10 @@ def cluster_profile(df: DataFrame, cluster: str, cols: list[str], actions: dict
     """Per cluster size and exact medians of each column; optional literal action map."""
     from panelrank.operators.aggregates import grouped_quantiles
     prof = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"))
-    for c in cols:
-        med = grouped_quantiles(df, [cluster], c, [0.5], prefix=f"median_{c}_").withColumnRenamed(
-            f"median_{c}_0", f"median_{c}")
-        prof = prof.join(med, cluster, "left")
+    long = df.select(cluster, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(cluster, cols, "_c", "_x")
+    med = grouped_quantiles(long, [cluster, "_c"], "_x", [0.5])
+    wide = med.groupBy(cluster).agg(*[F.max(F.when(F.col("_c") == c, F.col("q0"))).alias(f"median_{c}") for c in cols])
+    prof = prof.join(wide, cluster, "left")
     if actions:
         m = F.create_map(*[x for k, v in actions.items() for x in (F.lit(k), F.lit(v))])
         prof = prof.withColumn("action", m[F.col(cluster)])
@@ -70,18 +72,31 @@ def cluster_stability(df: DataFrame, cols: list[str], k: int, seeds=(1, 2)) -> D
     """Adjusted Rand index between two K-Means runs with different seeds."""
     x = _matrix(df, cols)
     prep = Pipeline(stages=_stages(cols)).fit(x)
-    m = prep.transform(x).persist()
+    m = materialized(prep.transform(x))
     a = KMeans(featuresCol="_kfeat", predictionCol="_ca", k=k, seed=seeds[0]).fit(m).transform(m)
     ab = KMeans(featuresCol="_kfeat", predictionCol="_cb", k=k, seed=seeds[1]).fit(a).transform(a)
-    ct = ab.groupBy("_ca", "_cb").agg(F.count(F.lit(1)).alias("nij"))  # k x k cells
+    return adjusted_rand(ab, "_ca", "_cb").select(F.lit(k).alias("k"), "adjusted_rand", "n")
+
+
+def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows in every pair of clusters of two assignments (K04): one grouped count, k x k cells."""
+    return df.groupBy(F.col(a).alias("cluster_a"), F.col(b).alias("cluster_b")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Adjusted Rand index of two assignments of the same rows (K04), from their contingency table.
+
+    1 for equal partitions, also where both put all rows into one cluster.
+    """
+    ct = contingency(df, a, b)
 
     def comb2(c):
         return c * (c - 1) / 2.0
 
-    sij = ct.agg(F.sum(comb2(F.col("nij"))).alias("sij"), F.sum("nij").alias("n"))
-    ai = ct.groupBy("_ca").agg(F.sum("nij").alias("a")).agg(F.sum(comb2(F.col("a"))).alias("sa"))
-    bj = ct.groupBy("_cb").agg(F.sum("nij").alias("b")).agg(F.sum(comb2(F.col("b"))).alias("sb"))
-    j = sij.crossJoin(ai).crossJoin(bj)
-    exp = F.col("sa") * F.col("sb") / comb2(F.col("n"))
+    sij = ct.agg(F.sum(comb2(F.col("rows"))).alias("sij"), F.sum("rows").alias("n"))
+    ai = ct.groupBy("cluster_a").agg(F.sum("rows").alias("a")).agg(F.sum(comb2(F.col("a"))).alias("sa"))
+    bj = ct.groupBy("cluster_b").agg(F.sum("rows").alias("b")).agg(F.sum(comb2(F.col("b"))).alias("sb"))
+    j = sij.crossJoin(ai).crossJoin(bj)  # one row each
+    exp = F.when(F.col("n") > 1, F.col("sa") * F.col("sb") / comb2(F.col("n"))).otherwise(F.lit(0.0))
     mx = (F.col("sa") + F.col("sb")) / 2
-    return j.select(F.lit(k).alias("k"), ((F.col("sij") - exp) / (mx - exp)).alias("adjusted_rand"), "n")
+    return j.select(F.when(mx == exp, F.lit(1.0)).otherwise((F.col("sij") - exp) / (mx - exp)).alias("adjusted_rand"), "n")

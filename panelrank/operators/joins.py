@@ -28,10 +28,9 @@ def with_bounds(df: DataFrame, date_col: str, end: _dt.date, window: int) -> Dat
 def star(fact: DataFrame, content: DataFrame, clients: DataFrame, content_key: str = "content_id",
          client_key: str = "client_id") -> DataFrame:
     """Star joins (J05): fact -> content (shuffle join, content grows with data) and
-    fact -> clients (broadcast once a count proves the client list small)."""
-    from panelrank.operators.ordered import bounded_broadcast
+    fact -> clients (broadcast where the client list's size allows it, which Spark finds out at run time)."""
     c = content.drop(client_key) if client_key in content.columns else content
-    return fact.join(c, content_key, "left").join(bounded_broadcast(clients), client_key, "left")
+    return fact.join(c, content_key, "left").join(clients, client_key, "left")
 
 
 def join_on_url(search: DataFrame, analytics: DataFrame, url: str = "url") -> DataFrame:
@@ -56,12 +55,8 @@ def sibling_shift(win: DataFrame, client: str = "client_id", group: str = "keywo
     holding a third of the rows is pre-reduced in every task) and are joined
     back on the group key; no self join, no window over a whole group.
     """
-    from panelrank.operators.ordered import BROADCAST_ROWS
     delta = F.col(last) - F.col(prev)
     g = win.groupBy(client, group).agg(F.sum(delta).alias("_gd"), F.count(F.lit(1)).alias("_gn"))
-    n_groups = g.count()
-    if n_groups <= BROADCAST_ROWS:
-        g = F.broadcast(g)
     j = win.join(g, [client, group], "left")
     return j.withColumn("sibling_gain", F.col("_gd") - delta).withColumn("siblings", F.col("_gn") - 1) \
         .drop("_gd", "_gn")

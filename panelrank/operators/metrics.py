@@ -12,12 +12,15 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelrank import constants as K
 from panelrank.functions import exprs as X
 from panelrank.operators import ordered as O
+from panelrank.session import ensure_checkpoint_dir
 
 
 def _y(label):
@@ -115,6 +118,16 @@ def precision_at_k(df: DataFrame, label: str, score: str, id_col: str, ks=K.PREC
     return a.select(*cols)
 
 
+def grouped_precision_at_k(df: DataFrame, label: str, score: str, id_col: str, k: int, by: list[str]) -> DataFrame:
+    """P@K per group (M04 by segment or fold): ties by id, k capped at the group's rows.
+
+    The rank limit is applied in every task before the shuffle (window group limit), so a group sends at most k rows a task.
+    """
+    w = Window.partitionBy(*by).orderBy(F.col(score).desc(), F.col(id_col).asc())
+    top = df.select(*by, _y(label).alias("_y"), score, id_col).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    return top.groupBy(*by).agg(F.avg(F.col("_y").cast("double")).alias(f"precision_at_{k}"))
+
+
 def precision_at_k_ties(df: DataFrame, label: str, score: str, k: int, id_col: str) -> DataFrame:
     """Tie-aware expected P@K (M05): rows above the boundary tie block count fully,
     the free slots take the block's positive rate."""
@@ -181,25 +194,26 @@ def lift(metric_df: DataFrame, df: DataFrame, label: str, metric_cols: list[str]
     return j.select("*", *[(F.col(c) / F.col("base_rate")).alias(f"{c}_lift") for c in metric_cols])
 
 
-def metric_row(df: DataFrame, label: str, score: str, id_col: str, name: str, **kw) -> DataFrame:
-    """One row of all headline metrics for one score column (used by M09, E08).
+def metric_rows(scores: DataFrame, label: str, score: str, id_col: str, by: str = "model", ks=K.PRECISION_KS, **kw) -> DataFrame:
+    """All headline metrics per value of ``by`` (M09, E08): one grouped pass for the counts at the cut, one ordered prefix each
+    for AUC and AP, one rank-limited window for P@K, whatever the number of scores compared."""
+    rows = O.materialized(scores.select(by, label, score, id_col))
+    w = Window.partitionBy(by).orderBy(F.col(score).desc(), F.col(id_col).asc())
+    top = rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max(ks)).groupBy(by) \
+        .agg(*[F.avg(F.when(F.col("_r") <= k, _y(label).cast("double"))).alias(f"precision_at_{k}") for k in ks])
+    t = segment_metrics(rows, label, score, [by])
+    return t.join(roc_auc(rows, label, score, by=[by], **kw), by).join(average_precision(rows, label, score, by=[by], **kw), by).join(top, by)
 
-    The scored rows feed several jobs (confusion counts, two ordered
-    prefixes, top-k), so the three needed columns are persisted once: a
-    model's transform is not re-run per metric.
-    """
-    from pyspark import StorageLevel
-    df = df.select(label, score, id_col).persist(StorageLevel.MEMORY_AND_DISK)
-    t = threshold_metrics(df, label, score)
-    a = roc_auc(df, label, score, **kw)
-    ap = average_precision(df, label, score, **kw)
-    pk = precision_at_k(df, label, score, id_col)
-    return t.crossJoin(a).crossJoin(ap).crossJoin(pk).select(F.lit(name).alias("model"), "*")
+
+def metric_row(df: DataFrame, label: str, score: str, id_col: str, name: str, **kw) -> DataFrame:
+    """One row of all headline metrics for one score column."""
+    return metric_rows(df.withColumn("model", F.lit(name)), label, score, id_col, **kw)
 
 
 def compare(df: DataFrame, label: str, scores: dict[str, str], id_col: str, **kw) -> DataFrame:
     """Comparison table: one row per score column on the same rows."""
-    return reduce(DataFrame.unionByName, [metric_row(df, label, c, id_col, n, **kw) for n, c in scores.items()])
+    long = F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).cast("double").alias("_score")) for n, c in scores.items()])
+    return metric_rows(df.select(label, id_col, F.inline(long)), label, "_score", id_col, **kw)
 
 
 def best_model(metrics: DataFrame, fit_order: list[str] = ()) -> DataFrame:
@@ -253,22 +267,123 @@ def poisson_edges() -> list[float]:
     return edges
 
 
+def poisson_weights(key: Column, reps: int, seed: int) -> Column:
+    """Poisson(1) weights of a key for replicates 1 .. reps, as one array of doubles.
+
+    52 bits of an md5 of (key, replicate, seed) are the uniform; its weight follows from the inverse distribution
+    without a cut tail.
+    """
+    def uniform(rep):
+        digits = F.substring(F.md5(F.concat_ws("|", key.cast("string"), rep.cast("string"), F.lit(str(seed)))), 1, 13)
+        return F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 52))
+
+    u = F.transform(F.sequence(F.lit(1), F.lit(reps)), uniform)
+    return F.transform(u, lambda x: reduce(lambda s, e: s + (x >= F.lit(e)).cast("int"), poisson_edges(), F.lit(0)).cast("double"))
+
+
+def _array_sums(df: DataFrame, arrays: dict[str, Column], reps: int, by: list[str] | None = None, whole: bool = True) -> DataFrame:
+    """Element-wise sums of arrays of ``reps`` doubles, partially summed in every task: no row per element.
+
+    MLlib's summarizer keeps running means, so sums of whole numbers are rounded back to whole ones.
+    """
+    def back(name):
+        a = vector_to_array(F.col(name))
+        return F.transform(a, lambda x: F.round(x)) if whole else a
+
+    rows = df.select(*(by or []), *[array_to_vector(c).alias(n) for n, c in arrays.items()])
+    if not by:  # the summarizer needs a row
+        zero = array_to_vector(F.array_repeat(F.lit(0.0), reps))
+        rows = rows.unionByName(df.sparkSession.range(1).select(*[zero.alias(n) for n in arrays]))
+    sums = [Summarizer.sum(F.col(n)).alias(n) for n in arrays]
+    g = rows.groupBy(*by).agg(*sums) if by else rows.agg(*sums)
+    return g.select(*(by or []), *[back(n).alias(n) for n in arrays])
+
+
+def _times(w: Column, x) -> Column:
+    return F.transform(w, lambda v: v * x)
+
+
+def _ratio(a: Column, b: Column) -> Column:
+    """a / b element by element, 0 where b is 0."""
+    return F.zip_with(a, b, lambda x, y: F.when(y > 0, x / y).otherwise(F.lit(0.0)))
+
+
+def _weighted_accuracy(rows: DataFrame, weights: DataFrame, label: str, scores: dict[str, str], reps: int, cut: float) -> DataFrame:
+    right = [F.sum(((F.col(c) >= cut).cast("long") == _y(label)).cast("long")).alias(f"_n{i}") for i, c in enumerate(scores.values())]
+    per = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), *right).join(weights, "_g")
+    tot = _array_sums(per, {"_n": _times(F.col("_w"), F.col("_n")), **{f"_n{i}": _times(F.col("_w"), F.col(f"_n{i}")) for i in range(len(scores))}}, reps)
+    return tot.select(*[_ratio(F.col(f"_n{i}"), F.col("_n")).alias(n) for i, n in enumerate(scores)])
+
+
+def _weighted_precision(rows: DataFrame, weights: DataFrame, label: str, score: str, id_col: str, reps: int, k: int, **kw) -> DataFrame:
+    """Precision among the first k of the resampled rows. A client's rows beyond its first k are never among them: where
+    the client is drawn at all, its first k rows alone fill the list."""
+    order = [F.col("_s").desc(), F.col(id_col).asc()]
+    own = rows.select("_g", id_col, _y(label).alias("_y"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("_s"))
+    first = own.withColumn("_r", F.row_number().over(Window.partitionBy("_g").orderBy(*order))).filter(F.col("_r") <= k).drop("_r")
+    pre = O.ordered_array_prefix(first.join(weights, "_g"), [("_s", True), id_col], "_w", reps, **kw)
+    taken = F.zip_with(F.col("_w"), F.col("_before__w"), lambda w, b: F.greatest(F.least(w, F.lit(float(k)) - b), F.lit(0.0)))
+    hits = pre.filter(F.array_min("_before__w") < k).select("_y", taken.alias("_t"))
+    tot = _array_sums(hits, {"_h": _times(F.col("_t"), F.col("_y")), "_t": F.col("_t")}, reps)
+    return tot.select(_ratio(F.col("_h"), F.col("_t")).alias("_m"))
+
+
+def _weighted_ap(rows: DataFrame, weights: DataFrame, label: str, score: str, reps: int, **kw) -> DataFrame:
+    """Step-sum average precision of the resampled rows, over distinct scores; 0 where a replicate has one class."""
+    per = rows.groupBy("_g", F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("_s")).agg(
+        F.count_if(_y(label) == 1).alias("_np"), F.count(F.lit(1)).alias("_na")).join(weights, "_g")
+    g = _array_sums(per, {"_np": _times(F.col("_w"), F.col("_np")), "_na": _times(F.col("_w"), F.col("_na"))}, reps, by=["_s"])
+    # one array of positives and of rows, so that one prefix serves both
+    both = g.select("_s", F.concat("_np", "_na").alias("_v"))
+    pre = O.ordered_array_prefix(both, [("_s", True)], "_v", 2 * reps, **kw)
+    upto = F.zip_with(F.col("_before__v"), F.col("_v"), lambda a, b: a + b)
+    tp, n = F.slice(upto, 1, reps), F.slice(upto, reps + 1, reps)
+    own = F.slice(F.col("_v"), 1, reps)
+    term = F.zip_with(own, _ratio(tp, n), lambda a, b: a * b)
+    one = pre.select(term.alias("_t"), own.alias("_p"), F.slice(F.col("_v"), reps + 1, reps).alias("_a"))
+    tot = _array_sums(one, {"_t": F.col("_t")}, reps, whole=False).crossJoin(_array_sums(one, {"_p": F.col("_p"), "_a": F.col("_a")}, reps))
+    ap = F.zip_with(_ratio(F.col("_t"), F.col("_p")), F.zip_with(F.col("_p"), F.col("_a"), lambda p, a: p < a), lambda x, ok: F.when(ok, x).otherwise(F.lit(0.0)))
+    return tot.select(ap.alias("_m"))
+
+
+def bootstrap_by_group(df: DataFrame, label: str, a: str, b: str, id_col: str, group: str, metrics=("accuracy", "precision_at_50", "average_precision"),
+                       reps: int = 200, seed: int = 42, cut: float = K.DECISION_THRESHOLD, **kw) -> DataFrame:
+    """Bootstrap intervals of metric differences a - b, resampling whole groups such as clients.
+
+    A group's Poisson(1) weights are one array of ``reps`` numbers; every replicate of a metric is an element of array
+    sums and array prefixes, so the rows are passed once whatever ``reps`` is. Rows of a group are kept or left out
+    together, so pages of one client are no independent draws. Returns (metric, mean_diff, lo, hi, reps).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.select(F.coalesce(F.col(group).cast("string"), F.lit(K.UNKNOWN)).alias("_g"), id_col, label, a, b).checkpoint(eager=True)
+    weights = rows.select("_g").distinct().withColumn("_w", poisson_weights(F.col("_g"), reps, seed))
+    out = []
+    for m in metrics:
+        if m == "accuracy":
+            x = _weighted_accuracy(rows, weights, label, {"_a": a, "_b": b}, reps, cut)
+        elif m.startswith("precision_at_"):
+            x = reduce(DataFrame.crossJoin, [_weighted_precision(rows, weights, label, c, id_col, reps, int(m[13:]), **kw).withColumnRenamed("_m", n) for n, c in (("_a", a), ("_b", b))])
+        elif m == "average_precision":
+            x = reduce(DataFrame.crossJoin, [_weighted_ap(rows, weights, label, c, reps, **kw).withColumnRenamed("_m", n) for n, c in (("_a", a), ("_b", b))])
+        else:
+            raise ValueError(f"no metric {m}")
+        d = x.select(F.explode(F.zip_with("_a", "_b", lambda p, q: p - q)).alias("diff"))
+        out.append(d.agg(F.lit(m).alias("metric"), F.avg("diff").alias("mean_diff"), F.percentile("diff", 0.025).alias("lo"),
+                         F.percentile("diff", 0.975).alias("hi"), F.count(F.lit(1)).alias("reps")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def bootstrap_diff(df: DataFrame, label: str, a: str, b: str, id_col: str, reps: int = 200, seed: int = 42,
                    cut: float = K.DECISION_THRESHOLD) -> DataFrame:
-    """Bootstrap interval of an accuracy difference.
+    """Bootstrap interval of an accuracy difference, resampling rows.
 
-    Poisson(1) weights from an md5 of (id, replicate, seed) stand in for
-    resampling: 52 bits are the uniform, its weight follows from the inverse
-    distribution without a cut tail. Each replicate is a weighted sum, partially
-    summed in every task before the shuffle. Returns the mean difference and the 2.5 / 97.5 % points.
+    The weights of a row are one array; replicates are elements of two array sums, not rows. Returns the mean
+    difference and the 2.5 / 97.5 % points.
     """
     y = _y(label)
     d = ((F.col(a) >= cut).cast("long") == y).cast("double") - ((F.col(b) >= cut).cast("long") == y).cast("double")
-    x = df.select(d.alias("_d"), F.col(id_col).cast("string").alias("_id"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
-    digits = F.substring(F.md5(F.concat_ws("|", "_id", "rep", F.lit(seed))), 1, 13)
-    x = x.withColumn("_u", F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 52)))
-    w = reduce(lambda s, e: s + (F.col("_u") >= F.lit(e)).cast("int"), poisson_edges(), F.lit(0))
-    rep = x.withColumn("_w", w).groupBy("rep").agg((F.sum(F.col("_w") * F.col("_d")) / F.sum("_w")).alias("diff"))
-    q = rep.agg(F.avg("diff").alias("mean_diff"), F.percentile("diff", 0.025).alias("lo"),
-                F.percentile("diff", 0.975).alias("hi"), F.count(F.lit(1)).alias("reps"))
-    return q
+    x = df.select(d.alias("_d"), poisson_weights(F.col(id_col), reps, seed).alias("_w"))
+    tot = _array_sums(x, {"_n": _times(F.col("_w"), F.col("_d")), "_t": F.col("_w")}, reps)
+    rep = tot.select(F.explode(F.zip_with("_n", "_t", lambda n, t: F.when(t > 0, n / t))).alias("diff"))
+    return rep.agg(F.avg("diff").alias("mean_diff"), F.percentile("diff", 0.025).alias("lo"),
+                   F.percentile("diff", 0.975).alias("hi"), F.count(F.lit(1)).alias("reps"))

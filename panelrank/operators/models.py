@@ -14,7 +14,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
                                        RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelrank import constants as K
@@ -141,28 +141,39 @@ def leaf_table(model: PipelineModel, df: DataFrame, numeric, categorical, label:
         .withColumnRenamed("_leaf", "leaf")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, numeric, categorical, label: str, cols: list[str],
-                           id_col: str, seed: int = SEED) -> DataFrame:
-    """Permutation importance as the drop in AUC.
+SHUFFLE_ROWS = 1_000_000  # rows among which a value is exchanged
 
-    A column is shuffled by joining it on row positions: rows ordered by id
-    get the value of the row at the same position in a hash order. Both
-    positions come from the ordered prefix; nothing is collected.
+
+def permutation_importance(model: PipelineModel, df: DataFrame, numeric, categorical, label: str, id_col: str, cols: list[str] | None = None,
+                           repeats: int = 1, seed: int = SEED) -> DataFrame:
+    """Permutation importance of every input as the drop in AUC (E11): feature, base_auc, shuffled_auc, auc_drop.
+
+    One row stands in for another's value: rows are dealt by a hash of their id to random groups of about ``SHUFFLE_ROWS``
+    and inside one, in hash order, each row takes the next row's value (the last one the first's), a permutation
+    without fixed points. The same partner serves every feature, so one window pass over the rows gives all of them; the replicates (a feature,
+    a row) are written out next to the row, scored where they are and reduced to one AUC per feature by a grouped pass.
     """
     from panelrank.operators import metrics as M
     from panelrank.operators import ordered as O
-    base = M.roc_auc(score(model, df, numeric, categorical, "_p"), label, "_p").first()["roc_auc"]
-    rows = []
-    by_id, _ = O.ordered_prefix(df, [id_col], [], pos_col="_pid")
-    for c in cols:
-        h = df.select(F.col(c).alias("_shuf"),
-                      F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{c}|{seed}"))).alias("_h"),
-                      F.col(id_col).alias("_hid"))
-        hp, _ = O.ordered_prefix(h, ["_h", "_hid"], [], pos_col="_pid")
-        shuffled = by_id.join(hp.select("_pid", "_shuf"), "_pid").drop(c, "_pid").withColumnRenamed("_shuf", c)
-        auc = M.roc_auc(score(model, shuffled, numeric, categorical, "_p"), label, "_p").first()["roc_auc"]
-        rows.append((c, float(base), float(auc), float(base - auc)))
-    return df.sparkSession.createDataFrame(rows, "feature string, base_auc double, shuffled_auc double, auc_drop double")
+    inputs = [*numeric, *categorical]
+    cols = list(cols or inputs)
+    rows = O.materialized(df.select(F.col(id_col).alias("_id"), F.col(label).alias("_y"), F.struct(*inputs).alias("_x")))
+    groups = max(1, -(-rows.count() // SHUFFLE_ROWS))
+    dealt = rows.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).withColumn("_h", F.xxhash64(F.col("_id").cast("string"), "_rep", F.lit(seed)))
+    w = Window.partitionBy("_rep", F.pmod("_h", F.lit(groups))).orderBy("_h", "_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    paired = dealt.withColumn("_z", F.coalesce(F.lead("_x").over(w), F.first("_x").over(whole)))
+
+    def replicate(name):
+        return F.struct(F.lit(name).alias("feature"), *[F.col("_z" if c == name else "_x")[c].alias(c) for c in inputs])
+
+    shuffled = paired.select("_y", "_rep", F.inline(F.array(*[replicate(c) for c in cols])))
+    plain = rows.select("_y", F.lit(0).alias("_rep"), F.lit("").alias("feature"), "_x.*")
+    scored = score(model, plain.unionByName(shuffled), numeric, categorical, "_p")
+    auc = O.materialized(M.roc_auc(scored, "_y", "_p", by=["feature", "_rep"]))
+    base = auc.filter("feature = ''").select(F.col("roc_auc").alias("base_auc"))  # one row
+    drop = auc.filter("feature <> ''").groupBy("feature").agg(F.avg("roc_auc").alias("shuffled_auc")).crossJoin(F.broadcast(base))
+    return drop.select("feature", "base_auc", "shuffled_auc", (F.col("base_auc") - F.col("shuffled_auc")).alias("auc_drop"))
 
 
 def leak_probe(train: DataFrame, test: DataFrame, base_cols: list[str], suspect: str, label: str,
@@ -181,12 +192,19 @@ def leak_probe(train: DataFrame, test: DataFrame, base_cols: list[str], suspect:
 # ---------------------------------------------------------------- shared feature matrix
 def fit_matrix(df: DataFrame, numeric, categorical, label: str, keep: list[str]):
     """Fit the encoding once (on all rows, as the one-hot matrix is built before the split)
-    and return (encoder model, persisted matrix with ``features`` + ``keep`` columns)."""
-    from pyspark import StorageLevel
+    and return (encoder model, matrix with ``features`` + ``keep`` columns, written to the checkpoint folder)."""
+    from panelrank.operators.ordered import materialized
     x = prepare_matrix(df, numeric, categorical).withColumn(label, F.col(label).cast("double"))
     enc = Pipeline(stages=feature_stages(numeric, categorical)).fit(x)
-    mat = enc.transform(x).select(*keep, label, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    return enc, mat
+    return enc, materialized(sized(enc.transform(x).select(*keep, label, "features")))
+
+
+ROWS_PER_PARTITION = 20_000  # a fit makes a few passes of small jobs; fewer tasks than rows warrant cost more than they do
+
+
+def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """``df`` in no more partitions than its rows warrant: many tiny tasks slow every pass of a fit."""
+    return df.coalesce(max(1, -(-df.count() // rows_per_partition)))
 
 
 def fit_on_matrix(mat: DataFrame, model_stages: list, label: str) -> PipelineModel:

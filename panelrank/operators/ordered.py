@@ -23,15 +23,17 @@ from __future__ import annotations
 import functools
 import math
 
-from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelrank.session import ensure_checkpoint_dir
+
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 16384
 MIN_ROWS_PER_BUCKET = 1000
 SAMPLE_KEYS_MAX = 200_000
-BROADCAST_ROWS = 2_000_000  # distinct-value tables up to this size are broadcast
 
 
 @functools.total_ordering
@@ -114,19 +116,21 @@ def _norm_order(order):
     return out
 
 
-def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROWS_PER_BUCKET,
-                   max_buckets: int = MAX_BUCKETS, seed: int = 17, pos_col: str = "_pos"):
-    """Add ``_pos`` (rows strictly before, 0-based) and ``_before_<m>`` prefix sums.
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written once into the shared checkpoint folder and reread.
 
-    ``order`` is a list of column names or ``(name, descending)`` pairs; the
-    key must be unique. NULL key values sort last in either direction. Returns ``(frame, totals)``
-    where ``totals`` holds the row count ``n`` and the total of each measure.
+    Several jobs read it (count, sample, totals, result). The files belong to the DataFrame: Spark's cleaner removes them once it
+    is no longer used (``cleanCheckpoints``), so nothing stays in executor memory, and a lost executor replays nothing.
     """
-    order = _norm_order(order)
-    measures = list(measures)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _bucketed(df: DataFrame, order, rows_per_bucket: int, max_buckets: int, seed: int) -> tuple[DataFrame, int]:
+    """(materialized ``df`` with ``_bucket``, row count): buckets follow each other in ``order``."""
     keys = [c for c, _ in order]
-    # the input feeds up to four jobs (count, sample, bucket totals, result)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    desc = [d for _, d in order]
+    df = materialized(df)
     n = df.count()
     # at least the shuffle parallelism once buckets keep >= MIN_ROWS_PER_BUCKET rows; a table
     # smaller than that (counted above) is ranked in a single task
@@ -138,19 +142,36 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
         # sampled keys per bucket, from all partitions alike; about SAMPLE_KEYS_MAX reach the driver at most.
         # NULL keys are sampled too, so a block of them is cut by the later keys
         per = max(1, min(40, SAMPLE_KEYS_MAX // m))
-        frac = min(1.0, per * m / n)
-        sample = df.select(*keys).sample(False, frac, seed).collect()
-        pts = sorted((tuple(r) for r in sample), key=lambda t: _Key(t, [d for _, d in order]))
+        sample = df.select(*keys).sample(False, min(1.0, per * m / n), seed).collect()
+        pts = sorted((tuple(r) for r in sample), key=lambda t: _Key(t, desc))
         step = len(pts) / m
         for i in range(1, m if pts else 1):
             p = pts[min(len(pts) - 1, int(i * step))]
-            if not cuts or _Key(cuts[-1], [d for _, d in order]) < _Key(p, [d for _, d in order]):
+            if not cuts or _Key(cuts[-1], desc) < _Key(p, desc):
                 cuts.append(p)
     if not cuts:
         bucket = F.lit(0)
     else:
         bucket = (_bucket_expr if len(cuts) <= CASE_TREE_MAX_CUTS else _bucket_search)(df, order, cuts)
-    b = df.withColumn("_bucket", bucket.cast("int"))
+    return df.withColumn("_bucket", bucket.cast("int")), n
+
+
+def _in_bucket(order):
+    # NULL keys sort last in either direction, in the buckets and in the window alike
+    return Window.partitionBy("_bucket").orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order])
+
+
+def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROWS_PER_BUCKET,
+                   max_buckets: int = MAX_BUCKETS, seed: int = 17, pos_col: str = "_pos"):
+    """Add ``_pos`` (rows strictly before, 0-based) and ``_before_<m>`` prefix sums.
+
+    ``order`` is a list of column names or ``(name, descending)`` pairs; the
+    key must be unique. NULL key values sort last in either direction. Returns ``(frame, totals)``
+    where ``totals`` holds the row count ``n`` and the total of each measure.
+    """
+    order = _norm_order(order)
+    measures = list(measures)
+    b, n = _bucketed(df, order, rows_per_bucket, max_buckets, seed)
     tot = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"),
                                    *[F.sum(F.col(x)).alias(f"_s{i}") for i, x in enumerate(measures)]).collect()
     tot = sorted(tot, key=lambda r: r["_bucket"])
@@ -170,9 +191,7 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
         arr = [d.get(b, 0) for b in range(max(d) + 1)]
         return F.element_at(F.array(*[F.lit(v) for v in arr]), F.col("_bucket") + 1)
 
-    # NULL keys sort last in either direction, in the buckets and in the window alike
-    w = Window.partitionBy("_bucket").orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last()
-                                                for c, d in order])
+    w = _in_bucket(order)
     wprev = w.rowsBetween(Window.unboundedPreceding, -1)
     cols = [(as_map(offs_n) + F.row_number().over(w) - 1).cast("long").alias(pos_col)]
     for i, x in enumerate(measures):
@@ -185,14 +204,42 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
     return out, totals
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` only when a count proves it small; otherwise the plain frame (shuffle join)."""
-    return F.broadcast(df) if df.count() <= limit else df
+def ordered_array_prefix(df: DataFrame, order, col: str, size: int, rows_per_bucket: int = ROWS_PER_BUCKET,
+                         max_buckets: int = MAX_BUCKETS, seed: int = 17) -> DataFrame:
+    """Add ``_before_<col>``: element-wise sums of the arrays ``col`` (``size`` whole doubles) over the rows strictly before.
 
-
-def _join_small(big: DataFrame, small: DataFrame, on, small_rows: int) -> DataFrame:
-    """Join a per-value table back; broadcast only under a checked row bound."""
-    if small_rows <= BROADCAST_ROWS:
+    The buckets of ``ordered_prefix``; inside one, a running summarizer adds the arrays up, and the totals of the buckets
+    before it are joined (one row per bucket). The summarizer keeps means, so sums are rounded back to whole numbers.
+    """
+    order = _norm_order(order)
+    b, _ = _bucketed(df.withColumn("_vec", array_to_vector(col)), order, rows_per_bucket, max_buckets, seed)
+    whole = lambda a: F.transform(vector_to_array(a), lambda x: F.round(x))
+    totals = b.groupBy("_bucket").agg(Summarizer.sum(F.col("_vec")).alias("_t")).select("_bucket", whole(F.col("_t")).alias("_t")).collect()
+    run, rows = [0.0] * size, []
+    for r in sorted(totals, key=lambda r: r["_bucket"]):
+        rows.append((r["_bucket"], list(run)))
+        run = [x + y for x, y in zip(run, r["_t"])]
+    offsets = df.sparkSession.createDataFrame(rows, "_bucket int, _off array<double>")
+    upto = Summarizer.metrics("sum").summary(F.col("_vec")).over(_in_bucket(order).rowsBetween(Window.unboundedPreceding, 0))
+    out = b.withColumn("_upto", upto).withColumn("_upto", whole(F.col("_upto.sum"))).join(offsets, "_bucket")
+    before = F.zip_with(F.zip_with("_upto", col, lambda x, y: x - y), "_off", lambda x, y: x + y)
+    return out.withColumn(f"_before_{col}", before).drop("_vec", "_upto", "_off", "_bucket")
+
+
+def fits_broadcast(spark, size: int) -> bool:
+    """Is a table of ``size`` bytes within the session's own limit for broadcast joins?"""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    digits = limit.rstrip("kmgtb")
+    scale = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[limit[len(digits):].rstrip("b")]
+    return 0 <= size <= int(digits) * scale
+
+
+VALUE_ROW_BYTES = 32  # a value and its rank, two doubles in a row of Spark's format
+
+
+def _join_values(big: DataFrame, small: DataFrame, on, rows: int) -> DataFrame:
+    """Join a per-value table of counted rows back: broadcast if its bytes are within the session's limit, else as Spark plans it."""
+    if fits_broadcast(big.sparkSession, rows * VALUE_ROW_BYTES):
         small = F.broadcast(small)
     return big.join(small, on, "left")
 
@@ -208,7 +255,7 @@ def pct_rank(df: DataFrame, col: str, out: str, **kw) -> DataFrame:
     pre, tot = ordered_prefix(vals, ["_v"], ["_cnt"], **kw)
     n = tot["_cnt"]
     ranks = pre.select("_v", ((F.col("_before__cnt") + (F.col("_cnt") + 1) / 2.0) / F.lit(float(n))).alias(out))
-    j = _join_small(df.withColumn("_v", v), ranks, "_v", tot["n"])
+    j = _join_values(df.withColumn("_v", v), ranks, "_v", tot["n"])
     return j.drop("_v")
 
 
@@ -236,10 +283,9 @@ def pct_ranks(df: DataFrame, outs: dict[str, str], **kw) -> DataFrame:
 
     The inputs are unpivoted to (column, value), aggregated to distinct
     pairs once, ranked by one grouped ordered prefix, and each column's
-    per-value table is joined back (broadcast under the checked bound).
+    per-value table is joined back (broadcast within the checked size).
     Same values as calling ``pct_rank`` per column.
     """
-    from pyspark import StorageLevel
     names = list(outs)
     pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.coalesce(F.col(outs[o]).cast("double"), F.lit(0.0)).alias("_v"))
                       for i, o in enumerate(names)])
@@ -247,12 +293,13 @@ def pct_ranks(df: DataFrame, outs: dict[str, str], **kw) -> DataFrame:
         .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
     pre, tot = ordered_prefix(vals, ["_c", "_v"], ["_cnt"], **kw)
     starts = pre.groupBy("_c").agg(F.min("_before__cnt").alias("_g0"), F.sum("_cnt").alias("_n"))
-    ranks = pre.join(F.broadcast(starts), "_c").select(
+    # one row per input column in ``starts``; every column's join reads the written ranks
+    ranks = materialized(pre.join(F.broadcast(starts), "_c").select(
         "_c", "_v", ((F.col("_before__cnt") - F.col("_g0") + (F.col("_cnt") + 1) / 2.0) / F.col("_n").cast("double"))
-        .alias("_pct")).persist(StorageLevel.MEMORY_AND_DISK)
+        .alias("_pct")))
     out = df
     for i, o in enumerate(names):
         r = ranks.filter(F.col("_c") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_pct").alias(o))
-        out = _join_small(out.withColumn(f"_v{i}", F.coalesce(F.col(outs[o]).cast("double"), F.lit(0.0))), r,
+        out = _join_values(out.withColumn(f"_v{i}", F.coalesce(F.col(outs[o]).cast("double"), F.lit(0.0))), r,
                           f"_v{i}", tot["n"]).drop(f"_v{i}")
     return out

@@ -245,12 +245,12 @@ def ctr_gap(df: DataFrame, tier: str = "position_tier", clicks: str = "clicks_90
             floor: int = 100) -> DataFrame:
     """Expected CTR per position tier (impression-weighted, floor n) and the gap per page (Q18).
 
-    Tier table: one row per tier, broadcast after a count proves it small.
+    Tier table: one row per tier.
     """
     base = df.filter(_c(imps) >= floor)
     t = base.groupBy(tier).agg(F.sum(clicks).alias("_c"), F.sum(imps).alias("_i"), F.count(F.lit(1)).alias("tier_pages"))
     t = t.select(tier, "tier_pages", (F.col("_c") * 100.0 / F.col("_i")).alias("expected_ctr"))
-    x = base.join(O.bounded_broadcast(t), tier, "inner")
+    x = base.join(t, tier, "inner")
     actual = _c(clicks) * 100.0 / _c(imps)
     x = x.withColumn("actual_ctr", actual).withColumn("ctr_gap", _c("expected_ctr") - actual)
     x = x.withColumn("missed_clicks", _c("ctr_gap") / 100.0 * _c(imps))
@@ -281,7 +281,7 @@ def lookalike(win: DataFrame, sibling: DataFrame, client_trend: DataFrame, min_p
     click_loss (clicks fell while impressions held) -> real_decline.
     """
     x = win.join(sibling.select("client_id", "content_id", "sibling_gain"), ["client_id", "content_id"], "left") \
-        .join(O.bounded_broadcast(client_trend), "client_id", "left")
+        .join(client_trend, "client_id", "left")
     loss = _c("imp_prev") - _c("imp_last")
     page_ratio = X.ratio("imp_last", "imp_prev")
     lab = (F.when(_c("imp_prev") < min_prev, "noise")

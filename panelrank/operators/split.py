@@ -18,23 +18,26 @@ from panelrank import constants as K
 from panelrank.operators import ordered as O
 
 
-def _group_order(df: DataFrame, group: str, seed: int) -> tuple[DataFrame, int]:
+def _group_order(df: DataFrame, group: str, seed: int) -> tuple[DataFrame, dict]:
     g = df.select(F.coalesce(F.col(group).cast("string"), F.lit(K.UNKNOWN)).alias("_g")).distinct()
-    g = g.withColumn("_h", F.md5(F.concat(F.col("_g"), F.lit("|"), F.lit(str(seed)))))
-    r, tot = O.ordered_prefix(g, ["_h", "_g"], [])
-    return r, tot["n"]
+    g = g.withColumn("_h", F.md5(F.concat(F.col("_g"), F.lit("|"), F.lit(str(seed))))).withColumn("_len", F.octet_length("_g") + 32)
+    return O.ordered_prefix(g, ["_h", "_g"], ["_len"])
 
 
-def _tag_groups(df: DataFrame, group: str, seed: int, n_test_fn) -> tuple[DataFrame, int, int]:
-    r, n = _group_order(df, group, seed)
-    k = n_test_fn(n)
-    flags = r.select("_g", (F.col("_pos") < k).alias("_is_test"))
-    if n <= O.BROADCAST_ROWS:
+def _join_groups(df: DataFrame, flags: DataFrame, group: str, size: int) -> DataFrame:
+    """One flag row per group joined to the rows; broadcast if the groups' bytes are within the session's limit."""
+    if O.fits_broadcast(df.sparkSession, size):
         flags = F.broadcast(flags)
     key = F.coalesce(F.col(group).cast("string"), F.lit(K.UNKNOWN))
-    out = df.withColumn("_g", key).join(flags, "_g", "left").drop("_g")
+    return df.withColumn("_g", key).join(flags, "_g", "left").drop("_g")
+
+
+def _tag_groups(df: DataFrame, group: str, seed: int, n_test_fn) -> tuple[DataFrame, int, int]:
+    r, tot = _group_order(df, group, seed)
+    k = n_test_fn(tot["n"])
+    out = _join_groups(df, r.select("_g", (F.col("_pos") < k).alias("_is_test")), group, tot["_len"])
     out = out.withColumn("split", F.when(F.col("_is_test"), "test").otherwise("train")).drop("_is_test")
-    return out, n, k
+    return out, tot["n"], k
 
 
 def _two_class_both_sides(df: DataFrame, label: str) -> bool:
@@ -72,7 +75,7 @@ def stratified_holdout(df: DataFrame, label: str, frac: float = K.ROW_HOLDOUT_FR
     x = df.withColumn("_lab", F.col(label).cast("long")).withColumn("_h", h)
     r, _ = O.ordered_prefix(x, ["_lab", "_h", id_col], [])
     starts = r.groupBy("_lab").agg(F.min("_pos").alias("_p0"), F.count(F.lit(1)).alias("_nc"))
-    r = r.join(O.bounded_broadcast(starts), "_lab")  # one row per class
+    r = r.join(F.broadcast(starts), "_lab")  # one row per class
     k = F.round(F.col("_nc") * F.lit(frac))
     r = r.withColumn("split", F.when(F.col("_pos") - F.col("_p0") < k, "test").otherwise("train"))
     return r.drop("_lab", "_h", "_pos", "_p0", "_nc")
@@ -88,12 +91,8 @@ def time_split(df: DataFrame, date_col: str, cut: _dt.date, embargo: int) -> Dat
 
 def group_folds(df: DataFrame, group: str, k: int, seed: int = K.RANDOM_STATE) -> DataFrame:
     """Group k-fold (L05): fold = group position by hash mod k (usable as ``foldCol``)."""
-    r, n = _group_order(df, group, seed)
-    flags = r.select("_g", (F.col("_pos") % k).cast("int").alias("fold"))
-    if n <= O.BROADCAST_ROWS:
-        flags = F.broadcast(flags)
-    key = F.coalesce(F.col(group).cast("string"), F.lit(K.UNKNOWN))
-    return df.withColumn("_g", key).join(flags, "_g", "left").drop("_g")
+    r, tot = _group_order(df, group, seed)
+    return _join_groups(df, r.select("_g", (F.col("_pos") % k).cast("int").alias("fold")), group, tot["_len"])
 
 
 def split_check(df: DataFrame, group: str, label: str, side: str = "split") -> DataFrame:

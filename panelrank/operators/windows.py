@@ -236,14 +236,16 @@ def reconcile_queries(qfact: DataFrame, daily: DataFrame, end: _dt.date | None =
                     (F.coalesce(F.col("fact_impressions"), F.lit(0)) == F.col("content_total")).alias("fact_match"))
 
 
-def month_frame(daily: DataFrame, month: str, keys=("client_id", "content_id"),
+def month_frame(daily: DataFrame, month: str | None, keys=("client_id", "content_id"),
                 flag: str = "ga4_available") -> DataFrame:
-    """Monthly feature frame for one partition.
+    """Monthly feature frame for one partition, or with ``month`` None for every month of the input.
 
     Sums, average position, weekend impressions (Spark: Sunday = 1,
     Saturday = 7) and sessions masked by the three-valued flag.
     """
-    m = daily.filter(F.col("month") == month)
+    m = daily.filter(F.col("month") == month) if month is not None else daily
+    if month is None:
+        keys = ("month", *keys)
     weekend = F.dayofweek("report_date").isin(1, 7)
     return m.groupBy(*keys).agg(
         F.sum("impressions").cast("long").alias("imp_month"),

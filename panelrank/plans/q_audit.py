@@ -43,7 +43,7 @@ def signal_test(spark, sf_dir):
     return s.select("freshness_tier", "tier_order", "n", r9("rate"), "judged", "verdict")
 
 
-DIST_COLS = ["ctr", "avg_position"]
+DIST_COLS = list(K.MODEL_NUMERIC_FEATURES)
 
 
 def _dist_sql(c):
@@ -52,19 +52,34 @@ def _dist_sql(c):
       round(quantile_cont({c}, 0.05), {R9}) AS p05, round(quantile_cont({c}, 0.25), {R9}) AS p25,
       round(quantile_cont({c}, 0.5), {R9}) AS p50, round(quantile_cont({c}, 0.75), {R9}) AS p75,
       round(quantile_cont({c}, 0.95), {R9}) AS p95,
-      round((SELECT AVG(pow({c} - m, 3)) / pow(AVG(pow({c} - m, 2)), 1.5)
+      round((SELECT CASE WHEN AVG(pow({c} - m, 2)) > 0 THEN AVG(pow({c} - m, 3)) / pow(AVG(pow({c} - m, 2)), 1.5) END
              FROM fx_features, (SELECT AVG({c}) AS m FROM fx_features)), {R9}) AS skew
     FROM fx_features"""
 
 
 @register("distributions", Q.chain(upto="features") + " UNION ALL ".join(_dist_sql(c) for c in DIST_COLS))
 def distributions(spark, sf_dir):
-    """Count, nulls, zeros, mean, exact quantiles and skew per column."""
+    """Count, nulls, zeros, mean, exact quantiles and skew of all 18 numeric model inputs, one unpivoted pass."""
     d = V.distributions(batch.features(spark, sf_dir), DIST_COLS)
     return d.select("column_name", "rows", "nulls", "zeros",
                     *[r9(c) for c in ("mean", "p05", "p25", "p50", "p75", "p95", "skew")])
 
 
+def _category_sql(c):
+    return f"""SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls, COUNT(DISTINCT {c}) AS levels,
+      (SELECT {c} FROM fx_features WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1) AS top_level,
+      round((SELECT MAX(n) / SUM(n) FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM fx_features WHERE {c} IS NOT NULL GROUP BY {c})), {R9}) AS top_share,
+      round((SELECT SUM(-n / t * ln(n / t)) FROM (SELECT CAST(COUNT(*) AS DOUBLE) AS n, SUM(COUNT(*)) OVER () AS t FROM fx_features WHERE {c} IS NOT NULL GROUP BY {c})), {R9}) AS entropy
+    FROM fx_features"""
+
+
+@register("category_distributions", Q.chain(upto="features") + " UNION ALL ".join(_category_sql(c) for c in K.MODEL_CATEGORICAL_FEATURES))
+def category_distributions(spark, sf_dir):
+    """Rows, nulls, levels, top level with its share and entropy of the eight categorical model inputs."""
+    d = V.category_distributions(batch.features(spark, sf_dir), K.MODEL_CATEGORICAL_FEATURES)
+    return d.select("column_name", "rows", "nulls", "levels", "top_level", r9("top_share"), r9("entropy"))
+
+
 @register("effect_size", Q.chain(upto="features") + f"""
 , a AS (SELECT COUNT(*) FILTER (WHERE days_since_last_update >= 180) AS n_a,
                AVG(CASE WHEN days_since_last_update >= 180 THEN CAST({LABEL} AS DOUBLE) END) AS rate_a,
@@ -223,6 +238,33 @@ def drift_by_client(spark, sf_dir):
     return V.drift(a, b, ["impressions"], by=["client_id"]).select("client_id", "column_name", r9("psi"), "bins", "status")
 
 
+_SIDES = Q.chain(upto="features") + """
+, g AS (SELECT DISTINCT COALESCE(CAST(client_id AS VARCHAR), 'unknown') AS g FROM fx_features),
+gr AS (SELECT g, row_number() OVER (ORDER BY md5(g || '|42'), g) - 1 AS pos, COUNT(*) OVER () AS n FROM g),
+sd AS (SELECT f.*, CASE WHEN gr.pos < CAST(ceil(gr.n * 0.25) AS BIGINT) THEN 0 ELSE 1 END AS in_a
+       FROM fx_features f JOIN gr ON COALESCE(CAST(f.client_id AS VARCHAR), 'unknown') = gr.g)"""
+_PSI = f"""round(SUM((pa - pb) * ln(pa / pb)), {R9}) AS psi, COUNT(*) AS parts,
+  CASE WHEN SUM((pa - pb) * ln(pa / pb)) >= 0.25 THEN 'shift' WHEN SUM((pa - pb) * ln(pa / pb)) >= 0.1 THEN 'watch' ELSE 'stable' END AS status"""
+
+
+@register("drift_all_inputs", _SIDES + f"""
+, lg AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x, in_a FROM sd" for c in K.MODEL_NUMERIC_FEATURES)}),
+e AS (SELECT column_name, list_distinct(quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges FROM lg WHERE in_a = 1 AND x IS NOT NULL GROUP BY 1),
+n AS (SELECT column_name, len([q FOR q IN edges IF x > q]) AS bin, SUM(in_a) AS na, SUM(1 - in_a) AS nb FROM lg JOIN e USING (column_name) WHERE x IS NOT NULL GROUP BY ALL),
+p AS (SELECT column_name, greatest(na / SUM(na) OVER (PARTITION BY column_name), 0.0001) AS pa, greatest(nb / SUM(nb) OVER (PARTITION BY column_name), 0.0001) AS pb FROM n),
+cl AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS v, in_a FROM sd" for c in K.MODEL_CATEGORICAL_FEATURES)}),
+cn AS (SELECT column_name, v, SUM(in_a) AS na, SUM(1 - in_a) AS nb FROM cl GROUP BY ALL),
+cp AS (SELECT column_name, greatest(na / SUM(na) OVER (PARTITION BY column_name), 0.0001) AS pa, greatest(nb / SUM(nb) OVER (PARTITION BY column_name), 0.0001) AS pb FROM cn)
+SELECT column_name, {_PSI} FROM p GROUP BY 1 UNION ALL SELECT column_name, {_PSI} FROM cp GROUP BY 1""")
+def drift_all_inputs(spark, sf_dir):
+    """K05 over all 26 model inputs: PSI between the train and test clients of the group split, by deciles and by levels."""
+    f = L.group_shuffle(batch.features(spark, sf_dir), "client_id")
+    a, b = f.filter("split = 'train'"), f.filter("split = 'test'")
+    num = V.drift(a, b, K.MODEL_NUMERIC_FEATURES).withColumnRenamed("bins", "parts")
+    cat = V.category_drift(a, b, K.MODEL_CATEGORICAL_FEATURES).withColumnRenamed("levels", "parts")
+    return num.unionByName(cat).select("column_name", r9("psi"), "parts", "status")
+
+
 CLUSTER_COLS = ["impressions_90d", "clicks_90d", "sessions_90d", "days_since_last_update", "word_count"]
 
 
@@ -250,3 +292,38 @@ def projection_2d(spark, sf_dir):
 def cluster_stability(spark, sf_dir):
     """Adjusted Rand index between two seeds."""
     return KM.cluster_stability(batch.features(spark, sf_dir), CLUSTER_COLS, 4)
+
+
+# two fixed assignments of the pages, so that what follows a clustering is checked without one
+_ASSIGNED = Q.chain(upto="features") + """
+, asg AS (SELECT *, CAST(content_id % 3 AS INTEGER) AS c1, CAST(CASE WHEN impressions_90d > 100 THEN 3 ELSE content_id % 3 END AS INTEGER) AS c2 FROM fx_features)"""
+
+
+def _assigned(spark, sf_dir):
+    f = batch.features(spark, sf_dir)
+    return f.withColumn("c1", (F.col("content_id") % 3).cast("int")).withColumn("c2", F.when(F.col("impressions_90d") > 100, 3).otherwise(F.col("content_id") % 3).cast("int"))
+
+
+@register("cluster_contingency", _ASSIGNED + " SELECT c1 AS cluster_a, c2 AS cluster_b, COUNT(*) AS rows FROM asg GROUP BY ALL")
+def cluster_contingency(spark, sf_dir):
+    """Contingency table of two assignments."""
+    return KM.contingency(_assigned(spark, sf_dir), "c1", "c2")
+
+
+@register("adjusted_rand", _ASSIGNED + f"""
+, ct AS (SELECT c1, c2, CAST(COUNT(*) AS DOUBLE) AS n FROM asg GROUP BY ALL),
+s AS (SELECT SUM(n * (n - 1) / 2) AS sij, CAST(SUM(n) AS BIGINT) AS n FROM ct),
+a AS (SELECT SUM(n * (n - 1) / 2) AS sa FROM (SELECT SUM(n) AS n FROM ct GROUP BY c1)),
+b AS (SELECT SUM(n * (n - 1) / 2) AS sb FROM (SELECT SUM(n) AS n FROM ct GROUP BY c2))
+SELECT round((sij - sa * sb / (n * (n - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (n * (n - 1) / 2)), {R9}) AS adjusted_rand, n FROM s, a, b""")
+def adjusted_rand(spark, sf_dir):
+    """Adjusted Rand index of two assignments."""
+    return KM.adjusted_rand(_assigned(spark, sf_dir), "c1", "c2").select(r9("adjusted_rand"), "n")
+
+
+@register("cluster_profile", _ASSIGNED + f"""
+SELECT c2, COUNT(*) AS size, {", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median_{c}" for c in CLUSTER_COLS)},
+  CASE c2 WHEN 3 THEN 'review' WHEN 0 THEN 'monitor' END AS action FROM asg GROUP BY c2""")
+def cluster_profile(spark, sf_dir):
+    """Size, exact medians and action of every cluster of a given assignment."""
+    return KM.cluster_profile(_assigned(spark, sf_dir), "c2", CLUSTER_COLS, {3: "review", 0: "monitor"})

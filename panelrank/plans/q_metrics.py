@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from panelrank.operators import metrics as M
 from panelrank.operators import ordered as O
+from panelrank.operators import sketches as SK
 from panelrank.operators import split as L
+from panelrank.operators import validate as CV
 from panelrank.operators import windows as W
 from panelrank.plans.registry import register
 from panelrank.sources import fixtures as fx
@@ -274,6 +276,22 @@ def group_folds(spark, sf_dir):
     return L.group_folds(scored(spark, sf_dir), "client_id", 5)
 
 
+@register("fold_metrics", SCORED_SQL + GROUP_RANK_SQL + """
+, f AS (SELECT s.*, CAST(gr.pos % 5 AS INTEGER) AS fold FROM fx_scored s JOIN gr ON COALESCE(CAST(s.client_id AS VARCHAR), 'unknown') = gr.g),
+n AS (SELECT fold, COUNT(*) AS n, CAST(SUM(label) AS BIGINT) AS positives FROM f GROUP BY fold),
+r AS (SELECT fold, label, row_number() OVER (PARTITION BY fold ORDER BY score DESC, content_id) AS r FROM f),
+t AS (SELECT fold, AVG(CAST(label AS DOUBLE)) AS precision_at_50 FROM r WHERE r <= 50 GROUP BY fold),
+s AS (SELECT fold, score, COUNT(*) FILTER (WHERE label = 1) AS pos, COUNT(*) FILTER (WHERE label <> 1) AS neg FROM f GROUP BY ALL),
+c AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY fold ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM s),
+a AS (SELECT fold, CASE WHEN SUM(pos) = 0 OR SUM(neg) = 0 THEN 0.0
+        ELSE CAST(SUM(2 * pos * nb + pos * neg) AS DOUBLE) / (CAST(2 AS DOUBLE) * CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) END AS roc_auc FROM c GROUP BY fold)
+SELECT fold, n, positives, roc_auc, precision_at_50 FROM n JOIN a USING (fold) JOIN t USING (fold)""")
+def fold_metrics(spark, sf_dir):
+    """L05 + M02 + M04: rows, positives, AUC and P@50 of a fixed score in every group fold."""
+    f = L.group_folds(scored(spark, sf_dir), "client_id", 5)
+    return CV.fold_metrics(f, "label", "score", "content_id", ["fold"])
+
+
 @register("stratified_holdout", SCORED_SQL + """
 , r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(content_id AS VARCHAR) || '|42'), content_id) - 1 AS pos,
                COUNT(*) OVER (PARTITION BY label) AS nc FROM fx_scored)
@@ -308,3 +326,105 @@ def time_split(spark, sf_dir):
     t = L.time_split(d, "report_date", end - _dt.timedelta(days=365), 30)
     return t.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.min("report_date").alias("min_date"),
                                   F.max("report_date").alias("max_date"))
+
+
+# ---------------------------------------------------------------- comparison on fixed scores
+# three scores of the same rows: the fixture's, the volume of the last window, and a hash of the id
+THREE = ["score", "volume", "hash"]
+THREE_SQL = SCORED_SQL + """
+, three AS (SELECT f.content_id, f.client_id, f.label, CAST(f.score AS DOUBLE) / 14 AS score, CAST(t.imp_last AS DOUBLE) / (100 + t.imp_last) AS volume,
+                   CAST('0x' || substr(md5(CAST(f.content_id AS VARCHAR)), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS hash
+            FROM fx_scored f JOIN sc_tw t ON f.content_id = t.content_id AND f.client_id = t.client_id),
+lg AS (SELECT content_id, label, model, s FROM three UNPIVOT (s FOR model IN (score, volume, hash)))"""
+
+
+def three_scores(spark, sf_dir):
+    tw = W.two_window(fx.fx_daily(spark, sf_dir), ["client_id", "content_id"], end=fx.fx_last_day(spark, sf_dir), window=FX_WINDOW, split=FX_SPLIT, avgs={}, min_prev=None)
+    tw = W.window_label(tw, out="label")
+    digest = F.conv(F.substring(F.md5(F.col("content_id").cast("string")), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    last = F.col("imp_last").cast("double")
+    return tw.select("content_id", "client_id", "label", (F.floor(F.col("imp_prev") / 25).cast("double") / 14).alias("score"), (last / (100 + F.col("imp_last"))).alias("volume"), digest.alias("hash"))
+
+
+COMPARE_CTE = f"""
+, cm AS (SELECT model, COUNT(*) FILTER (WHERE s >= 0.5 AND label = 1) AS tp, COUNT(*) FILTER (WHERE s >= 0.5 AND label <> 1) AS fp,
+                COUNT(*) FILTER (WHERE s < 0.5 AND label <> 1) AS tn, COUNT(*) FILTER (WHERE s < 0.5 AND label = 1) AS fn FROM lg GROUP BY model),
+ds AS (SELECT model, s, COUNT(*) FILTER (WHERE label = 1) AS pos, COUNT(*) FILTER (WHERE label <> 1) AS neg FROM lg GROUP BY ALL),
+cu AS (SELECT *, SUM(pos) OVER d AS tp, SUM(pos + neg) OVER d AS na, SUM(neg) OVER (PARTITION BY model ORDER BY s) - neg AS nb FROM ds WINDOW d AS (PARTITION BY model ORDER BY s DESC)),
+ra AS (SELECT model, CAST(SUM(2 * pos * nb + pos * neg) AS DOUBLE) / (CAST(2 AS DOUBLE) * CAST(SUM(pos) AS DOUBLE) * CAST(SUM(neg) AS DOUBLE)) AS roc_auc,
+              SUM(CAST(pos AS DOUBLE) * tp / na) / SUM(pos) AS average_precision FROM cu GROUP BY model),
+rk AS (SELECT model, label, row_number() OVER (PARTITION BY model ORDER BY s DESC, content_id) AS r FROM lg),
+pk AS (SELECT model, AVG(CAST(label AS DOUBLE)) FILTER (WHERE r <= 20) AS precision_at_20, AVG(CAST(label AS DOUBLE)) FILTER (WHERE r <= 50) AS precision_at_50,
+              AVG(CAST(label AS DOUBLE)) FILTER (WHERE r <= 100) AS precision_at_100 FROM rk GROUP BY model),
+cmp AS (SELECT model, tp + fp + tn + fn AS n, COALESCE({_d('tp + tn')} / NULLIF({_d('tp + fp + tn + fn')}, 0), 0.0) AS accuracy,
+          COALESCE({_d('tp')} / NULLIF({_d('tp + fp')}, 0), 0.0) AS precision, COALESCE({_d('tp')} / NULLIF({_d('tp + fn')}, 0), 0.0) AS recall,
+          COALESCE({_d('2 * tp')} / NULLIF({_d('2 * tp + fp + fn')}, 0), 0.0) AS f1, round(roc_auc, {R9}) AS roc_auc, round(average_precision, {R9}) AS average_precision,
+          precision_at_20, precision_at_50, precision_at_100 FROM cm JOIN ra USING (model) JOIN pk USING (model))"""
+
+
+def _compared(spark, sf_dir):
+    m = M.compare(three_scores(spark, sf_dir), "label", {n: n for n in THREE}, "content_id")
+    return m.withColumns({c: F.round(c, R9) for c in ("roc_auc", "average_precision")})
+
+
+@register("score_comparison", THREE_SQL + COMPARE_CTE + " SELECT * FROM cmp")
+def score_comparison(spark, sf_dir):
+    """M09 + U01: all headline metrics of three fixed scores, one grouped pass."""
+    return _compared(spark, sf_dir)
+
+
+@register("best_score", THREE_SQL + COMPARE_CTE + """
+SELECT * FROM cmp ORDER BY precision_at_50 DESC, average_precision DESC, roc_auc DESC, list_position(['hash', 'volume', 'score'], model) LIMIT 1""")
+def best_score(spark, sf_dir):
+    """The chosen score by (P@50, AP, AUC), ties to the one given first."""
+    return M.best_model(_compared(spark, sf_dir), ["hash", "volume", "score"])
+
+
+@register("rule_lookup", THREE_SQL + """
+SELECT t.content_id, COALESCE(s.score, 0.0) AS score FROM three t LEFT JOIN (SELECT content_id, score FROM three WHERE score > 0.3) s ON t.content_id = s.content_id""")
+def rule_lookup(spark, sf_dir):
+    """Scores looked up on ids, missing ones 0."""
+    from panelrank.operators.joins import lookup
+    t = O.materialized(three_scores(spark, sf_dir))
+    return lookup(t.select("content_id"), t.filter(F.col("score") > 0.3), "content_id", "score")
+
+
+# ---------------------------------------------------------------- M12 by client
+REPS = 200
+
+
+@register("bootstrap_by_client", THREE_SQL + f"""
+, gw AS (SELECT g, rep, len([e FOR e IN {M.poisson_edges()} IF u >= e]) AS w FROM (
+    SELECT g, rep, CAST('0x' || substr(md5(concat_ws('|', g, rep, 42)), 1, 13) AS BIGINT) / 4503599627370496 AS u
+    FROM (SELECT DISTINCT COALESCE(client_id, 'unknown') AS g FROM three), range(1, {REPS + 1}) t(rep))),
+x AS (SELECT t.*, rep, w FROM three t JOIN gw ON gw.g = COALESCE(t.client_id, 'unknown') WHERE w > 0),
+ac AS (SELECT rep, 'accuracy' AS metric, (CAST(SUM(w * CAST((CAST(score >= 0.5 AS INTEGER) = label) AS INTEGER)) AS DOUBLE) - CAST(SUM(w * CAST((CAST(hash >= 0.5 AS INTEGER) = label) AS INTEGER)) AS DOUBLE)) / SUM(w) AS d FROM x GROUP BY rep),
+xl AS (SELECT rep, w, label, content_id, model, s FROM x UNPIVOT (s FOR model IN (score, hash))),
+ord AS (SELECT *, SUM(w) OVER (PARTITION BY rep, model ORDER BY s DESC, content_id) - w AS before FROM xl),
+pk AS (SELECT rep, model, CAST(SUM(label * least(w, 50 - before)) AS DOUBLE) / SUM(least(w, 50 - before)) AS v FROM ord WHERE before < 50 GROUP BY ALL),
+ds AS (SELECT rep, model, s, SUM(w * label) AS pos, SUM(w) AS al FROM xl GROUP BY ALL),
+cu AS (SELECT *, SUM(pos) OVER d AS tp, SUM(al) OVER d AS na FROM ds WINDOW d AS (PARTITION BY rep, model ORDER BY s DESC)),
+ap AS (SELECT rep, model, CASE WHEN SUM(pos) > 0 AND SUM(pos) < SUM(al) THEN SUM(CAST(pos AS DOUBLE) * (CAST(tp AS DOUBLE) / na)) / SUM(pos) ELSE 0.0 END AS v FROM cu GROUP BY ALL),
+two AS (SELECT rep, 'precision_at_50' AS metric, model, v FROM pk UNION ALL SELECT rep, 'average_precision', model, v FROM ap),
+df AS (SELECT metric, d FROM ac UNION ALL SELECT metric, SUM(CASE WHEN model = 'score' THEN v ELSE -v END) FROM two GROUP BY rep, metric)
+SELECT metric, round(AVG(d), {R9}) AS mean_diff, round(quantile_cont(d, 0.025), {R9}) AS lo, round(quantile_cont(d, 0.975), {R9}) AS hi, COUNT(*) AS reps FROM df GROUP BY metric""")
+def bootstrap_by_client(spark, sf_dir):
+    """Intervals of accuracy, P@50 and AP differences (fixture score against a hash), whole clients resampled."""
+    b = M.bootstrap_by_group(three_scores(spark, sf_dir), "label", "score", "hash", "content_id", "client_id", reps=REPS)
+    return b.select("metric", *[F.round(c, R9).alias(c) for c in ("mean_diff", "lo", "hi")], "reps")
+
+
+@register("score_sketches", SCORED_SQL + """
+SELECT client_id, q, CAST(COUNT(*) AS BIGINT) AS n, TRUE AS within_bound FROM fx_scored, (SELECT unnest([0.05, 0.5, 0.95]::DOUBLE[]) AS q) GROUP BY client_id, q
+UNION ALL SELECT 'all', q, COUNT(*), TRUE FROM fx_scored, (SELECT unnest([0.05, 0.5, 0.95]::DOUBLE[]) AS q) GROUP BY q""")
+def score_sketches(spark, sf_dir):
+    """A09 opt-in: KLL sketches kept per client, merged to all rows; every sketched quantile's exact rank is within the bound."""
+    qs = [0.05, 0.5, 0.95]
+    s = O.materialized(three_scores(spark, sf_dir).select("client_id", "volume"))
+    kept = O.materialized(SK.quantile_sketch(s, ["client_id"], "volume"))
+    whole = SK.merge_sketches(kept).withColumn("client_id", F.lit("all"))
+    found = O.materialized(SK.sketch_quantiles(kept.unionByName(whole), qs))
+    both = s.unionByName(s.withColumn("client_id", F.lit("all")))
+    r = SK.rank_check(both, ["client_id"], "volume", found, qs)
+    ok = (F.col("rank_low") <= F.col("q") + SK.rank_error() * 2) & (F.col("rank_high") >= F.col("q") - SK.rank_error() * 2)
+    return r.select("client_id", "q", "n", ok.alias("within_bound"))

@@ -4,6 +4,7 @@ C05, C25-C28, Q12-Q19, U04, W07-W08)."""
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from panelrank.plans import batch
 from panelrank.plans import sql_common as Q
 from panelrank.operators.text import INTENT_RULES
 from panelrank.plans.registry import register
+from panelrank.session import ensure_checkpoint_dir
+from panelrank.sources import cache
 from panelrank.sources import fixtures as fx
 from panelrank.sources import tables as T
 from panelrank.functions import exprs as X
@@ -203,6 +206,51 @@ def month_frame(spark, sf_dir):
                     "sessions_month")
 
 
+def _scratch(spark, sf_dir, name):
+    """A folder of this session's shared checkpoint folder, one per input folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+
+
+@register("month_cache", fx.with_sql("fx_daily") + f"""
+SELECT month, client_id, content_id, CAST(SUM(impressions) AS BIGINT) AS imp_month, CAST(SUM(clicks) AS BIGINT) AS clk_month,
+       round(AVG(position), {R9}) AS pos_month,
+       CAST(SUM(CASE WHEN dayofweek(report_date) IN (0, 6) THEN impressions ELSE 0 END) AS BIGINT) AS weekend_imp,
+       CAST(SUM(CASE WHEN ga4_available IS TRUE THEN sessions ELSE 0 END) AS BIGINT) AS sessions_month
+FROM fx_daily GROUP BY 1, 2, 3""")
+def month_cache(spark, sf_dir):
+    """S10 + A23: feature frames of all months from the partitioned cache; only months whose rows changed are rebuilt."""
+    cached, _ = cache.refresh(fx.fx_daily(spark, sf_dir), lambda d: W.month_frame(d, None), _scratch(spark, sf_dir, "month-frames"))
+    return cached.select(F.col("month").cast("string").alias("month"), "client_id", "content_id", "imp_month", "clk_month", r9("pos_month"), "weekend_imp", "sessions_month")
+
+
+CALENDAR_SQL = fx.with_sql("fx_daily") + """
+, calendar AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter FROM orders)"""
+
+
+def month_calendar(spark, sf_dir):
+    """(month, year, quarter) of every month with orders: a small table."""
+    d = F.col("o_orderdate").cast("date")
+    return T.table(spark, sf_dir, "orders").select(F.date_format(d, "yyyy-MM").alias("month"), F.year(d).alias("year"), F.quarter(d).alias("quarter")).distinct()
+
+
+def by_month(spark, sf_dir):
+    """(daily fact in month folders, month table), written in the session's scratch folder."""
+    daily, _ = cache.refresh(fx.fx_daily(spark, sf_dir), lambda d: d, _scratch(spark, sf_dir, "daily-by-month"))
+    path = _scratch(spark, sf_dir, "calendar")
+    month_calendar(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(path)
+    return daily, spark.read.parquet(path)
+
+
+@register("pruned_quarter", CALENDAR_SQL + """
+SELECT d.month, COUNT(*) AS rows, CAST(SUM(impressions) AS BIGINT) AS impressions FROM fx_daily d
+WHERE month IN (SELECT month FROM calendar WHERE year = 1997 AND quarter = 2) GROUP BY 1""")
+def pruned_quarter(spark, sf_dir):
+    """S03 + S04: totals of the months a filtered month table names; their folders are pruned at run time."""
+    daily, calendar = by_month(spark, sf_dir)
+    hit = T.in_months(daily, calendar.filter((F.col("year") == 1997) & (F.col("quarter") == 2)))
+    return hit.groupBy(F.col("month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("rows"), F.sum("impressions").cast("long").alias("impressions"))
+
+
 # ---------------------------------------------------------------- F02-F07
 @register("compound_counts", Q.chain(upto="features") + """
 SELECT COUNT(*) AS rows,
@@ -397,6 +445,38 @@ def flatten_events(spark, sf_dir):
     return flatten_json(e, "props", "k int").select("event_id", "content_id", "event_type", "k")
 
 
+# payloads of mixed shape: the kind of k differs between rows, some have nested parts or a list, some are no JSON
+MIXED_SQL = fx.with_sql("fx_events") + """
+, mx AS (SELECT event_id, CASE event_id % 5
+    WHEN 0 THEN props
+    WHEN 1 THEN '{"k": "' || event_type || '", "page": {"id": ' || content_id || ', "tags": ["a", ' || event_id || ']}}'
+    WHEN 2 THEN '{"page": {"id": null, "ok": true}, "value": ' || CAST(event_id AS VARCHAR) || '.5}'
+    WHEN 3 THEN '[' || event_id || ']'
+    ELSE 'no json ' || event_id END AS payload FROM fx_events)"""
+
+
+def _mixed_payloads(spark, sf_dir):
+    e = fx.fx_events(spark, sf_dir)
+    i = F.col("event_id").cast("string")
+    kinds = [F.col("props"), F.concat(F.lit('{"k": "'), "event_type", F.lit('", "page": {"id": '), F.col("content_id").cast("string"), F.lit(', "tags": ["a", '), i, F.lit("]}}")),
+             F.concat(F.lit('{"page": {"id": null, "ok": true}, "value": '), i, F.lit(".5}")), F.concat(F.lit("["), i, F.lit("]"))]
+    text = F.concat(F.lit("no json "), i)
+    for n, k in reversed(list(enumerate(kinds))):
+        text = F.when(F.col("event_id") % 5 == n, k).otherwise(text)
+    return e.select("event_id", text.alias("payload"))
+
+
+@register("flatten_mixed_events", MIXED_SQL + """
+, j AS (SELECT event_id, CASE WHEN event_id % 5 < 3 THEN CAST(payload AS JSON) END AS v FROM mx)
+SELECT event_id, v->>'$.k' AS k, CAST(v->>'$.page.id' AS BIGINT) AS page_id, CAST(v->>'$.page.ok' AS BOOLEAN) AS page_ok,
+  CAST(v->'$.page.tags' AS VARCHAR) AS page_tags, CAST(v->>'$.value' AS DOUBLE) AS value FROM j""")
+def flatten_mixed_events(spark, sf_dir):
+    """C26 without a schema: payloads of mixed shape as variants, their schema merged over all rows, leaves as columns."""
+    from panelrank.operators.text import flatten_variant
+    f = flatten_variant(_mixed_payloads(spark, sf_dir), "payload")
+    return f.select("event_id", "k", "page_id", "page_ok", "page_tags", F.col("value").cast("double").alias("value"))
+
+
 INTENT_SQL = "CASE WHEN query_text IS NULL OR trim(query_text) = '' THEN 'anonymized_privacy' " + " ".join(
     f"WHEN regexp_matches(lower(query_text), '{pattern}') THEN '{label}'" for label, pattern in INTENT_RULES) + " ELSE 'Other' END"
 

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelrank import constants as K
+from panelrank.operators import joins as J
 from panelrank.operators import metrics as M
 from panelrank.operators import models as E
 from panelrank.operators import ordered as O
 from panelrank.operators import score as S
 from panelrank.operators import split as L
+from panelrank.operators import validate as CV
 from panelrank.plans import batch
 from panelrank.plans import sql_common as Q
 from panelrank.plans.registry import register
@@ -37,10 +38,10 @@ def _concurrent(fn, items):
 def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True, feats=None):
     """Split, holdout metrics (rule and three models), choice, refit on all rows, scores.
 
-    The one-hot encoding is fitted once and the encoded matrix persisted;
+    The one-hot encoding is fitted once and the encoded matrix written once;
     every model fits on a subset of it. Holdout metrics are on the test
-    side; the published probabilities are in-sample (models refit on all
-    rows), flagged ``scored_in_sample``.
+    side, all four scores in one grouped pass; the published probabilities are in-sample (models refit on all
+    rows), flagged ``scored_in_sample``. The two rounds of fits don't depend on each other, so their jobs run together.
     Returns (predictions, metrics, best name, fitted best model, features, encoder, rule queue).
     """
     feats = feats if feats is not None else batch.features(spark, sf_dir)
@@ -48,45 +49,36 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True,
     enc, mat = E.fit_matrix(split, NUM, CAT, LABEL, ["content_id", "client_id", "split"])
     train = mat.filter(F.col("split") == "train")
     test = mat.filter(F.col("split") == "test")
-    n_train = train.count()
-    queue = batch.rule_queue(spark, sf_dir, feats).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def rule_metrics():
-        # Rule score looked up on test ids, missing -> 0
-        rule = test.select("content_id", LABEL).join(queue.select("content_id", "baseline_refresh_score"),
-                                                     "content_id", "left").na.fill(0.0, ["baseline_refresh_score"])
-        return M.metric_row(rule, LABEL, "baseline_refresh_score", "content_id", "baseline")
-
-    def holdout(item):
-        if item is None:
-            r = rule_metrics()
-        else:
-            name, stages = item
-            m = E.fit_on_matrix(train, stages, LABEL)
-            r = M.metric_row(E.score_matrix(m, test, "_p"), LABEL, "_p", "content_id", name)
-        r = r.persist(StorageLevel.MEMORY_AND_DISK)
-        r.count()  # evaluate inside the worker thread
-        return r
-
-    # the rule metrics (with its ranks) and the three fits are independent Spark jobs: run them concurrently
-    rows = _concurrent(holdout, [None] + list(E.build_models(n_train, LABEL, forest_trees).items()))
-    metrics = reduce(DataFrame.unionByName, rows).withColumn("split_strategy", F.lit(strategy))
-    metrics = metrics.persist(StorageLevel.MEMORY_AND_DISK)
+    n = mat.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("split") == "train").alias("train")).first()
+
+    def job(item):
+        kind, name, stages = item
+        if kind == "queue":
+            return O.materialized(batch.rule_queue(spark, sf_dir, feats))
+        return E.fit_on_matrix(train if kind == "holdout" else mat, stages, LABEL)
+
+    items = [("queue", "baseline", None), *[("holdout", m, st) for m, st in E.build_models(n["train"], LABEL, forest_trees).items()]]
+    if refit:
+        items += [("refit", m, st) for m, st in E.build_models(n["all"], LABEL, forest_trees).items()]
+    done = dict(zip([(kind, name) for kind, name, _ in items], _concurrent(job, items)))
+    queue = done["queue", "baseline"]
+    # Rule score looked up on test ids, missing -> 0
+    rule = J.lookup(test.select("content_id", LABEL), queue, "content_id", "baseline_refresh_score")
+    scores = [rule.select(F.lit("baseline").alias("model"), "content_id", LABEL, F.col("baseline_refresh_score").alias("_p"))]
+    scores += [E.score_matrix(done["holdout", m], test, "_p").select(F.lit(m).alias("model"), "content_id", LABEL, "_p") for m in E.MODEL_NAMES]
+    metrics = O.materialized(M.metric_rows(reduce(DataFrame.unionByName, scores), LABEL, "_p", "content_id").withColumn("split_strategy", F.lit(strategy)))
     best = M.best_model(metrics.filter(F.col("model") != "baseline"), E.MODEL_NAMES).first()["model"]
     if not refit:
         return None, metrics, best, None, feats, enc, queue
-    n_all = mat.count()
-    items = list(E.build_models(n_all, LABEL, forest_trees).items())
-    fitted = dict(zip([n for n, _ in items], _concurrent(lambda it: E.fit_on_matrix(mat, it[1], LABEL), items)))
     preds = mat
-    for name, _ in items:
-        preds = E.add_score(fitted[name], preds, f"prob_{name}")
-    # the scored frame feeds the blend, quantiles and ranks: persist it so no model is re-applied per job
-    preds = preds.select("content_id", "client_id", F.col(LABEL).cast("int").alias(LABEL), "split",
-                         *[f"prob_{n}" for n in E.MODEL_NAMES],
-                         F.lit(best).alias("best_model_name"), F.col(f"prob_{best}").alias("best_model_probability"),
-                         F.lit(True).alias("scored_in_sample")).persist(StorageLevel.MEMORY_AND_DISK)
-    return preds, metrics, best, fitted[best], feats, enc, queue
+    for name in E.MODEL_NAMES:
+        preds = E.add_score(done["refit", name], preds, f"prob_{name}")
+    # the scored frame feeds the blend, quantiles and ranks: written once, so no model is re-applied per job
+    preds = O.materialized(preds.select("content_id", "client_id", F.col(LABEL).cast("int").alias(LABEL), "split",
+                                        *[f"prob_{n}" for n in E.MODEL_NAMES],
+                                        F.lit(best).alias("best_model_name"), F.col(f"prob_{best}").alias("best_model_probability"),
+                                        F.lit(True).alias("scored_in_sample")))
+    return preds, metrics, best, done["refit", best], feats, enc, queue
 
 
 @register("model_comparison")
@@ -167,18 +159,40 @@ def split_gap(spark, sf_dir):
 
 @register("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    """AUC drop when one input is shuffled (shuffle by join on ordered positions)."""
+    """AUC drop of every one of the 26 inputs when its values are exchanged between rows."""
     feats = batch.features(spark, sf_dir)
-    cols = ["avg_position", "ctr", "days_since_last_update", "log_impressions_90d"]
     m = E.fit(feats, NUM, CAT, E.tree(LABEL), LABEL)
-    return E.permutation_importance(m, feats, NUM, CAT, LABEL, cols, "content_id")
+    return E.permutation_importance(m, feats, NUM, CAT, LABEL, "content_id")
+
+
+FOLDS = 5
+
+
+def _cross_validated(spark, sf_dir):
+    folded = L.group_folds(batch.features(spark, sf_dir), "client_id", FOLDS)
+    candidates = {"logistic_regression": E.logistic(folded.count(), LABEL), "tree_depth_3": E.tree(LABEL, depth=3), "tree_depth_5": E.tree(LABEL, depth=5)}
+    return CV.cross_validate(folded, NUM, CAT, candidates, LABEL, "fold", FOLDS, ["content_id", "client_id"], "content_id")
+
+
+@register("cross_validation")
+def cross_validation(spark, sf_dir):
+    """L05 + E07: three candidates over five client folds: rows, positives, AUC and P@50 out of fold, and the choice."""
+    _, per_fold, best = _cross_validated(spark, sf_dir)
+    return per_fold.withColumn("chosen", F.col("candidate") == best)
+
+
+@register("out_of_fold_predictions")
+def out_of_fold_predictions(spark, sf_dir):
+    """L05 + E07: the chosen candidate's score of every row by the model that saw no row of its client."""
+    scores, _, best = _cross_validated(spark, sf_dir)
+    return scores.filter(F.col("candidate") == best)
 
 
 # ---------------------------------------------------------------- capstone (window model)
 def capstone(spark, sf_dir):
     """Decline table -> group shuffle split (25 % of clients) -> forest 100 x depth 7 -> scores."""
     from panelrank.plans.q_windows import decline_frame
-    data = decline_frame(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    data = O.materialized(decline_frame(spark, sf_dir))
     split = L.group_shuffle(data, "client_id", 0.25)
     feats = K.WINDOW_MODEL_FEATURES
     m = E.fit(split.filter("split = 'train'"), feats, [], E.forest("is_declining", trees=100, depth=7, leaf=1,

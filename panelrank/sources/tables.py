@@ -37,6 +37,15 @@ def read_parquet(spark: SparkSession, path: str, months: list[str] | None = None
     return df
 
 
+def in_months(fact: DataFrame, months: DataFrame, month_col: str = "month") -> DataFrame:
+    """Rows of a month-partitioned fact whose month occurs in a (filtered) month table.
+
+    The months are known at run time only; the join on the partition column lets Spark plan dynamic partition
+    pruning: the month table is read first and only matching folders are opened.
+    """
+    return fact.join(months.select(month_col), month_col, "left_semi")
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV with header, every column read as string (S01); coerce with ``clean``."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
@@ -131,13 +140,6 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def cache_features(df: DataFrame, path: str, partition: str | None = "month") -> DataFrame:
-    """Write once, reuse (S10). Returns the re-read table (lineage cut)."""
-    parts = [partition] if partition and partition in df.columns else None
-    write_table(df, path, "parquet", partition_by=parts, max_rows=None)
-    return df.sparkSession.read.parquet(path)
-
-
 # ---------------------------------------------------------------- release
 def pseudonymize(df: DataFrame, column: str, prefix: str, n_hex: int, salt: str, out: str | None = None) -> DataFrame:
     """``prefix`` + first ``n_hex`` hex chars of sha256(salt || id)."""
