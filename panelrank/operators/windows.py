@@ -26,6 +26,14 @@ def max_date(df: DataFrame, date_col: str = "report_date") -> _dt.date:
     return v
 
 
+def newest_day(df: DataFrame, date_col: str = "report_date", month_col: str = "month") -> _dt.date:
+    """Global max date of a fact partitioned by month: the newest month is found from the folders, only its rows are read."""
+    if month_col not in df.columns:
+        return max_date(df, date_col)
+    newest = df.agg(F.max(month_col).alias("m")).first()["m"]
+    return max_date(df.filter(F.col(month_col) == newest) if newest is not None else df, date_col)
+
+
 def scope_filter(df: DataFrame, date_col: str, lo_exclusive: _dt.date | None, hi_inclusive: _dt.date | None,
                  month_col: str | None = "month") -> DataFrame:
     """Literal date bounds (half-open ``(lo, hi]``) plus month partition bounds."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelrank import constants as K
 from panelrank.operators import clean as C
+from panelrank.operators import ordered as O
 from panelrank.operators import score as S
 from panelrank.operators import windows as W
 from panelrank.session import ensure_checkpoint_dir
@@ -79,6 +80,29 @@ def report_tables(fq):
     return reduce(DataFrame.unionByName, mix)
 
 
+REPORT_REASONS, REPORT_PREVIEW = 12, 10
+
+
+def report_preview(fq, rows: int = REPORT_PREVIEW):
+    """The first rows of the queue with readable reasons and action labels (Q11, Q15)."""
+    from panelrank.functions.exprs import short_action
+    return fq.filter(F.col("final_rank") <= rows).select("final_rank", "content_id", F.array_join("final_reason_codes", ", ").alias("reasons"), "suggested_action",
+                                                         short_action("suggested_action").alias("action_label"))
+
+
+def report_reasons(fq, top: int = REPORT_REASONS):
+    """The most frequent reason codes of the queue (A06, A08): a top-k table."""
+    from panelrank.operators.aggregates import reason_counts
+    return reason_counts(fq, "final_reason_codes").orderBy(F.col("count").desc(), "reason_code").limit(top)
+
+
+def report_metrics(metrics, order: list[str]):
+    """The metric table of the report: one row per model, the rule last, at three decimals (Q11)."""
+    cols = ["roc_auc", "average_precision", "precision_at_50", "recall", "f1"]
+    place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
+    return metrics.select("model", *[F.round(c, 3).alias(c) for c in cols], F.when(place > 0, place).otherwise(len(order) + 1).alias("_o")).orderBy("_o", "model").drop("_o")
+
+
 def run_pipeline(spark, sf_dir: str | None, out_dir: str, forest_trees: int = 200, feats=None) -> dict:
     """The whole job as one Spark program (the reference's five steps).
 
@@ -90,7 +114,7 @@ def run_pipeline(spark, sf_dir: str | None, out_dir: str, forest_trees: int = 20
     from panelrank.operators import models as E
     from panelrank.plans import q_models
     paths = {k: os.path.join(out_dir, k) for k in
-             ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report", "results")}
+             ("features", "baseline_queue", "metrics", "predictions", "final_queue", "report", "report_preview", "report_reasons", "report_metrics", "results")}
     feats = feats if feats is not None else features(spark, sf_dir)
     C.assert_unique(feats, "content_id")
     T.write_table(feats, paths["features"], "parquet", max_rows=None)
@@ -100,8 +124,12 @@ def run_pipeline(spark, sf_dir: str | None, out_dir: str, forest_trees: int = 20
     T.write_metrics(metrics, paths["metrics"])
     T.write_table(preds, paths["predictions"], "csv")
     fq = S.final_queue(queue, preds, feats)
+    fq = O.materialized(fq)
     T.write_table(T.to_sink_text(fq, ["final_reason_codes"]), paths["final_queue"], "csv", order_by=["final_rank"])
     T.write_metrics(report_tables(fq), paths["report"])
+    T.write_metrics(report_preview(fq).orderBy("final_rank"), paths["report_preview"])
+    T.write_metrics(report_reasons(fq), paths["report_reasons"])
+    T.write_metrics(report_metrics(metrics, E.MODEL_NAMES), paths["report_metrics"])
     # importances: at most 25 names with a number each
     top = E.importance(model, E.feature_names(enc, feats, q_models.NUM, q_models.CAT))
     y = F.col(q_models.LABEL)

@@ -660,3 +660,71 @@ def tier_signal_table(spark, sf_dir):
     f = batch.features(spark, sf_dir)
     return f.groupBy("freshness_tier").agg(F.bround(F.avg(F.col("is_declining_label").cast("double")), 3)
                                            .alias("decline_rate"), F.count(F.lit(1)).alias("pages"))
+
+
+# ---------------------------------------------------------------- inputs on which every branch of a rule occurs
+# Texts that do and don't mean true
+BOOLEAN_TEXTS = ["TRUE", "1", "Yes", "y", "no", "0", "", " true"]
+
+
+@register("boolean_texts", fx.with_sql("fx_content") + f"""
+, b AS (SELECT content_id, CASE WHEN content_id % 9 < 8 THEN {BOOLEAN_TEXTS}[1 + content_id % 9] END AS raw FROM fx_content)
+SELECT content_id, COALESCE(lower(raw) IN ('true', '1', 'yes', 'y'), FALSE) AS has_flag, FALSE AS absent_flag FROM b""")
+def boolean_texts(spark, sf_dir):
+    """Boolean columns from text in every spelling, blanks and an absent column."""
+    k = F.col("content_id") % 9
+    raw = fx.fx_content(spark, sf_dir).select("content_id", F.get(F.array(*[F.lit(t) for t in BOOLEAN_TEXTS]), k.cast("int")).alias("has_flag"))
+    return C.clean_snapshot(raw, numeric=[], boolean=["has_flag", "absent_flag"], categorical=[])
+
+
+@register("tier_branches", fx.with_sql("fx_content") + """
+, v AS (SELECT CASE WHEN content_id % 11 <> 0 THEN days_since_last_update END AS days,
+               CASE WHEN content_id % 5 = 0 THEN 0 ELSE content_age_days END AS prev, CASE WHEN content_id % 10 = 0 THEN 0 ELSE (content_id * 31) % 900 END AS last FROM fx_content),
+t AS (SELECT CASE WHEN days IS NULL THEN 'never' WHEN days <= 30 THEN '0-30' WHEN days <= 90 THEN '31-90' WHEN days <= 180 THEN '91-180' ELSE '181+' END AS freshness_tier,
+             CASE WHEN prev = 0 AND last > 0 THEN 'new' WHEN prev = 0 THEN 'flat' WHEN last > 1.2 * prev THEN 'up' WHEN last < 0.8 * prev THEN 'down' ELSE 'stable' END AS trend_direction FROM v)
+SELECT freshness_tier, trend_direction, COUNT(*) AS pages FROM t GROUP BY ALL""")
+def tier_branches(spark, sf_dir):
+    """C15 + C17 on pages without an update and without impressions: all five trends and all five freshness tiers."""
+    k = F.col("content_id")
+    v = fx.fx_content(spark, sf_dir).select(F.when(k % 11 != 0, F.col("days_since_last_update")).alias("days"), F.when(k % 5 == 0, 0).otherwise(F.col("content_age_days")).alias("prev"),
+                                            F.when(k % 10 == 0, 0).otherwise((k * 31) % 900).alias("last"))
+    return v.groupBy(X.freshness_tier("days").alias("freshness_tier"), X.trend_direction("last", "prev").alias("trend_direction")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+@register("url_match_kinds", fx.with_sql("fx_daily") + """
+, s AS (SELECT '/page/' || content_id AS url, CAST(SUM(impressions) AS BIGINT) AS imp FROM fx_daily WHERE content_id % 4 <> 1 GROUP BY 1),
+a AS (SELECT '/page/' || content_id AS url, CAST(SUM(sessions) AS BIGINT) AS ses FROM fx_daily WHERE content_id % 4 <> 2 GROUP BY 1)
+SELECT CASE WHEN s.url IS NOT NULL AND a.url IS NOT NULL THEN 'both' WHEN a.url IS NULL THEN 'search_only' ELSE 'analytics_only' END AS match,
+  COUNT(*) AS urls, CAST(SUM(imp) AS BIGINT) AS impressions, CAST(SUM(ses) AS BIGINT) AS sessions FROM s FULL JOIN a ON s.url = a.url GROUP BY 1""")
+def url_match_kinds(spark, sf_dir):
+    """Pages seen by both sides, by search only and by analytics only."""
+    d = fx.fx_daily(spark, sf_dir).withColumn("url", F.concat(F.lit("/page/"), F.col("content_id").cast("string")))
+    j = J.join_on_url(d.filter("content_id % 4 <> 1"), d.filter("content_id % 4 <> 2"))
+    return j.groupBy("match").agg(F.count(F.lit(1)).alias("urls"), F.sum("search_impressions").alias("impressions"), F.sum("sessions").alias("sessions"))
+
+
+# every third client loses two thirds of its impressions in the last year
+SLUMP_SQL = fx.with_sql("fx_daily", "fx_content") + """
+, b AS (SELECT MAX(report_date) AS end_d FROM fx_daily),
+tw AS (SELECT client_id, content_id,
+    CAST(SUM(CASE WHEN report_date > b.end_d - 365 THEN impressions ELSE 0 END) // CASE WHEN CAST(substring(client_id, 7, 10) AS INTEGER) % 3 = 0 THEN 3 ELSE 1 END AS BIGINT) AS imp_last,
+    CAST(SUM(CASE WHEN report_date <= b.end_d - 365 THEN impressions ELSE 0 END) AS BIGINT) AS imp_prev,
+    CAST(SUM(CASE WHEN report_date > b.end_d - 365 THEN clicks ELSE 0 END) AS BIGINT) AS clk_last,
+    CAST(SUM(CASE WHEN report_date <= b.end_d - 365 THEN clicks ELSE 0 END) AS BIGINT) AS clk_prev
+  FROM fx_daily, b WHERE report_date > b.end_d - 730 GROUP BY 1, 2),
+sb AS (SELECT t.*, SUM(imp_last - imp_prev) OVER (PARTITION BY t.client_id, keyword_group) - (imp_last - imp_prev) AS gain, CAST(imp_last AS DOUBLE) / NULLIF(imp_prev, 0) AS ratio,
+         CAST(SUM(imp_last) OVER (PARTITION BY t.client_id) AS DOUBLE) / NULLIF(SUM(imp_prev) OVER (PARTITION BY t.client_id), 0) AS client_ratio
+       FROM tw t JOIN fx_content c ON t.content_id = c.content_id)
+SELECT CASE WHEN imp_prev < 100 THEN 'noise' WHEN imp_prev > imp_last AND gain >= imp_prev - imp_last THEN 'consolidation' WHEN ratio < 0.8 AND client_ratio < 0.8 THEN 'seasonality'
+    WHEN ratio >= 0.8 AND clk_last < 0.8 * clk_prev THEN 'click_loss' WHEN ratio < 0.8 THEN 'real_decline' ELSE 'no_decline' END AS decline_type, COUNT(*) AS pages
+FROM sb GROUP BY 1"""
+
+
+@register("lookalike_branches", SLUMP_SQL)
+def lookalike_branches(spark, sf_dir):
+    """Q17 where some clients lose impressions throughout: every class of the rule, seasonality too."""
+    tw = W.two_window(fx.fx_daily(spark, sf_dir), ["client_id", "content_id"], end=fx.fx_last_day(spark, sf_dir), window=730, split=365, avgs={}, min_prev=None)
+    tw = tw.withColumn("imp_last", F.expr("imp_last div if(int(substring(client_id, 7, 10)) % 3 = 0, 3, 1)"))
+    sib = J.sibling_shift(tw.join(fx.fx_content(spark, sf_dir).select("content_id", "keyword_group"), "content_id"))
+    ct = tw.groupBy("client_id").agg(X.ratio(F.sum("imp_last"), F.sum("imp_prev")).alias("client_ratio"))
+    return S.lookalike(tw, sib, ct).groupBy("decline_type").agg(F.count(F.lit(1)).alias("pages"))

@@ -22,6 +22,7 @@ from panelrank.operators import split as L
 from panelrank.operators import validate as CV
 from panelrank.plans import batch
 from panelrank.plans import sql_common as Q
+from panelrank.plans import warehouse
 from panelrank.plans.registry import register
 
 LABEL = "is_declining_label"
@@ -192,32 +193,20 @@ def out_of_fold_predictions(spark, sf_dir):
 def capstone(spark, sf_dir):
     """Decline table -> group shuffle split (25 % of clients) -> forest 100 x depth 7 -> scores."""
     from panelrank.plans.q_windows import decline_frame
-    data = O.materialized(decline_frame(spark, sf_dir))
-    split = L.group_shuffle(data, "client_id", 0.25)
-    feats = K.WINDOW_MODEL_FEATURES
-    m = E.fit(split.filter("split = 'train'"), feats, [], E.forest("is_declining", trees=100, depth=7, leaf=1,
-                                                                   balanced=False), "is_declining")
-    scored = E.score(m, split, feats, [], "decline_probability")
-    return scored
+    return warehouse.score_capstone(O.materialized(decline_frame(spark, sf_dir)))[0]
 
 
 @register("capstone_playbook")
 def capstone_playbook(spark, sf_dir):
-    """Q14: at-risk pages (prev > 500, p > 0.6), reason by position, ordered by probability."""
-    s = capstone(spark, sf_dir)
-    pb = S.playbook(s)
-    return pb.select("content_id", "client_id", "imp_prev", "decline_probability", "action", "reason") \
-        .orderBy(F.col("decline_probability").desc(), F.col("content_id"))
+    """Q14: at-risk pages (prev > 500, p > 0.6), reason by position, ordered by probability. The plain fixture's windows hold
+    fewer impressions than the rule asks for, so this is empty there; ``busy_playbook`` reaches the rule."""
+    return warehouse.capstone_playbook(capstone(spark, sf_dir)).orderBy(F.col("decline_probability").desc(), F.col("content_id"))
 
 
 @register("capstone_report")
 def capstone_report(spark, sf_dir):
     """M06 + M02 on the capstone test side."""
-    s = capstone(spark, sf_dir).filter("split = 'test'").withColumn("pred", (F.col("decline_probability") >= 0.5)
-                                                                   .cast("int"))
-    rep = M.class_report(s, "is_declining", "pred")
-    auc = M.roc_auc(s, "is_declining", "decline_probability")
-    return rep.crossJoin(auc)
+    return warehouse.capstone_report(capstone(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- blend with an oracle
@@ -299,10 +288,14 @@ SELECT final_rank, content_id, replace(final_reason_codes, '|', ', ') AS reasons
 FROM fb_4 WHERE final_rank <= 10""")
 def queue_preview(spark, sf_dir):
     """Q11 preview + Q15 short labels: top 10 rows with ``|`` shown as ``, ``."""
-    from panelrank.functions.exprs import short_action
-    fq = blend_frame(spark, sf_dir).filter(F.col("final_rank") <= 10)
-    return fq.select("final_rank", "content_id", F.array_join("final_reason_codes", ", ").alias("reasons"),
-                     "suggested_action", short_action("suggested_action").alias("action_label"))
+    return batch.report_preview(blend_frame(spark, sf_dir))
+
+
+@register("report_reasons", BLEND_SQL + """
+SELECT code AS reason_code, COUNT(*) AS count FROM (SELECT unnest(codes) AS code FROM fb_4) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12""")
+def report_reasons(spark, sf_dir):
+    """Q11 + A08: the twelve most frequent reason codes (a top-k table: the limit is the feature)."""
+    return batch.report_reasons(blend_frame(spark, sf_dir))
 
 
 @register("queue_summary", BLEND_SQL + """
@@ -353,16 +346,8 @@ def bootstrap_diff(spark, sf_dir):
 def notebook_model_report(spark, sf_dir):
     """Warehouse-notebook variant: prev-window + query-mix inputs, C23 drop blanks, stratified 25 % row
     split (L02), forest 200 trees with MLlib's deepest trees (30), class report, AUC and majority rate (E12)."""
-    from panelrank.operators.windows import drop_blank
     from panelrank.plans.q_windows import decline_frame
-    cols = ["imp_prev", "visible_queries", "rare_share", "anon_share", "top_query_share"]
-    data = drop_blank(decline_frame(spark, sf_dir), cols)
-    sp = L.stratified_holdout(data, "is_declining", 0.25)
-    m = E.fit(sp.filter("split = 'train'"), cols, [], E.forest("is_declining", trees=200, depth=30, leaf=1,
-                                                               balanced=False), "is_declining")
-    s = E.score(m, sp.filter("split = 'test'"), cols, [], "_p").withColumn("pred", (F.col("_p") >= 0.5).cast("int"))
-    rep = M.class_report(s, "is_declining", "pred")
-    return rep.crossJoin(M.roc_auc(s, "is_declining", "_p")).crossJoin(M.majority_rate(s, "is_declining"))
+    return warehouse.notebook_report(decline_frame(spark, sf_dir))
 
 
 @register("readable_tree_text")
