@@ -25,12 +25,11 @@ SEED = K.RANDOM_STATE
 def feature_stages(numeric: list[str], categorical: list[str], out: str = "features"):
     """Feature matrix (E01): numeric block + one-hot block (all levels kept, ``unknown`` for NULL)."""
     stages = []
-    oh_cols = []
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=f"_{c}_s", outputCol=f"_{c}_i", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        oh_cols.append(f"_{c}_i")
     if categorical:
+        # one indexer for all columns: their levels are counted in one job
+        oh_cols = [f"_{c}_i" for c in categorical]
+        stages.append(StringIndexer(inputCols=[f"_{c}_s" for c in categorical], outputCols=oh_cols, handleInvalid="keep",
+                                    stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=oh_cols, outputCols=[f"{c}_oh" for c in categorical], dropLast=False,
                                     handleInvalid="error"))  # the indexer already maps unseen to its own slot
     stages.append(VectorAssembler(inputCols=[f"_{c}_n" for c in numeric] + [f"{c}_oh" for c in categorical],
@@ -111,8 +110,8 @@ def feature_names(model: PipelineModel, df: DataFrame, numeric, categorical) ->
     names = list(numeric)
     for st in model.stages:
         if type(st).__name__ == "StringIndexerModel":
-            c = st.getInputCol()[1:-2]
-            names += [f"{c}={lv}" for lv in st.labels] + [f"{c}=__invalid__"]
+            for c, levels in zip(st.getInputCols(), st.labelsArray):
+                names += [f"{c[1:-2]}={lv}" for lv in levels] + [f"{c[1:-2]}=__invalid__"]
     return names
 
 
@@ -199,12 +198,14 @@ def fit_matrix(df: DataFrame, numeric, categorical, label: str, keep: list[str])
     return enc, materialized(sized(enc.transform(x).select(*keep, label, "features")))
 
 
-ROWS_PER_PARTITION = 20_000  # a fit makes a few passes of small jobs; fewer tasks than rows warrant cost more than they do
+ROWS_PER_TASK, SPREAD_ROWS = 2_000, 200_000
 
 
-def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """``df`` in no more partitions than its rows warrant: many tiny tasks slow every pass of a fit."""
-    return df.coalesce(max(1, -(-df.count() // rows_per_partition)))
+def sized(df: DataFrame) -> DataFrame:
+    """A small matrix spread over the cores (``ROWS_PER_TASK`` rows a task at least), since a fit is many passes over few rows;
+    one of more than ``SPREAD_ROWS`` rows a core stays in the partitions it has."""
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(cores, -(-n // ROWS_PER_TASK)))) if n <= SPREAD_ROWS * cores else df
 
 
 def fit_on_matrix(mat: DataFrame, model_stages: list, label: str) -> PipelineModel:

@@ -226,13 +226,14 @@ def playbook(df: DataFrame, prev: str = "imp_prev", prob: str = "decline_probabi
 def threshold_sweep(df: DataFrame, score: str, label: str, cuts: list[float]) -> DataFrame:
     """Captured rows, precision and recall per score cutoff (Q16).
 
-    The cut list is a literal array exploded per row only where the row
-    passes the cut, then counted: one grouped pass.
+    Each row counts the cuts it passes; rows are counted per number of cuts passed, so no row is repeated, and a cut captures
+    the groups that pass at least as many: at most ``len(cuts)`` groups meet ``len(cuts)`` cuts.
     """
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    hit = df.select(_c(label).cast("long").alias("_y"),
-                    F.explode(F.filter(arr, lambda t: _c(score) >= t)).alias("cutoff"))
-    g = hit.groupBy("cutoff").agg(F.count(F.lit(1)).alias("captured"), F.sum("_y").cast("long").alias("tp"))
+    ordered = sorted({float(c) for c in cuts})
+    passed = F.size(F.filter(F.array(*[F.lit(c) for c in ordered]), lambda t: _c(score) >= t))
+    groups = df.groupBy(passed.alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.sum(_c(label).cast("long")).alias("_y")).filter("_k > 0")
+    table = df.sparkSession.createDataFrame([(c, i + 1) for i, c in enumerate(ordered)], "cutoff double, _i int")
+    g = F.broadcast(table).join(groups, F.col("_k") >= F.col("_i")).groupBy("cutoff").agg(F.sum("_n").alias("captured"), F.sum("_y").cast("long").alias("tp"))
     pos = df.agg(F.sum(_c(label).cast("long")).alias("_pos"))
     allc = df.sparkSession.createDataFrame([(float(c),) for c in cuts], "cutoff double")
     j = allc.join(g, "cutoff", "left").na.fill(0, ["captured", "tp"]).crossJoin(F.broadcast(pos))

@@ -189,8 +189,9 @@ SELECT per.content_id, kept_impressions, content_total, fact_impressions,
        COALESCE(fact_impressions, 0) = content_total AS fact_match
 FROM per LEFT JOIN fact ON per.content_id = fact.content_id""")
 def query_reconciliation(spark, sf_dir):
-    """Kept + rare + anonymized shares = 1 and query total vs the daily fact, per content."""
-    return W.reconcile_queries(fx.fx_query(spark, sf_dir), fx.fx_daily(spark, sf_dir), window=100000)
+    """Kept + rare + anonymized shares = 1 and query total vs the daily fact, per content. The fixture's query
+    table covers every day of the fact, so the compared window is the fact's own span."""
+    return W.reconcile_queries(fx.fx_query(spark, sf_dir), fx.fx_daily(spark, sf_dir), window=fx.fx_span_days(spark, sf_dir), end=fx.fx_last_day(spark, sf_dir))
 
 
 @register("month_frame", fx.with_sql("fx_daily") + f"""
@@ -271,7 +272,7 @@ FROM fx_daily d JOIN fx_clients c ON d.client_id = c.client_id WHERE d.report_da
 def after_client_start(spark, sf_dir):
     """keep days on/after each client's start; unknown start keeps nothing."""
     d = fx.fx_daily(spark, sf_dir)
-    k = C.after_start(d, fx.fx_clients(spark, sf_dir, d))
+    k = C.after_start(d, fx.fx_clients(spark, sf_dir))
     return k.groupBy("client_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("impressions").cast("long").alias("impressions"))
 
 
@@ -290,7 +291,7 @@ FROM fx_daily""")
 def unknown_start_rows(spark, sf_dir):
     """semi / anti join on a client set (clients with unknown start)."""
     d = fx.fx_daily(spark, sf_dir)
-    ids = fx.fx_clients(spark, sf_dir, d).filter(F.col("start_date").isNull())
+    ids = fx.fx_clients(spark, sf_dir).filter(F.col("start_date").isNull())
     a = C.in_set(d, ids, "client_id").agg(F.count(F.lit(1)).alias("in_rows"))
     b = C.in_set(d, ids, "client_id", anti=True).agg(F.count(F.lit(1)).alias("not_in_rows"))
     return a.crossJoin(b)
@@ -370,7 +371,7 @@ GROUP BY 1""")
 def star_join(spark, sf_dir):
     """Fact -> content (shuffle) and fact -> clients (broadcast), then per content type."""
     d = fx.fx_daily(spark, sf_dir)
-    s = J.star(d, fx.fx_content(spark, sf_dir), fx.fx_clients(spark, sf_dir, d))
+    s = J.star(d, fx.fx_content(spark, sf_dir), fx.fx_clients(spark, sf_dir))
     return s.groupBy("content_type").agg(F.count(F.lit(1)).alias("rows"), F.sum("impressions").cast("long").alias("impressions"),
                                          F.count_if(F.col("start_date").isNotNull()).alias("rows_with_start"))
 
@@ -491,6 +492,21 @@ def query_intents(spark, sf_dir):
     return q.groupBy("intent").agg(F.count(F.lit(1)).alias("queries"), F.sum("impressions_90d").cast("long").alias("impressions"))
 
 
+# phrases that put a query into each bucket
+PHRASES = ["{} vs soap", "alternatives to {}", "is {} safe", "how to use {}", "buy {}", "{}", "{} prices", "replacement for {}"]
+
+
+@register("intent_branches", fx.with_sql("fx_query_all") + f"""
+, t AS (SELECT replace({PHRASES}[1 + query_id % 8], '{{}}', query_text) AS query_text, impressions_90d FROM fx_query_all)
+SELECT {INTENT_SQL} AS intent, COUNT(*) AS queries, CAST(SUM(impressions_90d) AS BIGINT) AS impressions FROM t GROUP BY 1""")
+def intent_branches(spark, sf_dir):
+    """C28 on queries with telling words: every bucket of the ordered rules."""
+    from panelrank.operators.text import intent_bucket
+    phrase = F.get(F.array(*[F.lit(p) for p in PHRASES]), (F.col("query_id") % 8).cast("int"))
+    q = fx.fx_query_all(spark, sf_dir).withColumn("query_text", F.replace(phrase, F.lit("{}"), F.col("query_text")))
+    return intent_bucket(q, "query_text").groupBy("intent").agg(F.count(F.lit(1)).alias("queries"), F.sum("impressions_90d").cast("long").alias("impressions"))
+
+
 # ---------------------------------------------------------------- Q12, Q13, Q16, Q18, Q19
 @register("stale_visible_rule", Q.chain(upto="features") + """
 SELECT content_id, CAST(days_since_last_update >= 180 AS INTEGER) * CAST(impressions_90d >= 500 AS INTEGER) * impressions_90d AS stale_score

@@ -143,10 +143,20 @@ def fx_last_day(spark: SparkSession, sf_dir: str):
     return table(spark, sf_dir, "lineitem").agg(F.max(F.col("l_shipdate").cast("date")).alias("d")).first()["d"]
 
 
+def fx_span_days(spark: SparkSession, sf_dir: str) -> int:
+    """Days from the first to the last of the daily fact, both counted, from the base scan's one column."""
+    d = F.col("l_shipdate").cast("date")
+    return table(spark, sf_dir, "lineitem").agg((F.datediff(F.max(d), F.min(d)) + 1).alias("n")).first()["n"]
+
+
 def fx_clients(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     """Client dimension: start = first day + (b % 5) * 365, NULL when b % 10 = 0."""
-    d = daily if daily is not None else fx_daily(spark, sf_dir)
-    g = d.groupBy("client_id").agg(F.min("report_date").alias("_first"))
+    if daily is not None:
+        g = daily.groupBy("client_id").agg(F.min("report_date").alias("_first"))
+    else:  # first days per item from the base scan's two columns; the daily fact isn't built for it
+        first = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min(F.col("l_shipdate").cast("date")).alias("_d"))
+        items = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("client_id"))
+        g = first.join(items, "p_partkey").groupBy("client_id").agg(F.min("_d").alias("_first"))
     b = F.substring("client_id", 7, 10).cast("int")
     start = F.when(b % 10 == 0, F.lit(None).cast("date")).otherwise(F.date_add("_first", (b % 5) * 365))
     return g.select("client_id", start.alias("start_date"))
