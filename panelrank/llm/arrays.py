@@ -182,6 +182,11 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def without(df: DataFrame, name: str, *kept: str) -> DataFrame:
+    """``df`` without columns of this name in any case, so that a result of that name replaces them; ``kept`` columns stay."""
+    return df.drop(*[c for c in df.columns if c.lower() == name.lower() and c not in kept])
+
+
 def release() -> None:
     """Gives freed memory back to the system at the end of a task: workers stay, and share the executor with others."""
     gc.collect()

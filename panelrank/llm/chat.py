@@ -76,10 +76,15 @@ def op9_chat(spark, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(own)
     formatted = format_conversations(turns)
-    loss = prefix_targets(formatted).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("example", "target"))).alias("e"))
-    loss = loss.select(F.col("conv_id").alias("_c"), F.array_join(F.transform("e", lambda e: unescape(e["target"])), "").alias("_loss"))
+    # each example is its prefix text with a mask; it is digested before the examples of a conversation come together
+    each = prefix_targets(formatted, with_text=True).select("conv_id", "example", F.expr("substring(text, int(context_end) + 1, int(loss_end - context_end))").alias("target"),
+                                                            F.sha2(F.expr("substring(text, 1, int(context_end))").cast("binary"), 256).alias("context"))
+    loss = each.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("example", "target", "context"))).alias("e"))
+    loss = loss.select(F.col("conv_id").alias("_c"), F.array_join(F.transform("e", lambda e: unescape(e["target"])), "").alias("_loss"),
+                       F.size("e").cast("long").alias("_n"), F.sha2(F.array_join(F.transform("e", lambda e: e["context"]), "\n").cast("binary"), 256).alias("_contexts"))
     turns_text = F.array_join(F.transform(read_back("formatted"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     both = formatted.join(loss, F.col("conv_id").eqNullSafe(F.col("_c")), "left").withColumn("_loss", F.coalesce("_loss", F.lit("")))
     return both.select(
         "conv_id", F.size(read_back("formatted")).cast("long").alias("n_turns"), F.sha2(turns_text.cast("binary"), 256).alias("turns_sha256"),
-        F.length("_loss").cast("long").alias("loss_chars"), F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("_loss").cast("long").alias("loss_chars"), F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+        F.coalesce("_n", F.lit(0)).alias("n_examples"), F.coalesce("_contexts", F.sha2(F.lit("").cast("binary"), 256)).alias("contexts_sha256"))

@@ -10,7 +10,8 @@ The benchmark is the stated side: it is read in blocks of at most ``block_bytes`
 block is broadcast at a time. Documents never shuffle with one block; with more, only ids and results do.
 
 Defined results: null text has no words (n_words 0, nothing hit); null or wordless items have no window;
-repeated document rows each give a row; an empty benchmark hits nothing; items sharing an id count once.
+repeated document rows each give a row; an empty benchmark hits nothing; items sharing an id count once; a column of
+``docs`` with the name of the result is replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelrank.llm.arrays import ALNUM_WORD, Lookup, Words, append_column, fresh_name, release, row_slices, text_buffer
+from panelrank.llm.arrays import ALNUM_WORD, Lookup, Words, append_column, fresh_name, release, row_slices, text_buffer, without
 
 WINDOW = 13
 SHINGLE = 5
@@ -189,6 +190,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
     if shingle > window or min(shingle, window) < 1:
         raise ValueError("need 1 <= shingle <= window")
     spark = docs.sparkSession
+    docs = without(docs, into, text_col)
     parts = []
     for ids, texts in _blocks(items, item_id, item_text, block_bytes):
         x = WindowIndex(ids, texts, window, shingle)
@@ -216,7 +218,7 @@ def _many_blocks(docs: DataFrame, text_col: str, parts: list, into: str) -> Data
     keyed = docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))
     found = None
     for index in parts:
-        part = append_column(keyed.select(key, text_col), "h", HITS, lambda index=index: (lambda f: lambda b: f(b.column(1)))(_matcher(index)))
+        part = append_column(keyed.select(key, F.col(text_col).alias("t")), "h", HITS, lambda index=index: (lambda f: lambda b: f(b.column(1)))(_matcher(index)))
         part = part.select(key, "h").where("h.n_hit > 0").groupBy(key).agg(F.first("h").alias("h"))
         found = part if found is None else found.unionByName(part)
     flat = lambda c, f: F.flatten(F.collect_list(f"h.{c}")) if f else None
@@ -228,8 +230,9 @@ def _many_blocks(docs: DataFrame, text_col: str, parts: list, into: str) -> Data
     found = found.groupBy(key).agg(F.max("h.n_words").alias("n_words"), F.array_sort(F.array_distinct(flat("items", True))).alias("items"), merged.alias("spans"))
     found = found.select(key, F.struct("n_words", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n_hit"), "items", "spans").alias("_h"))
     at = [*docs.columns, key].index(text_col)
-    counted = append_column(keyed, "_w", HITS, lambda: (lambda f: lambda b: f(b.column(at)))(_word_counter))
-    return counted.join(found, key, "left").select(*[F.col(c) for c in docs.columns], F.coalesce("_h", "_w").alias(into))
+    plain, hit = fresh_name(keyed, "_w"), fresh_name(keyed, "_h")
+    counted = append_column(keyed, plain, HITS, lambda: (lambda f: lambda b: f(b.column(at)))(_word_counter))
+    return counted.join(found.withColumnRenamed("_h", hit), key, "left").select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(hit, plain).alias(into))
 
 
 def _word_counter(col: pa.Array) -> pa.Array:

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelrank.llm.arrays import fresh_name
 from panelrank.llm.store import Store
 
 MARKUP, ARTICLE, OPEN = 0, 1, 2
@@ -48,19 +49,30 @@ DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search
 # words of class and id names that mark what is not the article
 DROPPED_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "feedback",
                  "footer", "form", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pager", "pagination", "popup", "promo", "promoted",
-                 "related", "reply", "replies", "respond", "rail", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget"}
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+                 "related", "reply", "replies", "respond", "responses", "rail", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget"}
+# a comment, a declaration, a tag with quoted attributes, or a tag whose quotes don't close; after one of those quotes count no more.
+# Nothing is tried twice: each match moves on, and beyond the last ">" there is no tag
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|(<)/?[a-zA-Z][^>]*>", re.S)
+_UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>()", re.S)
 _ATTR = re.compile(r"(?<![\w-])(class|id|role|aria-hidden|hidden)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _dropped(attrs: str) -> bool:
-    """Whether an element's attributes mark it as no part of an article."""
+def _dropped(attrs: str, element: str, inside: bool) -> bool:
+    """Whether an element's attributes mark it as no part of an article.
+
+    Inside an article an id is an anchor, made from the words of a title, and counts as a whole only; headings have nothing
+    but such ids, and a header there is the article's own.
+    """
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id"):
-            if any(w.lower() in DROPPED_NAMES for w in _NAME.findall(value)):
+        if name == "id" and (inside or element in HEADINGS):
+            if element not in HEADINGS and value.lower() in DROPPED_NAMES:
+                return True
+        elif name in ("class", "id"):
+            words = {w.lower() for w in _NAME.findall(value)}
+            if (words - {"header"} if inside and element == "header" else words) & DROPPED_NAMES:
                 return True
         elif name == "role":
             if value.lower() in DROPPED_ROLES:
@@ -86,14 +98,22 @@ def lines(page: str) -> list[tuple[str, int]]:
             parts.clear()
 
     at, n = 0, len(page)
+    last, tag = page.rfind(">") + 1, _TAG
+    open_names: dict[str, int] = {}
     while at < n:
-        m = _TAG.search(page, at)
+        m = tag.search(page, at, last) if at < last else None
         if m is None:
-            parts.append(page[at:])
+            hidden = page.find("<!--", at)  # a comment that nothing closes
+            parts.append(page[at:hidden] if hidden >= 0 else page[at:])
             break
         if m.start() > at:
             parts.append(page[at:m.start()])
+        if m[4]:
+            at, tag = m.start(), _UNQUOTED
+            continue
         at = m.end()
+        if at == last and page.startswith("<!--", m.start()) and not page.endswith("-->", m.start() + 4, at):
+            break
         if not m[2]:
             continue
         name = m[2].lower()
@@ -102,13 +122,15 @@ def lines(page: str) -> list[tuple[str, int]]:
         if name in BLOCK or name in DROPPED:
             close_block()
         if m[1]:
-            at_name = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at_name is not None:
+            if open_names.get(name):
+                at_name = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
                 if any(s[1] or s[0] in BLOCK for s in stack[at_name:]):
                     close_block()
-                dropped -= sum(s[1] for s in stack[at_name:])
+                for s in stack[at_name:]:
+                    dropped -= s[1]
+                    open_names[s[0]] -= 1
                 del stack[at_name:]
-                region = max((s[2] for s in stack), default=0)
+                region = stack[-1][2] if stack else 0      # a region holds for all inside it
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
@@ -116,14 +138,16 @@ def lines(page: str) -> list[tuple[str, int]]:
             continue
         if name in BLOCK and stack and stack[-1][0] == "p":
             dropped -= stack.pop()[1]
+            open_names["p"] -= 1
         if name in VOID or m[3].endswith("/"):
             continue
-        gone = (name in DROPPED and not (name == "header" and region)) or (bool(m[3]) and name not in ("html", "body", "article", "main") and _dropped(m[3])) or (name in ("article", "main") and bool(m[3]) and _dropped(m[3]))
+        gone = (name in DROPPED and not (name == "header" and region)) or (bool(m[3]) and name not in ("html", "body") and _dropped(m[3], name, region > 0))
         if gone:
             close_block()
         kind = 0 if dropped or gone else 2 if name == "article" else 1 if name == "main" or (m[3] and re.search(r"role\s*=\s*[\"']?main\b", m[3], re.I)) else 0
         plain = name in PROSE and (name in HEADINGS or name in ("article", "main") or not (m[3] and _ATTR.search(m[3])))
         stack.append((name, gone, max(kind, region), plain))
+        open_names[name] = open_names.get(name, 0) + 1
         dropped += gone
         region = max(kind, region)
     close_block()
@@ -307,16 +331,18 @@ def template_lines(pages: DataFrame, store: Store, url_col: str = "url", html_co
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id", into: str = "text") -> DataFrame:
-    """``pages`` without the html, plus the column ``into`` with the main text (clashing columns are replaced)."""
+    """``pages`` without the html, plus the column ``into`` with the main text (a column of that name is replaced)."""
     store = Store(pages.sparkSession, "html")
     drop = template_lines(pages, store, url_col, html_col, id_col)
     store.drop("hashed", "found0", "found1")
     url = F.coalesce(F.col(url_col), F.lit(""))
-    kept = [c for c in pages.columns if c not in (html_col, into)]
-    rows = pages.select(*kept, F.coalesce(F.col(html_col), F.lit("")).alias("_html"))
-    keyed = rows.withColumns({"_host": _host(url), "_digest": F.unhex(F.sha2(F.col("_html").cast("binary"), 256))})
-    d = drop.select(F.col("host").alias("_host"), F.col("digest").alias("_digest"), F.col("drop").alias("_drop"))
-    joined = keyed.join(d, ["_host", "_digest"], "left").select(*kept, "_html", "_drop")
+    kept = [c for c in pages.columns if c != html_col and c.lower() != into.lower()]
+    body, host, digest, gone_at = (fresh_name(pages, c) for c in ("_html", "_host", "_digest", "_drop"))
+    own = [F.col(f"`{c}`") for c in kept]
+    rows = pages.select(*own, F.coalesce(F.col(html_col), F.lit("")).alias(body), _host(url).alias(host))
+    keyed = rows.withColumn(digest, F.unhex(F.sha2(F.col(body).cast("binary"), 256)))
+    d = drop.select(F.col("host").alias(host), F.col("digest").alias(digest), F.col("drop").alias(gone_at))
+    joined = keyed.join(d, [host, digest], "left").select(*own, body, gone_at)
 
     def run(batches):
         for b in batches:

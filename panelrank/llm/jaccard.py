@@ -338,8 +338,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows with a null id belong to no component and all stay.
     """
     out = near_duplicates(docs, id_col, text_col)
-    gone, key = out.where("component <> id").select(F.col("id").alias("_gone")).distinct(), fresh_name(docs, "_digest")
-    kept = docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    name, key = fresh_name(docs, "_gone"), fresh_name(docs, "_digest")
+    gone = out.where("component <> id").select(F.col("id").alias(name)).distinct()
+    kept = docs.join(gone, docs[id_col].cast("long") == F.col(name), "left_anti")
     named = kept.withColumn(key, F.when(F.col(id_col).isNull(), F.uuid()).otherwise(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)))
     return named.dropDuplicates([id_col, key]).drop(key)
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelrank.llm.arrays import SHINGLE_BASE, SPACE_WORD, Words, append_column, group_sums, id_bucket, mix, row_slices, text_buffer
+from panelrank.llm.arrays import SHINGLE_BASE, SPACE_WORD, Words, append_column, group_sums, id_bucket, mix, row_slices, text_buffer, without
 from panelrank.llm.jaccard import _expand, _squeeze
 from panelrank.session import ensure_checkpoint_dir
 
@@ -308,7 +308,9 @@ _SCORES = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_s
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", into: str = "lm") -> DataFrame:
-    """``docs`` plus the struct ``into``: n_tokens, n_known, base_score (add-half unigrams) and score, both log10; perplexity is ``10 ** (-score / n_tokens)``."""
+    """``docs`` plus the struct ``into``: n_tokens, n_known, base_score (add-half unigrams) and score, both log10; perplexity is ``10 ** (-score / n_tokens)``.
+    A column of that name is replaced."""
+    docs = without(docs, into, text_col)
     at = docs.columns.index(text_col)
 
     def make():

@@ -22,6 +22,7 @@ import os
 import re
 import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,10 +117,11 @@ def piece_cost(n: int) -> float:
     return LINEAR * n + 0.5 * n * n
 
 
-def assign(sizes: list[int], length: int = LENGTH, largest: int = LENGTH // 2) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
-    """Pack documents of the given sizes into ``sum // length`` full sequences, in pieces of ``largest`` tokens at most.
+def assign(sizes: list[int], length: int = LENGTH, largest: int = LENGTH) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
+    """Pack documents of the given sizes into ``sum // length`` full sequences, in descending order.
 
-    A piece that fills a sequence by itself costs the most a sequence can cost, so halves balance far better.
+    A document goes whole to the sequence of least cost that has room for it (the first of equal ones); it is cut only if it is longer
+    than ``largest`` or no sequence has room, and then the cheapest open sequence takes a part.
     Returns (document, start, n, sequence, offset) of every piece, and (document, start, n) of the rest that fills no sequence
     (under ``length`` tokens in all, from the last documents).
     """
@@ -134,30 +136,19 @@ def assign(sizes: list[int], length: int = LENGTH, largest: int = LENGTH // 2) -
         for s in range(0, sizes[d] - keep, largest):
             todo.append((-min(largest, sizes[d] - keep - s), d, s))
     heapq.heapify(todo)
-    open_ = [(0.0, q) for q in range(seqs)]  # by cost
-    room, fill = [length] * seqs, [0] * seqs
+    cost, room = np.zeros(seqs), np.full(seqs, length)
     out = []
     while todo:
         n, d, s = heapq.heappop(todo)
         n = -n
-        # cheapest sequence with room for all of it, among the cheapest few; else the cheapest open one takes a part
-        tried = []
-        while open_ and len(tried) < 16:
-            c, q = heapq.heappop(open_)
-            if room[q] >= n:
-                break
-            tried.append((c, q))
-        else:
-            tried.sort()
-            c, q = tried.pop(0)
-        for x in tried:
-            heapq.heappush(open_, x)
-        take = min(n, room[q])
-        out.append((d, s, take, q, fill[q]))
-        fill[q] += take
+        fits = np.flatnonzero(room >= n)
+        if not len(fits):
+            fits = np.flatnonzero(room)
+        q = int(fits[np.argmin(cost[fits])])
+        take = min(n, int(room[q]))
+        out.append((d, s, take, q, length - int(room[q])))
         room[q] -= take
-        if room[q]:
-            heapq.heappush(open_, (c + piece_cost(take), q))
+        cost[q] += piece_cost(take)
         if take < n:
             heapq.heappush(todo, (take - n, d, s + take))
     return out, left[::-1]
@@ -187,7 +178,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text", length
 
         def pieces(last: bool):
             nonlocal rows, held, serial
-            done, left = assign([len(r[1]) // 4 for r in rows], length, largest or length // 2)
+            done, left = assign([len(r[1]) // 4 for r in rows], length, largest or length)
             got = [(d, s, n, serial + q, o) for d, s, n, q, o in done]
             serial += held // length
             if last:

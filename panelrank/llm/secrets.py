@@ -7,7 +7,7 @@ The method adds ``entropy`` spans: candidates are long runs of token characters
 (hex, alphanumeric, base64) with its own window and threshold. The Shannon entropy of the window is kept by incremental
 counts: with ``S = sum c*log2(c)`` over the window's character counts, a step adds ``f(c+1)-f(c)`` for the character that
 enters and ``f(c-1)-f(c)`` for the one that leaves, and ``H = log2(w) - S/w``. Windows at or over the threshold are merged.
-Allow-list: candidates of letters only or digits only and UUIDs are suppressed. Placeholder words suppress the windows that
+Allow-list: paths, slugs and runs made of words and short numbers, digits and UUIDs are suppressed. Placeholder words suppress the windows that
 overlap them: a candidate is cut at them, and what is left on either side is a candidate of its own.
 
 Defined results: null and empty texts have no span; repeated rows give equal spans; an empty table gives an empty result.
@@ -34,9 +34,13 @@ CLASSES = [
     ("base64", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 20, 3.7),
 ]
 LEAST = 20
+PLACES = 128             # matches whose places are added up together
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+# words in one case or with capitals, also run together, with a short number behind them, or a number
+WORD = "(?:(?:(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)++|[A-Za-z])[0-9]{0,4}|[0-9]{1,8})"
 ALLOWED = [
-    r"^[A-Za-z+/_=-]+$",                                                                        # words, rules, paths
+    rf"^(?:{WORD})?(?:[+/_=-]++(?:{WORD})?)++$",                                                # paths, slugs, rules
+    r"^(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)++$",                                                     # words, also run together
     r"^[0-9+/_=-]+$",                                                                           # numbers, dates
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",           # UUID
 ]
@@ -51,12 +55,20 @@ def _lit(pattern: str) -> str:
 
 
 def _places(text: str, pattern: str, group: int) -> str:
-    """SQL: array of (start, end, group's text) of the matches, in code points: text before, match and group are zipped."""
+    """SQL: array of (start, end, group's text) of the matches, in code points: text before, match and group are zipped.
+
+    Places are added up within blocks of ``PLACES`` matches and the blocks shifted by what lies before them, so that no array
+    longer than a block, or than the number of blocks, is copied at each step.
+    """
     p = _lit(pattern)
-    return f"""aggregate(arrays_zip(slice(split({text}, {p}, -1), 1, size(regexp_extract_all({text}, {p}, 0))), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group})),
-        named_struct('at', 0L, 'out', cast(array() as {PLACE})),
-        (a, m) -> named_struct('at', a.at + length(m.`0`) + length(m.`1`), 'out', concat(a.out, array(named_struct('start', a.at + length(m.`0`), 'end', a.at + length(m.`0`) + length(m.`1`), 'part', m.`2`)))),
-        a -> a.out)"""
+    zipped = f"arrays_zip(slice(split({text}, {p}, -1), 1, size(regexp_extract_all({text}, {p}, 0))), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group}))"
+    block = f"""aggregate(c, named_struct('at', 0L, 'out', cast(array() as {PLACE})),
+        (a, m) -> named_struct('at', a.at + length(m.`0`) + length(m.`1`), 'out', concat(a.out, array(named_struct('start', a.at + length(m.`0`), 'end', a.at + length(m.`0`) + length(m.`1`), 'part', m.`2`)))))"""
+    blocks = f"transform(filter(transform(sequence(0, int(size(z) / {PLACES})), i -> slice(z, i * {PLACES} + 1, {PLACES})), c -> size(c) > 0), c -> {block})"
+    before = "aggregate(y, cast(array(0L) as array<bigint>), (a, k) -> concat(a, array(element_at(a, -1) + k.at)))"
+    shifted = "flatten(zip_with(y, slice(o, 1, size(y)), (k, at) -> transform(k.out, m -> named_struct('start', at + m.start, 'end', at + m.`end`, 'part', m.part))))"
+    # an array of one element names a value for the expression that follows
+    return f"element_at(transform(array({zipped}), z -> element_at(transform(array({blocks}), y -> element_at(transform(array({before}), o -> {shifted}), 1)), 1)), 1)"
 
 
 def base_spans(text: str) -> str:

@@ -5,10 +5,11 @@ first or last place. The choice depends on the k-mer alone, so equal stretches g
 whatever surrounds them. A fingerprint is the list of all anchors (32-bit hash and position) in text order, so it grows with the
 text (about 2 anchors in 11 places) and a short passage shared by two long texts is seen anchor by anchor.
 
-Likeness matches anchors by hash and keeps the longest chain that ascends in both texts: ``2 * chain / (anchors of both)``.
+Likeness matches anchors by hash, the n-th place of a repeated one with the n-th, and keeps the longest chain that ascends in
+both texts: ``2 * chain / (anchors of both)``.
 
 Defined results: the empty (or null) text has the empty fingerprint, like itself 1 and anything else 0; a text without a
-syncmer is its own single anchor; a repeated k-mer counts at its first place; equal texts have equal fingerprints.
+syncmer is its own single anchor; a repeated k-mer is an anchor at every place; equal texts have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
 
 
-Fingerprint = tuple[np.ndarray, np.ndarray]  # 32-bit hashes, each once, and their ascending positions
+Fingerprint = tuple[np.ndarray, np.ndarray]  # 32-bit hashes and their ascending positions
 
 
 def fingerprints(texts: list[str], k: int = K, s: int = S) -> list[Fingerprint]:
@@ -78,8 +79,7 @@ def fingerprints(texts: list[str], k: int = K, s: int = S) -> list[Fingerprint]:
             sole = [int.from_bytes(hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest()[:4])] if t else []
             out.append((np.array(sole, np.int64), np.zeros(len(sole), np.int64)))
             continue
-        first = np.sort(np.unique(own, return_index=True)[1])             # the first place of each
-        out.append((own[first], at[edge[i]:edge[i + 1]][first] - off[i]))
+        out.append((own, at[edge[i]:edge[i + 1]] - off[i]))
     return out
 
 
@@ -87,10 +87,20 @@ def show(f: Fingerprint) -> str:
     return ("%08x@%x," * len(f[0]) % tuple(np.stack(f, 1).ravel().tolist()))[:-1]
 
 
+def _numbered(h: np.ndarray) -> np.ndarray:
+    """Hash and occurrence number of each anchor in one integer: the n-th place of a k-mer matches the n-th in another text."""
+    order = np.argsort(h, kind="stable")
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    out = np.empty(len(h), np.int64)
+    out[order] = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    return (h << 31) + out
+
+
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    _, x, y = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    _, x, y = np.intersect1d(_numbered(a[0]), _numbered(b[0]), assume_unique=True, return_indices=True)
     there = y[np.argsort(x)]                       # places in b along a
     chain = len(there)
     if (np.diff(there) < 0).any():                 # longest chain: places in b ascend along a
