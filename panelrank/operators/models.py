@@ -14,6 +14,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
                                        RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,6 +116,12 @@ def feature_names(model: PipelineModel, df: DataFrame, numeric, categorical) ->
     return names
 
 
+def slot_sums(encoder: PipelineModel, mat: DataFrame, names: list[str]) -> DataFrame:
+    """(slot, name, total) of the encoded matrix (E01): the sum of every numeric input, the rows of every level."""
+    total = mat.agg(Summarizer.sum(F.col("features")).alias("s")).select(F.posexplode(vector_to_array("s")).alias("slot", "total"))
+    return total.select("slot", F.get(F.array(*[F.lit(n) for n in names]), F.col("slot")).alias("name"), "total")
+
+
 def importance(model: PipelineModel, names: list[str], top: int = 25) -> list[tuple[str, float]]:
     """|coef| (logistic) or impurity importance (trees), top 25."""
     last = model.stages[-1]

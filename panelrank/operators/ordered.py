@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from panelrank.session import ensure_checkpoint_dir
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 16384
+MAX_BUCKETS = 16384       # cut points in a plan; beyond, Spark's range partitioning deals the buckets
+OFFSET_LITERALS = 4096    # bucket offsets in a plan; beyond, they are joined
 MIN_ROWS_PER_BUCKET = 1000
 SAMPLE_KEYS_MAX = 200_000
 
@@ -136,7 +137,12 @@ def _bucketed(df: DataFrame, order, rows_per_bucket: int, max_buckets: int, seed
     # smaller than that (counted above) is ranked in a single task
     par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     lo = max(1, min(par, n // MIN_ROWS_PER_BUCKET))
-    m = min(max_buckets, max(lo, math.ceil(n / max(1, rows_per_bucket))))
+    m = max(lo, math.ceil(n / max(1, rows_per_bucket)))
+    if m > max_buckets:
+        # more cuts than fit into a plan: Spark's own range partitioning cuts (its sample is bounded too), and what it dealt is
+        # written, so a bucket is fixed once and keeps its size however many rows there are
+        dealt = df.repartitionByRange(m, *_sort_columns(order)).withColumn("_bucket", F.spark_partition_id())
+        return materialized(dealt), n
     cuts = []
     if m > 1:
         # sampled keys per bucket, from all partitions alike; about SAMPLE_KEYS_MAX reach the driver at most.
@@ -156,9 +162,13 @@ def _bucketed(df: DataFrame, order, rows_per_bucket: int, max_buckets: int, seed
     return df.withColumn("_bucket", bucket.cast("int")), n
 
 
-def _in_bucket(order):
+def _sort_columns(order):
     # NULL keys sort last in either direction, in the buckets and in the window alike
-    return Window.partitionBy("_bucket").orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order])
+    return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order]
+
+
+def _in_bucket(order):
+    return Window.partitionBy("_bucket").orderBy(*_sort_columns(order))
 
 
 def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -184,20 +194,30 @@ def ordered_prefix(df: DataFrame, order, measures=(), rows_per_bucket: int = ROW
             offs_m[i][r["_bucket"]] = run_m[i]
             run_m[i] += r[f"_s{i}"] or 0
 
-    def as_map(d):
+    extra = []
+    if len(tot) > OFFSET_LITERALS:
+        # one row of offsets per bucket, joined; of a few numbers each
+        names = ["_o"] + [f"_o{i}" for i in range(len(measures))]
+        rows = [(b_, *[d[b_] for d in (offs_n, *offs_m)]) for b_ in offs_n]
+        b = b.join(F.broadcast(df.sparkSession.createDataFrame(rows, ["_bucket", *names]).withColumn("_bucket", F.col("_bucket").cast("int"))), "_bucket")
+        extra = names
+
+    def as_map(d, name):
         # bucket offsets as a literal array indexed by bucket (O(1) per row; a literal map is a linear scan)
         if not d:
             return F.lit(0)
+        if extra:
+            return F.col(name)
         arr = [d.get(b, 0) for b in range(max(d) + 1)]
         return F.element_at(F.array(*[F.lit(v) for v in arr]), F.col("_bucket") + 1)
 
     w = _in_bucket(order)
     wprev = w.rowsBetween(Window.unboundedPreceding, -1)
-    cols = [(as_map(offs_n) + F.row_number().over(w) - 1).cast("long").alias(pos_col)]
+    cols = [(as_map(offs_n, "_o") + F.row_number().over(w) - 1).cast("long").alias(pos_col)]
     for i, x in enumerate(measures):
         local = F.coalesce(F.sum(F.col(x)).over(wprev), F.lit(0))
-        cols.append((as_map(offs_m[i]) + local).alias(f"_before_{x}"))
-    out = b.select("*", *cols).drop("_bucket")
+        cols.append((as_map(offs_m[i], f"_o{i}") + local).alias(f"_before_{x}"))
+    out = b.select("*", *cols).drop("_bucket", *extra)
     totals = {"n": n}
     for i, x in enumerate(measures):
         totals[x] = run_m[i]

@@ -117,6 +117,25 @@ def feature_importance(spark, sf_dir):
     return spark.createDataFrame([(best, n, float(v)) for n, v in top], "model string, feature string, importance double")
 
 
+def _slots_sql():
+    num = [f"SELECT {i} AS slot, '{c}' AS name, SUM(COALESCE(CAST({c} AS DOUBLE), 0)) AS total FROM fx_features" for i, c in enumerate(NUM)]
+    cat = [f"SELECT {j} AS c, '{c}' AS col, COALESCE({c}, 'unknown') AS lv, COUNT(*) AS n FROM fx_features GROUP BY ALL" for j, c in enumerate(CAT)]
+    none = [f"SELECT {j}, '{c}', NULL, 0" for j, c in enumerate(CAT)]  # the slot of levels that the fit has not seen
+    return Q.chain(upto="features") + f"""
+, lv AS ({" UNION ALL ".join(cat + none)}),
+sl AS ({" UNION ALL ".join(num)} UNION ALL
+       SELECT {len(NUM) - 1} + row_number() OVER (ORDER BY c, lv NULLS LAST), col || '=' || COALESCE(lv, '__invalid__'), n FROM lv)
+SELECT CAST(slot AS INTEGER) AS slot, name, round(CAST(total AS DOUBLE), 4) AS total FROM sl"""
+
+
+@register("matrix_slots", _slots_sql())
+def matrix_slots(spark, sf_dir):
+    """Every slot of the encoded matrix by name, with its sum over all rows."""
+    feats = batch.features(spark, sf_dir)
+    enc, mat = E.fit_matrix(feats, NUM, CAT, LABEL, [])
+    return E.slot_sums(enc, mat, E.feature_names(enc, feats, NUM, CAT)).withColumn("total", F.round("total", 4))
+
+
 @register("readable_tree_leaves")
 def readable_tree_leaves(spark, sf_dir):
     """Depth-2 tree on six readable inputs, one row per leaf."""

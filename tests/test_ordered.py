@@ -160,3 +160,18 @@ def test_buckets_are_bounded_whatever_the_parallelism(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert plan.count("CASE WHEN") <= 5
+
+
+def test_more_buckets_than_cuts_in_a_plan(spark, monkeypatch):
+    """Beyond the cuts that a plan holds the buckets are dealt by range; beyond the offsets they are joined; positions and sums stay exact."""
+    from pyspark.sql import Window
+    monkeypatch.setattr(O, "OFFSET_LITERALS", 8)
+    rnd = random.Random(9)
+    rows = [(i, None if rnd.random() < 0.2 else float("nan") if rnd.random() < 0.1 else float(rnd.randint(-4, 4)), rnd.randint(0, 9)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, x double, v int").repartition(3)
+    for desc in (True, False):
+        got, tot = O.ordered_prefix(df, [("x", desc), "id"], ["v"], rows_per_bucket=150, max_buckets=5)
+        w = Window.orderBy(F.col("x").desc_nulls_last() if desc else F.col("x").asc_nulls_last(), "id")
+        want = df.select("id", (F.row_number().over(w) - 1).alias("p"), (F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("v")).alias("s"))
+        assert got.columns == ["id", "x", "v", "_pos", "_before_v"] and tot == {"n": 3000, "v": sum(r[2] for r in rows)}
+        assert got.join(want, "id").filter("_pos <> p or _before_v <> s").count() == 0
