@@ -88,3 +88,19 @@ def op9_chat(spark, sf_dir: str) -> DataFrame:
         "conv_id", F.size(read_back("formatted")).cast("long").alias("n_turns"), F.sha2(turns_text.cast("binary"), 256).alias("turns_sha256"),
         F.length("_loss").cast("long").alias("loss_chars"), F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
         F.coalesce("_n", F.lit(0)).alias("n_examples"), F.coalesce("_contexts", F.sha2(F.lit("").cast("binary"), 256)).alias("contexts_sha256"))
+
+
+# the same template and escapes by plain string functions; contexts are prefixes in turn order
+ORACLE_SQL = r"""
+WITH said AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+parts AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    '### ' || replace(replace(replace(replace(role, '\', '\s'), '###', '\h'), '</turn>', '\t'), ':', '\c') || ': ' AS head,
+    replace(replace(replace(text, '\', '\s'), '###', '\h'), '</turn>', '\t') AS body FROM said),
+lined AS (SELECT *, COALESCE(string_agg(head || body || '</turn>' || chr(10), '') OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || head AS context FROM parts)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    CAST(COALESCE(SUM(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(COALESCE(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(SUM(length(head) + length(body) + 8) AS BIGINT) AS formatted_chars, COUNT(*) FILTER (WHERE role = 'assistant') AS n_examples,
+    sha256(COALESCE(string_agg(sha256(context), chr(10) ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS contexts_sha256
+FROM lined GROUP BY conv_id
+"""

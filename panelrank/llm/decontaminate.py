@@ -252,3 +252,18 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.col("hits.n_words").alias("n_words"), F.col("hits.n_hit").alias("n_hit"), F.size("hits.items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("hits.items")).cast("binary"), 256).alias("items_sha256"), is_contaminated().alias("contaminated"))
+
+
+# windows and document runs of the same number of words as text; covered words counted one by one
+ORACLE_SQL = r"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, CAST(least(13, len(ws)) AS INTEGER) AS k, unnest(list_transform(range(1, greatest(2, len(ws) - 11)), lambda i: array_to_string(ws[i:i + 12], ' '))) AS g FROM item WHERE len(ws) > 0),
+doc AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+runs AS (SELECT r, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM win) WHERE len(ws) >= k),
+hits AS (SELECT runs.r, runs.i, runs.k, win.item_id FROM (SELECT r, i, k, array_to_string(ws[i:i + k - 1], ' ') AS g FROM runs) runs JOIN win ON win.k = runs.k AND win.g = runs.g),
+covered AS (SELECT r, COUNT(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
+found AS (SELECT r, COUNT(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(c.n, 0) AS n_hit, COALESCE(f.n, 0) AS n_items, sha256(COALESCE(f.ids, '')) AS items_sha256,
+    COALESCE(c.n, 0) > 0 AND 20 * COALESCE(c.n, 0) >= len(ws) AS contaminated
+FROM doc LEFT JOIN covered c ON c.r = doc.r LEFT JOIN found f ON f.r = doc.r
+"""

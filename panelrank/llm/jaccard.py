@@ -348,3 +348,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+# shingles as text, common ones counted per pair of documents, and the smallest id reachable over links
+ORACLE_SQL = r"""
+WITH RECURSIVE doc AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM doc),
+size AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(node, root) AS (SELECT doc_id, doc_id FROM doc UNION SELECT edge.b, reach.root FROM reach JOIN edge ON edge.a = reach.node AND reach.root < edge.b)
+SELECT doc_id, COALESCE(n, 0) AS n_shingles, root AS component_id FROM (SELECT node AS doc_id, MIN(root) AS root FROM reach GROUP BY node) LEFT JOIN size USING (doc_id)
+"""

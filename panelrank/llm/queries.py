@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelrank.llm import lexical_search, periodic_runs, url_filters
+from panelrank.llm import chat, decontaminate, jaccard, lexical_search, periodic_runs, url_filters
 from panelrank.llm.chat import op9_chat
 from panelrank.llm.decontaminate import op1_decontaminate
 from panelrank.llm.html_text import op3_html_text
@@ -22,6 +22,9 @@ QUERIES = {f.__name__: f for f in (
     op11_lexical_search, op12_periodic_runs, op13_url_filters,
 )}
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": decontaminate.ORACLE_SQL,
+    "op5_ngram_jaccard": jaccard.ORACLE_SQL,
+    "op9_chat": chat.ORACLE_SQL,
     "op11_lexical_search": lexical_search.ORACLE_SQL,
     "op12_periodic_runs": periodic_runs.ORACLE_SQL,
     "op13_url_filters": url_filters.ORACLE_SQL,
