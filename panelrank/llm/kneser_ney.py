@@ -21,9 +21,7 @@ token has probability one over one (score 0, nothing known).
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 import uuid
 from collections import OrderedDict
 
@@ -107,26 +105,29 @@ def write_arrays(folder: str, name: str, arrays: list[np.ndarray]) -> None:
 
 
 def map_arrays(folder: str, name: str, kinds: list) -> list[np.ndarray]:
-    """The arrays of a file, mapped into memory; an absent file is empty arrays."""
+    """The arrays of a file, mapped into memory where the shared folder is mounted, else read from it; an absent file is empty arrays."""
     fs, base = _fs(folder)
     path = f"{base}/{name}"
     if fs.get_file_info(path).type == pafs.FileType.NotFound:
         return [np.zeros(0, k) for k in kinds]
-    if not isinstance(fs, pafs.LocalFileSystem):
-        local = os.path.join(tempfile.gettempdir(), uuid.uuid5(uuid.NAMESPACE_URL, f"{folder}/{name}").hex)
-        if not os.path.exists(local):
-            part = f"{local}.{uuid.uuid4().hex}"
-            pafs.copy_files(path, part, source_filesystem=fs, destination_filesystem=pafs.LocalFileSystem())
-            os.replace(part, local)
-        path = local
-    n = int(np.fromfile(path, np.int64, 1)[0])
+    if isinstance(fs, pafs.LocalFileSystem):
+        whole = np.memmap(path, np.uint8, "r")
+    else:
+        with fs.open_input_file(path) as f:
+            whole = np.frombuffer(f.readall(), np.uint8)
+    n = int(whole[:8].view(np.int64)[0])
     out, at = [], 8
     for k in kinds:
-        out.append(np.memmap(path, k, "r", at, (n,)) if n else np.zeros(0, k))
-        at += n * np.dtype(k).itemsize
+        size = n * np.dtype(k).itemsize
+        out.append(whole[at:at + size].view(k))
+        at += size
     return out
 
 
+def is_mounted(folder: str) -> bool:
+    return isinstance(_fs(folder)[0], pafs.LocalFileSystem)
+
+
 PAIRS = [np.uint64, np.uint32]                                                  # pair hash, count
 WORDS = [np.uint64, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32]      # word hash, count, followers seen once, twice, more often, contexts
 
@@ -247,6 +248,7 @@ class Model:
 
     def __init__(self, m: dict):
         self.m, self.deal, self.files = m, Dealer(m["bits"], m["hot"]), OrderedDict()
+        self.most = 4096 if is_mounted(m["folder"]) else 16      # maps cost nothing, files read stay in memory
         n, d = m["coc1"].astype(float), m["d1"]
         many = max(0, m["types"] - n[0] - n[1])
         self.total = max(1, m["pairs"])
@@ -256,7 +258,7 @@ class Model:
     def _file(self, name: str, kinds: list) -> list[np.ndarray]:
         if name not in self.files:
             self.files[name] = map_arrays(self.m["folder"], name, kinds)
-            if len(self.files) > 4096:
+            if len(self.files) > self.most:
                 self.files.popitem(last=False)
         return self.files[name]
 

@@ -191,3 +191,24 @@ def test_op6_op10_beat_chance_on_held_out_labels(spark, table):
         pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
         if pos and neg:
             assert sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg)) >= 0.8
+
+
+# 8 ------------------------------------------------------------------------------------------------
+
+def test_op8_files_are_read_from_a_folder_that_is_not_mounted(tmp_path, monkeypatch):
+    """Without a mount the arrays come from the shared file system itself; no local copy is made."""
+    import os
+
+    import numpy as np
+    import pyarrow.fs as pafs
+    keys, counts = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64)), np.arange(1000, dtype=np.uint32)
+    kneser_ney.write_arrays(str(tmp_path), "pairs-0", [keys, counts])
+    kneser_ney.write_arrays(str(tmp_path), "pairs-1", [keys[:0], counts[:0]])
+    mapped = kneser_ney.map_arrays(str(tmp_path), "pairs-0", kneser_ney.PAIRS)
+    remote = pafs.SubTreeFileSystem("/", pafs.LocalFileSystem())
+    monkeypatch.setattr(kneser_ney, "_fs", lambda uri: (remote, uri))
+    before = set(os.listdir("/tmp"))
+    for got in (mapped, kneser_ney.map_arrays(str(tmp_path), "pairs-0", kneser_ney.PAIRS)):
+        assert (got[0] == keys).all() and (got[1] == counts).all() and got[1].dtype == np.uint32
+    assert [len(a) for a in kneser_ney.map_arrays(str(tmp_path), "pairs-1", kneser_ney.PAIRS)] == [0, 0] == [len(a) for a in kneser_ney.map_arrays(str(tmp_path), "none", kneser_ney.PAIRS)]
+    assert not kneser_ney.is_mounted(str(tmp_path)) and not [f for f in set(os.listdir("/tmp")) - before if len(f) == 32]
