@@ -14,6 +14,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelrank.operators.ordered import fits_broadcast
 from panelrank.sources.tables import table
 
 INTENTS = ["informational", "transactional", "commercial", "navigational"]
@@ -97,12 +98,29 @@ def fx_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+ROWS_PER_TASK = 250_000  # lines sorted by one task
+ITEM_BYTES = 96          # an item's key, brand and name in a row of Spark's format
+
+
+def dealt_by_rows(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` of ``rows`` rows dealt by ``keys`` to partitions of about ``ROWS_PER_TASK``, however many shuffle partitions are set;
+    what one task holds stays as Spark plans it."""
+    n = -(-rows // ROWS_PER_TASK)
+    return df.repartition(max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys) if n > 1 else df
+
+
 def fx_query_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query grain (client, content, query) with kind kept / rare / anonymized."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    # both sorts (lines by order, lines by item) are dealt by the number of lines, so a task's share doesn't grow with the table
+    n, items = li.count(), p.count()  # from the files' footers
+    lines = dealt_by_rows(li, n, "l_orderkey").join(o, li.l_orderkey == o.o_orderkey)
+    if fits_broadcast(spark, items * ITEM_BYTES):
+        j = dealt_by_rows(lines, n, "l_partkey", "o_custkey").join(F.broadcast(p), li.l_partkey == p.p_partkey)
+    else:
+        j = dealt_by_rows(lines, n, "l_partkey").join(p, li.l_partkey == p.p_partkey)
     g = j.groupBy(F.col("p_brand").alias("client_id"), F.col("l_partkey").alias("content_id"),
                   F.col("o_custkey").alias("query_id")).agg(
         F.sum(F.col("l_quantity").cast("long")).alias("impressions_90d"),
