@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -148,6 +148,26 @@ def leaf_table(model: PipelineModel, df: DataFrame, numeric, categorical, label:
 
 
 SHUFFLE_ROWS = 1_000_000  # rows among which a value is exchanged
+SCORE_ROWS = 50_000       # rows whose replicates one task scores
+
+
+def _encoder(model: PipelineModel) -> tuple[PipelineModel, PipelineModel]:
+    """(stages up to the assembled ``features``, stages that read them)."""
+    cut = 1 + next(i for i, st in enumerate(model.stages) if isinstance(st, VectorAssembler))
+    return PipelineModel(stages=model.stages[:cut]), PipelineModel(stages=model.stages[cut:])
+
+
+def _slots(model: PipelineModel, numeric, categorical) -> dict[str, tuple[int, int]]:
+    """First slot and number of slots of every input in the assembled vector."""
+    widths = [(c, 1) for c in numeric]
+    for st in model.stages:
+        if type(st).__name__ == "StringIndexerModel":
+            widths += [(c, len(levels) + 1) for c, levels in zip(categorical, st.labelsArray)]
+    out, at = {}, 0
+    for c, width in widths:
+        out[c] = (at, width)
+        at += width
+    return out
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, numeric, categorical, label: str, id_col: str, cols: list[str] | None = None,
@@ -156,26 +176,36 @@ def permutation_importance(model: PipelineModel, df: DataFrame, numeric, categor
 
     One row stands in for another's value: rows are dealt by a hash of their id to random groups of about ``SHUFFLE_ROWS``
     and inside one, in hash order, each row takes the next row's value (the last one the first's), a permutation
-    without fixed points. The same partner serves every feature, so one window pass over the rows gives all of them; the replicates (a feature,
-    a row) are written out next to the row, scored where they are and reduced to one AUC per feature by a grouped pass.
+    without fixed points. The same partner serves every feature, so one window pass over the rows gives all of them. Rows are encoded once; a
+    replicate (a feature, a row) is the row's vector with that feature's slots from the partner's, scored by the stages
+    behind the encoder and reduced to one AUC per feature by a grouped pass.
     """
     from panelrank.operators import metrics as M
     from panelrank.operators import ordered as O
     inputs = [*numeric, *categorical]
     cols = list(cols or inputs)
-    rows = O.materialized(df.select(F.col(id_col).alias("_id"), F.col(label).alias("_y"), F.struct(*inputs).alias("_x")))
-    groups = max(1, -(-rows.count() // SHUFFLE_ROWS))
+    encoder, predictor = _encoder(model)
+    x = encoder.transform(prepare_matrix(df.select(F.col(id_col).alias("_id"), F.col(label).alias("_y"), *inputs), numeric, categorical))
+    rows = O.materialized(x.select("_id", "_y", vector_to_array("features").alias("_x")))
+    n = rows.count()
+    groups = max(1, -(-n // SHUFFLE_ROWS))
     dealt = rows.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).withColumn("_h", F.xxhash64(F.col("_id").cast("string"), "_rep", F.lit(seed)))
     w = Window.partitionBy("_rep", F.pmod("_h", F.lit(groups))).orderBy("_h", "_id")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     paired = dealt.withColumn("_z", F.coalesce(F.lead("_x").over(w), F.first("_x").over(whole)))
+    # the replicates are many times the rows, so they are made and scored in more tasks than there are groups
+    paired = paired.repartition(max(-(-n * repeats // SCORE_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "_h")
+    slots = _slots(model, numeric, categorical)
 
     def replicate(name):
-        return F.struct(F.lit(name).alias("feature"), *[F.col("_z" if c == name else "_x")[c].alias(c) for c in inputs])
+        at, width = slots[name]
+        swapped = F.concat(F.slice("_x", 1, at), F.slice("_z", at + 1, width), F.slice("_x", at + width + 1, sum(v[1] for v in slots.values())))
+        return F.struct(F.lit(name).alias("feature"), swapped.alias("_v"))
 
     shuffled = paired.select("_y", "_rep", F.inline(F.array(*[replicate(c) for c in cols])))
-    plain = rows.select("_y", F.lit(0).alias("_rep"), F.lit("").alias("feature"), "_x.*")
-    scored = score(model, plain.unionByName(shuffled), numeric, categorical, "_p")
+    plain = rows.select("_y", F.lit(0).alias("_rep"), F.lit("").alias("feature"), F.col("_x").alias("_v"))
+    scored = predictor.transform(plain.unionByName(shuffled).select("_y", "_rep", "feature", array_to_vector("_v").alias("features"))) \
+        .select("_y", "_rep", "feature", vector_to_array("probability")[1].alias("_p"))
     auc = O.materialized(M.roc_auc(scored, "_y", "_p", by=["feature", "_rep"]))
     base = auc.filter("feature = ''").select(F.col("roc_auc").alias("base_auc"))  # one row
     drop = auc.filter("feature <> ''").groupBy("feature").agg(F.avg("roc_auc").alias("shuffled_auc")).crossJoin(F.broadcast(base))
