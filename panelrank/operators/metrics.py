@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -328,20 +330,64 @@ def _weighted_precision(rows: DataFrame, weights: DataFrame, label: str, score:
     return tot.select(_ratio(F.col("_h"), F.col("_t")).alias("_m"))
 
 
-def _weighted_ap(rows: DataFrame, weights: DataFrame, label: str, score: str, reps: int, **kw) -> DataFrame:
-    """Step-sum average precision of the resampled rows, over distinct scores; 0 where a replicate has one class."""
+AP_ROWS_PER_BUCKET = 100_000  # (group, score) rows whose replicates one task adds up
+AP_CHUNK = 4_096              # rows of which a task holds all replicates at a time
+
+
+def _ap_terms(rows: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
+    """Sum over a bucket's distinct scores, descending, of positives * precision, for every replicate. ``rows``: (_g, _s, _np, _na);
+    ``weights``: (_key, _weights, _off), _off being positives, then rows, of the buckets before."""
+    w, off = np.stack(weights["_weights"].to_numpy()), np.asarray(weights["_off"].iloc[0], dtype=float)
+    reps = w.shape[1]
+    tp, n, out = off[:reps].copy(), off[reps:].copy(), np.zeros(reps)
+    s = rows["_s"].to_numpy()
+    order = np.lexsort((-s, ~np.isnan(s)))  # NaN is the greatest number, as in Spark's order
+    s = s[order]
+    g = pd.Index(weights["_key"]).get_indexer(rows["_g"])[order]
+    pos, al = rows["_np"].to_numpy()[order], rows["_na"].to_numpy()[order]
+    new = np.flatnonzero(np.r_[True, (s[1:] != s[:-1]) & ~(np.isnan(s[1:]) & np.isnan(s[:-1]))])
+    first = 0
+    while first < len(new):  # whole scores, about AP_CHUNK rows
+        last = max(first + 1, int(np.searchsorted(new, new[first] + AP_CHUNK)))
+        lo, hi = new[first], new[last] if last < len(new) else len(s)
+        p = a = 0
+        starts = new[first:last] - lo
+        if last - first == 1:  # one score may hold any number of groups: added up piece by piece
+            for i in range(lo, hi, AP_CHUNK):
+                k = slice(i, min(hi, i + AP_CHUNK))
+                p, a = p + pos[k] @ w[g[k]], a + al[k] @ w[g[k]]
+            p, a = p[None, :], a[None, :]
+        else:
+            p = np.add.reduceat(w[g[lo:hi]] * pos[lo:hi, None], starts)
+            a = np.add.reduceat(w[g[lo:hi]] * al[lo:hi, None], starts)
+        cp, ca = tp + np.cumsum(p, axis=0), n + np.cumsum(a, axis=0)
+        out += (p * np.divide(cp, ca, out=np.zeros_like(cp), where=ca > 0)).sum(axis=0)
+        tp, n, first = cp[-1], ca[-1], last
+    return pd.DataFrame({"_t": [out]})
+
+
+def _weighted_ap(rows: DataFrame, weights: DataFrame, label: str, score: str, reps: int, rows_per_bucket: int | None = None, **kw) -> DataFrame:
+    """Step-sum average precision of the resampled rows, over distinct scores; 0 where a replicate has one class.
+
+    Rows of one group and score are counted first and dealt to buckets by score. A bucket's totals are sums over its groups,
+    so the arrays of replicates are one per bucket and group, not one per score; inside a bucket the
+    replicates are added up in order of the scores by whole-array operations.
+    """
     per = rows.groupBy("_g", F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("_s")).agg(
-        F.count_if(_y(label) == 1).alias("_np"), F.count(F.lit(1)).alias("_na")).join(weights, "_g")
-    g = _array_sums(per, {"_np": _times(F.col("_w"), F.col("_np")), "_na": _times(F.col("_w"), F.col("_na"))}, reps, by=["_s"])
-    # one array of positives and of rows, so that one prefix serves both
-    both = g.select("_s", F.concat("_np", "_na").alias("_v"))
-    pre = O.ordered_array_prefix(both, [("_s", True)], "_v", 2 * reps, **kw)
-    upto = F.zip_with(F.col("_before__v"), F.col("_v"), lambda a, b: a + b)
-    tp, n = F.slice(upto, 1, reps), F.slice(upto, reps + 1, reps)
-    own = F.slice(F.col("_v"), 1, reps)
-    term = F.zip_with(own, _ratio(tp, n), lambda a, b: a * b)
-    one = pre.select(term.alias("_t"), own.alias("_p"), F.slice(F.col("_v"), reps + 1, reps).alias("_a"))
-    tot = _array_sums(one, {"_t": F.col("_t")}, reps, whole=False).crossJoin(_array_sums(one, {"_p": F.col("_p"), "_a": F.col("_a")}, reps))
+        F.count_if(_y(label) == 1).alias("_np"), F.count(F.lit(1)).alias("_na"))
+    b = O.bucketed(per, [("_s", True)], rows_per_bucket=rows_per_bucket or AP_ROWS_PER_BUCKET, **kw)
+    drawn = O.materialized(b.groupBy("_bucket", "_g").agg(F.sum("_np").alias("_np"), F.sum("_na").alias("_na")).join(weights, "_g"))
+    totals = _array_sums(drawn, {"_v": F.concat(_times(F.col("_w"), F.col("_np")), _times(F.col("_w"), F.col("_na")))}, 2 * reps, by=["_bucket"])
+    run, offsets = [0.0] * (2 * reps), []
+    for r in sorted(totals.collect(), key=lambda r: r["_bucket"]):  # one row a bucket
+        offsets.append((r["_bucket"], list(run)))
+        run = [x + y for x, y in zip(run, r["_v"])]
+    spark = rows.sparkSession
+    off = spark.createDataFrame(offsets, "_bucket int, _off array<double>")
+    own = drawn.join(off, "_bucket").select(F.col("_bucket").alias("_of"), F.col("_g").alias("_key"), F.col("_w").alias("_weights"), "_off")
+    terms = b.groupBy("_bucket").cogroup(own.groupBy("_of")).applyInPandas(_ap_terms, "_t array<double>")
+    whole = spark.createDataFrame([(run[:reps], run[reps:])], "_p array<double>, _a array<double>")
+    tot = _array_sums(terms, {"_t": F.col("_t")}, reps, whole=False).crossJoin(whole)
     ap = F.zip_with(_ratio(F.col("_t"), F.col("_p")), F.zip_with(F.col("_p"), F.col("_a"), lambda p, a: p < a), lambda x, ok: F.when(ok, x).otherwise(F.lit(0.0)))
     return tot.select(ap.alias("_m"))
 

@@ -162,6 +162,11 @@ def _bucketed(df: DataFrame, order, rows_per_bucket: int, max_buckets: int, seed
     return df.withColumn("_bucket", bucket.cast("int")), n
 
 
+def bucketed(df: DataFrame, order, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS, seed: int = 17) -> DataFrame:
+    """``df`` with ``_bucket``, the buckets of ``ordered_prefix``: they follow each other in ``order``, and rows with equal keys share one."""
+    return _bucketed(df, _norm_order(order), rows_per_bucket, max_buckets, seed)[0]
+
+
 def _sort_columns(order):
     # NULL keys sort last in either direction, in the buckets and in the window alike
     return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order]
