@@ -47,13 +47,11 @@ def prepare_matrix(df: DataFrame, numeric: list[str], categorical: list[str]) ->
 
 
 def with_balanced_weight(df: DataFrame, label: str, out: str = "_w") -> DataFrame:
-    """weight = n / (2 n_class) from one aggregate (two numbers), broadcast back."""
-    c = df.agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("long")).alias("_p"))
-    j = df.crossJoin(F.broadcast(c))
-    pos = F.col("_p").cast("double")
-    neg = (F.col("_n") - F.col("_p")).cast("double")
-    w = F.when(F.col(label) == 1, F.col("_n") / (2 * pos)).otherwise(F.col("_n") / (2 * neg))
-    return j.withColumn(out, w).drop("_n", "_p")
+    """weight = n / (2 n_class); the two counts are taken once, as a fit makes many passes over its rows and a join would count anew in each."""
+    c = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p")).first()
+    n, p = c["n"], c["p"]
+    of_class = lambda k: F.lit(n / (2.0 * k) if k else None).cast("double")
+    return df.withColumn(out, F.when(F.col(label) == 1, of_class(p)).otherwise(of_class(None if p is None else n - p)))
 
 
 def logistic(n_rows: int, label: str = "label") -> list:

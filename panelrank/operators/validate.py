@@ -37,6 +37,7 @@ def check_folds(mat: DataFrame, fold: str, folds: int, label: str) -> None:
 def out_of_fold(mat: DataFrame, candidates: dict[str, list], label: str, fold: str, folds: int, workers: int = 4) -> DataFrame:
     """(candidate, the matrix's columns but ``features``, probability): every row once per candidate, scored by the model
     that did not see its fold. The scores are checkpointed, so no model is applied twice."""
+    mat = mat.persist()  # a fit reads its rows many times; what doesn't fit into memory lies on the executors' disks
     check_folds(mat, fold, folds, label)
 
     def one(job):
@@ -48,7 +49,9 @@ def out_of_fold(mat: DataFrame, candidates: dict[str, list], label: str, fold: s
     with ThreadPoolExecutor(max_workers=workers) as pool:
         parts = list(pool.map(one, jobs))
     ensure_checkpoint_dir(mat.sparkSession)
-    return reduce(DataFrame.unionByName, parts).checkpoint(eager=True)
+    scores = reduce(DataFrame.unionByName, parts).checkpoint(eager=True)
+    mat.unpersist()
+    return scores
 
 
 def fold_metrics(scores: DataFrame, label: str, score: str, id_col: str, by: list[str], k: int = 50) -> DataFrame:
