@@ -144,10 +144,12 @@ def slot_sums(encoder: PipelineModel, mat: DataFrame, names: list[str]) -> DataF
     return total.select("slot", F.get(F.array(*[F.lit(n) for n in names]), F.col("slot")).alias("name"), "total")
 
 
-def importance(model: PipelineModel, names: list[str], top: int = 25) -> list[tuple[str, float]]:
+def importance(model: PipelineModel | PartedForest, names: list[str], top: int = 25) -> list[tuple[str, float]]:
     """|coef| (logistic) or impurity importance (trees), top 25."""
-    last = model.stages[-1]
-    if hasattr(last, "coefficients"):
+    last = None if isinstance(model, PartedForest) else model.stages[-1]
+    if last is None:
+        vals = model.importances()
+    elif hasattr(last, "coefficients"):
         vals = [abs(float(v)) for v in last.coefficients.toArray()]
     elif hasattr(last, "featureImportances"):
         vals = [float(v) for v in last.featureImportances.toArray()]
@@ -267,17 +269,57 @@ def sized(df: DataFrame) -> DataFrame:
     return df.repartition(max(1, min(cores, -(-n // ROWS_PER_TASK)), -(-n // MOST_ROWS_PER_TASK)))
 
 
-def fit_on_matrix(mat: DataFrame, model_stages: list, label: str) -> PipelineModel:
-    """Fit model stages on an encoded matrix with balanced weights of that subset."""
-    return Pipeline(stages=model_stages).fit(with_balanced_weight(mat, label))
+FOREST_ROWS = 250_000           # rows of a matrix from which a forest is fitted in parts
+FOREST_PART = 50                # trees of a part
+FOREST_ROWS_PER_TASK = 100_000  # rows of a part's task
 
 
-def score_matrix(model: PipelineModel, mat: DataFrame, out: str) -> DataFrame:
-    keep = [c for c in mat.columns if c != "features"]
-    return model.transform(mat).select(*keep, vector_to_array(F.col("probability"))[1].alias(out))
+class PartedForest:
+    """A forest fitted in parts: its probability is the mean of its trees', so that of its parts by their trees."""
 
+    def __init__(self, parts: list[PipelineModel]):
+        self.parts = [(m, m.stages[-1].getNumTrees) for m in parts]
+        self.trees = sum(n for _, n in self.parts)
 
-def add_score(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
+    def importances(self) -> list[float]:
+        """Impurity importances, each tree's adding up to 1 as in one forest."""
+        total = sum(m.stages[-1].featureImportances.toArray() * n for m, n in self.parts)
+        return [float(v) for v in total / (total.sum() or 1.0)]
+
+
+def fit_on_matrix(mat: DataFrame, model_stages: list, label: str, rows: int = 0) -> PipelineModel | PartedForest:
+    """Fit model stages on an encoded matrix with balanced weights of that subset.
+
+    A forest alone on a matrix of more than ``FOREST_ROWS`` rows (``rows``, where known) is fitted in parts of ``FOREST_PART`` trees:
+    a fit keeps three numbers a tree beside every row, and a task the statistics of all open nodes, which it sends on at every
+    level. So a part holds a bounded share of both, and its tasks read more rows each than the matrix's.
+    """
+    x = with_balanced_weight(mat, label)
+    if not parted(model_stages, rows):
+        return Pipeline(stages=model_stages).fit(x)
+    last = model_stages[0]
+    x = x.coalesce(max(mat.sparkSession.sparkContext.defaultParallelism, -(-rows // FOREST_ROWS_PER_TASK)))
+    trees = last.getNumTrees()
+    return PartedForest([Pipeline(stages=[last.copy({last.numTrees: min(FOREST_PART, trees - at), last.seed: last.getSeed() + at})]).fit(x)
+                         for at in range(0, trees, FOREST_PART)])
+
+
+def parted(model_stages: list, rows: int) -> bool:
+    """Whether these stages are a forest that is fitted in parts on so many rows."""
+    return rows > FOREST_ROWS and len(model_stages) == 1 and isinstance(model_stages[0], RandomForestClassifier)
+
+
+def score_matrix(model: PipelineModel | PartedForest, mat: DataFrame, out: str) -> DataFrame:
+    return add_score(model, mat, out).drop("features")
+
+
+def add_score(model: PipelineModel | PartedForest, df: DataFrame, out: str) -> DataFrame:
     """Append P(positive) as ``out``; the model's own output columns are dropped, inputs kept."""
+    if isinstance(model, PartedForest):
+        scored = df
+        for i, (m, _) in enumerate(model.parts):
+            scored = add_score(m, scored, f"_part_{i}")
+        mean = reduce(lambda a, b: a + b, [F.col(f"_part_{i}") * n for i, (_, n) in enumerate(model.parts)]) / model.trees
+        return scored.select(*df.columns, mean.alias(out))
     t = model.transform(df).withColumn(out, vector_to_array(F.col("probability"))[1])
     return t.select(*df.columns, out)

@@ -7,7 +7,9 @@ on a deterministic stand-in probability (``final_queue_blend``).
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,11 +54,15 @@ def train_and_score(spark, sf_dir, forest_trees: int = 200, refit: bool = True,
     test = mat.filter(F.col("split") == "test")
     n = mat.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("split") == "train").alias("train")).first()
 
+    turn = Lock()  # forests on many rows are fitted one after another, so the executors hold the rows of one
+
     def job(item):
         kind, name, stages = item
         if kind == "queue":
             return O.materialized(batch.rule_queue(spark, sf_dir, feats))
-        return E.fit_on_matrix(train if kind == "holdout" else mat, stages, LABEL)
+        rows, of = (n["train"], train) if kind == "holdout" else (n["all"], mat)
+        with turn if E.parted(stages, rows) else nullcontext():
+            return E.fit_on_matrix(of, stages, LABEL, rows)
 
     items = [("queue", "baseline", None), *[("holdout", m, st) for m, st in E.build_models(n["train"], LABEL, forest_trees).items()]]
     if refit:
